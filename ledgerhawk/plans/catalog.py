@@ -31,3 +31,375 @@ def register(key: str, sql: str | None = None):
 @register("decisions", decisions_sql())
 def q_decisions(spark, sf_dir):
     return seq.decision_pipeline(txn(spark, sf_dir), processing_ms=F.col("ingest_ms"))
+
+
+# ------------------------------------------------------------------ helpers
+from ledgerhawk import config as C  # noqa: E402
+from ledgerhawk.config import RuleParams, StepRiskParams  # noqa: E402
+from ledgerhawk.functions.geo import haversine  # noqa: E402
+from ledgerhawk.functions.text import fingerprint, parse_time  # noqa: E402
+from ledgerhawk.operators import alerts as al  # noqa: E402
+from ledgerhawk.operators import derive as dv  # noqa: E402
+from ledgerhawk.operators import gold as gd  # noqa: E402
+from ledgerhawk.operators import quality as ql  # noqa: E402
+from ledgerhawk.operators import rules as rl  # noqa: E402
+from ledgerhawk.operators.latency import sla_breach_rate, sla_metrics  # noqa: E402
+from ledgerhawk.plans import oracle as O  # noqa: E402
+from ledgerhawk.sources.canonical import (card_from_txn, cards, redelivered, txn_dirty)  # noqa: E402
+from ledgerhawk.sources.tables import table  # noqa: E402
+
+
+def r4(c):
+    """Round a double half-up to 4 decimals on its binary value (engine-neutral)."""
+    return F.floor(c * 10000 + F.lit(0.5)) / F.lit(10000.0)
+
+
+def silver_of(spark, sf_dir):
+    return dv.silver(cards(spark, sf_dir))
+
+
+def enriched_cards(spark, sf_dir):
+    return dv.enrich_card(cards(spark, sf_dir))
+
+
+TEST_RULES = RuleParams(velocity_per_hour=1, daily_frequency=5)
+TEST_HOLIDAYS = ("2024-01-01", "2024-01-15", "2024-01-26")
+
+
+# ------------------------------------------------------------------ D, L, P19
+@register("dq_nulls", O.DQ_NULLS)
+def q_dq_nulls(spark, sf_dir):
+    return txn_dirty(spark, sf_dir).select(
+        "transaction_id", F.array_join(ql.null_violations(), "|").alias("null_violations"))
+
+
+@register("dq_validate", O.DQ_VALIDATE)
+def q_dq_validate(spark, sf_dir):
+    return ql.dq_validate(txn_dirty(spark, sf_dir)).select(
+        "transaction_id", "dq_violations", "dq_passed", "completeness_score")
+
+
+@register("dq_completeness", O.DQ_COMPLETENESS)
+def q_dq_completeness(spark, sf_dir):
+    return (ql.dq_validate(txn_dirty(spark, sf_dir)).groupBy("completeness_score")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("dq_self_transfer", O.DQ_SELF_TRANSFER)
+def q_dq_self_transfer(spark, sf_dir):
+    return (ql.dq_validate(txn_dirty(spark, sf_dir), C.QualityParams(check_self_transfer=True))
+            .filter(F.col("dq_violations").contains("SELF_TRANSFER"))
+            .select("transaction_id", "account_id_source", "account_id_dest", "dq_violations"))
+
+
+@register("route_counts", O.ROUTE_COUNTS)
+def q_route_counts(spark, sf_dir):
+    routed = ql.route(sla_metrics(ql.dq_validate(txn_dirty(spark, sf_dir))))
+    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("dlq_rows", O.DLQ_ROWS)
+def q_dlq_rows(spark, sf_dir):
+    return ql.dq_validate(txn_dirty(spark, sf_dir)).filter(~F.col("dq_passed")).select(
+        "transaction_id", "dq_violations")
+
+
+@register("sla_metrics", O.SLA_METRICS)
+def q_sla_metrics(spark, sf_dir):
+    return sla_metrics(txn(spark, sf_dir)).select(
+        "transaction_id", "source_to_kafka_lag_ms", "kafka_to_spark_lag_ms", "total_pipeline_lag_ms",
+        "sla_breached")
+
+
+@register("sla_breach_rate", O.SLA_BREACH_RATE)
+def q_sla_breach_rate(spark, sf_dir):
+    return sla_breach_rate(sla_metrics(txn(spark, sf_dir)))
+
+
+@register("sla_archive", O.SLA_ARCHIVE)
+def q_sla_archive(spark, sf_dir):
+    clean = ql.dq_validate(txn(spark, sf_dir)).filter("dq_passed")
+    return sla_metrics(clean).filter("sla_breached").select("transaction_id", "total_pipeline_lag_ms")
+
+
+@register("dlq_envelope", O.DLQ_ENVELOPE)
+def q_dlq_envelope(spark, sf_dir):
+    bad = ql.dq_validate(txn_dirty(spark, sf_dir)).filter(~F.col("dq_passed"))
+    return al.dlq_envelope(bad, F.floor(F.col("ingest_ms") / 1000),
+                           fields=["transaction_id", "customer_id", "channel_type", "event_timestamp"])
+
+
+# ------------------------------------------------------------------ P
+@register("fingerprint", O.FINGERPRINT)
+def q_fingerprint(spark, sf_dir):
+    t = txn(spark, sf_dir)
+    return t.select("transaction_id", fingerprint(F.col("transaction_id"), F.col("customer_id"), F.col("amount"),
+                                                  F.col("event_timestamp"), F.col("channel_type"))
+                    .alias("data_fingerprint"))
+
+
+@register("haversine", O.HAVERSINE)
+def q_haversine(spark, sf_dir):
+    t = txn(spark, sf_dir)
+    home_lat = (F.col("country_src") * 6 - 75).cast("double")
+    home_lon = (F.col("country_src") * 14 - 170).cast("double")
+    return t.select("transaction_id", r4(haversine(home_lat, home_lon, F.col("latitude"), F.col("longitude")))
+                    .alias("km_from_home"))
+
+
+@register("distance_from_last", O.DISTANCE_FROM_LAST)
+def q_distance_from_last(spark, sf_dir):
+    return enriched_cards(spark, sf_dir).select("Trans_id", r4(F.col("distance_from_last_loc")).alias("distance_km"))
+
+
+@register("time_since_last", O.TIME_SINCE_LAST)
+def q_time_since_last(spark, sf_dir):
+    return seq.time_since_last(txn(spark, sf_dir)).select("transaction_id", "time_since_last_trans")
+
+
+@register("is_weekend", O.IS_WEEKEND)
+def q_is_weekend(spark, sf_dir):
+    return txn(spark, sf_dir).select("transaction_id", dv.is_weekend(F.col("event_ts")).alias("is_weekend"))
+
+
+@register("is_holiday", O.IS_HOLIDAY)
+def q_is_holiday(spark, sf_dir):
+    return txn(spark, sf_dir).select("transaction_id",
+                                     dv.is_holiday(F.col("event_ts"), TEST_HOLIDAYS).alias("is_holiday"))
+
+
+@register("risk_step", O.RISK_STEP)
+def q_risk_step(spark, sf_dir):
+    t = txn(spark, sf_dir)
+    return t.select("transaction_id", dv.risk_step(F.col("amount"), dv.is_weekend(F.col("event_ts"))).alias("step_risk"))
+
+
+@register("is_fraud", O.IS_FRAUD)
+def q_is_fraud(spark, sf_dir):
+    t = txn(spark, sf_dir)
+    risk = dv.risk_step(F.col("amount"), dv.is_weekend(F.col("event_ts")))
+    return t.select("transaction_id", dv.is_fraud(risk).alias("fraud_flag"))
+
+
+@register("adjusted_amount", O.ADJUSTED_AMOUNT)
+def q_adjusted_amount(spark, sf_dir):
+    a = F.col("amount")
+    return txn(spark, sf_dir).select("transaction_id", dv.adjusted_amount(a, 1.5).alias("new_current_amount"),
+                                     dv.adjusted_amount(a, -1).alias("signed_amount"),
+                                     dv.adjusted_amount(a, 1.05).alias("bronze_amount"))
+
+
+@register("risk_band", O.RISK_BAND)
+def q_risk_band(spark, sf_dir):
+    return txn(spark, sf_dir).select("transaction_id",
+                                     dv.risk_band(F.col("amount"), F.col("transaction_id")).alias("risk_score"))
+
+
+@register("outcome_class", O.OUTCOME_CLASS)
+def q_outcome_class(spark, sf_dir):
+    return enriched_cards(spark, sf_dir).select("Trans_id", "junk_sk")
+
+
+@register("failed_txn", O.FAILED_TXN)
+def q_failed_txn(spark, sf_dir):
+    return dv.failed_txn(cards(spark, sf_dir)).select("Trans_id", "Trans_status")
+
+
+@register("silver_filter", O.SILVER_FILTER)
+def q_silver_filter(spark, sf_dir):
+    return dv.silver_filter(card_from_txn(txn_dirty(spark, sf_dir))).select("Trans_id", "Currency")
+
+
+@register("silver_standardize", O.SILVER_STANDARDIZE)
+def q_silver_standardize(spark, sf_dir):
+    return dv.silver_standardize(cards(spark, sf_dir)).select("Trans_id", "Currency", "Trans_type", "Trans_status")
+
+
+@register("fact_projection", O.FACT_PROJECTION)
+def q_fact_projection(spark, sf_dir):
+    f = dv.fact_projection(enriched_cards(spark, sf_dir))
+    return (f.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+             .withColumn("distance_from_last_loc", r4(F.col("distance_from_last_loc"))))
+
+
+@register("fact_surrogate_keys", O.FACT_SURROGATE_KEYS)
+def q_fact_surrogate_keys(spark, sf_dir):
+    return dv.fact_surrogate_keys(enriched_cards(spark, sf_dir), table(spark, sf_dir, "customer"),
+                                  table(spark, sf_dir, "nation"))
+
+
+@register("parse_time_12h", O.PARSE_TIME_12H)
+def q_parse_time_12h(spark, sf_dir):
+    c = cards(spark, sf_dir).select("Trans_id", F.date_format("Trans_ts", dv.FMT_12H).alias("text_12h"))
+    return c.select("Trans_id", "text_12h",
+                    F.unix_timestamp(parse_time(F.col("text_12h"), dv.FMT_12H)).alias("parsed_epoch_s"))
+
+
+@register("parse_time_24h", O.PARSE_TIME_24H)
+def q_parse_time_24h(spark, sf_dir):
+    c = cards(spark, sf_dir).select("Trans_id", F.when(F.col("Trans_id") % 2 == 0, F.col("Trans_date"))
+                                    .otherwise(F.date_format("Trans_ts", dv.FMT_12H)).alias("text"))
+    return c.select("Trans_id", F.unix_timestamp(parse_time(F.col("text"), dv.FMT_24H, dv.FMT_12H))
+                    .alias("parsed_epoch_s"))
+
+
+@register("epoch_ms", O.EPOCH_MS)
+def q_epoch_ms(spark, sf_dir):
+    return txn(spark, sf_dir).select(
+        "transaction_id", F.timestamp_millis("event_timestamp").cast("timestamp_ntz").alias("event_time"))
+
+
+# ------------------------------------------------------------------ R
+@register("rule_high_amount", O.RULE_HIGH_AMOUNT)
+def q_rule_high_amount(spark, sf_dir):
+    return rl.rule_high_amount(txn(spark, sf_dir))
+
+
+@register("rule_velocity", O.RULE_VELOCITY)
+def q_rule_velocity(spark, sf_dir):
+    return rl.rule_velocity(txn(spark, sf_dir), TEST_RULES)
+
+
+@register("rule_country_mismatch", O.RULE_COUNTRY_MISMATCH)
+def q_rule_country_mismatch(spark, sf_dir):
+    return rl.rule_country_mismatch(txn(spark, sf_dir))
+
+
+@register("rule_repeat_country", O.RULE_REPEAT_COUNTRY)
+def q_rule_repeat_country(spark, sf_dir):
+    return rl.rule_repeat_country(txn(spark, sf_dir), TEST_RULES)
+
+
+@register("rule_impossible_travel", O.RULE_IMPOSSIBLE_TRAVEL)
+def q_rule_impossible_travel(spark, sf_dir):
+    return rl.rule_impossible_travel(txn(spark, sf_dir), TEST_RULES)
+
+
+def blacklist_df(spark):
+    return spark.createDataFrame([(n,) for n in C.BLACKLIST], "name string")
+
+
+@register("rule_blacklist", O.RULE_BLACKLIST)
+def q_rule_blacklist(spark, sf_dir):
+    return rl.rule_blacklist(txn(spark, sf_dir), blacklist_df(spark))
+
+
+@register("rule_daily_frequency", O.RULE_DAILY_FREQUENCY)
+def q_rule_daily_frequency(spark, sf_dir):
+    return rl.rule_daily_frequency(txn(spark, sf_dir), TEST_RULES)
+
+
+@register("rule_odd_hours", O.RULE_ODD_HOURS)
+def q_rule_odd_hours(spark, sf_dir):
+    return rl.rule_odd_hours(txn(spark, sf_dir))
+
+
+@register("rule_unexpected_country", O.RULE_UNEXPECTED_COUNTRY)
+def q_rule_unexpected_country(spark, sf_dir):
+    return rl.rule_unexpected_country(txn(spark, sf_dir))
+
+
+@register("rules_union", O.RULES_UNION)
+def q_rules_union(spark, sf_dir):
+    return rl.rules_union(txn(spark, sf_dir), blacklist_df(spark), TEST_RULES)
+
+
+@register("sql_fraud_by_category", O.SQL_FRAUD_BY_CATEGORY)
+def q_sql_fraud_by_category(spark, sf_dir):
+    txn(spark, sf_dir).createOrReplaceTempView("lh_transactions")
+    return spark.sql("""
+        SELECT merchant_category, count(*) AS fraud_cases
+        FROM lh_transactions WHERE amount > 5000
+        GROUP BY merchant_category ORDER BY fraud_cases DESC, merchant_category""")
+
+
+@register("sql_limit", O.SQL_LIMIT)
+def q_sql_limit(spark, sf_dir):
+    txn(spark, sf_dir).createOrReplaceTempView("lh_transactions")
+    return spark.sql("""
+        SELECT transaction_id, customer_id, amount FROM lh_transactions
+        ORDER BY amount DESC, transaction_id LIMIT 10""")
+
+
+@register("sql_count", O.SQL_COUNT)
+def q_sql_count(spark, sf_dir):
+    txn(spark, sf_dir).createOrReplaceTempView("lh_transactions")
+    return spark.sql("SELECT count(*) AS transactions FROM lh_transactions")
+
+
+# ------------------------------------------------------------------ A, J, C, N, S16
+@register("fraud_kpis", O.FRAUD_KPIS)
+def q_fraud_kpis(spark, sf_dir):
+    return gd.fraud_kpis(silver_of(spark, sf_dir))
+
+
+@register("customer_risk", O.CUSTOMER_RISK)
+def q_customer_risk(spark, sf_dir):
+    return gd.customer_risk(silver_of(spark, sf_dir))
+
+
+@register("fraud_by_category", O.FRAUD_BY_CATEGORY)
+def q_fraud_by_category(spark, sf_dir):
+    return gd.fraud_by_category(silver_of(spark, sf_dir), F.col("fraud_flag") == 1)
+
+
+@register("repeat_suspects", O.REPEAT_SUSPECTS)
+def q_repeat_suspects(spark, sf_dir):
+    return gd.repeat_suspects(silver_of(spark, sf_dir), F.col("fraud_flag") == 1, 1, key="Clt_id")
+
+
+@register("customer_risk_trend", O.CUSTOMER_RISK_TREND)
+def q_customer_risk_trend(spark, sf_dir):
+    return gd.customer_risk_trend(silver_of(spark, sf_dir), period="week")
+
+
+@register("fraud_trend", O.FRAUD_TREND)
+def q_fraud_trend(spark, sf_dir):
+    return gd.fraud_trend(silver_of(spark, sf_dir), period="day")
+
+
+@register("client_features", O.CLIENT_FEATURES)
+def q_client_features(spark, sf_dir):
+    return gd.client_features(silver_of(spark, sf_dir))
+
+
+@register("feature_join", O.FEATURE_JOIN)
+def q_feature_join(spark, sf_dir):
+    return gd.feature_join(silver_of(spark, sf_dir)).select(
+        "Trans_id", "Clt_id", "Trans_amount", "transactions_last_day", "average_transaction_amount")
+
+
+@register("dim_lookup", O.DIM_LOOKUP)
+def q_dim_lookup(spark, sf_dir):
+    t = txn(spark, sf_dir).select("transaction_id", "customer_id", "country_code")
+    t = gd.dim_lookup(t, table(spark, sf_dir, "nation"), "country_code", "n_nationkey", "n_name",
+                      "country_name", "UNKNOWN")
+    t = gd.dim_lookup(t, table(spark, sf_dir, "customer"), "customer_id", "c_custkey", "c_mktsegment",
+                      "segment", "UNKNOWN")
+    return t.select("transaction_id", "country_name", "segment")
+
+
+@register("gold_fraud_alerts", O.GOLD_FRAUD_ALERTS)
+def q_gold_fraud_alerts(spark, sf_dir):
+    return al.gold_fraud_alerts(silver_of(spark, sf_dir)).select("Trans_id", "Clt_id", "Trans_amount")
+
+
+@register("dedup_silver", O.DEDUP_SILVER)
+def q_dedup_silver(spark, sf_dir):
+    return gd.dedup_batch(redelivered(spark, sf_dir)).select("transaction_id", "trans_ref_no", "amount")
+
+
+def _replay(spark, sf_dir):
+    t = txn(spark, sf_dir)
+    marks = gd.replay_marks_from(t.filter(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp")))
+    return gd.replay_resume(t, marks)
+
+
+@register("replay_resume", O.REPLAY_RESUME)
+def q_replay_resume(spark, sf_dir):
+    return _replay(spark, sf_dir)[1]
+
+
+@register("replay_marks", O.REPLAY_MARKS)
+def q_replay_marks(spark, sf_dir):
+    return _replay(spark, sf_dir)[2]
