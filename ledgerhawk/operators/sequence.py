@@ -299,7 +299,7 @@ def rolling_features(df: DataFrame, day_ms: int = 86_400_000, hour_ms: int = 3_6
                                                  .otherwise(F.lit(0))).over(day))
               .withColumn("txn_count_1h", F.count(F.lit(1)).over(hour))
               .withColumn("last_txn_amounts", F.array_join(
-                  F.transform(F.collect_list(F.col("amount").cast("string")).over(lastn), lambda s: s), ",")))
+                  F.collect_list(F.col("amount").cast("string")).over(lastn), ",")))
 
 
 def customer_last_state(df: DataFrame) -> DataFrame:
@@ -326,9 +326,9 @@ def customer_last_state(df: DataFrame) -> DataFrame:
 
 
 def decision_pipeline(t: DataFrame, p: DecisionParams = DecisionParams(),
-                      processing_ms: Column | None = None) -> DataFrame:
+                      processing_ms: Column | None = None, keep_features: bool = False) -> DataFrame:
     """Flagship batch chain: DQ -> clean -> SLA -> on-time -> decisions (reference order)."""
     from ledgerhawk.operators.latency import sla_metrics
     from ledgerhawk.operators.quality import dq_validate
     on_time = sla_metrics(dq_validate(t).filter("dq_passed")).filter(~F.col("sla_breached"))
-    return decide(on_time, p, processing_ms=processing_ms)
+    return decide(on_time, p, processing_ms=processing_ms, keep_features=keep_features)

@@ -403,3 +403,103 @@ def q_replay_resume(spark, sf_dir):
 @register("replay_marks", O.REPLAY_MARKS)
 def q_replay_marks(spark, sf_dir):
     return _replay(spark, sf_dir)[2]
+
+
+# ------------------------------------------------------------------ T (per-rule views of the engine)
+from ledgerhawk.plans.oracle_decisions import decisions_sql as _dsql  # noqa: E402
+
+MICRO_TEST = DecisionParams(micro_window_ms=86_400_000)
+MULE_TEST = DecisionParams(mule_window_ms=86_400_000, mule_min_cents=200_000)
+WIRE_TEST = DecisionParams(wire_min_cents=100_000)
+SESSION_TEST = DecisionParams(session_window_ms=6 * 3_600_000)
+
+
+def _features(spark, sf_dir, p: DecisionParams = DecisionParams()):
+    return seq.decision_pipeline(txn(spark, sf_dir), p, processing_ms=F.col("ingest_ms"), keep_features=True)
+
+
+@register("running_stats", _dsql(select="""transaction_id, CAST(_n AS BIGINT) AS txn_count,
+  floor(CAST(_s1 AS DOUBLE) / CAST(_n AS DOUBLE) / 100.0 * 10000 + 0.5) / CAST(10000.0 AS DOUBLE) AS running_mean,
+  floor(sqrt(CAST(_var AS DOUBLE)) / CAST(_n AS DOUBLE) / 100.0 * 10000 + 0.5) / CAST(10000.0 AS DOUBLE) AS running_std"""))
+def q_running_stats(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    n = F.col("_n").cast("double")
+    var_n = F.col("_n").cast("decimal(38,0)") * F.col("_s2") - F.col("_s1") * F.col("_s1")
+    return f.select("transaction_id", F.col("_n").alias("txn_count"),
+                    r4(F.col("_s1").cast("double") / n / 100.0).alias("running_mean"),
+                    r4(F.sqrt(var_n.cast("double")) / n / 100.0).alias("running_std"))
+
+
+@register("amount_outlier", _dsql(select="""transaction_id,
+  floor(_z * 10000 + 0.5) / CAST(10000.0 AS DOUBLE) AS amount_zscore""", where="_outlier"))
+def q_amount_outlier(spark, sf_dir):
+    return _features(spark, sf_dir).filter("_outlier").select("transaction_id", "amount_zscore")
+
+
+@register("travel_cross_channel", _dsql(select="""transaction_id,
+  floor(_d3 * 10000 + 0.5) / CAST(10000.0 AS DOUBLE) AS distance_km,
+  floor(_s3 * 100 + 0.5) / CAST(100.0 AS DOUBLE) AS speed_kmh""", where="_t3"))
+def q_travel_cross_channel(spark, sf_dir):
+    f = _features(spark, sf_dir).filter("_t3")
+    return f.select("transaction_id", r4(F.col("_d3")).alias("distance_km"),
+                    (F.floor(F.col("_s3") * 100 + F.lit(0.5)) / F.lit(100.0)).alias("speed_kmh"))
+
+
+@register("travel_same_channel", _dsql(select="""transaction_id,
+  floor(_d4 * 10000 + 0.5) / CAST(10000.0 AS DOUBLE) AS distance_km""", where="_t4"))
+def q_travel_same_channel(spark, sf_dir):
+    return _features(spark, sf_dir).filter("_t4").select("transaction_id", r4(F.col("_d4")).alias("distance_km"))
+
+
+@register("session_conflict", _dsql(SESSION_TEST, select="""transaction_id, b.customer_id""", where="_t7"))
+def q_session_conflict(spark, sf_dir):
+    return _features(spark, sf_dir, SESSION_TEST).filter("_t7").select("transaction_id", "customer_id")
+
+
+@register("rooted_device", _dsql(select="""transaction_id, device_id""", where="_t10"))
+def q_rooted_device(spark, sf_dir):
+    return _features(spark, sf_dir).filter("_t10").select("transaction_id", "device_id")
+
+
+@register("micro_structuring", _dsql(MICRO_TEST, select="""transaction_id, g.mc AS micro_n,
+  g.msum AS micro_sum_cents""", where="g.micro_hit"))
+def q_micro_structuring(spark, sf_dir):
+    return _features(spark, sf_dir, MICRO_TEST).filter("micro_hit").select(
+        "transaction_id", "micro_n", "micro_sum_cents")
+
+
+@register("mule_symmetry", _dsql(MULE_TEST, select="""transaction_id, g.ins AS mule_in_cents,
+  g.outs AS mule_out_cents""", where="g.mule_hit"))
+def q_mule_symmetry(spark, sf_dir):
+    return _features(spark, sf_dir, MULE_TEST).filter("mule_hit").select(
+        "transaction_id", "mule_in_cents", "mule_out_cents")
+
+
+@register("wire_new_device", _dsql(WIRE_TEST, select="""transaction_id, device_id""", where="g.wire_hit"))
+def q_wire_new_device(spark, sf_dir):
+    return _features(spark, sf_dir, WIRE_TEST).filter("wire_hit").select("transaction_id", "device_id")
+
+
+@register("triple_novelty", _dsql(select="""transaction_id, device_id, country_code""", where="g.novelty_hit"))
+def q_triple_novelty(spark, sf_dir):
+    return _features(spark, sf_dir).filter("novelty_hit").select("transaction_id", "device_id", "country_code")
+
+
+@register("trusted_devices", _dsql(select="""transaction_id, b.customer_id, device_id,
+  CAST(len(g.trusted) AS INTEGER) AS trust_size""", where="g.trust_joined"))
+def q_trusted_devices(spark, sf_dir):
+    return _features(spark, sf_dir).filter("trust_joined").select(
+        "transaction_id", "customer_id", "device_id", "trust_size")
+
+
+@register("customer_last_state", O.CUSTOMER_LAST_STATE)
+def q_customer_last_state(spark, sf_dir):
+    return seq.customer_last_state(txn(spark, sf_dir))
+
+
+@register("rolling_features", O.ROLLING_FEATURES)
+def q_rolling_features(spark, sf_dir):
+    r = seq.rolling_features(txn(spark, sf_dir))
+    return r.select("transaction_id", F.col("total_in_24h").cast("double").alias("total_in_24h"),
+                    F.col("total_out_24h").cast("double").alias("total_out_24h"), "txn_count_1h",
+                    "last_txn_amounts")

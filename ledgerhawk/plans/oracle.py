@@ -263,3 +263,30 @@ REPLAY_RESUME = with_views("SELECT channel_type, total, skipped, new FROM rep",
                            ("rep", REPLAY_REPORT))
 REPLAY_MARKS = with_views("SELECT channel_type, coalesce(newmax, old) AS last_id FROM rep", ("marks", MARKS),
                           ("rep", REPLAY_REPORT))
+
+# --------------------------------------------------------------------- T13, T17
+def _last_of(cond: str, value: str) -> str:
+    return (f"arg_max(CASE WHEN {cond} THEN {value} END, "
+            f"CASE WHEN {cond} THEN {{'ts': event_timestamp, 'id': transaction_id}} END)")
+
+
+CUSTOMER_LAST_STATE = with_views(f"""SELECT customer_id,
+  {_last_of("channel_type = 'MOBILE_APP'", 'event_timestamp')} AS last_mobile_ts,
+  {_last_of("channel_type = 'MOBILE_APP'", 'device_id')} AS last_mobile_device,
+  {_last_of("channel_type = 'MOBILE_APP'", 'ip_country')} AS last_mobile_ip_country,
+  {_last_of("channel_type IN ('ATM','POS','BRANCH')", 'event_timestamp')} AS last_atm_ts,
+  {_last_of("channel_type = 'WEB_BANKING'", 'event_timestamp')} AS last_web_ts,
+  {_last_of("channel_type = 'SWIFT_WIRE'", 'event_timestamp')} AS last_wire_ts,
+  {_last_of("country_code IS NOT NULL", 'country_code')} AS last_known_country,
+  max(event_timestamp) AS last_activity_ts, count(*) AS txn_count
+FROM txn GROUP BY customer_id""")
+_RW = "PARTITION BY customer_id ORDER BY event_timestamp"
+ROLLING_FEATURES = with_views(f"""SELECT transaction_id,
+  CAST(sum(CASE WHEN transaction_type IN ('TRANSFER_IN','DEPOSIT','WIRE_IN') THEN amount_usd ELSE 0 END)
+       OVER ({_RW} RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW) AS DOUBLE) AS total_in_24h,
+  CAST(sum(CASE WHEN transaction_type IN ('TRANSFER_OUT','WITHDRAWAL','WIRE_OUT') THEN amount_usd ELSE 0 END)
+       OVER ({_RW} RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW) AS DOUBLE) AS total_out_24h,
+  count(*) OVER ({_RW} RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW) AS txn_count_1h,
+  array_to_string(list(CAST(amount AS VARCHAR)) OVER ({_RW}, transaction_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), ',')
+    AS last_txn_amounts
+FROM txn""")

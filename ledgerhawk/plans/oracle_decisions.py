@@ -119,16 +119,18 @@ def fold_sql(p: DecisionParams) -> str:
 SELECT customer_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS a1, CAST(0 AS BIGINT) AS mc,
        CAST(0 AS BIGINT) AS msum, CAST(NULL AS BIGINT) AS a30, CAST(0 AS BIGINT) AS ins,
        CAST(0 AS BIGINT) AS outs, CAST([] AS VARCHAR[]) AS trusted, FALSE AS micro_hit, FALSE AS mule_hit,
-       FALSE AS new_device, FALSE AS wire_hit, FALSE AS novelty_hit
+       FALSE AS new_device, FALSE AS wire_hit, FALSE AS novelty_hit, FALSE AS trust_joined
 FROM (SELECT DISTINCT customer_id FROM feat) c
 UNION ALL
 SELECT customer_id, rn, a1, mc, msum, a30, ins, outs,
-  CASE WHEN NOT (_pre OR micro_hit OR mule_hit OR wire_hit OR novelty_hit)
-            AND device_id IS NOT NULL AND device_id <> '' AND NOT list_contains(t0, device_id)
+  CASE WHEN trust_joined
        THEN list_slice(list_append(t0, device_id), greatest(len(t0) + 1 - {p.trust_size - 1}, 1), len(t0) + 1)
        ELSE t0 END AS trusted,
-  micro_hit, mule_hit, new_device, wire_hit, novelty_hit
+  micro_hit, mule_hit, new_device, wire_hit, novelty_hit, trust_joined
 FROM (
+  SELECT *, NOT (_pre OR micro_hit OR mule_hit OR wire_hit OR novelty_hit)
+            AND device_id IS NOT NULL AND device_id <> '' AND NOT list_contains(t0, device_id) AS trust_joined
+  FROM (
   SELECT *,
     _channel = 'SWIFT_WIRE' AND new_device AND _usd_cents > {p.wire_min_cents} AS wire_hit,
     new_device AND _new_country AND _usd_cents > {p.novelty_min_cents} AS novelty_hit
@@ -152,6 +154,7 @@ FROM (
       FROM fold f JOIN feat b ON b.customer_id = f.customer_id AND b.rn = f.rn + 1
     ) s1
   ) s2
+  ) s25
 ) s3
 """
 
@@ -197,11 +200,17 @@ FROM feat b JOIN fold g ON g.customer_id = b.customer_id AND g.rn = b.rn
 """
 
 
-def decisions_sql(p: DecisionParams = DecisionParams()) -> str:
+def decisions_sql(p: DecisionParams = DecisionParams(), select: str | None = None,
+                  where: str | None = None) -> str:
+    """Full decision oracle; ``select`` replaces the final projection (over
+    ``feat b JOIN fold g``) for the per-rule keys."""
+    final = assemble_sql(p) if select is None else (
+        f"SELECT {select} FROM feat b JOIN fold g ON g.customer_id = b.customer_id AND g.rn = b.rn"
+        + (f" WHERE {where}" if where else ""))
     body = "WITH RECURSIVE " + ",\n".join([
         f"feat0 AS ({feature_sql(p)})",
         f"feat AS (SELECT *, _outlier OR _t3 OR _t4 OR _t7 OR _t10 AS _pre FROM ({travel_sql(p)}) z)",
         f"fold AS ({fold_sql(p)})",
-    ]) + "\n" + assemble_sql(p)
+    ]) + "\n" + final
     # prepend the plain views in a separate WITH level
     return with_views(f"SELECT * FROM ({body}) d", ("speed", DQ_ONTIME))
