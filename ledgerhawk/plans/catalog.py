@@ -503,3 +503,122 @@ def q_rolling_features(spark, sf_dir):
     return r.select("transaction_id", F.col("total_in_24h").cast("double").alias("total_in_24h"),
                     F.col("total_out_24h").cast("double").alias("total_out_24h"), "txn_count_1h",
                     "last_txn_amounts")
+
+
+# ------------------------------------------------------------------ Q (quality suites on bronze cards)
+from ledgerhawk.operators.quality import Expectation as E  # noqa: E402
+from ledgerhawk.plans.oracle_views import with_views as _wv  # noqa: E402
+from ledgerhawk.sources.canonical import redelivered_from  # noqa: E402
+
+_DCARD = ("dcard", O.DIRTY_CARD_BODY)
+_RCARD = ("rcard", __import__("ledgerhawk.plans.oracle_views", fromlist=["CARD"]).CARD.replace(
+    "FROM txn", "FROM redelivered"))
+
+
+def dirty_cards(spark, sf_dir):
+    return card_from_txn(txn_dirty(spark, sf_dir))
+
+
+def _suite_key(key, suite, src="dirty", type_ok=None):
+    source, extra, views = (("dcard", _DCARD, ("txn", "txn_dirty")) if src == "dirty"
+                            else ("rcard", _RCARD, ("txn", "redelivered")))
+    sql = _wv(O.suite_sql(suite, source, type_ok), extra, views=views)
+
+    def fn(spark, sf_dir):
+        df = dirty_cards(spark, sf_dir) if src == "dirty" else card_from_txn(redelivered_from(txn(spark, sf_dir)))
+        return ql.suite_report(df, suite)
+    register(key, sql)(fn)
+
+
+_suite_key("expect_not_null", (E("not_null", "Clt_id"),))
+_suite_key("expect_between", (E("between", "Trans_amount", 0, 100000),))
+_suite_key("expect_regex", (E("regex", "Dev_Ip_Location", regex=r"^\d{1,3}(\.\d{1,3}){3}$"),))
+_suite_key("expect_in_set", (E("in_set", "Trans_status", values=("SUCCESS", "FAILED", "PENDING")),
+                             E("in_set", "Currency", values=("USD", "EGP", "EUR", "GBP"))))
+_suite_key("expect_type", (E("type", "Trans_amount", type_name="int"), E("type", "Trans_id", type_name="int")),
+           type_ok={"Trans_amount": False, "Trans_id": True})
+_suite_key("expect_unique", (E("unique", "Trans_Ref_No"),), src="redelivered")
+_suite_key("suite_report", ql.TRANSACTIONS_SUITE)
+_suite_key("suite_json", ql.TRANSACTIONS_JSON_SUITE, type_ok={"Trans_amount": False})
+
+
+@register("quality_gate", _wv(f"""SELECT CASE WHEN (SELECT bool_and(success) FROM ({O.suite_sql(
+    ql.TRANSACTIONS_JSON_SUITE, 'dcard', {'Trans_amount': False})}) s) THEN 'silver' ELSE 'quarantine' END
+    AS destination, count(*) AS rows FROM dcard""", _DCARD, views=("txn", "txn_dirty")))
+def q_quality_gate(spark, sf_dir):
+    df = dirty_cards(spark, sf_dir)
+    _ok, routed = ql.quality_gate(df, ql.suite_report(df, ql.TRANSACTIONS_JSON_SUITE))
+    return routed.groupBy("destination").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------ N, S9-S12, A8
+from ledgerhawk.session import scratch_path  # noqa: E402
+from ledgerhawk.streaming import sinks as sk  # noqa: E402
+
+_DEC = _dsql()
+_EARLY_TS = "2024-01-15"
+
+
+def _decisions(spark, sf_dir, before: str | None = None):
+    t = txn(spark, sf_dir)
+    if before:
+        t = t.filter(F.col("event_ts") < F.lit(before).cast("timestamp"))
+    return seq.decision_pipeline(t, processing_ms=F.col("ingest_ms"))
+
+
+def _alerts(spark, sf_dir):
+    return al.alert_payload(_decisions(spark, sf_dir), F.col("processing_timestamp").cast("string"))
+
+
+_ALERT_JSON = """to_json({'alert_type': 'FINGUARD_ALERT', 'transaction_id': transaction_id, 'customer_id': customer_id,
+  'channel_type': channel_type, 'amount': amount, 'composite_risk_score': composite_risk_score,
+  'decision_action': decision_action, 'decision_reasons': decision_reasons, 'data_fingerprint': data_fingerprint,
+  'alert_generated_at': CAST(processing_timestamp AS VARCHAR),
+  'review_url': 'https://finguard.bank/review/' || CAST(transaction_id AS VARCHAR)})"""
+
+
+@register("alert_payload", f"""SELECT transaction_id, decision_action, {_ALERT_JSON} AS alert_payload
+FROM ({_DEC}) d WHERE decision_action IN ('BLOCK', 'FLAG_WAIT')""")
+def q_alert_payload(spark, sf_dir):
+    return _alerts(spark, sf_dir).select("transaction_id", "decision_action", "alert_payload")
+
+
+@register("alert_messages", f"""SELECT CAST(customer_id AS VARCHAR) AS key, {_ALERT_JSON} AS value,
+  'finguard.alerts.security' AS topic FROM ({_DEC}) d WHERE decision_action IN ('BLOCK', 'FLAG_WAIT')""")
+def q_alert_messages(spark, sf_dir):
+    return al.alert_messages(_alerts(spark, sf_dir))
+
+
+@register("decision_messages", f"""SELECT CAST(transaction_id AS VARCHAR) AS key,
+  to_json({{'transaction_id': transaction_id, 'idempotency_key': idempotency_key, 'customer_id': customer_id,
+           'decision_action': decision_action, 'composite_risk_score': composite_risk_score,
+           'decision_reasons': decision_reasons, 'data_fingerprint': data_fingerprint,
+           'processing_timestamp': processing_timestamp}}) AS value,
+  'finguard.decisions.output' AS topic FROM ({_DEC}) d""")
+def q_decision_messages(spark, sf_dir):
+    return al.decision_messages(_decisions(spark, sf_dir))
+
+
+@register("decision_mix", f"""SELECT channel_type, decision_action, count(*) AS decisions
+FROM ({_DEC}) d GROUP BY ALL""")
+def q_decision_mix(spark, sf_dir):
+    return gd.decision_mix(_decisions(spark, sf_dir))
+
+
+@register("serving_upsert", f"""SELECT idempotency_key AS row_key, decision_action AS decision,
+  composite_risk_score AS risk_score, data_fingerprint AS fingerprint FROM ({_DEC}) d""")
+def q_serving_upsert(spark, sf_dir):
+    path = scratch_path(spark, "serving")
+    sk.upsert_batch(sk.serving_rows(_decisions(spark, sf_dir, _EARLY_TS)), path, 0)
+    sk.upsert_batch(sk.serving_rows(_decisions(spark, sf_dir)), path, 1)
+    return sk.read_serving(spark, path).select("row_key", "decision", "risk_score", "fingerprint")
+
+
+@register("gold_merge", f"""SELECT idempotency_key, decision_action, composite_risk_score FROM ({_DEC}) d""")
+def q_gold_merge(spark, sf_dir):
+    path = scratch_path(spark, "gold")
+    sk.merge_insert_batch(spark, _decisions(spark, sf_dir, _EARLY_TS), path, 0, "idempotency_key")
+    full = _decisions(spark, sf_dir)
+    sk.merge_insert_batch(spark, full, path, 1, "idempotency_key")
+    sk.merge_insert_batch(spark, full, path, 1, "idempotency_key")  # replayed batch: no duplicates
+    return sk.read_gold(spark, path).select("idempotency_key", "decision_action", "composite_risk_score")

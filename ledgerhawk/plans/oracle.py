@@ -290,3 +290,43 @@ ROLLING_FEATURES = with_views(f"""SELECT transaction_id,
   array_to_string(list(CAST(amount AS VARCHAR)) OVER ({_RW}, transaction_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), ',')
     AS last_txn_amounts
 FROM txn""")
+
+# --------------------------------------------------------------------- Q suites
+def suite_sql(suite, source: str, type_ok: dict | None = None) -> str:
+    """One aggregate over ``source`` and one report row per expectation."""
+    type_ok = type_ok or {}
+    aggs = ["count(*) AS n"]
+    for i, e in enumerate(suite):
+        c = e.column
+        if e.kind != "type":
+            aggs.append(f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS m{i}")
+        if e.kind == "between":
+            aggs.append(f"sum(CASE WHEN {c} IS NOT NULL AND ({c} < {e.min_value} OR {c} > {e.max_value}) "
+                        f"THEN 1 ELSE 0 END) AS u{i}")
+        elif e.kind == "regex":
+            aggs.append(f"sum(CASE WHEN {c} IS NOT NULL AND NOT regexp_matches(CAST({c} AS VARCHAR), "
+                        f"'{e.regex}') THEN 1 ELSE 0 END) AS u{i}")
+        elif e.kind == "in_set":
+            vals = ", ".join(f"'{v}'" for v in e.values)
+            aggs.append(f"sum(CASE WHEN {c} IS NOT NULL AND NOT (CAST({c} AS VARCHAR) IN ({vals})) "
+                        f"THEN 1 ELSE 0 END) AS u{i}")
+    uniq = [(i, e) for i, e in enumerate(suite) if e.kind == "unique"]
+    rows = []
+    for i, e in enumerate(suite):
+        head = f"CAST({i} AS INTEGER) AS check_no, '{e.kind}' AS expectation, '{e.column}' AS column_name, n AS element_count"
+        if e.kind == "type":
+            ok = type_ok.get(e.column, False)
+            u = "0" if ok else "NULL"
+            rows.append(f"SELECT {head}, CAST(0 AS BIGINT) AS missing_count, CAST({u} AS BIGINT) AS unexpected_count, "
+                        f"CAST({'0.0' if ok else 'NULL'} AS DOUBLE) AS unexpected_percent, {str(ok).upper()} AS success FROM a")
+            continue
+        u = f"m{i}" if e.kind == "not_null" else f"u{i}"
+        base = "n" if e.kind == "not_null" else f"(n - m{i})"
+        rows.append(f"SELECT {head}, CAST(m{i} AS BIGINT) AS missing_count, CAST({u} AS BIGINT) AS unexpected_count, "
+                    f"CASE WHEN {base} = 0 THEN NULL ELSE CAST({u} AS DOUBLE) * 100.0 / CAST({base} AS DOUBLE) END "
+                    f"AS unexpected_percent, {u} = 0 AS success FROM a")
+    uq = "".join(
+        f", (SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM {source} WHERE {e.column} IS NOT NULL "
+        f"GROUP BY {e.column} HAVING count(*) > 1) d) AS u{i}" for i, e in uniq)
+    a = f"(SELECT *{uq} FROM (SELECT {', '.join(aggs)} FROM {source}) a0)"
+    return " UNION ALL ".join(r.replace(" FROM a", f" FROM {a} a") for r in rows)
