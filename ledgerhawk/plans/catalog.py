@@ -622,3 +622,50 @@ def q_gold_merge(spark, sf_dir):
     sk.merge_insert_batch(spark, full, path, 1, "idempotency_key")
     sk.merge_insert_batch(spark, full, path, 1, "idempotency_key")  # replayed batch: no duplicates
     return sk.read_gold(spark, path).select("idempotency_key", "decision_action", "composite_risk_score")
+
+
+# ------------------------------------------------------------------ streams (availableNow, read back)
+from ledgerhawk.streaming import jobs as sj  # noqa: E402
+from ledgerhawk.streaming import sources as ss  # noqa: E402
+from ledgerhawk.streaming.stateful import stream_time_since_last  # noqa: E402
+
+SLICES = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def _envelope(spark, sf_dir, name: str, source=None):
+    t = source if source is not None else txn(spark, sf_dir)
+    root = scratch_path(spark, name)
+    ss.write_envelope_slices(spark, t, f"{root}/envelope", SLICES)
+    return root, f"{root}/envelope"
+
+
+@register("stream_decisions", _DEC)
+def q_stream_decisions(spark, sf_dir):
+    root, env = _envelope(spark, sf_dir, "stream_decisions")
+    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_restart", f"""SELECT transaction_id, decision_action, decision_reasons FROM ({_DEC}) d""")
+def q_stream_restart(spark, sf_dir):
+    """Three availableNow runs on one checkpoint (half the input, all of it,
+    nothing new): the sink holds each decision exactly once and state carried
+    over the restarts gives the batch result."""
+    t = txn(spark, sf_dir)
+    root = scratch_path(spark, "stream_restart")
+    env = f"{root}/envelope"
+    early = t.filter(F.col("event_ts") < F.lit(_EARLY_TS).cast("timestamp"))
+    late = t.filter(F.col("event_ts") >= F.lit(_EARLY_TS).cast("timestamp"))
+    ss.write_envelope_slices(spark, early, f"{env}/a", SLICES[:1])
+    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    ss.write_envelope_slices(spark, late, f"{env}/b", SLICES[2:])
+    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out").select("transaction_id", "decision_action", "decision_reasons")
+
+
+@register("stream_time_since_last", O.TIME_SINCE_LAST)
+def q_stream_time_since_last(spark, sf_dir):
+    root, env = _envelope(spark, sf_dir, "stream_tsl")
+    sj.run_to_files(stream_time_since_last(sj.parsed_stream(spark, env)), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")

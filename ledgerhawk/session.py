@@ -55,6 +55,11 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(out)
+    # Runners that do not receive py-files (the stateful-processor planner, the
+    # foreachBatch runner) get our functions and classes pickled by value.
+    import ledgerhawk
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(ledgerhawk)
     _SHIPPED.add(key)
 
 
