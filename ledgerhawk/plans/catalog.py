@@ -669,3 +669,145 @@ def q_stream_time_since_last(spark, sf_dir):
     root, env = _envelope(spark, sf_dir, "stream_tsl")
     sj.run_to_files(stream_time_since_last(sj.parsed_stream(spark, env)), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
+
+
+_TOPIC_SQL = """CASE channel_type WHEN 'MOBILE_APP' THEN 'finguard.channel.mobile' WHEN 'ATM' THEN 'finguard.channel.atm'
+  WHEN 'WEB_BANKING' THEN 'finguard.channel.web' WHEN 'SWIFT_WIRE' THEN 'finguard.channel.wire'
+  WHEN 'POS' THEN 'finguard.channel.pos' ELSE 'finguard.channel.internal' END"""
+
+
+@register("stream_envelope_ingest", O.with_views(f"""SELECT CAST(transaction_id AS VARCHAR) AS key, {_TOPIC_SQL} AS topic,
+  CAST(customer_id % 6 AS INTEGER) AS partition, transaction_id AS offset FROM txn"""))
+def q_stream_envelope_ingest(spark, sf_dir):
+    root, env = _envelope(spark, sf_dir, "ingest")
+    s = ss.envelope_stream(spark, env).select(F.col("key").cast("string").alias("key"), "topic", "partition",
+                                               "offset")
+    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("json_decode", O.with_views("""SELECT transaction_id, customer_id, channel_type, amount, event_timestamp,
+  kafka_timestamp, transaction_id AS kafka_offset, CAST(customer_id % 6 AS INTEGER) AS kafka_partition,
+  event_ts FROM txn"""))
+def q_json_decode(spark, sf_dir):
+    root, env = _envelope(spark, sf_dir, "decode")
+    s = sj.parsed_stream(spark, env).select("transaction_id", "customer_id", "channel_type", "amount",
+                                            "event_timestamp", "kafka_timestamp", "kafka_offset",
+                                            "kafka_partition", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("raw_landing", O.with_views(f"SELECT transaction_id, {_TOPIC_SQL} AS topic FROM txn"))
+def q_raw_landing(spark, sf_dir):
+    root, env = _envelope(spark, sf_dir, "landing")
+    sj.run_to_files(sj.landing_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out").select(
+        F.get_json_object("json_value", "$.transaction_id").cast("long").alias("transaction_id"), "topic")
+
+
+def _fact_type():
+    return (F.when(F.col("transaction_type") == "DEPOSIT", "Deposit")
+             .when(F.col("transaction_type").isin("TRANSFER_IN", "TRANSFER_OUT"), "Transfer")
+             .otherwise("Withdrawal"))
+
+
+@register("partitioned_sink_roundtrip", O.with_views("""SELECT trans_type, trans_status, count(*) AS rows,
+  CAST(sum(amount) AS DOUBLE) AS amount FROM (SELECT CASE WHEN transaction_type = 'DEPOSIT' THEN 'Deposit'
+  WHEN transaction_type IN ('TRANSFER_IN', 'TRANSFER_OUT') THEN 'Transfer' ELSE 'Withdrawal' END AS trans_type,
+  trans_status, amount FROM txn) f GROUP BY ALL"""))
+def q_partitioned_sink_roundtrip(spark, sf_dir):
+    """Fact rows partitioned by (type, status), appended by a checkpointed
+    stream and read back; filters on the partition columns prune directories."""
+    root, env = _envelope(spark, sf_dir, "fact")
+    fact = sj.parsed_stream(spark, env).select("transaction_id", "customer_id", "amount", "event_ts",
+                                               _fact_type().alias("trans_type"), "trans_status")
+    sj.run_to_files(fact, f"{root}/out", f"{root}/ckpt", partition_cols=("trans_type", "trans_status"))
+    back = spark.read.parquet(f"{root}/out")
+    return back.groupBy("trans_type", "trans_status").agg(F.count(F.lit(1)).alias("rows"),
+                                                          F.sum("amount").cast("double").alias("amount"))
+
+
+_CSV_SCHEMA = "transaction_id long, channel_type string, amount decimal(12,2)"
+
+
+@register("csv_export", O.with_views("SELECT transaction_id, channel_type, amount FROM txn"))
+def q_csv_export(spark, sf_dir):
+    """One-file-per-batch CSV export with header (coalesce(1) on a small
+    projection), read back by glob with a declared schema (S6)."""
+    root, env = _envelope(spark, sf_dir, "csv")
+    s = sj.parsed_stream(spark, env).select("transaction_id", "channel_type", "amount").coalesce(1)
+    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt", fmt="csv", options={"header": "true"})
+    from ledgerhawk.sources.tables import csv_scan
+    return csv_scan(spark, f"{root}/out/*.csv", _CSV_SCHEMA)
+
+
+@register("csv_scan", O.with_views("SELECT transaction_id, channel_type, amount FROM txn"))
+def q_csv_scan(spark, sf_dir):
+    from ledgerhawk.sources.tables import csv_scan
+    path = scratch_path(spark, "csv_scan")
+    txn(spark, sf_dir).select("transaction_id", "channel_type", "amount").write.option("header", True).csv(path)
+    return csv_scan(spark, f"{path}/part-*.csv", _CSV_SCHEMA)
+
+
+@register("stream_dedup", O.with_views("SELECT DISTINCT transaction_id, amount FROM redelivered",
+                                       views=("txn", "redelivered")))
+def q_stream_dedup(spark, sf_dir):
+    root, env = _envelope(spark, sf_dir, "dedup", redelivered(spark, sf_dir))
+    s = sj.stream_dedup(sj.parsed_stream(spark, env)).select("transaction_id", "amount")
+    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_velocity", O.RULE_VELOCITY)
+def q_stream_velocity(spark, sf_dir):
+    """W2 twin of R2: update-mode window counts upserted per batch, read as the
+    latest count per window, then the same threshold as the batch rule."""
+    root, env = _envelope(spark, sf_dir, "velocity")
+    sj.run_foreach_batch(sj.stream_velocity_counts(sj.parsed_stream(spark, env)),
+                         sj.upsert_window_counts(f"{root}/counts"), f"{root}/ckpt", mode="update")
+    c = sj.read_window_counts(spark, f"{root}/counts").filter(F.col("txn_count") > TEST_RULES.velocity_per_hour)
+    return c.select("customer_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                    F.col("txn_count").cast("long").alias("txn_count"), F.lit("Velocity Check").alias("fraud_reason"))
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Replay the first week after the whole month; the watermark drops the
+    late copies in the stateful dedup. Reports rows in / rows dropped per batch."""
+    t = txn(spark, sf_dir)
+    root = scratch_path(spark, "late")
+    env = f"{root}/envelope"
+    ss.write_envelope_slices(spark, t, f"{env}/a", SLICES)
+    ss.write_envelope_slices(spark, t.filter(F.col("event_ts") < F.lit(SLICES[0]).cast("timestamp")),
+                             f"{env}/b", ())
+    q = sj.run_to_files(sj.stream_dedup(sj.parsed_stream(spark, env)).select("transaction_id"),
+                        f"{root}/out", f"{root}/ckpt")
+    rows = []
+    for prog in q.recentProgress:
+        dropped = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in prog.get("stateOperators", []))
+        rows.append((int(prog["batchId"]), int(prog["numInputRows"]), dropped))
+    return spark.createDataFrame(rows, "batch_id long, input_rows long, dropped_by_watermark long")
+
+
+@register("stream_fanout", O.with_views(f"""
+SELECT 'bronze' AS sink, count(*) AS rows FROM txn_dirty
+UNION ALL SELECT 'dlq', count(*) FROM dq WHERE NOT dq_passed
+UNION ALL SELECT 'archive', count(*) FROM dq WHERE dq_passed AND ingest_ms - event_timestamp > 30000
+UNION ALL SELECT 'decisions', count(*) FROM dq WHERE dq_passed AND NOT (ingest_ms - event_timestamp > 30000)
+""", ("dq", O.dq_cte()), views=("txn", "txn_dirty")))
+def q_stream_fanout(spark, sf_dir):
+    """Two queries instead of seven: stateless landing sinks from one
+    read, and the stateful decision stream fanned out by foreachBatch."""
+    root, env = _envelope(spark, sf_dir, "fanout", txn_dirty(spark, sf_dir))
+    sj.landing_fanout(spark, env, root)
+    sj.decision_fanout(spark, env, root)
+    parts = []
+    for sink in ("bronze", "dlq", "archive", "decisions"):
+        parts.append(sk.read_log(spark, f"{root}/{sink}").agg(F.count(F.lit(1)).alias("rows"))
+                     .select(F.lit(sink).alias("sink"), "rows"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
