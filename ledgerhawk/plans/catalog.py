@@ -811,3 +811,136 @@ def q_stream_fanout(spark, sf_dir):
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+# ------------------------------------------------------------------ ML
+from ledgerhawk.operators import learn as ml  # noqa: E402
+
+KMEANS_K = 4
+
+
+def _ml_input(spark, sf_dir):
+    return ml.with_safe_inputs(_features(spark, sf_dir).select(
+        "transaction_id", "customer_id", "amount", "amount_usd", "local_hour", "failed_auth_count",
+        "amount_zscore", "composite_risk_score", "decision_action"))
+
+
+@register("ml_features")
+def q_ml_features(spark, sf_dir):
+    _model, out = ml.ml_features(_ml_input(spark, sf_dir))
+    return out.select("transaction_id", *[r4(F.col(c)).alias(c) for c in ml.ML_FEATURE_COLS])
+
+
+@register("kmeans_profile")
+def q_kmeans_profile(spark, sf_dir):
+    df = _ml_input(spark, sf_dir)
+    model = ml.kmeans_profile(df, k=KMEANS_K)
+    return model.transform(df).groupBy("ml_cluster_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("kmeans_score")
+def q_kmeans_score(spark, sf_dir):
+    df = _ml_input(spark, sf_dir)
+    scored = ml.kmeans_score(df, ml.kmeans_profile(df, k=KMEANS_K))
+    return scored.select("transaction_id", "ml_cluster_id", r4(F.col("ml_risk_score")).alias("ml_risk_score"))
+
+
+@register("decisions_ml")
+def q_decisions_ml(spark, sf_dir):
+    df = _ml_input(spark, sf_dir)
+    scored = ml.kmeans_score(df, ml.kmeans_profile(df, k=KMEANS_K))
+    return ml.blend(scored, weight=0.5).select("transaction_id", "ml_risk_score", "composite_risk_score",
+                                               "decision_action")
+
+
+def _lr_data(spark, sf_dir):
+    return ml.lr_dataset(gd.feature_join(silver_of(spark, sf_dir)))
+
+
+@register("lr_train")
+def q_lr_train(spark, sf_dir):
+    path = scratch_path(spark, "lr_model")
+    model = ml.lr_train(_lr_data(spark, sf_dir), path)
+    lr = model.stages[-1]
+    rows = [(n, float(c)) for n, c in zip(ml.LR_INPUTS, lr.coefficients.toArray())] + \
+           [("intercept", float(lr.intercept))]
+    return spark.createDataFrame(rows, "term string, coefficient double")
+
+
+@register("lr_accuracy")
+def q_lr_accuracy(spark, sf_dir):
+    data = _lr_data(spark, sf_dir)
+    return ml.accuracy(ml.lr_train(data).transform(data))
+
+
+@register("run_log")
+def q_run_log(spark, sf_dir):
+    data = _lr_data(spark, sf_dir)
+    acc = ml.accuracy(ml.lr_train(data).transform(data)).first()["accuracy"]
+    return ml.log_run(spark, scratch_path(spark, "runs"), "lr-run", {"algorithm": "LogisticRegression"},
+                      {"accuracy": acc})
+
+
+_MQ_BODY = """SELECT rows, positives, tp, fp, fn,
+  CASE WHEN rows = 0 THEN NULL ELSE CAST(positives AS DOUBLE) / CAST(rows AS DOUBLE) END AS fraud_rate,
+  CASE WHEN tp + fp = 0 THEN NULL ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END AS precision,
+  CASE WHEN tp + fn = 0 THEN NULL ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS recall,
+  CASE WHEN tp + fp = 0 OR tp + fn = 0 OR tp = 0 THEN NULL ELSE
+    2 * (CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE)) * (CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE))
+    / ((CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE)) + (CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE))) END AS f1
+FROM (SELECT count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives,
+        CAST(sum(CASE WHEN p = 1 AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+        CAST(sum(CASE WHEN p = 1 AND y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+        CAST(sum(CASE WHEN p = 0 AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+      FROM ({src}) s) c"""
+
+
+@register("model_quality", O.with_views(_MQ_BODY.format(
+    src=f"""SELECT CASE WHEN d.decision_action <> 'PASS' THEN 1 ELSE 0 END AS p,
+  {O.FRAUD.format(a='t.amount', ts='t.event_ts')} AS y
+FROM ({_DEC}) d JOIN txn t ON d.transaction_id = t.transaction_id""")))
+def q_model_quality(spark, sf_dir):
+    d = _features(spark, sf_dir)
+    y = dv.is_fraud(dv.risk_step(F.col("amount"), dv.is_weekend(F.col("event_ts"))))
+    return ml.model_quality(d, (F.col("decision_action") != "PASS").cast("int"), y)
+
+
+_DRIFT_EDGES = {"amount": (100, 500, 1000, 2000, 5000, 10000), "local_hour": (6, 12, 18)}
+
+
+def _drift_sql() -> str:
+    parts = []
+    for name, edges in _DRIFT_EDGES.items():
+        b = " + ".join(f"CASE WHEN {name} >= {e} THEN 1 ELSE 0 END" for e in edges)
+        parts.append(f"""SELECT '{name}' AS feature, sum(abs(CAST(a AS DOUBLE) / ta - CAST(b AS DOUBLE) / tb)) / 2 AS drift_score
+FROM (SELECT bin, sum(CASE WHEN per = 0 THEN 1 ELSE 0 END) AS a, sum(CASE WHEN per = 1 THEN 1 ELSE 0 END) AS b
+      FROM (SELECT {b} AS bin, CASE WHEN event_ts < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END AS per FROM txn) x
+      GROUP BY bin) c,
+     (SELECT sum(CASE WHEN event_ts < TIMESTAMP '2024-01-15 00:00:00' THEN 1 ELSE 0 END) AS ta,
+             sum(CASE WHEN event_ts < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END) AS tb FROM txn) t""")
+    return O.with_views(" UNION ALL ".join(parts))
+
+
+@register("feature_drift", _drift_sql())
+def q_feature_drift(spark, sf_dir):
+    """ML8: drift of amount and hour-of-day between the first and second half of the month."""
+    t = txn(spark, sf_dir)
+    period = F.when(F.col("event_ts") < F.lit(_EARLY_TS).cast("timestamp"), 0).otherwise(1)
+    return ml.feature_drift(t, period, _DRIFT_EDGES)
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """ML6: a saved pipeline applied to a stream; per-client features come from
+    the batch table (stream-static join, broadcast only under the size limit)."""
+    from ledgerhawk.functions.joins import broadcast_if_small
+    path = scratch_path(spark, "lr_model")
+    ml.lr_train(_lr_data(spark, sf_dir), path)
+    model = ml.load_model(path)
+    feats = broadcast_if_small(gd.client_features(silver_of(spark, sf_dir)).withColumnRenamed("Clt_id", "customer_id"))
+    root, env = _envelope(spark, sf_dir, "score")
+    s = (sj.parsed_stream(spark, env).join(feats, "customer_id")
+           .withColumn("Trans_amount_d", F.col("amount").cast("double")))
+    scored = model.transform(s).select("transaction_id", "customer_id", "prediction")
+    sj.run_to_files(scored, f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
