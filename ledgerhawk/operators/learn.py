@@ -16,6 +16,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 ML_FEATURE_COLS = ("amount_usd_scaled", "local_hour_scaled", "amount_zscore_scaled", "failed_auth_count_scaled")
 RAW_COLS = ("amount_usd_safe", "local_hour", "amount_zscore", "failed_auth_safe")
@@ -150,13 +151,13 @@ def feature_drift(df: DataFrame, period: Column, feature_edges: dict) -> DataFra
         counts = (df.select(period.alias("_period"), b.alias("bin"))
                     .groupBy("bin").agg(F.sum(F.when(F.col("_period") == 0, 1).otherwise(0)).alias("a"),
                                         F.sum(F.when(F.col("_period") == 1, 1).otherwise(0)).alias("b")))
-        tot = counts.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
-        tvd = _with_totals(counts, tot).agg((F.sum(F.abs(F.col("a") / F.col("ta") - F.col("b") / F.col("tb"))) / 2).alias("drift_score"))
+        # totals via a window over the per-bin table (one row per bin: bounded by
+        # the number of edges, not by the data)
+        w = Window.partitionBy()
+        tvd = (counts.withColumn("ta", F.sum("a").over(w)).withColumn("tb", F.sum("b").over(w))
+                     .agg((F.sum(F.abs(F.col("a") / F.col("ta") - F.col("b") / F.col("tb"))) / 2)
+                          .alias("drift_score")))
         part = tvd.select(F.lit(name).alias("feature"), "drift_score")
         out = part if out is None else out.unionByName(part)
     return out
 
-
-def _with_totals(counts: DataFrame, tot: DataFrame) -> DataFrame:
-    """Attach the one-row totals (bounded: one row) to the per-bin counts."""
-    return counts.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k").drop("_k")

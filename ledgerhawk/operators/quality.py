@@ -136,48 +136,58 @@ def suite_report(df: DataFrame, suite) -> DataFrame:
     """Q7: all scalar checks of a suite in ONE aggregation pass, then one row per check.
 
     ``unique`` needs its own grouped count (map-side combined, so a hot value is
-    pre-aggregated before the shuffle); ``type`` reads only the schema.
-    """
+    pre-aggregated before the shuffle) and yields its report row from that
+    grouped table alone; ``type`` reads only the schema. Rows are unioned, never
+    joined."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, e in enumerate(suite):
-        if e.kind in ("not_null", "between", "regex", "in_set", "unique"):
+        if e.kind in ("not_null", "between", "regex", "in_set"):
             aggs.append(F.sum(F.when(F.col(e.column).isNull(), 1).otherwise(0)).alias(f"m{i}"))
         if e.kind in ("between", "regex", "in_set"):
             aggs.append(_unexpected(e).alias(f"u{i}"))
     one = df.agg(*aggs)
-    for i, e in enumerate(suite):
-        if e.kind == "unique":
-            dup = (df.where(F.col(e.column).isNotNull()).groupBy(e.column).count()
-                   .where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0)).alias(f"u{i}")))
-            one = _attach(one, dup)
-    rows = []
     fields = {f.name: f.dataType for f in df.schema.fields}
+    rows, parts = [], []
     for i, e in enumerate(suite):
         n = F.col("n").cast("long")
+        if e.kind == "unique":
+            g = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("k"))
+            u = (g.agg(F.sum("k").alias("n"),
+                       F.sum(F.when(F.col(e.column).isNull(), F.col("k")).otherwise(0)).alias("m"),
+                       F.sum(F.when(F.col(e.column).isNotNull() & (F.col("k") > 1), F.col("k"))
+                             .otherwise(0)).alias("u"))
+                  .select(_report_row(i, e, F.coalesce(F.col("n"), F.lit(0)).cast("long"),
+                                      F.coalesce(F.col("m"), F.lit(0)).cast("long"),
+                                      F.coalesce(F.col("u"), F.lit(0)).cast("long")).alias("r")))
+            parts.append(u.select("r.*"))
+            continue
         if e.kind == "type":
             ok = isinstance(fields.get(e.column), _TYPE_NAMES.get(e.type_name, ()))
-            miss, unexp = F.lit(0).cast("long"), F.lit(0 if ok else None).cast("long")
-            pct = F.lit(0.0 if ok else None).cast("double")
-            success = F.lit(ok)
-        else:
-            miss = F.col(f"m{i}").cast("long")
-            unexp = miss if e.kind == "not_null" else F.col(f"u{i}").cast("long")
-            base = n if e.kind == "not_null" else n - miss
-            pct = F.try_divide(unexp * F.lit(100.0), base.cast("double"))
-            success = unexp == 0
-        rows.append(F.struct(
-            F.lit(i).alias("check_no"), F.lit(e.kind).alias("expectation"),
-            F.lit(e.column).alias("column_name"), n.alias("element_count"),
-            miss.alias("missing_count"), unexp.alias("unexpected_count"),
-            pct.alias("unexpected_percent"), success.alias("success")))
-    return one.select(F.inline(F.array(*rows)))
-
-
-def _attach(one: DataFrame, single: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to another one-row aggregate (both bounded to 1 row)."""
-    k = "_one"
-    return (one.withColumn(k, F.lit(1))
-               .join(single.withColumn(k, F.lit(1)), k).drop(k))
+            rows.append(F.struct(
+                F.lit(i).alias("check_no"), F.lit(e.kind).alias("expectation"),
+                F.lit(e.column).alias("column_name"), n.alias("element_count"),
+                F.lit(0).cast("long").alias("missing_count"),
+                F.lit(0 if ok else None).cast("long").alias("unexpected_count"),
+                F.lit(0.0 if ok else None).cast("double").alias("unexpected_percent"),
+                F.lit(ok).alias("success")))
+            continue
+        miss = F.col(f"m{i}").cast("long")
+        unexp = miss if e.kind == "not_null" else F.col(f"u{i}").cast("long")
+        rows.append(_report_row(i, e, n, miss, unexp))
+    out = one.select(F.inline(F.array(*rows))) if rows else None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _report_row(i: int, e: Expectation, n, miss, unexp):
+    base = n if e.kind == "not_null" else n - miss
+    return F.struct(
+        F.lit(i).alias("check_no"), F.lit(e.kind).alias("expectation"),
+        F.lit(e.column).alias("column_name"), n.alias("element_count"),
+        miss.alias("missing_count"), unexp.alias("unexpected_count"),
+        F.try_divide(unexp * F.lit(100.0), base.cast("double")).alias("unexpected_percent"),
+        (unexp == 0).alias("success"))
 
 
 def quality_gate(df: DataFrame, report: DataFrame) -> tuple[bool, DataFrame]:
