@@ -1,16 +1,20 @@
-"""Stateful streaming operators on ``transformWithStateInPandas``.
+"""Stateful streaming operators on ``transformWithState``.
 
 State lives in the RocksDB state store, checkpointed with the query; a 24 h
 TTL on the value state expires idle customers (T14). Rows of a key inside one
 micro-batch are processed in (event time, id) order (X13).
+
+The Row form of the API is used: a key's rows arrive as ``Row`` objects and
+outputs go back as rows that Spark batches into Arrow across keys, so no
+pandas frame is built per key (that cost dominated a micro-batch with many
+small keys). One state read and one write per key and micro-batch.
 """
 
 from __future__ import annotations
 
 import time
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -44,6 +48,15 @@ INPUT_COLS = ("transaction_id", "idempotency_key", "customer_id", "channel_type"
               "processing_ms")
 
 
+OUTPUT_NAMES = tuple(f.name for f in DECISION_SCHEMA.fields)
+
+
+def _time_order(r: dict):
+    """(event time asc, nulls last; id)."""
+    ts = r["event_timestamp"]
+    return (ts is None, ts if ts is not None else 0, r["transaction_id"])
+
+
 def use_rocksdb(spark) -> None:
     """transformWithState needs the RocksDB provider; set before the query starts.
 
@@ -64,13 +77,13 @@ class DecisionProcessor(StatefulProcessor):
         self.state = handle.getValueState("customer", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["event_timestamp", "transaction_id"], kind="stable", na_position="last")
-        st = CustomerState(self.state.get() if self.state.exists() else None)
+        recs = sorted((r.asDict() for r in rows), key=_time_order)
+        st = CustomerState(self.state.get())
         now_ms = int(time.time() * 1000)
-        out = [st.step(r, self.params, now_ms) for r in pdf.to_dict("records")]
+        out = [st.step(r, self.params, now_ms) for r in recs]
         self.state.update(st.to_tuple())
-        yield pd.DataFrame(out, columns=[f.name for f in DECISION_SCHEMA.fields])
+        for d in out:
+            yield Row(**{n: d[n] for n in OUTPUT_NAMES})
 
     def close(self) -> None:
         pass
@@ -84,7 +97,7 @@ def stream_decisions(clean: DataFrame, params: DecisionParams = DecisionParams()
     proc = F.col(processing_ms) if processing_ms else F.lit(None).cast("long")
     cols = [F.col(c) if c in clean.columns else F.lit(None).alias(c) for c in INPUT_COLS if c != "processing_ms"]
     x = clean.select(*cols, proc.alias("processing_ms"))
-    return x.groupBy("customer_id").transformWithStateInPandas(
+    return x.groupBy("customer_id").transformWithState(
         statefulProcessor=DecisionProcessor(params), outputStructType=DECISION_SCHEMA,
         outputMode="Append", timeMode="ProcessingTime")
 
@@ -96,17 +109,17 @@ class TimeSinceLastProcessor(StatefulProcessor):
         self.last = handle.getValueState("last_ts", "last_us long", DAY_MS)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["event_us", "transaction_id"], kind="stable", na_position="last")
-        last = self.last.get()[0] if self.last.exists() else None
-        diffs = []
-        for cur in pdf["event_us"].tolist():
-            cur = None if pd.isna(cur) else int(cur)
-            diffs.append((cur - last) / 1_000_000.0 if last is not None and cur is not None else 0.0)
+        recs = sorted(((r["event_us"], r["transaction_id"]) for r in rows),
+                      key=lambda t: (t[0] is None, t[0] if t[0] is not None else 0, t[1]))
+        stored = self.last.get()
+        last = stored[0] if stored else None
+        out = []
+        for cur, tid in recs:
+            out.append(Row(transaction_id=tid, time_since_last_trans=(
+                (cur - last) / 1_000_000.0 if last is not None and cur is not None else 0.0)))
             last = cur
         self.last.update((last,))
-        yield pd.DataFrame({"transaction_id": pdf["transaction_id"].astype("int64"),
-                            "time_since_last_trans": diffs})
+        yield from out
 
     def close(self) -> None:
         pass
@@ -115,7 +128,7 @@ class TimeSinceLastProcessor(StatefulProcessor):
 def stream_time_since_last(decoded: DataFrame, key: str = "customer_id") -> DataFrame:
     use_rocksdb(decoded.sparkSession)
     x = decoded.select(key, "transaction_id", F.unix_micros("event_ts").alias("event_us"))
-    return x.groupBy(key).transformWithStateInPandas(
+    return x.groupBy(key).transformWithState(
         statefulProcessor=TimeSinceLastProcessor(),
         outputStructType="transaction_id long, time_since_last_trans double",
         outputMode="Append", timeMode="ProcessingTime")

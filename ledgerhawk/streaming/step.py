@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from ledgerhawk import config as C
 from ledgerhawk.config import DecisionParams
@@ -56,6 +56,16 @@ def _ratio(lo: int, hi: int) -> str:
     return f"{r // 100}.{r % 100:02d}"
 
 
+_CENT = Decimal("0.01")
+
+
+def _money(v) -> Decimal:
+    """Money as Spark casts a double to decimal(18,2): shortest decimal text of
+    the double, rounded half-up to cents (0.6 is 60 cents, not 59)."""
+    d = v if isinstance(v, Decimal) else Decimal(repr(float(v)))
+    return d.quantize(_CENT, rounding=ROUND_HALF_UP)
+
+
 def _nn(v):
     """pandas hands NaN for missing numbers; treat it as null."""
     if v is None:
@@ -91,9 +101,9 @@ class CustomerState:
         ts = _nn(r["event_timestamp"])
         ts = int(ts) if ts is not None else now_ms
         amount = r["amount"]
-        amount = Decimal(0) if amount is None else Decimal(amount)
-        usd = r.get("amount_usd")
-        usd = amount if usd is None or Decimal(usd) == 0 else Decimal(usd)
+        amount = Decimal(0) if _nn(amount) is None else _money(amount)
+        usd = _nn(r.get("amount_usd"))
+        usd = amount if usd is None or usd == 0 else _money(usd)
         cents, ucents = int(amount * 100), int(usd * 100)
         ch = r["channel_type"] or "UNKNOWN"
         lat, lon = _nn(r["latitude"]), _nn(r["longitude"])
