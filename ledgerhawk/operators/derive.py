@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from ledgerhawk.config import HOLIDAYS, SilverParams, StepRiskParams
 from ledgerhawk.functions.geo import haversine
 from ledgerhawk.functions.joins import broadcast_if_small
-from ledgerhawk.operators.sequence import time_since_last
+from ledgerhawk.operators import segments as sg
+from ledgerhawk.operators.segments import SplitParams
+from ledgerhawk.operators.sequence import _micros, segmented, time_since_last
 
 FMT_12H = "yyyy-MM-dd hh:mm:ss a"
 FMT_24H = "yyyy-MM-dd HH:mm:ss"
@@ -49,11 +50,25 @@ def risk_band(amount: Column, ident: Column, limit: float = 5000.0) -> Column:
              .otherwise((ident * 13 % 4001) / F.lit(100.0)))
 
 
-def distance_from_last(df: DataFrame, key: str, ts: str, ident: str) -> DataFrame:
-    """Haversine km from the key's previous location; first row 0.0."""
-    w = W.partitionBy(key).orderBy(ts, ident)
-    return df.withColumn("distance_from_last_loc", haversine(
-        F.lag("latitude").over(w), F.lag("longitude").over(w), F.col("latitude"), F.col("longitude")))
+def distance_from_last(df: DataFrame, key: str, ts: str, ident: str,
+                       split: SplitParams = SplitParams()) -> DataFrame:
+    """Haversine km from the key's previous location; first row 0.0.
+
+    Ordered per (key, segment) like T16; the first row of a hot key's segment
+    takes the previous location from the segments before it."""
+    own = sg.SEG not in df.columns
+    s = segmented(df, key, ts, split)
+    t = _micros(s, ts)
+    order = sg.row_order(t, F.col(ident), nulls_last=False)
+    s = sg.attach(s, key, sg.carries(s, key, order, False, last_row={
+        "_prev_lat": F.col("latitude"), "_prev_lon": F.col("longitude")}))
+    w = sg.seg_window(key, F.col(ts).asc_nulls_first(), F.col(ident))
+    first = F.row_number().over(w) == 1
+    lat = F.when(first, F.col("_c_prev_lat")).otherwise(F.lag("latitude").over(w))
+    lon = F.when(first, F.col("_c_prev_lon")).otherwise(F.lag("longitude").over(w))
+    out = s.withColumn("distance_from_last_loc", haversine(lat, lon, F.col("latitude"), F.col("longitude"))) \
+        .drop("_c_prev_lat", "_c_prev_lon")
+    return out.drop(sg.SEG, sg.HOT) if own else out
 
 
 def outcome_class(status: Column, fraud: Column, failed=("Rejected", "Failed")) -> Column:
@@ -88,9 +103,12 @@ def silver_standardize(df: DataFrame, cols=("Currency", "Trans_type", "Trans_sta
 def enrich_card(df: DataFrame, step: StepRiskParams = StepRiskParams(), factor: float = 1.5) -> DataFrame:
     """Card-stream enrichment: weekend/holiday flags, step risk, fraud flag,
     distance and time since the client's previous transaction, outcome class,
-    risk band and adjusted amount (P7-P14, T16). One window spec, one shuffle."""
-    df = time_since_last(df.withColumnRenamed("Trans_id", "transaction_id"), key="Clt_id", ts="Trans_ts")
-    df = distance_from_last(df, "Clt_id", "Trans_ts", "transaction_id").withColumnRenamed("transaction_id", "Trans_id")
+    risk band and adjusted amount (P7-P14, T16). Both ordered scans share one
+    segmentation, so the rows are shuffled once, on (client, segment)."""
+    df = segmented(df.withColumnRenamed("Trans_id", "transaction_id"), "Clt_id", "Trans_ts")
+    df = time_since_last(df, key="Clt_id", ts="Trans_ts")
+    df = distance_from_last(df, "Clt_id", "Trans_ts", "transaction_id") \
+        .drop(sg.SEG, sg.HOT).withColumnRenamed("transaction_id", "Trans_id")
     wk = is_weekend(F.col("Trans_ts"))
     risk = risk_step(F.col("Trans_amount"), wk, step)
     return (df.withColumn("is_weekend", wk)

@@ -23,6 +23,8 @@ from ledgerhawk.config import DecisionParams
 from ledgerhawk.functions.geo import haversine
 from ledgerhawk.functions.text import (cents_to_dollars_text, fingerprint, half_up_int,
                                        one_decimal, ratio_text)
+from ledgerhawk.operators import segments as sg
+from ledgerhawk.operators.segments import SplitParams
 
 ORDER = ("_ts", "transaction_id")
 ATM_GROUP = ("ATM", "POS", "BRANCH")
@@ -275,13 +277,36 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
 
 
 # --------------------------------------------------------------------- other T keys
-def time_since_last(df: DataFrame, key: str = "customer_id", ts: str = "event_ts") -> DataFrame:
-    """Seconds since the key's previous row; first row and null times give 0.0."""
-    w = W.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(), "transaction_id")
-    prev = F.lag(ts).over(w)
-    secs = (F.unix_micros(F.col(ts)) - F.unix_micros(prev)) / F.lit(1_000_000.0)
-    return df.withColumn("time_since_last_trans",
-                         F.when(prev.isNotNull() & F.col(ts).isNotNull(), secs).otherwise(F.lit(0.0)))
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Numeric time of a timestamp or epoch column (segment arithmetic)."""
+    if isinstance(df.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(ts).cast("timestamp"))
+    return F.col(ts)
+
+
+def segmented(df: DataFrame, key: str, ts: str, split: SplitParams = SplitParams()) -> DataFrame:
+    """Add the hot-key segment column once, so several ordered scans share it
+    (and its single shuffle on (key, segment)). No-op if already present."""
+    return df if sg.SEG in df.columns else sg.with_segments(df, key, _micros(df, ts), split)
+
+
+def time_since_last(df: DataFrame, key: str = "customer_id", ts: str = "event_ts",
+                    ident: str = "transaction_id", split: SplitParams = SplitParams()) -> DataFrame:
+    """Seconds since the key's previous row; first row and null times give 0.0.
+
+    Ordered per (key, segment); a hot key's segment takes the previous row's
+    time from the segments before it (exact carry)."""
+    own = sg.SEG not in df.columns
+    s = segmented(df, key, ts, split)
+    us = _micros(s, ts)
+    order = sg.row_order(us, F.col(ident), nulls_last=True)
+    s = sg.attach(s, key, sg.carries(s, key, order, True, last_row={"_prev_us": us}))
+    w = sg.seg_window(key, F.col(ts).asc_nulls_last(), F.col(ident))
+    prev = F.coalesce(F.lag(us).over(w), F.col("_c_prev_us"))
+    secs = (us - prev) / F.lit(1_000_000.0)
+    out = s.withColumn("time_since_last_trans",
+                       F.when(prev.isNotNull() & us.isNotNull(), secs).otherwise(F.lit(0.0))).drop("_c_prev_us")
+    return out.drop(sg.SEG, sg.HOT) if own else out
 
 
 def rolling_features(df: DataFrame, day_ms: int = 86_400_000, hour_ms: int = 3_600_000,
