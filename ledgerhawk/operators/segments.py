@@ -56,10 +56,25 @@ def hot_keys(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams())
                  .select(F.col(key).alias("_hk"), "_t0", seg_len.alias("_seg_len")))
 
 
+def has_hot(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams()) -> bool:
+    """Whether any key is split (one partial aggregation over the key column)."""
+    return not hot_keys(df, key, t, p).isEmpty()
+
+
+UNSPLIT = "ledgerhawk.unsplit"
+
+
 def with_segments(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams()) -> DataFrame:
     """Add ``_seg`` (0 for ordinary keys; time segment for hot keys, -1 for a hot
     key's rows without time) and ``_hot``. The hot-key table is broadcast: its
-    row count is bounded by total_rows / hot_rows (module docstring)."""
+    row count is bounded by total_rows / hot_rows (module docstring).
+
+    When no key is hot (one small aggregate tells), the columns are constants
+    and ``attach`` adds null carries without any job: the plan is the plain
+    per-key window plan."""
+    if not has_hot(df, key, t, p):
+        return (df.withColumn(SEG, F.lit(0).cast("long"))
+                  .withColumn(HOT, F.lit(False).alias(HOT, metadata={UNSPLIT: True})))
     hot = F.broadcast(hot_keys(df, key, t, p))
     j = df.join(hot, F.col(key) == F.col("_hk"), "left")
     seg = F.when(F.col("_hk").isNull(), F.lit(0).cast("long")) \
@@ -116,6 +131,9 @@ def attach(seg_df: DataFrame, key: str, carry: DataFrame) -> DataFrame:
     The carry table is bounded by total_rows / seg_rows rows; it is broadcast
     under the size check, else joined on the same (key, segment) keys the
     windows partition by, so the rows are still shuffled once."""
+    if seg_df.schema[HOT].metadata.get(UNSPLIT):
+        return seg_df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                    for f in carry.schema.fields if f.name not in ("_ck", "_cs")])
     c = broadcast_if_small(carry)
     return seg_df.join(c, (F.col(key) == F.col("_ck")) & (F.col(SEG) == F.col("_cs")), "left") \
         .drop("_ck", "_cs")

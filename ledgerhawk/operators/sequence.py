@@ -21,6 +21,7 @@ from pyspark.sql.window import Window as W
 from ledgerhawk import config as C
 from ledgerhawk.config import DecisionParams
 from ledgerhawk.functions.geo import haversine
+from ledgerhawk.functions.joins import broadcast_if_small
 from ledgerhawk.functions.text import (cents_to_dollars_text, fingerprint, half_up_int,
                                        one_decimal, ratio_text)
 from ledgerhawk.operators import segments as sg
@@ -31,7 +32,37 @@ ATM_GROUP = ("ATM", "POS", "BRANCH")
 
 
 def _w(key: str = "customer_id"):
-    return W.partitionBy(key).orderBy(*ORDER)
+    """Rows of one customer segment in (event time, id) order. Ordinary
+    customers have one segment; a hot customer's segments get carries."""
+    return W.partitionBy(key, sg.SEG).orderBy(*ORDER)
+
+
+def _carry(name: str, default=None) -> Column:
+    c = F.col(f"_c{name}")
+    return c if default is None else F.coalesce(c, default)
+
+
+def with_segment_carries(df: DataFrame, split: SplitParams = SplitParams()) -> DataFrame:
+    """Cut hot customers into time segments and attach, per segment, what the
+    windows need from the segments before it: exact moment sums, the last mobile
+    fix, the last ATM/POS/BRANCH fix and the last known country."""
+    s = segmented(df, "customer_id", "_ts", split)
+    order = sg.row_order(F.col("_ts"), F.col("transaction_id"), nulls_last=True)
+    x = F.col("_cents").cast("decimal(38,0)")
+    mob, atm = F.col("_channel") == "MOBILE_APP", F.col("_channel").isin(*ATM_GROUP)
+    fix = {"ts": "_ts", "lat": "latitude", "lon": "longitude", "ip": "ip_country"}
+    last = {f"_mob_{k}": (mob, F.col(c)) for k, c in fix.items()}
+    last.update({f"_atm_{k}": (atm, F.col(c)) for k, c in fix.items()})
+    last["_country"] = (F.col("country_code").isNotNull(), F.col("country_code"))
+    c = sg.carries(s, "customer_id", order, True,
+                   sums={"_n": F.lit(1).cast("long"), "_s1": x, "_s2": x * x}, last_nonnull=last)
+    return sg.attach(s, "customer_id", c)
+
+
+def _carried_fix(prefix: str) -> Column:
+    return F.when(F.col(f"_c{prefix}_ts").isNotNull(), F.struct(
+        F.col(f"_c{prefix}_ts").alias("ts"), F.col(f"_c{prefix}_lat").alias("latitude"),
+        F.col(f"_c{prefix}_lon").alias("longitude"), F.col(f"_c{prefix}_ip").alias("ip_country")))
 
 
 def prepare_rows(df: DataFrame) -> DataFrame:
@@ -56,9 +87,10 @@ def with_running_stats(df: DataFrame, p: DecisionParams = DecisionParams()) -> D
     """
     w = _w().rowsBetween(W.unboundedPreceding, W.currentRow)
     x = F.col("_cents").cast("decimal(38,0)")
-    df = (df.withColumn("_n", F.count(F.lit(1)).over(w))
-            .withColumn("_s1", F.sum(x).over(w))
-            .withColumn("_s2", F.sum(x * x).over(w)))
+    zero = F.lit(0).cast("decimal(38,0)")
+    df = (df.withColumn("_n", _carry("_n", F.lit(0).cast("long")) + F.count(F.lit(1)).over(w))
+            .withColumn("_s1", (_carry("_s1", zero) + F.sum(x).over(w)).cast("decimal(38,0)"))
+            .withColumn("_s2", (_carry("_s2", zero) + F.sum(x * x).over(w)).cast("decimal(38,0)")))
     n = F.col("_n").cast("decimal(38,0)")
     dx = n * x - F.col("_s1")
     var_n = n * F.col("_s2") - F.col("_s1") * F.col("_s1")
@@ -81,11 +113,12 @@ def with_last_fixes(df: DataFrame) -> DataFrame:
     replaces the fix, as a state overwrite would."""
     prev = _w().rowsBetween(W.unboundedPreceding, -1)
     ch = F.col("_channel")
-    return (df.withColumn("_mob", F.last(_fix(ch == "MOBILE_APP", "latitude", "longitude",
-                                              "ip_country"), True).over(prev))
-              .withColumn("_atm", F.last(_fix(ch.isin(*ATM_GROUP), "latitude", "longitude",
-                                              "ip_country"), True).over(prev))
-              .withColumn("_last_country", F.last("country_code", True).over(prev)))
+    return (df.withColumn("_mob", F.coalesce(F.last(_fix(ch == "MOBILE_APP", "latitude", "longitude",
+                                                         "ip_country"), True).over(prev), _carried_fix("_mob")))
+              .withColumn("_atm", F.coalesce(F.last(_fix(ch.isin(*ATM_GROUP), "latitude", "longitude",
+                                                         "ip_country"), True).over(prev), _carried_fix("_atm")))
+              .withColumn("_last_country", F.coalesce(F.last("country_code", True).over(prev),
+                                                      F.col("_c_country"))))
 
 
 def with_travel_rules(df: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
@@ -129,18 +162,49 @@ FOLD_FIELDS = (
 )
 
 
-def _fold(batches, p: DecisionParams):
-    """Anchored windows + trust set over rows sorted by (customer, ts, id).
+ENTRY_FIELDS = (
+    ("a1", T.LongType()), ("mc", T.LongType()), ("msum", T.LongType()),
+    ("a30", T.LongType()), ("ins", T.LongType()), ("outs", T.LongType()),
+    ("trusted", T.ArrayType(T.StringType())),
+)
+ENTRY_COLS = tuple(f"_e_{n}" for n, _ in ENTRY_FIELDS)
+FOLD_INPUT = ("customer_id", sg.SEG, "_ts", "transaction_id", "_usd_cents", "transaction_type",
+              "device_id", "_channel", "_new_country", "_pre_violation")
+
+
+def _entry_state(pdf, i):
+    """State at the start of a segment: the entry columns if set, else fresh."""
+    if "_e_set" in pdf.columns and bool(pdf["_e_set"].iat[i]):
+        e = [pdf[c].iat[i] for c in ENTRY_COLS]
+        trusted = [] if e[6] is None else [str(d) for d in e[6]]
+        a1 = None if e[0] is None or e[0] != e[0] else int(e[0])
+        a30 = None if e[3] is None or e[3] != e[3] else int(e[3])
+        return a1, int(e[1]), int(e[2]), a30, int(e[4]), int(e[5]), trusted
+    return None, 0, 0, None, 0, 0, []
+
 
-    State is carried across Arrow batches and reset when the customer changes.
+def _fold(batches, p: DecisionParams, exits: bool = False):
+    """Anchored windows + trust set over rows sorted by (customer, segment, ts, id).
+
+    State is carried across Arrow batches and re-initialised when the segment
+    changes: from the segment's entry state if one is attached (a hot
+    customer's later segment), else fresh. With ``exits`` the fold emits one row
+    per segment with its final state instead of the per-row results.
     """
+    import pandas as pd
     inbound, outbound = set(C.INBOUND_TYPES), set(C.OUTBOUND_TYPES)
     cur = object()
     a1 = a30 = None
     mc = msum = ins = outs = 0
     trusted: list = []
+    done = []
+
+    def snapshot():
+        return (cur[0], cur[1], a1, mc, msum, a30, ins, outs, list(trusted))
+
     for pdf in batches:
         cust = pdf["customer_id"].tolist()
+        seg = pdf[sg.SEG].tolist()
         ts = pdf["_ts"].tolist()
         usd = pdf["_usd_cents"].tolist()
         ttype = pdf["transaction_type"].tolist()
@@ -150,8 +214,11 @@ def _fold(batches, p: DecisionParams):
         pre = pdf["_pre_violation"].tolist()
         out = {name: [] for name, _ in FOLD_FIELDS}
         for i in range(len(cust)):
-            if cust[i] != cur:
-                cur, a1, a30, mc, msum, ins, outs, trusted = cust[i], None, None, 0, 0, 0, 0, []
+            if (cust[i], seg[i]) != cur:
+                if exits and isinstance(cur, tuple):
+                    done.append(snapshot())
+                cur = (cust[i], seg[i])
+                a1, mc, msum, a30, ins, outs, trusted = _entry_state(pdf, i)
             t, u = ts[i], usd[i]
             if a1 is None or t - a1 > p.micro_window_ms:
                 a1, mc, msum = t, 0, 0
@@ -177,29 +244,103 @@ def _fold(batches, p: DecisionParams):
                 trusted.append(d)
                 trusted = trusted[-p.trust_size:]
                 joined = True
+            if exits:
+                continue
             for k, v in (("micro_n", mc), ("micro_sum_cents", msum), ("micro_hit", micro),
                          ("mule_in_cents", ins), ("mule_out_cents", outs), ("mule_hit", mule),
                          ("new_device", new_dev), ("wire_hit", wire), ("novelty_hit", novelty),
                          ("trust_joined", joined), ("trust_size", len(trusted))):
                 out[k].append(v)
+        if exits:
+            if done:
+                yield pd.DataFrame(done, columns=EXIT_NAMES)
+                done = []
+            continue
         for k, _ in FOLD_FIELDS:
             pdf[k] = out[k]
         yield pdf
+    if exits and isinstance(cur, tuple):
+        yield pd.DataFrame([snapshot()], columns=EXIT_NAMES)
+
+
+EXIT_NAMES = ["customer_id", sg.SEG] + [n for n, _ in ENTRY_FIELDS]
+
 
+def _exit_schema(df: DataFrame) -> T.StructType:
+    return T.StructType([df.schema["customer_id"], T.StructField(sg.SEG, T.LongType())]
+                        + [T.StructField(n, t, True) for n, t in ENTRY_FIELDS])
 
-def sequential_fold(df: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
-    """Run the residual fold on rows already clustered by customer and sorted.
+
+def _with_entries(df: DataFrame, entries: DataFrame | None) -> DataFrame:
+    """Attach each segment's entry state (broadcast under the size check; the
+    table has one row per hot segment, bounded by total_rows / seg_rows)."""
+    if entries is None:
+        return df.withColumn("_e_set", F.lit(False)).select(
+            "*", *[F.lit(None).cast(t).alias(f"_e_{n}") for n, t in ENTRY_FIELDS])
+    e = broadcast_if_small(entries.select(
+        F.col("customer_id").alias("_ek"), F.col(sg.SEG).alias("_es"), F.lit(True).alias("_e_set"),
+        *[F.col(n).alias(f"_e_{n}") for n, _ in ENTRY_FIELDS]))
+    j = df.join(e, (F.col("customer_id") == F.col("_ek")) & (F.col(sg.SEG) == F.col("_es")), "left")
+    return j.drop("_ek", "_es").withColumn("_e_set", F.coalesce(F.col("_e_set"), F.lit(False)))
+
+
+def resolve_entry_states(windowed: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
+    """Entry state of every segment of every hot customer, exactly.
+
+    The fold is sequential inside a customer, so segment k starts from the
+    final state of segment k-1. All hot segments are folded in parallel from the
+    current guess (fresh at first); the guess of segment k becomes the exit of
+    segment k-1; repeat until no guess changes. The fixpoint is the sequential
+    result: after round r the first r segments of every customer are exact, and
+    in practice a segment's exit stops depending on its entry as soon as it
+    holds an hour without activity or a saturated trust list, so few rounds
+    run. Each round reads a checkpointed, already (customer, segment)-clustered
+    narrow copy of the hot rows and writes a table of one row per segment.
+    """
+    from ledgerhawk.session import scratch_root
+    spark = windowed.sparkSession
+    scratch_root(spark)  # cluster checkpoint dir, or a test folder when unset
+    hot = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT).checkpoint()
+    schema = _exit_schema(hot)
+    entries = None
+    while True:
+        x = _with_entries(hot, entries).sortWithinPartitions("customer_id", sg.SEG, *ORDER)
+        ex = x.mapInPandas(lambda it: _fold(it, p, exits=True), schema)
+        w = W.partitionBy("customer_id").orderBy(sg.SEG)
+        state = F.struct(*[F.col(n) for n, _ in ENTRY_FIELDS])
+        nxt = (ex.withColumn("_prev", F.lag(state).over(w))
+                 .filter(F.col("_prev").isNotNull())
+                 .select("customer_id", sg.SEG, *[F.col(f"_prev.{n}").alias(n) for n, _ in ENTRY_FIELDS])
+                 .checkpoint())
+        if entries is None:
+            changed = nxt.count()
+        else:
+            a = nxt.select("customer_id", sg.SEG, state.alias("_s"))
+            b = entries.select("customer_id", sg.SEG, state.alias("_s"))
+            changed = a.exceptAll(b).count() + b.exceptAll(a).count()
+        entries = nxt
+        if changed == 0:
+            return entries
+
+
+def sequential_fold(df: DataFrame, p: DecisionParams = DecisionParams(),
+                    entries: DataFrame | None = None) -> DataFrame:
+    """Run the residual fold on rows clustered by (customer, segment) and sorted.
 
     ``sortWithinPartitions`` is free when the window stage already produced that
     order (Spark removes the redundant sort)."""
-    schema = T.StructType(df.schema.fields + [T.StructField(n, t, True) for n, t in FOLD_FIELDS])
-    sorted_df = df.sortWithinPartitions("customer_id", *ORDER)
-    return sorted_df.mapInPandas(lambda it: _fold(it, p), schema)
+    if sg.SEG not in df.columns:
+        df = df.withColumn(sg.SEG, F.lit(0).cast("long"))
+    x = _with_entries(df, entries)
+    schema = T.StructType(x.schema.fields + [T.StructField(n, t, True) for n, t in FOLD_FIELDS])
+    sorted_df = x.sortWithinPartitions("customer_id", sg.SEG, *ORDER)
+    return sorted_df.mapInPandas(lambda it: _fold(it, p), schema).drop("_e_set", *ENTRY_COLS)
 
 
 # --------------------------------------------------------------------- assembly
 def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
-           processing_ms: Column | None = None, keep_features: bool = False) -> DataFrame:
+           processing_ms: Column | None = None, keep_features: bool = False,
+           split: SplitParams = SplitParams()) -> DataFrame:
     """T1-T12 + decision (T11) + fingerprint (F2): the enriched decision rows."""
     need = {"ml_risk_score": F.lit(0.0), "ml_cluster_id": F.lit(-1).cast("int"),
             "source_to_kafka_lag_ms": F.lit(0).cast("long"), "kafka_to_spark_lag_ms": F.lit(0).cast("long"),
@@ -208,11 +349,13 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     for c, v in need.items():
         if c not in df.columns:
             df = df.withColumn(c, v)
-    x = prepare_rows(df)
+    rows = prepare_rows(df)
+    x = with_segment_carries(rows, split)
     x = with_travel_rules(with_last_fixes(with_running_stats(x, p)), p)
     x = x.withColumn("_pre_violation", F.col("_outlier") | F.col("_t3") | F.col("_t4")
                      | F.col("_t7") | F.col("_t10")).drop("_mob", "_atm")
-    x = sequential_fold(x, p)
+    split_any = not x.schema[sg.HOT].metadata.get(sg.UNSPLIT)
+    x = sequential_fold(x, p, resolve_entry_states(x, p) if split_any else None)
 
     micro_txt = F.concat(F.lit("MICRO_STRUCTURING_"), F.col("micro_n").cast("string"), F.lit("TXN_$"),
                          cents_to_dollars_text(F.col("micro_sum_cents")), F.lit("_IN_1H"))
@@ -351,9 +494,10 @@ def customer_last_state(df: DataFrame) -> DataFrame:
 
 
 def decision_pipeline(t: DataFrame, p: DecisionParams = DecisionParams(),
-                      processing_ms: Column | None = None, keep_features: bool = False) -> DataFrame:
+                      processing_ms: Column | None = None, keep_features: bool = False,
+                      split: SplitParams = SplitParams()) -> DataFrame:
     """Flagship batch chain: DQ -> clean -> SLA -> on-time -> decisions (reference order)."""
     from ledgerhawk.operators.latency import sla_metrics
     from ledgerhawk.operators.quality import dq_validate
     on_time = sla_metrics(dq_validate(t).filter("dq_passed")).filter(~F.col("sla_breached"))
-    return decide(on_time, p, processing_ms=processing_ms, keep_features=keep_features)
+    return decide(on_time, p, processing_ms=processing_ms, keep_features=keep_features, split=split)
