@@ -284,43 +284,55 @@ def _with_entries(df: DataFrame, entries: DataFrame | None) -> DataFrame:
     return j.drop("_ek", "_es").withColumn("_e_set", F.coalesce(F.col("_e_set"), F.lit(False)))
 
 
+def _fold_exits(rows: DataFrame, entries: DataFrame | None, p: DecisionParams) -> DataFrame:
+    x = _with_entries(rows, entries).sortWithinPartitions("customer_id", sg.SEG, *ORDER)
+    return x.mapInPandas(lambda it: _fold(it, p, exits=True), _exit_schema(rows))
+
+
+def _shift(exits: DataFrame) -> DataFrame:
+    """Entry of each segment = exit of the customer's previous segment."""
+    w = W.partitionBy("customer_id").orderBy(sg.SEG)
+    state = F.struct(*[F.col(n) for n, _ in ENTRY_FIELDS])
+    return (exits.withColumn("_prev", F.lag(state).over(w)).filter(F.col("_prev").isNotNull())
+                 .select("customer_id", sg.SEG, *[F.col(f"_prev.{n}").alias(n) for n, _ in ENTRY_FIELDS]))
+
+
 def resolve_entry_states(windowed: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
     """Entry state of every segment of every hot customer, exactly.
 
     The fold is sequential inside a customer, so segment k starts from the
-    final state of segment k-1. All hot segments are folded in parallel from the
-    current guess (fresh at first); the guess of segment k becomes the exit of
-    segment k-1; repeat until no guess changes. The fixpoint is the sequential
-    result: after round r the first r segments of every customer are exact, and
-    in practice a segment's exit stops depending on its entry as soon as it
-    holds an hour without activity or a saturated trust list, so few rounds
-    run. Each round reads a checkpointed, already (customer, segment)-clustered
-    narrow copy of the hot rows and writes a table of one row per segment.
+    final state of segment k-1. Round 0 folds all hot segments in parallel from
+    a fresh state; then the guess of segment k becomes the exit of segment k-1,
+    and only segments whose guess changed are folded again, until none changes.
+    The fixpoint is the sequential result (after round r the first r segments
+    of every customer are exact). A segment's exit stops depending on its entry
+    once it holds a quiet hour or a saturated trust list, so in practice the
+    changed set collapses after a round or two and later rounds touch a few
+    segments. Rows come from a checkpointed, (customer, segment)-clustered
+    narrow copy of the hot rows; the state tables hold one row per segment
+    (bounded by total_rows / seg_rows) and are checkpointed each round.
     """
     from ledgerhawk.session import scratch_root
     spark = windowed.sparkSession
     scratch_root(spark)  # cluster checkpoint dir, or a test folder when unset
     hot = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT).checkpoint()
-    schema = _exit_schema(hot)
-    entries = None
-    while True:
-        x = _with_entries(hot, entries).sortWithinPartitions("customer_id", sg.SEG, *ORDER)
-        ex = x.mapInPandas(lambda it: _fold(it, p, exits=True), schema)
-        w = W.partitionBy("customer_id").orderBy(sg.SEG)
-        state = F.struct(*[F.col(n) for n, _ in ENTRY_FIELDS])
-        nxt = (ex.withColumn("_prev", F.lag(state).over(w))
-                 .filter(F.col("_prev").isNotNull())
-                 .select("customer_id", sg.SEG, *[F.col(f"_prev.{n}").alias(n) for n, _ in ENTRY_FIELDS])
-                 .checkpoint())
-        if entries is None:
-            changed = nxt.count()
-        else:
-            a = nxt.select("customer_id", sg.SEG, state.alias("_s"))
-            b = entries.select("customer_id", sg.SEG, state.alias("_s"))
-            changed = a.exceptAll(b).count() + b.exceptAll(a).count()
+    exits = _fold_exits(hot, None, p).checkpoint()
+    entries = _shift(exits).checkpoint()
+    changed = entries.select("customer_id", sg.SEG)
+    while not changed.isEmpty():
+        keys = broadcast_if_small(changed.select(F.col("customer_id").alias("_ek"), F.col(sg.SEG).alias("_es")))
+        redo = hot.join(keys, (F.col("customer_id") == F.col("_ek")) & (F.col(sg.SEG) == F.col("_es")),
+                        "left_semi")
+        fresh = _fold_exits(redo, entries, p)
+        kept = exits.join(changed, ["customer_id", sg.SEG], "left_anti")
+        exits = kept.unionByName(fresh).checkpoint()
+        nxt = _shift(exits).checkpoint()
+        state = F.struct(*[F.col(n) for n, _ in ENTRY_FIELDS]).alias("_s")
+        a = nxt.select("customer_id", sg.SEG, state)
+        b = entries.select("customer_id", sg.SEG, state)
+        changed = a.exceptAll(b).select("customer_id", sg.SEG).checkpoint()
         entries = nxt
-        if changed == 0:
-            return entries
+    return entries
 
 
 def sequential_fold(df: DataFrame, p: DecisionParams = DecisionParams(),
