@@ -464,24 +464,114 @@ def time_since_last(df: DataFrame, key: str = "customer_id", ts: str = "event_ts
     return out.drop(sg.SEG, sg.HOT) if own else out
 
 
-def rolling_features(df: DataFrame, day_ms: int = 86_400_000, hour_ms: int = 3_600_000,
-                     last_n: int = 10) -> DataFrame:
-    """Declared rolling state as range windows on epoch ms."""
+def _rolling_values(df: DataFrame):
+    usd = F.col("amount_usd").cast("decimal(38,2)")
+    zero = F.lit(0).cast("decimal(38,2)")
+    vin = F.when(F.col("transaction_type").isin(*C.INBOUND_TYPES), usd).otherwise(zero)
+    vout = F.when(F.col("transaction_type").isin(*C.OUTBOUND_TYPES), usd).otherwise(zero)
+    return vin, vout, zero
+
+
+def _rolling_plain(df: DataFrame, day_ms: int, hour_ms: int, last_n: int) -> DataFrame:
     base = W.partitionBy("customer_id").orderBy("event_timestamp")
     day = base.rangeBetween(-day_ms, 0)
     hour = base.rangeBetween(-hour_ms, 0)
     lastn = W.partitionBy("customer_id").orderBy("event_timestamp", "transaction_id") \
         .rowsBetween(-(last_n - 1), 0)
-    usd = F.col("amount_usd")
-    return (df.withColumn("total_in_24h", F.sum(F.when(F.col("transaction_type").isin(*C.INBOUND_TYPES), usd)
-                                                .otherwise(F.lit(0))).over(day))
-              .withColumn("total_out_24h", F.sum(F.when(F.col("transaction_type").isin(*C.OUTBOUND_TYPES), usd)
-                                                 .otherwise(F.lit(0))).over(day))
+    vin, vout, _ = _rolling_values(df)
+    return (df.withColumn("total_in_24h", F.sum(vin).over(day).cast("decimal(38,2)"))
+              .withColumn("total_out_24h", F.sum(vout).over(day).cast("decimal(38,2)"))
               .withColumn("txn_count_1h", F.count(F.lit(1)).over(hour))
               .withColumn("last_txn_amounts", F.array_join(
                   F.collect_list(F.col("amount").cast("string")).over(lastn), ",")))
 
 
+def _rolling_hot(h: DataFrame, day_ms: int, hour_ms: int, last_n: int, split: SplitParams) -> DataFrame:
+    """T17 for split customers, without a per-customer window.
+
+    Range sums are prefix differences: sum over [t - D, t] = P(t) - P(t - D - 1)
+    with P(x) = sum of values at times <= x (integer ms). Every row adds two
+    *probe* rows at t - D - 1 and t - H - 1; data and probes are segmented by
+    time together, P is carry + running range sum per segment (probes add 0),
+    and the three readings of a row meet in one aggregate by id. The last-n
+    list takes the previous segments' last n-1 amounts as a carry. Time-less
+    rows (segment -1, first in the order) use their peer group, as a range
+    frame does."""
+    key, t = "customer_id", F.col("event_timestamp")
+    vin, vout, zero = _rolling_values(h)
+    timed = h.filter(t.isNotNull())
+    one = F.lit(1).cast("long")
+
+    def rows(tt: Column, kind: int, a: Column, b: Column, c: Column) -> DataFrame:
+        return timed.select(key, tt.cast("long").alias("_t"), "transaction_id", F.lit(kind).alias("_k"),
+                            a.alias("_vin"), b.alias("_vout"), c.alias("_vc"))
+
+    u = (rows(t, 0, vin, vout, one)
+         .unionByName(rows(t - F.lit(day_ms + 1), 1, zero, zero, F.lit(0).cast("long")))
+         .unionByName(rows(t - F.lit(hour_ms + 1), 2, zero, zero, F.lit(0).cast("long"))))
+    u = sg.with_segments(u, key, F.col("_t"), split)
+    order = sg.row_order(F.col("_t"), F.col("transaction_id"), nulls_last=True)
+    u = sg.attach(u, key, sg.carries(u, key, order, True,
+                                     sums={"_in": F.col("_vin"), "_out": F.col("_vout"), "_n": F.col("_vc")}))
+    w = W.partitionBy(key, sg.SEG).orderBy("_t").rangeBetween(W.unboundedPreceding, 0)
+    pin = _carry("_in", zero) + F.sum("_vin").over(w)
+    pout = _carry("_out", zero) + F.sum("_vout").over(w)
+    pn = _carry("_n", F.lit(0).cast("long")) + F.sum("_vc").over(w)
+    p = u.select("transaction_id", "_k", pin.alias("_pin"), pout.alias("_pout"), pn.alias("_pn"))
+
+    def pick(kind: int, c: str) -> Column:
+        return F.max(F.when(F.col("_k") == kind, F.col(c)))
+
+    sums = p.groupBy("transaction_id").agg(
+        (pick(0, "_pin") - pick(1, "_pin")).cast("decimal(38,2)").alias("total_in_24h"),
+        (pick(0, "_pout") - pick(1, "_pout")).cast("decimal(38,2)").alias("total_out_24h"),
+        (pick(0, "_pn") - pick(2, "_pn")).cast("long").alias("txn_count_1h"))
+    # time-less rows: the frame is the key's whole peer group of null times
+    nulls = (h.filter(t.isNull()).groupBy(key)
+              .agg(F.sum(vin).cast("decimal(38,2)").alias("_nin"), F.sum(vout).cast("decimal(38,2)").alias("_nout"),
+                   F.count(F.lit(1)).alias("_nn")))
+    # last-n amounts: in-segment frame plus the previous segments' tail
+    amt = F.col("amount").cast("string")
+    lw = W.partitionBy(key, sg.SEG).orderBy(t.asc_nulls_first(), F.col("transaction_id"))
+    o = sg.row_order(t, F.col("transaction_id"), nulls_last=False)
+    x = (h.withColumn("_in_seg", F.collect_list(amt).over(lw.rowsBetween(-(last_n - 1), 0)))
+          .withColumn("_after", F.count(F.lit(1)).over(lw.rowsBetween(1, W.unboundedFollowing))))
+    tails = (x.filter(F.col("_after") < last_n - 1).groupBy(key, sg.SEG)
+              .agg(F.array_sort(F.collect_list(F.struct(o.alias("o"), amt.alias("a")))).alias("_tail")))
+    seg_rank = F.when(F.col(sg.SEG) == sg.NULL_SEG, F.lit(-1)).otherwise(F.lit(0))
+    sw = W.partitionBy(key).orderBy(seg_rank, sg.SEG).rowsBetween(-(last_n - 1), -1)
+    prev = F.flatten(F.collect_list("_tail").over(sw))
+    carry = tails.select(F.col(key).alias("_ck"), F.col(sg.SEG).alias("_cs"),
+                         F.transform(F.slice(prev, F.greatest(F.size(prev) - (last_n - 2), F.lit(1)), last_n - 1),
+                                     lambda e: e["a"]).alias("_prev_tail"))
+    x = x.join(broadcast_if_small(carry), (F.col(key) == F.col("_ck")) & (F.col(sg.SEG) == F.col("_cs")), "left")
+    full = F.concat(F.coalesce(F.col("_prev_tail"), F.array().cast("array<string>")), F.col("_in_seg"))
+    x = x.withColumn("last_txn_amounts", F.array_join(
+        F.slice(full, F.greatest(F.size(full) - (last_n - 1), F.lit(1)), last_n), ","))
+    x = x.drop("_in_seg", "_after", "_ck", "_cs", "_prev_tail")
+    x = x.join(sums, "transaction_id", "left").join(F.broadcast(nulls), key, "left")
+    return (x.withColumn("total_in_24h", F.coalesce(F.col("total_in_24h"), F.col("_nin")))
+             .withColumn("total_out_24h", F.coalesce(F.col("total_out_24h"), F.col("_nout")))
+             .withColumn("txn_count_1h", F.coalesce(F.col("txn_count_1h"), F.col("_nn")))
+             .drop("_nin", "_nout", "_nn"))
+
+
+def rolling_features(df: DataFrame, day_ms: int = 86_400_000, hour_ms: int = 3_600_000,
+                     last_n: int = 10, split: SplitParams = SplitParams()) -> DataFrame:
+    """Declared rolling state: in/out totals over 24 h and count over 1 h
+    (range frames on epoch ms, ties included), last ``last_n`` amounts.
+
+    Ordinary customers use range windows per customer; customers above the
+    split threshold take the prefix-difference path (``_rolling_hot``)."""
+    s = segmented(df, "customer_id", "event_timestamp", split)
+    if s.schema[sg.HOT].metadata.get(sg.UNSPLIT):
+        return _rolling_plain(df, day_ms, hour_ms, last_n)
+    cols = df.columns + ["total_in_24h", "total_out_24h", "txn_count_1h", "last_txn_amounts"]
+    plain = _rolling_plain(s.filter(~F.col(sg.HOT)), day_ms, hour_ms, last_n).select(*cols)
+    hot = _rolling_hot(s.filter(F.col(sg.HOT)), day_ms, hour_ms, last_n, split).select(*cols)
+    return plain.unionByName(hot)
+
+
 def customer_last_state(df: DataFrame) -> DataFrame:
     """Last activity per channel family, last country, last activity time.
 

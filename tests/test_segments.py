@@ -63,3 +63,13 @@ def test_decision_engine_split_equals_unsplit(spark):
                                   split=SplitParams(hot_rows=20, seg_rows=8)).select(*cols)
     assert whole.filter("micro_hit OR mule_hit OR wire_hit").count() > 0
     _same(whole, split)
+
+
+def test_rolling_features_split_equals_unsplit(spark):
+    """T17 prefix differences with probes and the last-n carry; also with
+    time-less rows (peer-group frames, ordered first)."""
+    t = txn(spark, SF_ORACLE)
+    nulls = t.withColumn("event_timestamp", F.when(F.col("transaction_id") % 13 != 0, F.col("event_timestamp")))
+    cols = ("transaction_id", "total_in_24h", "total_out_24h", "txn_count_1h", "last_txn_amounts")
+    for df in (t, nulls):
+        _same(seq.rolling_features(df).select(*cols), seq.rolling_features(df, split=TINY).select(*cols))
