@@ -14,13 +14,12 @@ def sla_metrics(df: DataFrame, ingest_col: str | None = "ingest_ms",
     takes the current time, as a live stream does."""
     ingest = F.col(ingest_col) if ingest_col else F.unix_millis(F.current_timestamp())
     kafka, event = F.col("kafka_timestamp"), F.col("event_timestamp")
-    return (df.withColumn("_ingest", ingest)
-              .withColumn("source_to_kafka_lag_ms",
-                          F.when(kafka.isNotNull(), kafka - event).otherwise(F.lit(0).cast("long")))
-              .withColumn("kafka_to_spark_lag_ms", F.col("_ingest") - kafka)
-              .withColumn("total_pipeline_lag_ms", F.col("_ingest") - event)
-              .withColumn("sla_breached", F.col("total_pipeline_lag_ms") > F.lit(threshold_ms))
-              .drop("_ingest"))
+    total = ingest - event
+    return df.withColumns({
+        "source_to_kafka_lag_ms": F.when(kafka.isNotNull(), kafka - event).otherwise(F.lit(0).cast("long")),
+        "kafka_to_spark_lag_ms": ingest - kafka,
+        "total_pipeline_lag_ms": total,
+        "sla_breached": total > F.lit(threshold_ms)})
 
 
 def sla_breach_rate(df: DataFrame, by: str = "channel_type") -> DataFrame:

@@ -31,12 +31,11 @@ def dq_validate(df: DataFrame, p: QualityParams = QualityParams(),
     if p.check_self_transfer:
         rules.append((self_transfer_ok(), "SELF_TRANSFER"))
     return (df.withColumn("_nulls", nulls)
-              .withColumn("dq_violations", F.concat(
-                  F.array_join(F.col("_nulls"), "|"),
-                  *[F.when(~c, F.lit("|" + n)).otherwise(F.lit("")) for c, n in rules]))
-              .withColumn("dq_passed", (F.size(F.col("_nulls")) == 0) & _and_all([c for c, _ in rules]))
-              .withColumn("completeness_score",
-                          (F.lit(len(fields)) - F.size(F.col("_nulls"))) / F.lit(len(fields)))
+              .withColumns({
+                  "dq_violations": F.concat(F.array_join(F.col("_nulls"), "|"),
+                                            *[F.when(~c, F.lit("|" + n)).otherwise(F.lit("")) for c, n in rules]),
+                  "dq_passed": (F.size(F.col("_nulls")) == 0) & _and_all([c for c, _ in rules]),
+                  "completeness_score": (F.lit(len(fields)) - F.size(F.col("_nulls"))) / F.lit(len(fields))})
               .drop("_nulls"))
 
 

@@ -71,11 +71,11 @@ def prepare_rows(df: DataFrame) -> DataFrame:
     amount = F.coalesce(F.col("amount").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
     usd = F.when(F.col("amount_usd").isNull() | (F.col("amount_usd") == 0), amount) \
         .otherwise(F.col("amount_usd").cast("decimal(18,2)"))
-    return (df.withColumn("_ts", F.coalesce(F.col("event_timestamp"),
-                                            F.unix_millis(F.current_timestamp())))
-              .withColumn("_cents", (amount * 100).cast("long"))
-              .withColumn("_usd_cents", (usd * 100).cast("long"))
-              .withColumn("_channel", F.coalesce(F.col("channel_type"), F.lit("UNKNOWN"))))
+    return df.withColumns({
+        "_ts": F.coalesce(F.col("event_timestamp"), F.unix_millis(F.current_timestamp())),
+        "_cents": (amount * 100).cast("long"),
+        "_usd_cents": (usd * 100).cast("long"),
+        "_channel": F.coalesce(F.col("channel_type"), F.lit("UNKNOWN"))})
 
 
 # --------------------------------------------------------------------- windows
@@ -88,18 +88,20 @@ def with_running_stats(df: DataFrame, p: DecisionParams = DecisionParams()) -> D
     w = _w().rowsBetween(W.unboundedPreceding, W.currentRow)
     x = F.col("_cents").cast("decimal(38,0)")
     zero = F.lit(0).cast("decimal(38,0)")
-    df = (df.withColumn("_n", _carry("_n", F.lit(0).cast("long")) + F.count(F.lit(1)).over(w))
-            .withColumn("_s1", (_carry("_s1", zero) + F.sum(x).over(w)).cast("decimal(38,0)"))
-            .withColumn("_s2", (_carry("_s2", zero) + F.sum(x * x).over(w)).cast("decimal(38,0)")))
+    df = df.withColumns({
+        "_n": _carry("_n", F.lit(0).cast("long")) + F.count(F.lit(1)).over(w),
+        "_s1": (_carry("_s1", zero) + F.sum(x).over(w)).cast("decimal(38,0)"),
+        "_s2": (_carry("_s2", zero) + F.sum(x * x).over(w)).cast("decimal(38,0)")})
     n = F.col("_n").cast("decimal(38,0)")
     dx = n * x - F.col("_s1")
     var_n = n * F.col("_s2") - F.col("_s1") * F.col("_s1")
     z = F.abs(dx).cast("double") / F.sqrt(var_n.cast("double"))
     scored = (F.col("_n") >= p.z_min_count) & (var_n > 0)
-    return (df.withColumn("running_mean", F.col("_s1").cast("double") / F.col("_n") / 100.0)
-              .withColumn("running_std", F.sqrt(var_n.cast("double")) / F.col("_n") / 100.0)
-              .withColumn("_z", F.when(scored, z).otherwise(F.lit(0.0)))
-              .withColumn("_outlier", scored & (dx * dx > F.lit(p.z_limit * p.z_limit) * var_n)))
+    return df.withColumns({
+        "running_mean": F.col("_s1").cast("double") / F.col("_n") / 100.0,
+        "running_std": F.sqrt(var_n.cast("double")) / F.col("_n") / 100.0,
+        "_z": F.when(scored, z).otherwise(F.lit(0.0)),
+        "_outlier": scored & (dx * dx > F.lit(p.z_limit * p.z_limit) * var_n)})
 
 
 def _fix(cond: Column, *cols: str) -> Column:
@@ -113,12 +115,12 @@ def with_last_fixes(df: DataFrame) -> DataFrame:
     replaces the fix, as a state overwrite would."""
     prev = _w().rowsBetween(W.unboundedPreceding, -1)
     ch = F.col("_channel")
-    return (df.withColumn("_mob", F.coalesce(F.last(_fix(ch == "MOBILE_APP", "latitude", "longitude",
-                                                         "ip_country"), True).over(prev), _carried_fix("_mob")))
-              .withColumn("_atm", F.coalesce(F.last(_fix(ch.isin(*ATM_GROUP), "latitude", "longitude",
-                                                         "ip_country"), True).over(prev), _carried_fix("_atm")))
-              .withColumn("_last_country", F.coalesce(F.last("country_code", True).over(prev),
-                                                      F.col("_c_country"))))
+    return df.withColumns({
+        "_mob": F.coalesce(F.last(_fix(ch == "MOBILE_APP", "latitude", "longitude", "ip_country"), True)
+                           .over(prev), _carried_fix("_mob")),
+        "_atm": F.coalesce(F.last(_fix(ch.isin(*ATM_GROUP), "latitude", "longitude", "ip_country"), True)
+                           .over(prev), _carried_fix("_atm")),
+        "_last_country": F.coalesce(F.last("country_code", True).over(prev), F.col("_c_country"))})
 
 
 def with_travel_rules(df: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
@@ -138,19 +140,17 @@ def with_travel_rules(df: DataFrame, p: DecisionParams = DecisionParams()) -> Da
     d4, s4 = leg("_same")
     t4 = F.col("_same").isNotNull() & F.col("_same.latitude").isNotNull() & lat.isNotNull()
     limit = lambda d, s: (s > F.lit(p.speed_kmh)) & (d > F.lit(p.min_distance_km))
-    return (df.withColumn("_d3", d3).withColumn("_s3", s3)
-              .withColumn("_t3", F.coalesce(t3 & limit(F.col("_d3"), F.col("_s3")), F.lit(False)))
-              .withColumn("_d4", d4).withColumn("_s4", s4)
-              .withColumn("_t4", F.coalesce(t4 & limit(F.col("_d4"), F.col("_s4")), F.lit(False)))
-              .withColumn("_t7", F.coalesce(
-                  (ch == "ATM") & F.col("_mob").isNotNull()
-                  & ((F.col("_ts") - F.col("_mob.ts")) < F.lit(p.session_window_ms))
-                  & ~F.col("country_code").eqNullSafe(F.col("_mob.ip_country")), F.lit(False)))
-              .withColumn("_t10", F.coalesce(F.col("is_rooted_device"), F.lit(False)))
-              .withColumn("_new_country", F.coalesce(
-                  F.col("country_code").isNotNull()
-                  & ~F.col("country_code").eqNullSafe(F.col("_last_country")), F.lit(False)))
-              .drop("_same"))
+    df = df.withColumns({
+        "_d3": d3, "_s3": s3, "_d4": d4, "_s4": s4,
+        "_t7": F.coalesce((ch == "ATM") & F.col("_mob").isNotNull()
+                          & ((F.col("_ts") - F.col("_mob.ts")) < F.lit(p.session_window_ms))
+                          & ~F.col("country_code").eqNullSafe(F.col("_mob.ip_country")), F.lit(False)),
+        "_t10": F.coalesce(F.col("is_rooted_device"), F.lit(False)),
+        "_new_country": F.coalesce(F.col("country_code").isNotNull()
+                                   & ~F.col("country_code").eqNullSafe(F.col("_last_country")), F.lit(False))})
+    return df.withColumns({
+        "_t3": F.coalesce(t3 & limit(F.col("_d3"), F.col("_s3")), F.lit(False)),
+        "_t4": F.coalesce(t4 & limit(F.col("_d4"), F.col("_s4")), F.lit(False))}).drop("_same")
 
 
 # --------------------------------------------------------------------- fold
@@ -394,25 +394,22 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     pct = sum((F.when(F.col(f), F.lit(w)).otherwise(F.lit(0)) for f, _, w in rules), F.lit(0))
     hard = F.col("_t3") | F.col("_t4") | F.col("_t7") | F.col("wire_hit") | F.col("mule_hit")
     proc = processing_ms if processing_ms is not None else F.unix_millis(F.current_timestamp())
-    x = (x.withColumn("_pct", F.least(pct, F.lit(100)))
-          .withColumn("_reasons", reasons)
-          .withColumn("composite_risk_score", F.col("_pct") / F.lit(100.0))
-          .withColumn("decision_action",
-                      F.when((F.col("_pct") >= p.block_pct) | hard, F.lit("BLOCK"))
-                       .when(F.col("_pct") >= p.flag_pct, F.lit("FLAG_WAIT"))
-                       .otherwise(F.lit("PASS")))
-          .withColumn("decision_reasons", F.when(F.size("_reasons") > 0, F.array_join("_reasons", "|"))
-                      .otherwise(F.lit("CLEAN")))
-          .withColumn("geo_violation", F.when(F.col("_t4"), travel_txt).when(F.col("_t3"), cross_txt)
-                      .otherwise(F.lit("NONE")))
-          .withColumn("cross_channel_violation",
-                      F.when(F.col("wire_hit"), F.lit("HIGH_VALUE_WIRE_UNKNOWN_DEVICE"))
-                       .when(F.col("_t7"), F.lit("SESSION_HIJACK_MOBILE_ACTIVE")).otherwise(F.lit("NONE")))
-          .withColumn("amount_zscore", F.floor(F.col("_z") * 10000 + F.lit(0.5)) / F.lit(10000.0))
-          .withColumn("data_fingerprint", fingerprint(F.col("transaction_id"), F.col("customer_id"),
-                                                      F.col("amount"), F.col("_ts"), F.col("_channel")))
-          .withColumn("processing_timestamp", proc.cast("long"))
-          .withColumn("pipeline_version", F.lit(C.PIPELINE_VERSION)))
+    x = x.withColumns({"_pct": F.least(pct, F.lit(100)), "_reasons": reasons})
+    x = x.withColumns({
+        "composite_risk_score": F.col("_pct") / F.lit(100.0),
+        "decision_action": F.when((F.col("_pct") >= p.block_pct) | hard, F.lit("BLOCK"))
+                            .when(F.col("_pct") >= p.flag_pct, F.lit("FLAG_WAIT")).otherwise(F.lit("PASS")),
+        "decision_reasons": F.when(F.size("_reasons") > 0, F.array_join("_reasons", "|"))
+                             .otherwise(F.lit("CLEAN")),
+        "geo_violation": F.when(F.col("_t4"), travel_txt).when(F.col("_t3"), cross_txt).otherwise(F.lit("NONE")),
+        "cross_channel_violation": F.when(F.col("wire_hit"), F.lit("HIGH_VALUE_WIRE_UNKNOWN_DEVICE"))
+                                    .when(F.col("_t7"), F.lit("SESSION_HIJACK_MOBILE_ACTIVE"))
+                                    .otherwise(F.lit("NONE")),
+        "amount_zscore": F.floor(F.col("_z") * 10000 + F.lit(0.5)) / F.lit(10000.0),
+        "data_fingerprint": fingerprint(F.col("transaction_id"), F.col("customer_id"), F.col("amount"),
+                                        F.col("_ts"), F.col("_channel")),
+        "processing_timestamp": proc.cast("long"),
+        "pipeline_version": F.lit(C.PIPELINE_VERSION)})
     if keep_features:
         return x
     return x.select(
