@@ -632,42 +632,49 @@ from ledgerhawk.streaming.stateful import stream_time_since_last  # noqa: E402
 SLICES = ("2024-01-08", "2024-01-15", "2024-01-22")
 
 
-def _envelope(spark, sf_dir, name: str, source=None):
+def _sliced(spark, sf_dir, name: str, run, source=None, slices=SLICES, root=None, sub="envelope"):
+    """Replay the table as a stream: write the envelope one event-time slice at
+    a time and drain the query (availableNow) after each, so every slice is one
+    micro-batch in arrival order. ``run(root, env)`` starts and drains the
+    query; the list of finished queries is returned with the root folder."""
     t = source if source is not None else txn(spark, sf_dir)
-    root = scratch_path(spark, name)
-    ss.write_envelope_slices(spark, t, f"{root}/envelope", SLICES)
-    return root, f"{root}/envelope"
+    root = root or scratch_path(spark, name)
+    env = f"{root}/envelope"
+    done = [run(root, env) for _ in ss.envelope_slices(spark, t, f"{env}/{sub}", slices)]
+    return root, done
+
+
+def _to_files(stream_of, **kw):
+    """``run`` for ``_sliced``: the stream built from the envelope into files."""
+    return lambda root, env: sj.run_to_files(stream_of(env), f"{root}/out", f"{root}/ckpt", **kw)
 
 
 @register("stream_decisions", _DEC)
 def q_stream_decisions(spark, sf_dir):
-    root, env = _envelope(spark, sf_dir, "stream_decisions")
-    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    root, _ = _sliced(spark, sf_dir, "stream_decisions", _to_files(lambda e: sj.decision_stream(spark, e)))
     return spark.read.parquet(f"{root}/out")
 
 
 @register("stream_restart", f"""SELECT transaction_id, decision_action, decision_reasons FROM ({_DEC}) d""")
 def q_stream_restart(spark, sf_dir):
-    """Three availableNow runs on one checkpoint (half the input, all of it,
-    nothing new): the sink holds each decision exactly once and state carried
-    over the restarts gives the batch result."""
+    """availableNow runs on one checkpoint — one per slice of the first
+    half, one per slice of the second half, one with nothing new: the sink holds
+    each decision exactly once and state carried over the restarts gives the
+    batch result."""
     t = txn(spark, sf_dir)
-    root = scratch_path(spark, "stream_restart")
-    env = f"{root}/envelope"
     early = t.filter(F.col("event_ts") < F.lit(_EARLY_TS).cast("timestamp"))
     late = t.filter(F.col("event_ts") >= F.lit(_EARLY_TS).cast("timestamp"))
-    ss.write_envelope_slices(spark, early, f"{env}/a", SLICES[:1])
-    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
-    ss.write_envelope_slices(spark, late, f"{env}/b", SLICES[2:])
-    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
-    sj.run_to_files(sj.decision_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    run = _to_files(lambda e: sj.decision_stream(spark, e))
+    root, _ = _sliced(spark, sf_dir, "stream_restart", run, early, SLICES[:1], sub="a")
+    _sliced(spark, sf_dir, "stream_restart", run, late, SLICES[2:], root=root, sub="b")
+    run(root, f"{root}/envelope")
     return spark.read.parquet(f"{root}/out").select("transaction_id", "decision_action", "decision_reasons")
 
 
 @register("stream_time_since_last", O.TIME_SINCE_LAST)
 def q_stream_time_since_last(spark, sf_dir):
-    root, env = _envelope(spark, sf_dir, "stream_tsl")
-    sj.run_to_files(stream_time_since_last(sj.parsed_stream(spark, env)), f"{root}/out", f"{root}/ckpt")
+    root, _ = _sliced(spark, sf_dir, "stream_tsl",
+                      _to_files(lambda e: stream_time_since_last(sj.parsed_stream(spark, e))))
     return spark.read.parquet(f"{root}/out")
 
 
@@ -679,10 +686,8 @@ _TOPIC_SQL = """CASE channel_type WHEN 'MOBILE_APP' THEN 'txn.channel.mobile' WH
 @register("stream_envelope_ingest", O.with_views(f"""SELECT CAST(transaction_id AS VARCHAR) AS key, {_TOPIC_SQL} AS topic,
   CAST(customer_id % 6 AS INTEGER) AS partition, transaction_id AS offset FROM txn"""))
 def q_stream_envelope_ingest(spark, sf_dir):
-    root, env = _envelope(spark, sf_dir, "ingest")
-    s = ss.envelope_stream(spark, env).select(F.col("key").cast("string").alias("key"), "topic", "partition",
-                                               "offset")
-    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt")
+    root, _ = _sliced(spark, sf_dir, "ingest", _to_files(lambda e: ss.envelope_stream(spark, e).select(
+        F.col("key").cast("string").alias("key"), "topic", "partition", "offset")))
     return spark.read.parquet(f"{root}/out")
 
 
@@ -690,18 +695,15 @@ def q_stream_envelope_ingest(spark, sf_dir):
   kafka_timestamp, transaction_id AS kafka_offset, CAST(customer_id % 6 AS INTEGER) AS kafka_partition,
   event_ts FROM txn"""))
 def q_json_decode(spark, sf_dir):
-    root, env = _envelope(spark, sf_dir, "decode")
-    s = sj.parsed_stream(spark, env).select("transaction_id", "customer_id", "channel_type", "amount",
-                                            "event_timestamp", "kafka_timestamp", "kafka_offset",
-                                            "kafka_partition", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
-    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt")
+    root, _ = _sliced(spark, sf_dir, "decode", _to_files(lambda e: sj.parsed_stream(spark, e).select(
+        "transaction_id", "customer_id", "channel_type", "amount", "event_timestamp", "kafka_timestamp",
+        "kafka_offset", "kafka_partition", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))))
     return spark.read.parquet(f"{root}/out")
 
 
 @register("raw_landing", O.with_views(f"SELECT transaction_id, {_TOPIC_SQL} AS topic FROM txn"))
 def q_raw_landing(spark, sf_dir):
-    root, env = _envelope(spark, sf_dir, "landing")
-    sj.run_to_files(sj.landing_stream(spark, env), f"{root}/out", f"{root}/ckpt")
+    root, _ = _sliced(spark, sf_dir, "landing", _to_files(lambda e: sj.landing_stream(spark, e)))
     return spark.read.parquet(f"{root}/out").select(
         F.get_json_object("json_value", "$.transaction_id").cast("long").alias("transaction_id"), "topic")
 
@@ -719,10 +721,9 @@ def _fact_type():
 def q_partitioned_sink_roundtrip(spark, sf_dir):
     """Fact rows partitioned by (type, status), appended by a checkpointed
     stream and read back; filters on the partition columns prune directories."""
-    root, env = _envelope(spark, sf_dir, "fact")
-    fact = sj.parsed_stream(spark, env).select("transaction_id", "customer_id", "amount", "event_ts",
-                                               _fact_type().alias("trans_type"), "trans_status")
-    sj.run_to_files(fact, f"{root}/out", f"{root}/ckpt", partition_cols=("trans_type", "trans_status"))
+    root, _ = _sliced(spark, sf_dir, "fact", _to_files(lambda e: sj.parsed_stream(spark, e).select(
+        "transaction_id", "customer_id", "amount", "event_ts", _fact_type().alias("trans_type"), "trans_status"),
+        partition_cols=("trans_type", "trans_status")))
     back = spark.read.parquet(f"{root}/out")
     return back.groupBy("trans_type", "trans_status").agg(F.count(F.lit(1)).alias("rows"),
                                                           F.sum("amount").cast("double").alias("amount"))
@@ -735,9 +736,8 @@ _CSV_SCHEMA = "transaction_id long, channel_type string, amount decimal(12,2)"
 def q_csv_export(spark, sf_dir):
     """One-file-per-batch CSV export with header (coalesce(1) on a small
     projection), read back by glob with a declared schema (S6)."""
-    root, env = _envelope(spark, sf_dir, "csv")
-    s = sj.parsed_stream(spark, env).select("transaction_id", "channel_type", "amount").coalesce(1)
-    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt", fmt="csv", options={"header": "true"})
+    root, _ = _sliced(spark, sf_dir, "csv", _to_files(lambda e: sj.parsed_stream(spark, e).select(
+        "transaction_id", "channel_type", "amount").coalesce(1), fmt="csv", options={"header": "true"}))
     from ledgerhawk.sources.tables import csv_scan
     return csv_scan(spark, f"{root}/out/*.csv", _CSV_SCHEMA)
 
@@ -753,9 +753,8 @@ def q_csv_scan(spark, sf_dir):
 @register("stream_dedup", O.with_views("SELECT DISTINCT transaction_id, amount FROM redelivered",
                                        views=("txn", "redelivered")))
 def q_stream_dedup(spark, sf_dir):
-    root, env = _envelope(spark, sf_dir, "dedup", redelivered(spark, sf_dir))
-    s = sj.stream_dedup(sj.parsed_stream(spark, env)).select("transaction_id", "amount")
-    sj.run_to_files(s, f"{root}/out", f"{root}/ckpt")
+    root, _ = _sliced(spark, sf_dir, "dedup", _to_files(lambda e: sj.stream_dedup(
+        sj.parsed_stream(spark, e)).select("transaction_id", "amount")), redelivered(spark, sf_dir))
     return spark.read.parquet(f"{root}/out")
 
 
@@ -763,9 +762,9 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_velocity(spark, sf_dir):
     """W2 twin of R2: update-mode window counts upserted per batch, read as the
     latest count per window, then the same threshold as the batch rule."""
-    root, env = _envelope(spark, sf_dir, "velocity")
-    sj.run_foreach_batch(sj.stream_velocity_counts(sj.parsed_stream(spark, env)),
-                         sj.upsert_window_counts(f"{root}/counts"), f"{root}/ckpt", mode="update")
+    root, _ = _sliced(spark, sf_dir, "velocity", lambda r, e: sj.run_foreach_batch(
+        sj.stream_velocity_counts(sj.parsed_stream(spark, e)), sj.upsert_window_counts(f"{r}/counts"),
+        f"{r}/ckpt", mode="update"))
     c = sj.read_window_counts(spark, f"{root}/counts").filter(F.col("txn_count") > TEST_RULES.velocity_per_hour)
     return c.select("customer_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"),
@@ -777,15 +776,12 @@ def q_stream_late_rows(spark, sf_dir):
     """Replay the first week after the whole month; the watermark drops the
     late copies in the stateful dedup. Reports rows in / rows dropped per batch."""
     t = txn(spark, sf_dir)
-    root = scratch_path(spark, "late")
-    env = f"{root}/envelope"
-    ss.write_envelope_slices(spark, t, f"{env}/a", SLICES)
-    ss.write_envelope_slices(spark, t.filter(F.col("event_ts") < F.lit(SLICES[0]).cast("timestamp")),
-                             f"{env}/b", ())
-    q = sj.run_to_files(sj.stream_dedup(sj.parsed_stream(spark, env)).select("transaction_id"),
-                        f"{root}/out", f"{root}/ckpt")
+    run = _to_files(lambda e: sj.stream_dedup(sj.parsed_stream(spark, e)).select("transaction_id"))
+    root, qa = _sliced(spark, sf_dir, "late", run, t, SLICES, sub="a")
+    _, qb = _sliced(spark, sf_dir, "late", run, t.filter(F.col("event_ts") < F.lit(SLICES[0]).cast("timestamp")),
+                    (), root=root, sub="b")
     rows = []
-    for prog in q.recentProgress:
+    for prog in [pr for q in qa + qb for pr in q.recentProgress]:
         dropped = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in prog.get("stateOperators", []))
         rows.append((int(prog["batchId"]), int(prog["numInputRows"]), dropped))
     return spark.createDataFrame(rows, "batch_id long, input_rows long, dropped_by_watermark long")
@@ -800,9 +796,9 @@ UNION ALL SELECT 'decisions', count(*) FROM dq WHERE dq_passed AND NOT (ingest_m
 def q_stream_fanout(spark, sf_dir):
     """Two queries instead of seven: stateless landing sinks from one
     read, and the stateful decision stream fanned out by foreachBatch."""
-    root, env = _envelope(spark, sf_dir, "fanout", txn_dirty(spark, sf_dir))
-    sj.landing_fanout(spark, env, root)
-    sj.decision_fanout(spark, env, root)
+    root = scratch_path(spark, "fanout")
+    _sliced(spark, sf_dir, "fanout", lambda r, e: (sj.landing_fanout(spark, e, r), sj.decision_fanout(spark, e, r)),
+            txn_dirty(spark, sf_dir), root=root)
     parts = []
     for sink in ("bronze", "dlq", "archive", "decisions"):
         parts.append(sk.read_log(spark, f"{root}/{sink}").agg(F.count(F.lit(1)).alias("rows"))
@@ -938,9 +934,9 @@ def q_stream_score(spark, sf_dir):
     ml.lr_train(_lr_data(spark, sf_dir), path)
     model = ml.load_model(path)
     feats = broadcast_if_small(gd.client_features(silver_of(spark, sf_dir)).withColumnRenamed("Clt_id", "customer_id"))
-    root, env = _envelope(spark, sf_dir, "score")
-    s = (sj.parsed_stream(spark, env).join(feats, "customer_id")
-           .withColumn("Trans_amount_d", F.col("amount").cast("double")))
-    scored = model.transform(s).select("transaction_id", "customer_id", "prediction")
-    sj.run_to_files(scored, f"{root}/out", f"{root}/ckpt")
+    def scored(env):
+        s = (sj.parsed_stream(spark, env).join(feats, "customer_id")
+               .withColumn("Trans_amount_d", F.col("amount").cast("double")))
+        return model.transform(s).select("transaction_id", "customer_id", "prediction")
+    root, _ = _sliced(spark, sf_dir, "score", _to_files(scored))
     return spark.read.parquet(f"{root}/out")

@@ -51,12 +51,12 @@ def run_foreach_batch(stream: DataFrame, fn, ckpt: str, mode: str = "append",
 
 
 # ---------------------------------------------------------------- pipelines
-def parsed_stream(spark: SparkSession, env_path: str, max_files: int = 1) -> DataFrame:
+def parsed_stream(spark: SparkSession, env_path: str, max_files: int | None = None) -> DataFrame:
     return decode(envelope_stream(spark, env_path, max_files))
 
 
 def decision_stream(spark: SparkSession, env_path: str, params: DecisionParams = DecisionParams(),
-                    ingest_col: str | None = "ingest_ms", max_files: int = 1) -> DataFrame:
+                    ingest_col: str | None = "ingest_ms", max_files: int | None = None) -> DataFrame:
     """Source -> decode -> DQ -> clean -> SLA -> on time -> stateful engine."""
     parsed = parsed_stream(spark, env_path, max_files)
     clean = dq_validate(parsed).filter("dq_passed")

@@ -3,7 +3,8 @@
 The envelope has the Kafka source schema (key, value, topic, partition, offset,
 timestamp). Where the Kafka connector is deployed, ``kafka_stream`` reads the
 same shape from brokers; here the envelope is a directory of parquet files read
-as a file stream with ``maxFilesPerTrigger`` as back-pressure.
+as a file stream, with ``maxFilesPerTrigger`` as back-pressure when a rate is
+wanted (``None`` drains whatever has arrived, as ``availableNow`` replays do).
 """
 
 from __future__ import annotations
@@ -78,12 +79,13 @@ def to_envelope(t: DataFrame) -> DataFrame:
     return env.select(*[f.name for f in ENVELOPE_SCHEMA.fields])
 
 
-def write_envelope_slices(spark: SparkSession, t: DataFrame, path: str, boundaries) -> list[str]:
-    """Write the envelope as one file set per event-time slice, in time order, so
-    a file stream replays them in arrival order (one slice per trigger)."""
+def envelope_slices(spark: SparkSession, t: DataFrame, path: str, boundaries):
+    """Write the envelope one event-time slice at a time, in time order, and
+    yield after each slice so the caller can drain a stream before the next
+    one arrives (one slice = one micro-batch, in arrival order). Every slice is
+    written by all tasks; no single-file coalesce."""
     env = to_envelope(t).withColumn("_t", F.col("timestamp"))
     edges = [None, *boundaries, None]
-    out = []
     for i in range(len(edges) - 1):
         cond = F.lit(True)
         if edges[i] is not None:
@@ -91,15 +93,21 @@ def write_envelope_slices(spark: SparkSession, t: DataFrame, path: str, boundari
         if edges[i + 1] is not None:
             cond = cond & (F.col("_t") < F.lit(edges[i + 1]).cast("timestamp"))
         part = f"{path}/slice={i:04d}"
-        env.filter(cond).drop("_t").coalesce(1).write.mode("overwrite").parquet(part)
-        out.append(part)
-    return out
+        env.filter(cond).drop("_t").write.mode("overwrite").parquet(part)
+        yield part
+
+
+def write_envelope_slices(spark: SparkSession, t: DataFrame, path: str, boundaries) -> list[str]:
+    """All slices at once (for a stream started afterwards)."""
+    return list(envelope_slices(spark, t, path, boundaries))
 
 
-def envelope_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+def envelope_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Streaming scan of the envelope directory with a declared schema."""
-    return (spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", max_files)
-                 .option("recursiveFileLookup", "true").parquet(path))
+    r = spark.readStream.schema(ENVELOPE_SCHEMA)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.option("recursiveFileLookup", "true").parquet(path)
 
 
 def kafka_stream(spark: SparkSession, servers: str, topics, max_offsets: int = 50_000,
