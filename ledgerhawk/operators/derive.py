@@ -57,7 +57,7 @@ def distance_from_last(df: DataFrame, key: str, ts: str, ident: str,
     Ordered per (key, segment) like T16; the first row of a hot key's segment
     takes the previous location from the segments before it."""
     own = sg.SEG not in df.columns
-    s = segmented(df, key, ts, split)
+    s = segmented(df, key, ts, split, ident)
     t = _micros(s, ts)
     order = sg.row_order(t, F.col(ident), nulls_last=False)
     s = sg.attach(s, key, sg.carries(s, key, order, False, last_row={

@@ -42,18 +42,26 @@ class SplitParams:
     seg_rows: int = 500_000     # target rows per segment of a split key
 
 
-def hot_keys(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams()) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams(),
+             ident: Column | None = None) -> DataFrame:
     """Keys above ``hot_rows`` rows with a segment length in units of ``t``.
 
     Segment length = span * seg_rows / rows, so a key active at a steady rate
-    gets about ``seg_rows`` rows per segment."""
-    stats = (df.select(key, t.alias("_t"))
+    gets about ``seg_rows`` rows per segment. Rows without a time are cut the
+    same way by ``ident`` (their order among themselves)."""
+    i = ident if ident is not None else F.lit(0).cast("long")
+    stats = (df.select(key, t.alias("_t"), F.when(t.isNull(), i).alias("_i"))
                .groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min("_t").alias("_t0"),
-                                 F.max("_t").alias("_t1")))
-    span = (F.col("_t1") - F.col("_t0") + F.lit(1)).cast("decimal(38,0)")
-    seg_len = F.greatest(F.lit(1), F.ceil(span * F.lit(p.seg_rows) / F.col("_kn"))).cast("long")
+                                 F.max("_t").alias("_t1"), F.count("_i").alias("_in"),
+                                 F.min("_i").alias("_i0"), F.max("_i").alias("_i1")))
+
+    def length(lo: str, hi: str, n: str) -> Column:
+        span = (F.col(hi) - F.col(lo) + F.lit(1)).cast("decimal(38,0)")
+        return F.greatest(F.lit(1), F.ceil(span * F.lit(p.seg_rows) / F.col(n))).cast("long")
+
     return (stats.filter(F.col("_kn") > F.lit(p.hot_rows))
-                 .select(F.col(key).alias("_hk"), "_t0", seg_len.alias("_seg_len")))
+                 .select(F.col(key).alias("_hk"), "_t0", length("_t0", "_t1", "_kn").alias("_seg_len"),
+                         "_i0", length("_i0", "_i1", "_in").alias("_nseg_len")))
 
 
 def has_hot(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams()) -> bool:
@@ -64,10 +72,12 @@ def has_hot(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams())
 UNSPLIT = "ledgerhawk.unsplit"
 
 
-def with_segments(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams()) -> DataFrame:
-    """Add ``_seg`` (0 for ordinary keys; time segment for hot keys, -1 for a hot
-    key's rows without time) and ``_hot``. The hot-key table is broadcast: its
-    row count is bounded by total_rows / hot_rows (module docstring).
+def with_segments(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams(),
+                  ident: Column | None = None) -> DataFrame:
+    """Add ``_seg`` (0 for ordinary keys; time segment >= 0 for hot keys; for a
+    hot key's rows without time -1, -2, ... by ``ident`` when given, else -1)
+    and ``_hot``. The hot-key table is broadcast: its row count is bounded by
+    total_rows / hot_rows (module docstring).
 
     When no key is hot (one small aggregate tells), the columns are constants
     and ``attach`` adds null carries without any job: the plan is the plain
@@ -75,12 +85,22 @@ def with_segments(df: DataFrame, key: str, t: Column, p: SplitParams = SplitPara
     if not has_hot(df, key, t, p):
         return (df.withColumn(SEG, F.lit(0).cast("long"))
                   .withColumn(HOT, F.lit(False).alias(HOT, metadata={UNSPLIT: True})))
-    hot = F.broadcast(hot_keys(df, key, t, p))
+    hot = F.broadcast(hot_keys(df, key, t, p, ident))
     j = df.join(hot, F.col(key) == F.col("_hk"), "left")
+    timeless = F.lit(NULL_SEG).cast("long") if ident is None else \
+        (F.lit(NULL_SEG) - F.floor((ident - F.col("_i0")) / F.col("_nseg_len"))).cast("long")
     seg = F.when(F.col("_hk").isNull(), F.lit(0).cast("long")) \
-        .when(t.isNull(), F.lit(NULL_SEG).cast("long")) \
+        .when(t.isNull(), timeless) \
         .otherwise(F.floor((t - F.col("_t0")) / F.col("_seg_len")).cast("long"))
-    return j.withColumn(SEG, seg).withColumn(HOT, F.col("_hk").isNotNull()).drop("_hk", "_t0", "_seg_len")
+    return j.withColumn(SEG, seg).withColumn(HOT, F.col("_hk").isNotNull()) \
+        .drop("_hk", "_t0", "_seg_len", "_i0", "_nseg_len")
+
+
+def seg_order(nulls_last: bool) -> Column:
+    """Sort key of segments in row order: time segments ascending; time-less
+    segments (-1, -2, ... by id) all before or all after them."""
+    edge = F.lit(2 ** 40 if nulls_last else -(2 ** 40)).cast("long")
+    return F.when(F.col(SEG) < 0, edge - F.col(SEG)).otherwise(F.col(SEG))
 
 
 def seg_window(key: str, *order: Column):
@@ -116,9 +136,8 @@ def carries(seg_df: DataFrame, key: str, order: Column, nulls_last: bool,
     aggs += [F.max(F.when(c, order)).alias(f"_o{n}") for n, (c, _) in last_nonnull.items()]
     aggs.append(F.max(order).alias("_olast"))
     per_seg = seg_df.filter(F.col(HOT)).groupBy(key, SEG).agg(*aggs)
-    # earlier segments first; the time-less segment goes first or last like its rows
-    seg_rank = F.when(F.col(SEG) == NULL_SEG, F.lit(1 if nulls_last else -1)).otherwise(F.lit(0))
-    w = W.partitionBy(key).orderBy(seg_rank, SEG).rowsBetween(W.unboundedPreceding, -1)
+    # earlier segments first; time-less segments go first or last like their rows
+    w = W.partitionBy(key).orderBy(seg_order(nulls_last)).rowsBetween(W.unboundedPreceding, -1)
     cols = [F.sum(n).over(w).alias(f"_c{n}") for n in sums]
     # "last earlier row" = the earlier segment with the greatest order value
     cols += [F.max_by(F.col(n), F.col("_olast")).over(w).alias(f"_c{n}") for n in last_row]

@@ -436,10 +436,11 @@ def _micros(df: DataFrame, ts: str) -> Column:
     return F.col(ts)
 
 
-def segmented(df: DataFrame, key: str, ts: str, split: SplitParams = SplitParams()) -> DataFrame:
+def segmented(df: DataFrame, key: str, ts: str, split: SplitParams = SplitParams(),
+              ident: str = "transaction_id") -> DataFrame:
     """Add the hot-key segment column once, so several ordered scans share it
     (and its single shuffle on (key, segment)). No-op if already present."""
-    return df if sg.SEG in df.columns else sg.with_segments(df, key, _micros(df, ts), split)
+    return df if sg.SEG in df.columns else sg.with_segments(df, key, _micros(df, ts), split, F.col(ident))
 
 
 def time_since_last(df: DataFrame, key: str = "customer_id", ts: str = "event_ts",
@@ -449,7 +450,7 @@ def time_since_last(df: DataFrame, key: str = "customer_id", ts: str = "event_ts
     Ordered per (key, segment); a hot key's segment takes the previous row's
     time from the segments before it (exact carry)."""
     own = sg.SEG not in df.columns
-    s = segmented(df, key, ts, split)
+    s = segmented(df, key, ts, split, ident)
     us = _micros(s, ts)
     order = sg.row_order(us, F.col(ident), nulls_last=True)
     s = sg.attach(s, key, sg.carries(s, key, order, True, last_row={"_prev_us": us}))
@@ -535,8 +536,7 @@ def _rolling_hot(h: DataFrame, day_ms: int, hour_ms: int, last_n: int, split: Sp
           .withColumn("_after", F.count(F.lit(1)).over(lw.rowsBetween(1, W.unboundedFollowing))))
     tails = (x.filter(F.col("_after") < last_n - 1).groupBy(key, sg.SEG)
               .agg(F.array_sort(F.collect_list(F.struct(o.alias("o"), amt.alias("a")))).alias("_tail")))
-    seg_rank = F.when(F.col(sg.SEG) == sg.NULL_SEG, F.lit(-1)).otherwise(F.lit(0))
-    sw = W.partitionBy(key).orderBy(seg_rank, sg.SEG).rowsBetween(-(last_n - 1), -1)
+    sw = W.partitionBy(key).orderBy(sg.seg_order(nulls_last=False)).rowsBetween(-(last_n - 1), -1)
     prev = F.flatten(F.collect_list("_tail").over(sw))
     carry = tails.select(F.col(key).alias("_ck"), F.col(sg.SEG).alias("_cs"),
                          F.transform(F.slice(prev, F.greatest(F.size(prev) - (last_n - 2), F.lit(1)), last_n - 1),

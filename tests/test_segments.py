@@ -33,6 +33,7 @@ def test_card_scans_split_equal_unsplit_with_null_times(spark):
     whole = dv.enrich_card(c).select(*cols)
     s = seq.segmented(c.withColumnRenamed("Trans_id", "transaction_id"), "Clt_id", "Trans_ts", TINY)
     assert s.filter(F.col(sg.SEG) > 0).count() > 0
+    assert s.filter(F.col(sg.SEG) < -1).count() > 0  # time-less rows cut into several segments too
     s = seq.time_since_last(s, key="Clt_id", ts="Trans_ts")
     split = dv.distance_from_last(s, "Clt_id", "Trans_ts", "transaction_id") \
         .withColumnRenamed("transaction_id", "Trans_id").select(*cols)
