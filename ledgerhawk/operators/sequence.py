@@ -170,6 +170,7 @@ ENTRY_FIELDS = (
 ENTRY_COLS = tuple(f"_e_{n}" for n, _ in ENTRY_FIELDS)
 FOLD_INPUT = ("customer_id", sg.SEG, "_ts", "transaction_id", "_usd_cents", "transaction_type",
               "device_id", "_channel", "_new_country", "_pre_violation")
+NO_EVICT = "_no_evict"
 
 
 def _entry_state(pdf, i):
@@ -199,8 +200,12 @@ def _fold(batches, p: DecisionParams, exits: bool = False):
     trusted: list = []
     done = []
 
+    no_evict = False
+
     def snapshot():
-        return (cur[0], cur[1], a1, mc, msum, a30, ins, outs, list(trusted))
+        # a customer with at most trust_size devices never evicts, so the list
+        # order cannot matter: keep it canonical and equal states converge
+        return (cur[0], cur[1], a1, mc, msum, a30, ins, outs, sorted(trusted) if no_evict else list(trusted))
 
     for pdf in batches:
         cust = pdf["customer_id"].tolist()
@@ -219,6 +224,7 @@ def _fold(batches, p: DecisionParams, exits: bool = False):
                     done.append(snapshot())
                 cur = (cust[i], seg[i])
                 a1, mc, msum, a30, ins, outs, trusted = _entry_state(pdf, i)
+                no_evict = exits and bool(pdf[NO_EVICT].iat[i])
             t, u = ts[i], usd[i]
             if a1 is None or t - a1 > p.micro_window_ms:
                 a1, mc, msum = t, 0, 0
@@ -308,14 +314,25 @@ def resolve_entry_states(windowed: DataFrame, p: DecisionParams = DecisionParams
     of every customer are exact). A segment's exit stops depending on its entry
     once it holds a quiet hour or a saturated trust list, so in practice the
     changed set collapses after a round or two and later rounds touch a few
-    segments. Rows come from a checkpointed, (customer, segment)-clustered
+    segments. A customer with at most ``trust_size`` devices never evicts, so
+    its trust list is kept in canonical order between segments (otherwise a
+    fresh and a true start differ only in list order and every segment would
+    look changed). Rows come from a checkpointed, (customer, segment)-clustered
     narrow copy of the hot rows; the state tables hold one row per segment
-    (bounded by total_rows / seg_rows) and are checkpointed each round.
+    (bounded by total_rows / seg_rows) and are checkpointed each round. The
+    device table has one row per hot customer (bounded by total_rows /
+    hot_rows, so broadcast).
     """
     from ledgerhawk.session import scratch_root
     spark = windowed.sparkSession
     scratch_root(spark)  # cluster checkpoint dir, or a test folder when unset
-    hot = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT).checkpoint()
+    rows = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT)
+    devices = (rows.filter(F.col("device_id").isNotNull()).groupBy("customer_id", "device_id").count()
+                   .groupBy("customer_id").agg((F.count(F.lit(1)) <= F.lit(p.trust_size)).alias(NO_EVICT)))
+    # the window stage left the rows hash-clustered by (customer, segment) and
+    # sorted; filter, projection, broadcast join and checkpoint keep that
+    hot = (rows.join(F.broadcast(devices), "customer_id", "left")
+               .withColumn(NO_EVICT, F.coalesce(F.col(NO_EVICT), F.lit(True))).checkpoint())
     exits = _fold_exits(hot, None, p).checkpoint()
     entries = _shift(exits).checkpoint()
     changed = entries.select("customer_id", sg.SEG)

@@ -74,3 +74,19 @@ def test_rolling_features_split_equals_unsplit(spark):
     cols = ("transaction_id", "total_in_24h", "total_out_24h", "txn_count_1h", "last_txn_amounts")
     for df in (t, nulls):
         _same(seq.rolling_features(df).select(*cols), seq.rolling_features(df, split=TINY).select(*cols))
+
+
+def test_decision_engine_split_with_trust_eviction(spark):
+    """Customers with more devices than the trust list holds: FIFO eviction
+    order must carry across segments exactly."""
+    from ledgerhawk.config import DecisionParams
+    t = txn(spark, SF_ORACLE).withColumn(
+        "device_id", F.concat(F.lit("D"), (F.col("transaction_id") % 15).cast("string")))
+    p = DecisionParams(wire_min_cents=100_000)
+    cols = ("transaction_id", "new_device", "wire_hit", "novelty_hit", "trust_joined", "trust_size",
+            "decision_action", "decision_reasons")
+    whole = seq.decision_pipeline(t, p, processing_ms=F.col("ingest_ms"), keep_features=True).select(*cols)
+    split = seq.decision_pipeline(t, p, processing_ms=F.col("ingest_ms"), keep_features=True,
+                                  split=SplitParams(hot_rows=20, seg_rows=8)).select(*cols)
+    assert whole.filter("trust_size = 10").count() > 0
+    _same(whole, split)
