@@ -24,6 +24,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
          .config("spark.driver.memory", os.environ.get("LEDGERHAWK_DRIVER_MEM", "8g"))
          .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)))
     for k, v in (extra or {}).items():

@@ -65,6 +65,9 @@ def use_rocksdb(spark) -> None:
     never finish); expired state is evicted on the next data batch instead."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    # commit = upload this batch's changes only; snapshots are made in the
+    # background maintenance task (a full snapshot per batch dominated commits)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 class DecisionProcessor(StatefulProcessor):
