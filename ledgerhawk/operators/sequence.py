@@ -171,6 +171,11 @@ ENTRY_COLS = tuple(f"_e_{n}" for n, _ in ENTRY_FIELDS)
 FOLD_INPUT = ("customer_id", sg.SEG, "_ts", "transaction_id", "_usd_cents", "transaction_type",
               "device_id", "_channel", "_new_country", "_pre_violation")
 NO_EVICT = "_no_evict"
+# read by the decision assembly after the fold (besides the fold's own outputs)
+AFTER_FOLD = ("transaction_id", "idempotency_key", "customer_id", "amount", "_channel", "_cents",
+              "_usd_cents", "_ts", "source_to_kafka_lag_ms", "kafka_to_spark_lag_ms", "total_pipeline_lag_ms",
+              "sla_breached", "dq_passed", "dq_violations", "completeness_score", "ml_risk_score",
+              "ml_cluster_id", "_z", "_outlier", "_d3", "_s3", "_d4", "_t3", "_t4", "_t7", "_t10", "_proc")
 
 
 def _entry_state(pdf, i):
@@ -384,6 +389,11 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     x = x.withColumn("_pre_violation", F.col("_outlier") | F.col("_t3") | F.col("_t4")
                      | F.col("_t7") | F.col("_t10")).drop("_mob", "_atm")
     split_any = not x.schema[sg.HOT].metadata.get(sg.UNSPLIT)
+    proc = processing_ms if processing_ms is not None else F.unix_millis(F.current_timestamp())
+    x = x.withColumn("_proc", proc.cast("long"))
+    if not keep_features:
+        # the fold is opaque to column pruning: hand it only what is read after it
+        x = x.select(*[c for c in x.columns if c in AFTER_FOLD or c in FOLD_INPUT or c in (sg.SEG, sg.HOT)])
     x = sequential_fold(x, p, resolve_entry_states(x, p) if split_any else None)
 
     micro_txt = F.concat(F.lit("MICRO_STRUCTURING_"), F.col("micro_n").cast("string"), F.lit("TXN_$"),
@@ -410,7 +420,6 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     reasons = F.array_compact(F.array(*[F.when(F.col(f), txt) for f, txt, _ in rules]))
     pct = sum((F.when(F.col(f), F.lit(w)).otherwise(F.lit(0)) for f, _, w in rules), F.lit(0))
     hard = F.col("_t3") | F.col("_t4") | F.col("_t7") | F.col("wire_hit") | F.col("mule_hit")
-    proc = processing_ms if processing_ms is not None else F.unix_millis(F.current_timestamp())
     x = x.withColumns({"_pct": F.least(pct, F.lit(100)), "_reasons": reasons})
     x = x.withColumns({
         "composite_risk_score": F.col("_pct") / F.lit(100.0),
@@ -425,7 +434,7 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
         "amount_zscore": F.floor(F.col("_z") * 10000 + F.lit(0.5)) / F.lit(10000.0),
         "data_fingerprint": fingerprint(F.col("transaction_id"), F.col("customer_id"), F.col("amount"),
                                         F.col("_ts"), F.col("_channel")),
-        "processing_timestamp": proc.cast("long"),
+        "processing_timestamp": F.col("_proc"),
         "pipeline_version": F.lit(C.PIPELINE_VERSION)})
     if keep_features:
         return x
