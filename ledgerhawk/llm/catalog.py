@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerhawk.llm import decontam, pii, quality, simhash, viterbi
+from ledgerhawk.llm import decontam, pfp, pii, quality, simhash, viterbi
 
 QUERIES = {
+    "op2_prefix_free_parsing": pfp.op2,
     "op3_pii_candidates": pii.op3,
     "op5_benchmark_decontamination": decontam.op5,
     "op6_quality_rules": quality.op6,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerhawk.session import prepare, scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TOKENIZER_DIR = "/opt/tokenizers"
 
 
@@ -21,9 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared scratch folder and read back: cuts lineage with a
     copy that survives lost executors, and fixes what several consumers see."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")             # the written copy replaces the shuffle files
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
