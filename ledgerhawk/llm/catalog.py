@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerhawk.llm import decontam, pfp, pii, quality, simhash, viterbi
+from ledgerhawk.llm import cdc, decontam, pfp, pii, quality, simhash, viterbi
 
 QUERIES = {
     "op2_prefix_free_parsing": pfp.op2,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_benchmark_decontamination": decontam.op5,
     "op6_quality_rules": quality.op6,
     "op7_sentencepiece": viterbi.op7,
+    "op8_content_defined_chunks": cdc.op8,
     "op9_simhash_near_dedup": simhash.op9,
 }
 ORACLE = {
