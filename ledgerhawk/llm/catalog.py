@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerhawk.llm import cdc, decontam, pfp, pii, quality, simhash, viterbi
+from ledgerhawk.llm import cdc, decontam, pfp, pii, quality, simhash, viterbi, warc
 
 QUERIES = {
     "op2_prefix_free_parsing": pfp.op2,
@@ -12,7 +12,9 @@ QUERIES = {
     "op7_sentencepiece": viterbi.op7,
     "op8_content_defined_chunks": cdc.op8,
     "op9_simhash_near_dedup": simhash.op9,
+    "op10_legacy_archives": warc.op10,
 }
 ORACLE = {
     "op5_benchmark_decontamination": decontam.ORACLE,
+    "op10_legacy_archives": warc.ORACLE,
 }
