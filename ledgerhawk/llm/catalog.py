@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerhawk.llm import cdc, decontam, pfp, pii, quality, simhash, viterbi, warc
+from ledgerhawk.llm import cdc, decontam, pfp, pii, quality, simhash, toxicity, viterbi, warc
 
 QUERIES = {
     "op2_prefix_free_parsing": pfp.op2,
     "op3_pii_candidates": pii.op3,
+    "op4_toxic_segments": toxicity.op4,
     "op5_benchmark_decontamination": decontam.op5,
     "op6_quality_rules": quality.op6,
     "op7_sentencepiece": viterbi.op7,
