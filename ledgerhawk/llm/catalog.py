@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerhawk.llm import cdc, decontam, pfp, pii, quality, simhash, toxicity, viterbi, warc
+from ledgerhawk.llm import cdc, chat, decontam, pfp, pii, quality, simhash, toxicity, viterbi, warc
 
 QUERIES = {
+    "op1_role_repair": chat.op1,
     "op2_prefix_free_parsing": pfp.op2,
     "op3_pii_candidates": pii.op3,
     "op4_toxic_segments": toxicity.op4,
