@@ -109,10 +109,9 @@ def _seeds(docs: DataFrame, grams: DataFrame, k: int, n_grams: int) -> DataFrame
     if n_grams <= BROADCAST_SHINGLES:
         hit = at.join(F.broadcast(own), "h")
     else:
-        light = at.drop("words").join(own, "h")
-        hit = light.join(base.select("doc_id", "digest", "words"),
-                         light.doc_id.eqNullSafe(base.doc_id) & (light.digest == base.digest)) \
-            .select(*[light[c] for c in light.columns], base.words)
+        whole = base.select(F.col("doc_id").alias("whole_id"), F.col("digest").alias("whole_digest"), "words").distinct()
+        hit = at.drop("words").join(own, "h") \
+            .join(whole, F.col("doc_id").eqNullSafe(F.col("whole_id")) & (F.col("digest") == F.col("whole_digest")))
     return hit.select("doc_id", "digest", "len", "n", "k", "p", low.alias("low"),
                       F.slice("words", low + 1, F.col("p") + F.col("n") - low).alias("near"))
 
