@@ -167,9 +167,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
                                           F.lit(0.0).alias("similarity"))
     kinds = list(range(1, shingle + 1))
     hashed = wins.withColumn("hashes", _hashes_of(F.col("window"), F.col("k"), kinds))
-    left = stored(hashed.withColumn("fp", simhash(F.col("hashes"))).drop("hashes"), "decontam-windows")
-    right = stored(bench.withColumn("hashes", _hashes_of(F.col("item_words"), F.col("k"), kinds))
-                   .withColumn("item_fp", simhash(F.col("hashes"))).drop("hashes", "k"), "decontam-prints")
+    left = stored(hashed.withColumn("fp", simhash(F.col("hashes"))), "decontam-windows")
+    right = stored(bench.withColumn("item_hashes", _hashes_of(F.col("item_words"), F.col("k"), kinds))
+                   .withColumn("item_fp", simhash(F.col("item_hashes"))).drop("k"), "decontam-prints")
     cut = blocks(radius)
 
     def keyed(df: DataFrame, fp: str) -> DataFrame:
@@ -181,7 +181,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     first = F.coalesce(*[F.when(F.shiftrightunsigned(apart, s).bitwiseAND(F.lit(m)) == 0, F.lit(i))
                          for i, (s, m) in enumerate(cut)])
     pairs = pairs.where((F.bit_count(apart) <= radius) & (F.col("block") == first))
-    scored = pairs.select("doc_id", "digest", "item_id", "start", F.col("n").alias("n_words"),
+    # equal shingles have equal hashes, so a pair that fails on hashes fails on words
+    near = pairs.where(multiset_jaccard(F.col("hashes"), F.col("item_hashes")) >= similarity)
+    scored = near.select("doc_id", "digest", "item_id", "start", F.col("n").alias("n_words"),
                           F.bit_count(apart).alias("distance"),
                           multiset_jaccard(shingle_texts(F.col("window"), F.col("k")),
                                            shingle_texts(F.col("item_words"), F.col("k"))).alias("similarity"))
