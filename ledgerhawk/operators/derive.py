@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerhawk.operators.gold import dedup_batch
 from ledgerhawk.config import HOLIDAYS, SilverParams, StepRiskParams
 from ledgerhawk.functions.geo import haversine
 from ledgerhawk.functions.joins import broadcast_if_small
@@ -59,7 +60,7 @@ def distance_from_last(df: DataFrame, key: str, ts: str, ident: str,
     own = sg.SEG not in df.columns
     s = segmented(df, key, ts, split, ident)
     t = _micros(s, ts)
-    order = sg.row_order(t, F.col(ident), nulls_last=False)
+    order = sg.row_order(t, F.col(ident), False, sg.id_type(s, F.col(ident)))
     s = sg.attach(s, key, sg.carries(s, key, order, False, last_row={
         "_prev_lat": F.col("latitude"), "_prev_lon": F.col("longitude")}))
     w = sg.seg_window(key, F.col(ts).asc_nulls_first(), F.col(ident))
@@ -162,7 +163,7 @@ def fact_surrogate_keys(enriched: DataFrame, clients: DataFrame, nations: DataFr
 def silver(cards: DataFrame, p: SilverParams = SilverParams(), step: StepRiskParams = StepRiskParams()) -> DataFrame:
     """Bronze -> silver: dedup (C1), business rules (P16), standardise (P17) and the
     fraud flag gold needs (P9/P10), keeping the event time (X6)."""
-    d = cards.dropDuplicates(["Trans_id", "Trans_Ref_No"])
+    d = dedup_batch(cards, ("Trans_id", "Trans_Ref_No"))
     s = silver_standardize(silver_filter(d, p), cols=("Currency",))
     wk = is_weekend(F.col("Trans_ts"))
     return s.withColumn("fraud_flag", is_fraud(risk_step(F.col("Trans_amount"), wk, step), step))

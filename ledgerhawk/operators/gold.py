@@ -105,9 +105,12 @@ def decision_mix(decisions: DataFrame) -> DataFrame:
 
 
 def dedup_batch(df: DataFrame, keys=("transaction_id", "trans_ref_no")) -> DataFrame:
-    """Exact dedup; a hash aggregate with map-side combine (repeats collapse
-    before the shuffle). Copies are identical rows, so any survivor is the same."""
-    return df.dropDuplicates(list(keys))
+    """Exact dedup with map-side combine. Of rows with the same keys the one with
+    the least XXH64 of all its columns stays, so a rerun keeps the same row."""
+    rest = [c for c in df.columns if c not in keys]
+    order = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_kept")) \
+        .select(*[F.col(f"_kept.{c}") if c in rest else F.col(c) for c in df.columns])
 
 
 # ----------------------------------------------------------------- S16 replay
@@ -120,9 +123,8 @@ def replay_resume(df: DataFrame, marks: DataFrame, channel: str = "channel_type"
                   ident: str = "transaction_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per channel, skip ids <= stored mark, emit the rest, new mark = max id.
 
-    Marks have one row per channel (bounded by the channel list), so they are
-    broadcast. Returns (rows to emit, report per channel, new marks)."""
-    m = F.broadcast(marks.select(F.col(channel).alias("_ch"), F.col("last_id").alias("_mark")))
+    Marks have one row per channel and are broadcast if their size is small. Returns (rows to emit, report per channel, new marks)."""
+    m = broadcast_if_small(marks.select(F.col(channel).alias("_ch"), F.col("last_id").alias("_mark")))
     j = df.join(m, F.col(channel) == F.col("_ch"), "left")
     fresh = F.col(ident) > F.coalesce(F.col("_mark"), F.lit(0))
     emit = j.filter(fresh).drop("_ch", "_mark")

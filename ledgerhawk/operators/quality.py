@@ -170,8 +170,8 @@ def suite_report(df: DataFrame, suite) -> DataFrame:
                 F.lit(0.0 if ok else None).cast("double").alias("unexpected_percent"),
                 F.lit(ok).alias("success")))
             continue
-        miss = F.col(f"m{i}").cast("long")
-        unexp = miss if e.kind == "not_null" else F.col(f"u{i}").cast("long")
+        miss = F.coalesce(F.col(f"m{i}"), F.lit(0)).cast("long")       # sums over no rows are null
+        unexp = miss if e.kind == "not_null" else F.coalesce(F.col(f"u{i}"), F.lit(0)).cast("long")
         rows.append(_report_row(i, e, n, miss, unexp))
     out = one.select(F.inline(F.array(*rows))) if rows else None
     for p in parts:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerhawk.config import RuleParams
+from ledgerhawk.functions.joins import broadcast_if_small
 
 ALERT_COLS = ("customer_id", "transaction_id", "window_start", "window_end", "txn_count", "fraud_reason")
 
@@ -78,9 +79,9 @@ def rule_country_mismatch(df: DataFrame) -> DataFrame:
 
 
 def rule_blacklist(df: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Destination on the blacklist. The list is a small parameter table, so
-    it is broadcast into a left-semi join (no shuffle of the transactions)."""
-    bl = F.broadcast(blacklist.select(F.col("name").alias("_bl")).distinct())
+    """Destination on the blacklist, broadcast into a left-semi join if its size
+    is small (no shuffle of the transactions)."""
+    bl = broadcast_if_small(blacklist.select(F.col("name").alias("_bl")).distinct())
     return (df.join(bl, F.col("trans_destination") == F.col("_bl"), "left_semi")
               .select("customer_id", "transaction_id", "trans_destination",
                       F.lit("Blacklisted Merchant").alias("fraud_reason")))
@@ -119,7 +120,7 @@ def rules_union(df: DataFrame, blacklist: DataFrame, p: RuleParams = RuleParams(
     """Every rule's alerts in one normalised schema, one scan for the row
     rules and one shared hourly aggregate for the window rules."""
     h = F.hour("event_ts")
-    bl = F.broadcast(blacklist.select(F.col("name").alias("_bl")).distinct())
+    bl = broadcast_if_small(blacklist.select(F.col("name").alias("_bl")).distinct())
     rows = (df.join(bl, F.col("trans_destination") == F.col("_bl"), "left")
               .select("customer_id", "transaction_id", F.explode(F.array_compact(F.array(
                   F.when(F.col("amount") > F.lit(p.high_amount), F.lit("High Amount")),

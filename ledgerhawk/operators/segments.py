@@ -2,8 +2,8 @@
 
 ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one task; a
 key holding a third of the data would run in one task. Here a key with more than
-``hot_rows`` rows is cut into consecutive time segments of about ``seg_rows``
-rows. Windows then run per (key, segment), and every segment receives an exact
+``hot_rows`` rows is cut at quantiles of its times into consecutive segments of
+about ``seg_rows`` rows. Windows then run per (key, segment), and every segment receives an exact
 *carry* from the segments before it:
 
 * sums and counts: the sum over earlier segments;
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ledgerhawk.functions.joins import broadcast_if_small
@@ -34,6 +35,7 @@ from ledgerhawk.functions.joins import broadcast_if_small
 SEG = "_seg"
 HOT = "_hot"
 NULL_SEG = -1
+QUANTILES = 1024         # most segments of one key
 
 
 @dataclass(frozen=True)
@@ -42,31 +44,53 @@ class SplitParams:
     seg_rows: int = 500_000     # target rows per segment of a split key
 
 
+def id_number(ident: Column, kind: T.DataType) -> Column:
+    """A long that grows with the id: the id itself, or for any other type the first
+    seven bytes of its text (ids that share them fall into one segment)."""
+    if isinstance(kind, T.IntegralType):
+        return ident.cast("long")
+    head = F.rpad(F.hex(F.substring(ident.cast("string").cast("binary"), 1, 7)), 14, "0")
+    return F.conv(head, 16, 10).cast("long")
+
+
+def id_type(df: DataFrame, ident: Column) -> T.DataType:
+    return df.select(ident.alias("i")).schema["i"].dataType
+
+
+def counted(df: DataFrame, key: str, p: SplitParams = SplitParams()) -> DataFrame:
+    """Keys above ``hot_rows`` rows: one partial aggregation over the key column."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_kn")).filter(F.col("_kn") > F.lit(p.hot_rows)) \
+        .select(F.col(key).alias("_hk"), "_kn")
+
+
 def hot_keys(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams(),
              ident: Column | None = None) -> DataFrame:
-    """Keys above ``hot_rows`` rows with a segment length in units of ``t``.
+    """Keys above ``hot_rows`` rows with the times that cut them into about equal parts.
 
-    Segment length = span * seg_rows / rows, so a key active at a steady rate
-    gets about ``seg_rows`` rows per segment. Rows without a time are cut the
-    same way by ``ident`` (their order among themselves)."""
-    i = ident if ident is not None else F.lit(0).cast("long")
-    stats = (df.select(key, t.alias("_t"), F.when(t.isNull(), i).alias("_i"))
-               .groupBy(key).agg(F.count(F.lit(1)).alias("_kn"), F.min("_t").alias("_t0"),
-                                 F.max("_t").alias("_t1"), F.count("_i").alias("_in"),
-                                 F.min("_i").alias("_i0"), F.max("_i").alias("_i1")))
+    The cuts are quantiles of the key's own times, so a key whose rows come in a burst
+    is cut inside the burst (rows of one time stay together). Rows without a time are
+    cut the same way by ``ident`` (their order among themselves). Only rows of hot keys
+    are looked at; their list is bounded by total rows / ``hot_rows``."""
+    i = F.lit(0).cast("long") if ident is None else id_number(ident, id_type(df, ident))
+    own = df.select(F.col(key).alias("_k"), t.cast("long").alias("_t"), F.when(t.isNull(), i).alias("_i")) \
+        .join(F.broadcast(counted(df, key, p)), F.col("_k") == F.col("_hk"))
+    grid = [q / QUANTILES for q in range(1, QUANTILES)]
+    stats = own.groupBy("_hk").agg(F.max("_kn").alias("_kn"), F.percentile_approx("_t", grid, 10 * QUANTILES).alias("_tq"),
+                                   F.percentile_approx("_i", grid, 10 * QUANTILES).alias("_iq"))
+    parts = F.least(F.ceil(F.col("_kn") / F.lit(p.seg_rows)), F.lit(QUANTILES)).cast("int")
 
-    def length(lo: str, hi: str, n: str) -> Column:
-        span = (F.col(hi) - F.col(lo) + F.lit(1)).cast("decimal(38,0)")
-        return F.greatest(F.lit(1), F.ceil(span * F.lit(p.seg_rows) / F.col(n))).cast("long")
+    def cuts(c: str) -> Column:
+        places = F.transform(F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))),
+                             lambda j: F.greatest(F.floor(j * F.lit(QUANTILES) / parts).cast("int"), F.lit(1)))
+        found = F.array_distinct(F.transform(places, lambda j: F.element_at(F.col(c), j)))
+        return F.when(parts > 1, F.coalesce(found, F.array().cast("array<bigint>"))).otherwise(F.array().cast("array<bigint>"))
 
-    return (stats.filter(F.col("_kn") > F.lit(p.hot_rows))
-                 .select(F.col(key).alias("_hk"), "_t0", length("_t0", "_t1", "_kn").alias("_seg_len"),
-                         "_i0", length("_i0", "_i1", "_in").alias("_nseg_len")))
+    return stats.select("_hk", cuts("_tq").alias("_t_cuts"), cuts("_iq").alias("_i_cuts"))
 
 
 def has_hot(df: DataFrame, key: str, t: Column, p: SplitParams = SplitParams()) -> bool:
     """Whether any key is split (one partial aggregation over the key column)."""
-    return not hot_keys(df, key, t, p).isEmpty()
+    return not counted(df, key, p).isEmpty()
 
 
 UNSPLIT = "ledgerhawk.unsplit"
@@ -87,13 +111,15 @@ def with_segments(df: DataFrame, key: str, t: Column, p: SplitParams = SplitPara
                   .withColumn(HOT, F.lit(False).alias(HOT, metadata={UNSPLIT: True})))
     hot = F.broadcast(hot_keys(df, key, t, p, ident))
     j = df.join(hot, F.col(key) == F.col("_hk"), "left")
+    def below(cuts: str, value: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= value)).cast("long")
+
     timeless = F.lit(NULL_SEG).cast("long") if ident is None else \
-        (F.lit(NULL_SEG) - F.floor((ident - F.col("_i0")) / F.col("_nseg_len"))).cast("long")
+        F.lit(NULL_SEG).cast("long") - below("_i_cuts", id_number(ident, id_type(df, ident)))
     seg = F.when(F.col("_hk").isNull(), F.lit(0).cast("long")) \
-        .when(t.isNull(), timeless) \
-        .otherwise(F.floor((t - F.col("_t0")) / F.col("_seg_len")).cast("long"))
+        .when(t.isNull(), timeless).otherwise(below("_t_cuts", t.cast("long")))
     return j.withColumn(SEG, seg).withColumn(HOT, F.col("_hk").isNotNull()) \
-        .drop("_hk", "_t0", "_seg_len", "_i0", "_nseg_len")
+        .drop("_hk", "_t_cuts", "_i_cuts")
 
 
 def seg_order(nulls_last: bool) -> Column:
@@ -107,13 +133,17 @@ def seg_window(key: str, *order: Column):
     return W.partitionBy(key, SEG).orderBy(*order)
 
 
-def row_order(t: Column, ident: Column, nulls_last: bool) -> Column:
-    """Total order of a key's rows as one fixed-width number (null times first
-    or last): t * 10^20 + (id + 2^63) as decimal(38,0). Being fixed-width keeps
-    the ``max_by`` carries in a hash aggregate (a struct ordering would force a
-    sort aggregate). Times are epoch micros (|t| < 10^17)."""
+def row_order(t: Column, ident: Column, nulls_last: bool, kind: T.DataType | None = None) -> Column:
+    """Total order of a key's rows, null times first or last.
+
+    For whole-number ids (or no stated type) one fixed-width number, t * 10^20 +
+    (id + 2^63) as decimal(38,0), which keeps the ``max_by`` carries in a hash
+    aggregate; for ids of any other type a struct of time and id. Times are epoch
+    micros (|t| < 10^17)."""
     edge = F.lit(10 ** 17 if nulls_last else -(10 ** 17)).cast("decimal(38,0)")
     tt = F.coalesce(t.cast("decimal(38,0)"), edge)
+    if kind is not None and not isinstance(kind, T.IntegralType):
+        return F.struct(tt.alias("t"), ident.alias("i"))
     ii = ident.cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
     return (tt * F.lit(str(10 ** 20)).cast("decimal(38,0)") + ii).cast("decimal(38,0)")
 

@@ -47,7 +47,7 @@ def with_segment_carries(df: DataFrame, split: SplitParams = SplitParams()) -> D
     windows need from the segments before it: exact moment sums, the last mobile
     fix, the last ATM/POS/BRANCH fix and the last known country."""
     s = segmented(df, "customer_id", "_ts", split)
-    order = sg.row_order(F.col("_ts"), F.col("transaction_id"), nulls_last=True)
+    order = sg.row_order(F.col("_ts"), F.col("transaction_id"), True, sg.id_type(s, F.col("transaction_id")))
     x = F.col("_cents").cast("decimal(38,0)")
     mob, atm = F.col("_channel") == "MOBILE_APP", F.col("_channel").isin(*ATM_GROUP)
     fix = {"ts": "_ts", "lat": "latitude", "lon": "longitude", "ip": "ip_country"}
@@ -478,7 +478,7 @@ def time_since_last(df: DataFrame, key: str = "customer_id", ts: str = "event_ts
     own = sg.SEG not in df.columns
     s = segmented(df, key, ts, split, ident)
     us = _micros(s, ts)
-    order = sg.row_order(us, F.col(ident), nulls_last=True)
+    order = sg.row_order(us, F.col(ident), True, sg.id_type(s, F.col(ident)))
     s = sg.attach(s, key, sg.carries(s, key, order, True, last_row={"_prev_us": us}))
     w = sg.seg_window(key, F.col(ts).asc_nulls_last(), F.col(ident))
     prev = F.coalesce(F.lag(us).over(w), F.col("_c_prev_us"))
@@ -534,7 +534,7 @@ def _rolling_hot(h: DataFrame, day_ms: int, hour_ms: int, last_n: int, split: Sp
          .unionByName(rows(t - F.lit(day_ms + 1), 1, zero, zero, F.lit(0).cast("long")))
          .unionByName(rows(t - F.lit(hour_ms + 1), 2, zero, zero, F.lit(0).cast("long"))))
     u = sg.with_segments(u, key, F.col("_t"), split)
-    order = sg.row_order(F.col("_t"), F.col("transaction_id"), nulls_last=True)
+    order = sg.row_order(F.col("_t"), F.col("transaction_id"), True, sg.id_type(u, F.col("transaction_id")))
     u = sg.attach(u, key, sg.carries(u, key, order, True,
                                      sums={"_in": F.col("_vin"), "_out": F.col("_vout"), "_n": F.col("_vc")}))
     w = W.partitionBy(key, sg.SEG).orderBy("_t").rangeBetween(W.unboundedPreceding, 0)
@@ -557,7 +557,7 @@ def _rolling_hot(h: DataFrame, day_ms: int, hour_ms: int, last_n: int, split: Sp
     # last-n amounts: in-segment frame plus the previous segments' tail
     amt = F.col("amount").cast("string")
     lw = W.partitionBy(key, sg.SEG).orderBy(t.asc_nulls_first(), F.col("transaction_id"))
-    o = sg.row_order(t, F.col("transaction_id"), nulls_last=False)
+    o = sg.row_order(t, F.col("transaction_id"), False, sg.id_type(h, F.col("transaction_id")))
     x = (h.withColumn("_in_seg", F.collect_list(amt).over(lw.rowsBetween(-(last_n - 1), 0)))
           .withColumn("_after", F.count(F.lit(1)).over(lw.rowsBetween(1, W.unboundedFollowing))))
     tails = (x.filter(F.col("_after") < last_n - 1).groupBy(key, sg.SEG)

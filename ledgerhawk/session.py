@@ -43,7 +43,7 @@ def ship_package(spark: SparkSession) -> None:
     The archive is built once per context on the driver and distributed by
     Spark itself; nothing on executors depends on a local path."""
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     import zipfile
@@ -75,13 +75,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint dir)
-    and only falls back to a fresh local temp dir when nothing is configured,
-    i.e. in tests on a laptop.
+    Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint dir).
+    A fresh local temp dir is made only in local mode, where every task runs on
+    this machine; on any other master the setting is required.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerhawk-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")

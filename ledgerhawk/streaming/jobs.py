@@ -17,7 +17,7 @@ from ledgerhawk.operators.latency import sla_metrics
 from ledgerhawk.operators.quality import dq_validate
 from ledgerhawk.streaming import sinks as sk
 from ledgerhawk.streaming.sources import decode, envelope_stream, raw_landing
-from ledgerhawk.streaming.stateful import stream_decisions
+from ledgerhawk.streaming.stateful import restore_settings, stream_decisions
 
 
 def _trigger(w, trigger_seconds: int | None):
@@ -25,6 +25,17 @@ def _trigger(w, trigger_seconds: int | None):
         w.trigger(processingTime=f"{trigger_seconds} seconds")
 
 
+def _started(w, spark: SparkSession, trigger_seconds: int | None):
+    """Start, wait if it only drains, and undo settings made for this query alone."""
+    try:
+        q = _trigger(w, trigger_seconds).start()
+    finally:
+        restore_settings(spark)
+    if trigger_seconds is None:
+        q.awaitTermination()
+    return q
+
+
 def run_to_files(stream: DataFrame, out: str, ckpt: str, fmt: str = "parquet", partition_cols=(),
                  mode: str = "append", trigger_seconds: int | None = None, options: dict | None = None):
     """File sink (S7, S8, S13, S14). With ``trigger_seconds=None`` it drains what
@@ -35,19 +46,13 @@ def run_to_files(stream: DataFrame, out: str, ckpt: str, fmt: str = "parquet", p
         w = w.option(k, v)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    q = _trigger(w, trigger_seconds).start()
-    if trigger_seconds is None:
-        q.awaitTermination()
-    return q
+    return _started(w, stream.sparkSession, trigger_seconds)
 
 
 def run_foreach_batch(stream: DataFrame, fn, ckpt: str, mode: str = "append",
                       trigger_seconds: int | None = None):
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt).outputMode(mode)
-    q = _trigger(w, trigger_seconds).start()
-    if trigger_seconds is None:
-        q.awaitTermination()
-    return q
+    return _started(w, stream.sparkSession, trigger_seconds)
 
 
 # ---------------------------------------------------------------- pipelines

@@ -49,27 +49,36 @@ def serving_rows(decisions: DataFrame) -> DataFrame:
 
 
 def upsert_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """S11 write side: keep the newest row per key inside the batch, then log it."""
-    latest = (batch.groupBy("row_key")
-                   .agg(F.max_by(F.struct(*[c for c in batch.columns if c != "row_key"]),
-                                 F.col("version_ts")).alias("r"))
-                   .select("row_key", "r.*"))
-    write_batch(latest, path, batch_id)
+    """S11 write side: keep the newest row per key inside the batch, then log it.
+    Rows without a key are no versions of each other: all are kept."""
+    cols = [c for c in batch.columns if c != "row_key"]
+    latest = (batch.filter(F.col("row_key").isNotNull()).groupBy("row_key")
+                   .agg(F.max(F.struct("version_ts", *cols)).alias("r"))
+                   .select("row_key", *[F.col(f"r.{c}") for c in ("version_ts", *[c for c in cols if c != "version_ts"])]))
+    loose = batch.filter(F.col("row_key").isNull())
+    write_batch(latest.unionByName(loose), path, batch_id)
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
     """S11 read side: latest row per key across all batches (repeated key overwrites)."""
     log = read_log(spark, path)
     cols = [c for c in log.columns if c not in ("row_key",)]
-    return (log.groupBy("row_key")
-               .agg(F.max_by(F.struct(*cols), F.struct("batch_id", "version_ts")).alias("r"))
-               .select("row_key", "r.*").drop("batch_id"))
+    latest = (log.filter(F.col("row_key").isNotNull()).groupBy("row_key")
+                 .agg(F.max_by(F.struct(*cols), F.struct("batch_id", "version_ts")).alias("r"))
+                 .select("row_key", "r.*"))
+    return latest.unionByName(log.filter(F.col("row_key").isNull()).select(*latest.columns)).drop("batch_id")
 
 
 def merge_insert_batch(spark: SparkSession, batch: DataFrame, path: str, batch_id: int, key: str,
                        partition_cols=("decision_action",)) -> None:
-    """Insert rows whose key is not stored yet (MERGE ... WHEN NOT MATCHED INSERT)."""
-    fresh = batch.dropDuplicates([key])
+    """Insert rows whose key is not stored yet (MERGE ... WHEN NOT MATCHED INSERT).
+    Of rows with one key the least by all its columns goes in, so a replay chooses alike;
+    rows without a key match nothing and all go in."""
+    cols = [c for c in batch.columns if c != key]
+    order = F.xxhash64(*[F.col(c) for c in cols])
+    keyed = (batch.filter(F.col(key).isNotNull()).groupBy(key)
+                  .agg(F.min_by(F.struct(*cols), order).alias("r")).select(key, "r.*").select(*batch.columns))
+    fresh = keyed.unionByName(batch.filter(F.col(key).isNull()))
     log = read_log(spark, path)
     if log is not None:
         known = log.filter(F.col("batch_id") != F.lit(int(batch_id))).select(key)

@@ -92,6 +92,8 @@ def envelope_slices(spark: SparkSession, t: DataFrame, path: str, boundaries):
             cond = cond & (F.col("_t") >= F.lit(edges[i]).cast("timestamp"))
         if edges[i + 1] is not None:
             cond = cond & (F.col("_t") < F.lit(edges[i + 1]).cast("timestamp"))
+        if i == 0:                       # rows without a broker time arrive first
+            cond = cond | F.col("_t").isNull()
         part = f"{path}/slice={i:04d}"
         env.filter(cond).drop("_t").write.mode("overwrite").parquet(part)
         yield part

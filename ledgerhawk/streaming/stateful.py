@@ -57,6 +57,16 @@ def _time_order(r: dict):
     return (ts is None, ts if ts is not None else 0, r["transaction_id"])
 
 
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+_BEFORE: dict = {}
+
+
+def restore_settings(spark) -> None:
+    """Undo what ``use_rocksdb`` changed for one query, once it has started."""
+    if NO_DATA in _BEFORE:
+        spark.conf.set(NO_DATA, _BEFORE.pop(NO_DATA))
+
+
 def use_rocksdb(spark) -> None:
     """transformWithState needs the RocksDB provider; set before the query starts.
 
@@ -64,7 +74,9 @@ def use_rocksdb(spark) -> None:
     be scheduled back to back while state exists (an ``availableNow`` run would
     never finish); expired state is evicted on the next data batch instead."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    if NO_DATA not in _BEFORE:
+        _BEFORE[NO_DATA] = spark.conf.get(NO_DATA, "true")
+    spark.conf.set(NO_DATA, "false")
     # commit = upload this batch's changes only; snapshots are made in the
     # background maintenance task (a full snapshot per batch dominated commits)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -106,10 +118,14 @@ def stream_decisions(clean: DataFrame, params: DecisionParams = DecisionParams()
 
 
 class TimeSinceLastProcessor(StatefulProcessor):
-    """T16 stream: seconds since the client's previous transaction across batches."""
+    """T16 stream: seconds since the client's previous transaction across batches.
+    State is kept for good unless ``ttl_ms`` is given."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_ts", "last_us long", DAY_MS)
+        self.last = handle.getValueState("last_ts", "last_us long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         recs = sorted(((r["event_us"], r["transaction_id"]) for r in rows),

@@ -90,3 +90,18 @@ def test_decision_engine_split_with_trust_eviction(spark):
                                   split=SplitParams(hot_rows=20, seg_rows=8)).select(*cols)
     assert whole.filter("trust_size = 10").count() > 0
     _same(whole, split)
+
+
+def test_text_ids_and_a_burst_split_equal_unsplit(spark):
+    """Ids of the reference are strings, and a key's rows may come in one burst."""
+    t = txn(spark, SF_ORACLE).withColumn("transaction_id", F.concat(F.lit("T"), F.col("transaction_id").cast("string")))
+    burst = F.when(F.col("customer_id") % 2 == 0, F.lit("2024-01-03 10:00:00").cast("timestamp")
+                   + F.make_dt_interval(secs=F.pmod(F.xxhash64("transaction_id"), F.lit(40)).cast("decimal(18,6)")))
+    t = t.withColumn("event_ts", F.coalesce(burst, F.col("event_ts").cast("timestamp")))
+    cols = ("transaction_id", "time_since_last_trans")
+    p = SplitParams(hot_rows=20, seg_rows=5)
+    s = seq.segmented(t, "customer_id", "event_ts", p)
+    most = s.groupBy("customer_id", sg.SEG).count().agg(F.max("count")).first()[0]
+    whole = t.groupBy("customer_id").count().agg(F.max("count")).first()[0]
+    assert most < whole / 2
+    _same(seq.time_since_last(t).select(*cols), seq.time_since_last(t, split=p).select(*cols))
