@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     link; root is the smallest node reachable. Self-links are dropped; an empty edge
     table gives an empty result."""
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a != b").distinct()
-    edges = stored(_small_star(edges), "cc")
+    edges = stored(_small_star(stored(edges, "cc")), "cc")
     before = _mark(edges)
     while True:
         edges = stored(_small_star(stored(_large_star(edges), "cc")), "cc")
