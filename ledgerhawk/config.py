@@ -27,7 +27,7 @@ HOLIDAYS = ("2026-01-01", "2026-05-01", "2026-07-23")
 SILVER_CURRENCIES = ("USD", "EGP", "EUR", "GBP")
 BLACKLIST = ("BlacklistedMerchant1", "BlacklistedMerchant2")
 PIPELINE_VERSION = "txnmon-v2.0.0"
-ALERT_TYPE = "FRAUD_ALERT"
+ALERT_TYPE = "SUSPECT_ALERT"
 REVIEW_URL_BASE = "https://review.example.invalid/review/"
 DECISIONS_TOPIC = "txn.decisions.output"
 ALERTS_TOPIC = "txn.alerts.security"
@@ -72,7 +72,7 @@ class DecisionParams:
 
 @dataclass(frozen=True)
 class RuleParams:
-    """Batch fraud rules (R1-R9); reference defaults."""
+    """Batch suspect rules (R1-R9); reference defaults."""
 
     high_amount: float = 10_000.0
     velocity_per_hour: int = 10
@@ -92,7 +92,7 @@ class StepRiskParams:
     high: float = 0.9
     weekend: float = 0.7
     base: float = 0.2
-    fraud_above: float = 0.8
+    suspect_above: float = 0.8
     band_limit: float = 5000.0
 
 

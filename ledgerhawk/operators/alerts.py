@@ -52,6 +52,6 @@ def dlq_envelope(rejected: DataFrame, failed_at_s: Column, fields=None) -> DataF
         failed_at_s.cast("long").alias("failed_at"))
 
 
-def gold_fraud_alerts(silver: DataFrame) -> DataFrame:
+def gold_suspect_alerts(silver: DataFrame) -> DataFrame:
     """Alerts table from flagged rows."""
-    return silver.filter(F.col("fraud_flag") == 1)
+    return silver.filter(F.col("suspect_flag") == 1)

@@ -34,9 +34,9 @@ def risk_step(amount: Column, weekend: Column, p: StepRiskParams = StepRiskParam
              .when(weekend == 1, F.lit(p.weekend)).otherwise(F.lit(p.base)))
 
 
-def is_fraud(risk: Column, p: StepRiskParams = StepRiskParams()) -> Column:
-    """P10: 1 when the step risk exceeds the fraud threshold."""
-    return F.when(risk > F.lit(p.fraud_above), F.lit(1)).otherwise(F.lit(0))
+def is_suspect(risk: Column, p: StepRiskParams = StepRiskParams()) -> Column:
+    """P10: 1 when the step risk exceeds the suspect threshold."""
+    return F.when(risk > F.lit(p.suspect_above), F.lit(1)).otherwise(F.lit(0))
 
 
 def adjusted_amount(amount: Column, factor: float) -> Column:
@@ -72,10 +72,10 @@ def distance_from_last(df: DataFrame, key: str, ts: str, ident: str,
     return out.drop(sg.SEG, sg.HOT) if own else out
 
 
-def outcome_class(status: Column, fraud: Column, failed=("Rejected", "Failed")) -> Column:
-    """1 normal, 2 failed, 3 fraud, 4 failed fraud."""
+def outcome_class(status: Column, suspect: Column, failed=("Rejected", "Failed")) -> Column:
+    """1 normal, 2 failed, 3 suspect, 4 failed suspect."""
     bad = status.isin(*failed)
-    return (F.when((fraud == 1) & bad, F.lit(4)).when(fraud == 1, F.lit(3))
+    return (F.when((suspect == 1) & bad, F.lit(4)).when(suspect == 1, F.lit(3))
              .when(bad, F.lit(2)).otherwise(F.lit(1)))
 
 
@@ -102,7 +102,7 @@ def silver_standardize(df: DataFrame, cols=("Currency", "Trans_type", "Trans_sta
 
 
 def enrich_card(df: DataFrame, step: StepRiskParams = StepRiskParams(), factor: float = 1.5) -> DataFrame:
-    """Card-stream enrichment: weekend/holiday flags, step risk, fraud flag,
+    """Card-stream enrichment: weekend/holiday flags, step risk, suspect flag,
     distance and time since the client's previous transaction, outcome class,
     risk band and adjusted amount (P7-P14, T16). Both ordered scans share one
     segmentation, so the rows are shuffled once, on (client, segment)."""
@@ -115,8 +115,8 @@ def enrich_card(df: DataFrame, step: StepRiskParams = StepRiskParams(), factor:
     return (df.withColumn("is_weekend", wk)
               .withColumn("is_holiday", is_holiday(F.col("Trans_ts")))
               .withColumn("step_risk", risk)
-              .withColumn("fraud_flag", is_fraud(risk, step))
-              .withColumn("junk_sk", outcome_class(F.col("Trans_status"), F.col("fraud_flag")))
+              .withColumn("suspect_flag", is_suspect(risk, step))
+              .withColumn("junk_sk", outcome_class(F.col("Trans_status"), F.col("suspect_flag")))
               .withColumn("risk_score", risk_band(F.col("Trans_amount"), F.col("Trans_id"), step.band_limit))
               .withColumn("new_current_amount", adjusted_amount(F.col("Trans_amount"), factor)))
 
@@ -162,8 +162,8 @@ def fact_surrogate_keys(enriched: DataFrame, clients: DataFrame, nations: DataFr
 
 def silver(cards: DataFrame, p: SilverParams = SilverParams(), step: StepRiskParams = StepRiskParams()) -> DataFrame:
     """Bronze -> silver: dedup (C1), business rules (P16), standardise (P17) and the
-    fraud flag gold needs (P9/P10), keeping the event time (X6)."""
+    suspect flag gold needs (P9/P10), keeping the event time (X6)."""
     d = dedup_batch(cards, ("Trans_id", "Trans_Ref_No"))
     s = silver_standardize(silver_filter(d, p), cols=("Currency",))
     wk = is_weekend(F.col("Trans_ts"))
-    return s.withColumn("fraud_flag", is_fraud(risk_step(F.col("Trans_amount"), wk, step), step))
+    return s.withColumn("suspect_flag", is_suspect(risk_step(F.col("Trans_amount"), wk, step), step))

@@ -14,35 +14,35 @@ from pyspark.sql.window import Window as W
 from ledgerhawk.functions.joins import broadcast_if_small
 
 
-def _fraud(flag: str = "fraud_flag") -> Column:
+def _suspect(flag: str = "suspect_flag") -> Column:
     return F.sum(F.when(F.col(flag) == 1, 1).otherwise(0)).cast("long")
 
 
-def fraud_kpis(silver: DataFrame, ts: str = "Trans_ts", amount: str = "Trans_amount") -> DataFrame:
+def suspect_kpis(silver: DataFrame, ts: str = "Trans_ts", amount: str = "Trans_amount") -> DataFrame:
     """A1: daily KPIs by year, month, day."""
     return (silver.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"))
-                  .agg(F.count(F.lit(1)).alias("total_transactions"), _fraud().alias("fraud_transactions"),
+                  .agg(F.count(F.lit(1)).alias("total_transactions"), _suspect().alias("suspect_transactions"),
                        F.sum(amount).alias("_sum"))
-                  .select("year", "month", "day", "total_transactions", "fraud_transactions",
+                  .select("year", "month", "day", "total_transactions", "suspect_transactions",
                           (F.col("_sum").cast("double") / F.col("total_transactions")).alias("avg_transaction_amount"),
                           F.col("_sum").cast("double").alias("total_transaction_amount"),
-                          (F.col("fraud_transactions") / F.col("total_transactions")).alias("fraud_rate")))
+                          (F.col("suspect_transactions") / F.col("total_transactions")).alias("suspect_rate")))
 
 
 def customer_risk(silver: DataFrame, key: str = "Clt_id", amount: str = "Trans_amount") -> DataFrame:
-    """A2: per-customer count, average amount, fraud count and ratio."""
+    """A2: per-customer count, average amount, suspect count and ratio."""
     return (silver.groupBy(key).agg(F.count(F.lit(1)).alias("transactions_count"),
-                                    F.sum(amount).alias("_sum"), _fraud().alias("fraud_count"))
+                                    F.sum(amount).alias("_sum"), _suspect().alias("suspect_count"))
                   .select(key, "transactions_count",
                           (F.col("_sum").cast("double") / F.col("transactions_count")).alias("avg_amount"),
-                          "fraud_count",
-                          (F.col("fraud_count") / F.col("transactions_count")).alias("customer_risk_score")))
+                          "suspect_count",
+                          (F.col("suspect_count") / F.col("transactions_count")).alias("customer_risk_score")))
 
 
-def fraud_by_category(df: DataFrame, flag: Column, category: str = "merchant_category") -> DataFrame:
-    """A3: fraud cases per category, descending (unique tiebreak by name)."""
-    return (df.filter(flag).groupBy(category).agg(F.count(F.lit(1)).alias("fraud_cases"))
-              .orderBy(F.desc("fraud_cases"), F.asc(category)))
+def suspect_by_category(df: DataFrame, flag: Column, category: str = "merchant_category") -> DataFrame:
+    """A3: suspect cases per category, descending (unique tiebreak by name)."""
+    return (df.filter(flag).groupBy(category).agg(F.count(F.lit(1)).alias("suspect_cases"))
+              .orderBy(F.desc("suspect_cases"), F.asc(category)))
 
 
 def repeat_suspects(df: DataFrame, flag: Column, min_count: int = 1, key: str = "customer_id") -> DataFrame:
@@ -53,25 +53,25 @@ def repeat_suspects(df: DataFrame, flag: Column, min_count: int = 1, key: str =
 
 def customer_risk_trend(silver: DataFrame, period: str = "month", key: str = "Clt_id",
                         ts: str = "Trans_ts") -> DataFrame:
-    """A5: A2 per period, and the change of the fraud ratio against the previous period.
+    """A5: A2 per period, and the change of the suspect ratio against the previous period.
 
     The window runs over the per-(customer, period) aggregate, not the raw rows."""
     agg = (silver.groupBy(key, F.date_trunc(period, ts).cast("timestamp_ntz").alias("period_start"))
-                 .agg(F.count(F.lit(1)).alias("transactions_count"), _fraud().alias("fraud_count"))
-                 .withColumn("risk_ratio", F.col("fraud_count") / F.col("transactions_count")))
+                 .agg(F.count(F.lit(1)).alias("transactions_count"), _suspect().alias("suspect_count"))
+                 .withColumn("risk_ratio", F.col("suspect_count") / F.col("transactions_count")))
     w = W.partitionBy(key).orderBy("period_start")
     return agg.withColumn("risk_change", F.col("risk_ratio") - F.lag("risk_ratio").over(w))
 
 
-def fraud_trend(silver: DataFrame, period: str = "day", ts: str = "Trans_ts") -> DataFrame:
-    """Fraud per period and running totals.
+def suspect_trend(silver: DataFrame, period: str = "day", ts: str = "Trans_ts") -> DataFrame:
+    """Suspect per period and running totals.
 
     The running window has no partition key, but it runs over the per-period
     aggregate (one row per day: bounded by the calendar, not by the data)."""
     agg = (silver.groupBy(F.date_trunc(period, ts).cast("timestamp_ntz").alias("period_start"))
-                 .agg(F.count(F.lit(1)).alias("total_transactions"), _fraud().alias("fraud_transactions")))
+                 .agg(F.count(F.lit(1)).alias("total_transactions"), _suspect().alias("suspect_transactions")))
     w = W.orderBy("period_start").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (agg.withColumn("running_fraud", F.sum("fraud_transactions").over(w))
+    return (agg.withColumn("running_suspect", F.sum("suspect_transactions").over(w))
                .withColumn("running_total", F.sum("total_transactions").over(w)))
 
 

@@ -92,7 +92,7 @@ LR_INPUTS = ("Trans_amount_d", "transactions_last_day", "average_transaction_amo
 
 def lr_dataset(silver_with_features: DataFrame) -> DataFrame:
     return (silver_with_features.withColumn("Trans_amount_d", F.col("Trans_amount").cast("double"))
-                                .withColumn("label", F.col("fraud_flag").cast("double")))
+                                .withColumn("label", F.col("suspect_flag").cast("double")))
 
 
 def lr_train(dataset: DataFrame, path: str | None = None, max_iter: int = 50) -> PipelineModel:
@@ -124,7 +124,7 @@ def log_run(spark: SparkSession, path: str, run_id: str, params: dict, metrics:
 
 
 def model_quality(df: DataFrame, prediction: Column, label: Column) -> DataFrame:
-    """ML7: fraud rate, precision, recall, F1 from one confusion-matrix aggregate."""
+    """ML7: suspect rate, precision, recall, F1 from one confusion-matrix aggregate."""
     p, y = prediction.cast("int"), label.cast("int")
     cm = df.agg(F.count(F.lit(1)).alias("rows"),
                 F.sum(y).cast("long").alias("positives"),
@@ -133,7 +133,7 @@ def model_quality(df: DataFrame, prediction: Column, label: Column) -> DataFrame
                 F.sum(F.when((p == 0) & (y == 1), 1).otherwise(0)).cast("long").alias("fn"))
     prec = F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double"))
     rec = F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double"))
-    return (cm.withColumn("fraud_rate", F.try_divide(F.col("positives").cast("double"), F.col("rows").cast("double")))
+    return (cm.withColumn("suspect_rate", F.try_divide(F.col("positives").cast("double"), F.col("rows").cast("double")))
               .withColumn("precision", prec).withColumn("recall", rec)
               .withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"),
                                              F.col("precision") + F.col("recall"))))

@@ -1,4 +1,4 @@
-"""Batch fraud rules (R1-R9) and their union.
+"""Batch suspect rules (R1-R9) and their union.
 
 Row rules share one pass (an array of reasons, exploded); window rules share
 one hourly aggregate per (client, hour, source country, location country) that
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerhawk.config import RuleParams
 from ledgerhawk.functions.joins import broadcast_if_small
 
-ALERT_COLS = ("customer_id", "transaction_id", "window_start", "window_end", "txn_count", "fraud_reason")
+ALERT_COLS = ("customer_id", "transaction_id", "window_start", "window_end", "txn_count", "suspect_reason")
 
 
 def _ntz(c):
@@ -24,7 +24,7 @@ def _ntz(c):
 def rule_high_amount(df: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     """R1."""
     return (df.filter(F.col("amount") > F.lit(p.high_amount))
-              .select("customer_id", "transaction_id", "amount", F.lit("High Amount").alias("fraud_reason")))
+              .select("customer_id", "transaction_id", "amount", F.lit("High Amount").alias("suspect_reason")))
 
 
 def hourly(df: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def _window_alerts(agg: DataFrame, keys, having, reason: str) -> DataFrame:
                                    F.count_distinct("country_code").alias("countries"))
                .filter(having)
                .select("customer_id", _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"),
-                       F.col("txn_count").cast("long").alias("txn_count"), F.lit(reason).alias("fraud_reason")))
+                       F.col("txn_count").cast("long").alias("txn_count"), F.lit(reason).alias("suspect_reason")))
 
 
 def rule_velocity(df: DataFrame, p: RuleParams = RuleParams(), agg: DataFrame | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ def rule_repeat_country(df: DataFrame, p: RuleParams = RuleParams(), agg: DataFr
               .filter(F.col("txn_count") > p.repeat_country_per_hour))
     return out.select("customer_id", "country_src", _ntz("w.start").alias("window_start"),
                       _ntz("w.end").alias("window_end"), F.col("txn_count").cast("long").alias("txn_count"),
-                      F.lit("Impossible Travel").alias("fraud_reason"))
+                      F.lit("Impossible Travel").alias("suspect_reason"))
 
 
 def rule_impossible_travel(df: DataFrame, p: RuleParams = RuleParams(), agg: DataFrame | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def rule_country_mismatch(df: DataFrame) -> DataFrame:
     """Source country differs from destination (nulls are not flagged)."""
     return (df.filter(F.col("country_src") != F.col("country_dest"))
               .select("customer_id", "transaction_id", "country_src", "country_dest",
-                      F.lit("Country Mismatch").alias("fraud_reason")))
+                      F.lit("Country Mismatch").alias("suspect_reason")))
 
 
 def rule_blacklist(df: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def rule_blacklist(df: DataFrame, blacklist: DataFrame) -> DataFrame:
     bl = broadcast_if_small(blacklist.select(F.col("name").alias("_bl")).distinct())
     return (df.join(bl, F.col("trans_destination") == F.col("_bl"), "left_semi")
               .select("customer_id", "transaction_id", "trans_destination",
-                      F.lit("Blacklisted Merchant").alias("fraud_reason")))
+                      F.lit("Blacklisted Merchant").alias("suspect_reason")))
 
 
 def rule_odd_hours(df: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
@@ -92,7 +92,7 @@ def rule_odd_hours(df: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     h = F.hour("event_ts")
     return (df.filter(~h.between(p.odd_hour_from, p.odd_hour_to))
               .select("customer_id", "transaction_id", h.alias("hour_of_day"),
-                      F.lit("Odd Hours").alias("fraud_reason")))
+                      F.lit("Odd Hours").alias("suspect_reason")))
 
 
 def expected_country(df: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def rule_unexpected_country(df: DataFrame) -> DataFrame:
     return (df.join(exp, "customer_id")
               .filter(F.col("country_code") != F.col("expected_country"))
               .select("customer_id", "transaction_id", "country_code", "expected_country",
-                      F.lit("Unexpected Country").alias("fraud_reason")))
+                      F.lit("Unexpected Country").alias("suspect_reason")))
 
 
 def rules_union(df: DataFrame, blacklist: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
@@ -127,10 +127,10 @@ def rules_union(df: DataFrame, blacklist: DataFrame, p: RuleParams = RuleParams(
                   F.when(F.col("country_src") != F.col("country_dest"), F.lit("Country Mismatch")),
                   F.when(F.col("_bl").isNotNull(), F.lit("Blacklisted Merchant")),
                   F.when(~h.between(p.odd_hour_from, p.odd_hour_to), F.lit("Odd Hours")),
-              ))).alias("fraud_reason"))
+              ))).alias("suspect_reason"))
               .select("customer_id", "transaction_id", F.lit(None).cast("timestamp_ntz").alias("window_start"),
                       F.lit(None).cast("timestamp_ntz").alias("window_end"),
-                      F.lit(None).cast("long").alias("txn_count"), "fraud_reason"))
+                      F.lit(None).cast("long").alias("txn_count"), "suspect_reason"))
     agg = hourly(df)
     win = [rule_velocity(df, p, agg), rule_impossible_travel(df, p, agg), rule_daily_frequency(df, p, agg)]
     rc = rule_repeat_country(df, p, agg).drop("country_src")

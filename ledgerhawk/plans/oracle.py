@@ -75,13 +75,13 @@ HAVERSINE = with_views(f"""SELECT transaction_id, {r4(hav('CAST(country_src * 6
 WK = "(CASE WHEN {ts} IS NOT NULL AND dayofweek({ts}) IN (0, 6) THEN 1 ELSE 0 END)"
 STEP = ("(CASE WHEN {a} > 5000 THEN CAST(0.9 AS DOUBLE) WHEN " + WK + " = 1 THEN CAST(0.7 AS DOUBLE) "
         "ELSE CAST(0.2 AS DOUBLE) END)")
-FRAUD = "(CASE WHEN " + STEP + " > 0.8 THEN 1 ELSE 0 END)"
+SUSPECT = "(CASE WHEN " + STEP + " > 0.8 THEN 1 ELSE 0 END)"
 
 ENRICHED = f"""SELECT *,
   CASE WHEN prev_ts IS NOT NULL AND Trans_ts IS NOT NULL
        THEN CAST(epoch_us(Trans_ts) - epoch_us(prev_ts) AS DOUBLE) / 1000000.0 ELSE CAST(0.0 AS DOUBLE) END AS time_since_last_trans,
   {hav('prev_lat', 'prev_lon', 'latitude', 'longitude')} AS distance_from_last_loc,
-  {FRAUD.format(a='Trans_amount', ts='Trans_ts')} AS fraud_flag,
+  {SUSPECT.format(a='Trans_amount', ts='Trans_ts')} AS suspect_flag,
   CASE WHEN Trans_amount > 5000 THEN CAST(70.0 AS DOUBLE) + CAST((Trans_id * 13) % 3001 AS DOUBLE) / 100.0
        ELSE CAST((Trans_id * 13) % 4001 AS DOUBLE) / 100.0 END AS risk_score,
   CAST(CAST(Trans_amount AS DECIMAL(18,2)) * CAST(1.5 AS DECIMAL(10,4)) AS DOUBLE) AS new_current_amount
@@ -90,7 +90,7 @@ FROM (SELECT *,
   lag(latitude) OVER (PARTITION BY Clt_id ORDER BY Trans_ts, Trans_id) AS prev_lat,
   lag(longitude) OVER (PARTITION BY Clt_id ORDER BY Trans_ts, Trans_id) AS prev_lon
   FROM card) c"""
-JUNK = ("CASE WHEN fraud_flag = 1 AND Trans_status IN ('Rejected','Failed') THEN 4 WHEN fraud_flag = 1 THEN 3 "
+JUNK = ("CASE WHEN suspect_flag = 1 AND Trans_status IN ('Rejected','Failed') THEN 4 WHEN suspect_flag = 1 THEN 3 "
         "WHEN Trans_status IN ('Rejected','Failed') THEN 2 ELSE 1 END")
 
 DISTANCE_FROM_LAST = with_views(f"SELECT Trans_id, {r4('distance_from_last_loc')} AS distance_km FROM enr",
@@ -104,7 +104,7 @@ IS_WEEKEND = with_views(f"SELECT transaction_id, {WK.format(ts='event_ts')} AS i
 IS_HOLIDAY = with_views("""SELECT transaction_id, CASE WHEN CAST(event_ts AS DATE) IN
   (DATE '2024-01-01', DATE '2024-01-15', DATE '2024-01-26') THEN 1 ELSE 0 END AS is_holiday FROM txn""")
 RISK_STEP = with_views(f"SELECT transaction_id, {STEP.format(a='amount', ts='event_ts')} AS step_risk FROM txn")
-IS_FRAUD = with_views(f"SELECT transaction_id, {FRAUD.format(a='amount', ts='event_ts')} AS fraud_flag FROM txn")
+IS_SUSPECT = with_views(f"SELECT transaction_id, {SUSPECT.format(a='amount', ts='event_ts')} AS suspect_flag FROM txn")
 ADJUSTED_AMOUNT = with_views("""SELECT transaction_id,
   CAST(CAST(amount AS DECIMAL(18,2)) * CAST(1.5 AS DECIMAL(10,4)) AS DOUBLE) AS new_current_amount,
   CAST(CAST(amount AS DECIMAL(18,2)) * CAST(-1 AS DECIMAL(10,4)) AS DOUBLE) AS signed_amount,
@@ -153,28 +153,28 @@ def win_alert(having: str, reason: str, day: bool = False) -> str:
     ws = "time_bucket(INTERVAL 1 DAY, ws)" if day else "ws"
     width = "INTERVAL 1 DAY" if day else "INTERVAL 1 HOUR"
     return f"""SELECT customer_id, w AS window_start, w + {width} AS window_end,
-  CAST(txn_count AS BIGINT) AS txn_count, '{reason}' AS fraud_reason
+  CAST(txn_count AS BIGINT) AS txn_count, '{reason}' AS suspect_reason
 FROM (SELECT customer_id, {ws} AS w, sum(n) AS txn_count, count(DISTINCT country_code) AS countries
       FROM hourly GROUP BY ALL) a WHERE {having}"""
 
 
-RULE_HIGH_AMOUNT = with_views("""SELECT customer_id, transaction_id, amount, 'High Amount' AS fraud_reason
+RULE_HIGH_AMOUNT = with_views("""SELECT customer_id, transaction_id, amount, 'High Amount' AS suspect_reason
 FROM txn WHERE amount > 10000""")
 RULE_VELOCITY = with_views(win_alert("txn_count > 1", "Velocity Check"), ("hourly", HOURLY))
 RULE_COUNTRY_MISMATCH = with_views("""SELECT customer_id, transaction_id, country_src, country_dest,
-  'Country Mismatch' AS fraud_reason FROM txn WHERE country_src <> country_dest""")
+  'Country Mismatch' AS suspect_reason FROM txn WHERE country_src <> country_dest""")
 RULE_REPEAT_COUNTRY = with_views("""SELECT customer_id, country_src, ws AS window_start,
-  ws + INTERVAL 1 HOUR AS window_end, CAST(sum(n) AS BIGINT) AS txn_count, 'Impossible Travel' AS fraud_reason
+  ws + INTERVAL 1 HOUR AS window_end, CAST(sum(n) AS BIGINT) AS txn_count, 'Impossible Travel' AS suspect_reason
 FROM hourly GROUP BY customer_id, ws, country_src HAVING sum(n) > 1""", ("hourly", HOURLY))
 RULE_IMPOSSIBLE_TRAVEL = with_views(win_alert("countries > 1", "Impossible Travel"), ("hourly", HOURLY))
 RULE_BLACKLIST = with_views("""SELECT customer_id, transaction_id, trans_destination,
-  'Blacklisted Merchant' AS fraud_reason FROM txn
+  'Blacklisted Merchant' AS suspect_reason FROM txn
 WHERE trans_destination IN ('BlacklistedMerchant1', 'BlacklistedMerchant2')""")
 RULE_DAILY_FREQUENCY = with_views(win_alert("txn_count > 5", "Abnormal Frequency", day=True), ("hourly", HOURLY))
 RULE_ODD_HOURS = with_views("""SELECT customer_id, transaction_id, CAST(hour(event_ts) AS INTEGER) AS hour_of_day,
-  'Odd Hours' AS fraud_reason FROM txn WHERE hour(event_ts) NOT BETWEEN 6 AND 23""")
+  'Odd Hours' AS suspect_reason FROM txn WHERE hour(event_ts) NOT BETWEEN 6 AND 23""")
 RULE_UNEXPECTED_COUNTRY = with_views("""SELECT t.customer_id, transaction_id, country_code, expected_country,
-  'Unexpected Country' AS fraud_reason
+  'Unexpected Country' AS suspect_reason
 FROM txn t JOIN (
   SELECT customer_id, country_code AS expected_country FROM (
     SELECT customer_id, country_code, row_number() OVER (PARTITION BY customer_id ORDER BY n DESC, country_code) AS r
@@ -183,28 +183,28 @@ FROM txn t JOIN (
 WHERE country_code <> expected_country""")
 RULES_UNION = with_views(f"""
 SELECT customer_id, transaction_id, CAST(NULL AS TIMESTAMP) AS window_start, CAST(NULL AS TIMESTAMP) AS window_end,
-  CAST(NULL AS BIGINT) AS txn_count, reason AS fraud_reason
+  CAST(NULL AS BIGINT) AS txn_count, reason AS suspect_reason
 FROM (SELECT customer_id, transaction_id, unnest(list_filter([
     CASE WHEN amount > 10000 THEN 'High Amount' END,
     CASE WHEN country_src <> country_dest THEN 'Country Mismatch' END,
     CASE WHEN trans_destination IN ('BlacklistedMerchant1', 'BlacklistedMerchant2') THEN 'Blacklisted Merchant' END,
     CASE WHEN hour(event_ts) NOT BETWEEN 6 AND 23 THEN 'Odd Hours' END], lambda x: x IS NOT NULL)) AS reason
   FROM txn) r
-UNION ALL SELECT customer_id, NULL, window_start, window_end, txn_count, fraud_reason FROM ({win_alert("txn_count > 1", "Velocity Check")}) a
-UNION ALL SELECT customer_id, NULL, window_start, window_end, txn_count, fraud_reason FROM ({win_alert("countries > 1", "Impossible Travel")}) b
-UNION ALL SELECT customer_id, NULL, window_start, window_end, txn_count, fraud_reason FROM ({win_alert("txn_count > 5", "Abnormal Frequency", day=True)}) c
+UNION ALL SELECT customer_id, NULL, window_start, window_end, txn_count, suspect_reason FROM ({win_alert("txn_count > 1", "Velocity Check")}) a
+UNION ALL SELECT customer_id, NULL, window_start, window_end, txn_count, suspect_reason FROM ({win_alert("countries > 1", "Impossible Travel")}) b
+UNION ALL SELECT customer_id, NULL, window_start, window_end, txn_count, suspect_reason FROM ({win_alert("txn_count > 5", "Abnormal Frequency", day=True)}) c
 UNION ALL SELECT customer_id, NULL, ws, ws + INTERVAL 1 HOUR, CAST(sum(n) AS BIGINT), 'Impossible Travel'
   FROM hourly GROUP BY customer_id, ws, country_src HAVING sum(n) > 1
 """, ("hourly", HOURLY))
-SQL_FRAUD_BY_CATEGORY = with_views("""SELECT merchant_category, count(*) AS fraud_cases FROM txn
-WHERE amount > 5000 GROUP BY merchant_category ORDER BY fraud_cases DESC, merchant_category""")
+SQL_SUSPECT_BY_CATEGORY = with_views("""SELECT merchant_category, count(*) AS suspect_cases FROM txn
+WHERE amount > 5000 GROUP BY merchant_category ORDER BY suspect_cases DESC, merchant_category""")
 SQL_LIMIT = with_views("""SELECT transaction_id, customer_id, amount FROM txn
 ORDER BY amount DESC, transaction_id LIMIT 10""")
 SQL_COUNT = with_views("SELECT count(*) AS transactions FROM txn")
 
 # --------------------------------------------------------------------- gold
 SILVER = f"""SELECT * REPLACE (upper(trim(Currency)) AS Currency),
-  {FRAUD.format(a='Trans_amount', ts='Trans_ts')} AS fraud_flag
+  {SUSPECT.format(a='Trans_amount', ts='Trans_ts')} AS suspect_flag
 FROM (SELECT DISTINCT ON (Trans_id, Trans_Ref_No) * FROM card) d
 WHERE Trans_amount > 0 AND Trans_amount <= 100000 AND Currency IN ('USD','EGP','EUR','GBP')
   AND year(Trans_ts) BETWEEN 2015 AND 2025"""
@@ -214,31 +214,31 @@ def gold(body: str) -> str:
     return with_views(body, ("silver", SILVER), views=CARD)
 
 
-FRAUD_KPIS = gold("""SELECT year, month, day, total_transactions, fraud_transactions,
+SUSPECT_KPIS = gold("""SELECT year, month, day, total_transactions, suspect_transactions,
   CAST(s AS DOUBLE) / total_transactions AS avg_transaction_amount, CAST(s AS DOUBLE) AS total_transaction_amount,
-  CAST(fraud_transactions AS DOUBLE) / total_transactions AS fraud_rate
+  CAST(suspect_transactions AS DOUBLE) / total_transactions AS suspect_rate
 FROM (SELECT CAST(year(Trans_ts) AS INTEGER) AS year, CAST(month(Trans_ts) AS INTEGER) AS month,
         CAST(day(Trans_ts) AS INTEGER) AS day, count(*) AS total_transactions,
-        CAST(sum(CASE WHEN fraud_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fraud_transactions,
+        CAST(sum(CASE WHEN suspect_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS suspect_transactions,
         sum(Trans_amount) AS s FROM silver GROUP BY ALL) k""")
 CUSTOMER_RISK = gold("""SELECT Clt_id, transactions_count, CAST(s AS DOUBLE) / transactions_count AS avg_amount,
-  fraud_count, CAST(fraud_count AS DOUBLE) / transactions_count AS customer_risk_score
+  suspect_count, CAST(suspect_count AS DOUBLE) / transactions_count AS customer_risk_score
 FROM (SELECT Clt_id, count(*) AS transactions_count, sum(Trans_amount) AS s,
-        CAST(sum(CASE WHEN fraud_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count FROM silver GROUP BY Clt_id) k""")
-FRAUD_BY_CATEGORY = gold("""SELECT merchant_category, count(*) AS fraud_cases FROM silver WHERE fraud_flag = 1
-GROUP BY merchant_category ORDER BY fraud_cases DESC, merchant_category""")
-REPEAT_SUSPECTS = gold("""SELECT Clt_id, count(*) AS suspicious_count FROM silver WHERE fraud_flag = 1
+        CAST(sum(CASE WHEN suspect_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS suspect_count FROM silver GROUP BY Clt_id) k""")
+SUSPECT_BY_CATEGORY = gold("""SELECT merchant_category, count(*) AS suspect_cases FROM silver WHERE suspect_flag = 1
+GROUP BY merchant_category ORDER BY suspect_cases DESC, merchant_category""")
+REPEAT_SUSPECTS = gold("""SELECT Clt_id, count(*) AS suspicious_count FROM silver WHERE suspect_flag = 1
 GROUP BY Clt_id HAVING count(*) > 1""")
 CUSTOMER_RISK_TREND = gold("""SELECT *, risk_ratio - lag(risk_ratio) OVER (PARTITION BY Clt_id ORDER BY period_start) AS risk_change
 FROM (SELECT Clt_id, date_trunc('week', Trans_ts) AS period_start, count(*) AS transactions_count,
-        CAST(sum(CASE WHEN fraud_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
-        CAST(sum(CASE WHEN fraud_flag = 1 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS risk_ratio
+        CAST(sum(CASE WHEN suspect_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS suspect_count,
+        CAST(sum(CASE WHEN suspect_flag = 1 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS risk_ratio
       FROM silver GROUP BY ALL) k""")
-FRAUD_TREND = gold("""SELECT *,
-  CAST(sum(fraud_transactions) OVER (ORDER BY period_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_fraud,
+SUSPECT_TREND = gold("""SELECT *,
+  CAST(sum(suspect_transactions) OVER (ORDER BY period_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_suspect,
   CAST(sum(total_transactions) OVER (ORDER BY period_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total
 FROM (SELECT date_trunc('day', Trans_ts) AS period_start, count(*) AS total_transactions,
-        CAST(sum(CASE WHEN fraud_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fraud_transactions
+        CAST(sum(CASE WHEN suspect_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS suspect_transactions
       FROM silver GROUP BY ALL) k""")
 CLIENT_FEATURES_BODY = """SELECT Clt_id, count(*) AS transactions_last_day,
   CAST(sum(Trans_amount) AS DOUBLE) / count(*) AS average_transaction_amount FROM silver GROUP BY Clt_id"""
@@ -248,7 +248,7 @@ FROM silver s JOIN ({CLIENT_FEATURES_BODY}) f ON s.Clt_id = f.Clt_id""")
 DIM_LOOKUP = with_views("""SELECT transaction_id, coalesce(n.n_name, 'UNKNOWN') AS country_name,
   coalesce(c.c_mktsegment, 'UNKNOWN') AS segment
 FROM txn t LEFT JOIN nation n ON t.country_code = n.n_nationkey LEFT JOIN customer c ON t.customer_id = c.c_custkey""")
-GOLD_FRAUD_ALERTS = gold("SELECT Trans_id, Clt_id, Trans_amount FROM silver WHERE fraud_flag = 1")
+GOLD_SUSPECT_ALERTS = gold("SELECT Trans_id, Clt_id, Trans_amount FROM silver WHERE suspect_flag = 1")
 DEDUP_SILVER = with_views("SELECT DISTINCT transaction_id, trans_ref_no, amount FROM redelivered",
                           views=("txn", "redelivered"))
 MARKS = """SELECT channel_type, max(transaction_id) AS last_id FROM txn
@@ -292,9 +292,8 @@ ROLLING_FEATURES = with_views(f"""SELECT transaction_id,
 FROM txn""")
 
 # --------------------------------------------------------------------- Q suites
-def suite_sql(suite, source: str, type_ok: dict | None = None) -> str:
+def suite_sql(suite, source: str) -> str:
     """One aggregate over ``source`` and one report row per expectation."""
-    type_ok = type_ok or {}
     aggs = ["count(*) AS n"]
     for i, e in enumerate(suite):
         c = e.column
@@ -315,10 +314,11 @@ def suite_sql(suite, source: str, type_ok: dict | None = None) -> str:
     for i, e in enumerate(suite):
         head = f"CAST({i} AS INTEGER) AS check_no, '{e.kind}' AS expectation, '{e.column}' AS column_name, n AS element_count"
         if e.kind == "type":
-            ok = type_ok.get(e.column, False)
-            u = "0" if ok else "NULL"
-            rows.append(f"SELECT {head}, CAST(0 AS BIGINT) AS missing_count, CAST({u} AS BIGINT) AS unexpected_count, "
-                        f"CAST({'0.0' if ok else 'NULL'} AS DOUBLE) AS unexpected_percent, {str(ok).upper()} AS success FROM a")
+            kinds = {"int": "INTEGER|BIGINT|SMALLINT|TINYINT", "float": "DOUBLE|FLOAT", "str": "VARCHAR",
+                     "bool": "BOOLEAN", "decimal": "DECIMAL.*"}[e.type_name]
+            ok = f"coalesce((SELECT regexp_full_match(typeof({e.column}), '{kinds}') FROM {source} LIMIT 1), FALSE)"
+            rows.append(f"SELECT {head}, CAST(0 AS BIGINT) AS missing_count, CASE WHEN {ok} THEN CAST(0 AS BIGINT) END AS unexpected_count, "
+                        f"CASE WHEN {ok} THEN CAST(0 AS DOUBLE) END AS unexpected_percent, {ok} AS success FROM a")
             continue
         u = f"m{i}" if e.kind == "not_null" else f"u{i}"
         base = "n" if e.kind == "not_null" else f"(n - m{i})"

@@ -52,9 +52,9 @@ def upsert_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     """S11 write side: keep the newest row per key inside the batch, then log it.
     Rows without a key are no versions of each other: all are kept."""
     cols = [c for c in batch.columns if c != "row_key"]
+    newest = ["version_ts", *[c for c in cols if c != "version_ts"]]        # ties: the greatest row
     latest = (batch.filter(F.col("row_key").isNotNull()).groupBy("row_key")
-                   .agg(F.max(F.struct("version_ts", *cols)).alias("r"))
-                   .select("row_key", *[F.col(f"r.{c}") for c in ("version_ts", *[c for c in cols if c != "version_ts"])]))
+                   .agg(F.max(F.struct(*newest)).alias("r")).select("row_key", "r.*"))
     loose = batch.filter(F.col("row_key").isNull())
     write_batch(latest.unionByName(loose), path, batch_id)
 
