@@ -18,6 +18,18 @@ def _suspect(flag: str = "suspect_flag") -> Column:
     return F.sum(F.when(F.col(flag) == 1, 1).otherwise(0)).cast("long")
 
 
+def write_by_day(df: DataFrame, path: str, ts: str) -> None:
+    """Partitioned table by day of ``ts``; only the days that ``df`` has are replaced, each
+    as a whole, so a rerun of a day adds nothing."""
+    df.withColumn("day_of", F.to_date(ts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("day_of").parquet(path)
+
+
+def write_gold(df: DataFrame, path: str, days=("year", "month", "day")) -> None:
+    """Gold rows by the day columns they carry, overwritten day by day."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*days).parquet(path)
+
+
 def suspect_kpis(silver: DataFrame, ts: str = "Trans_ts", amount: str = "Trans_amount") -> DataFrame:
     """A1: daily KPIs by year, month, day."""
     return (silver.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"))

@@ -372,6 +372,15 @@ def sequential_fold(df: DataFrame, p: DecisionParams = DecisionParams(),
 
 
 # --------------------------------------------------------------------- assembly
+def window_stage(df: DataFrame, p: DecisionParams = DecisionParams(),
+                 split: SplitParams = SplitParams()) -> DataFrame:
+    """The rules that need no feedback, as window expressions. Columns a
+    caller does not read are pruned with their windows; no Python runs."""
+    x = with_segment_carries(prepare_rows(df), split)
+    x = with_travel_rules(with_last_fixes(with_running_stats(x, p)), p)
+    return x.withColumn("amount_zscore", F.floor(F.col("_z") * 10000 + F.lit(0.5)) / F.lit(10000.0))
+
+
 def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
            processing_ms: Column | None = None, keep_features: bool = False,
            split: SplitParams = SplitParams()) -> DataFrame:
@@ -383,9 +392,7 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     for c, v in need.items():
         if c not in df.columns:
             df = df.withColumn(c, v)
-    rows = prepare_rows(df)
-    x = with_segment_carries(rows, split)
-    x = with_travel_rules(with_last_fixes(with_running_stats(x, p)), p)
+    x = window_stage(df, p, split).drop("amount_zscore")
     x = x.withColumn("_pre_violation", F.col("_outlier") | F.col("_t3") | F.col("_t4")
                      | F.col("_t7") | F.col("_t10")).drop("_mob", "_atm")
     split_any = not x.schema[sg.HOT].metadata.get(sg.UNSPLIT)
@@ -618,11 +625,15 @@ def customer_last_state(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("txn_count"))
 
 
+def on_time_rows(t: DataFrame) -> DataFrame:
+    """DQ -> clean -> SLA -> on-time (reference order)."""
+    from ledgerhawk.operators.latency import sla_metrics
+    from ledgerhawk.operators.quality import dq_validate
+    return sla_metrics(dq_validate(t).filter("dq_passed")).filter(~F.col("sla_breached"))
+
+
 def decision_pipeline(t: DataFrame, p: DecisionParams = DecisionParams(),
                       processing_ms: Column | None = None, keep_features: bool = False,
                       split: SplitParams = SplitParams()) -> DataFrame:
     """Flagship batch chain: DQ -> clean -> SLA -> on-time -> decisions (reference order)."""
-    from ledgerhawk.operators.latency import sla_metrics
-    from ledgerhawk.operators.quality import dq_validate
-    on_time = sla_metrics(dq_validate(t).filter("dq_passed")).filter(~F.col("sla_breached"))
-    return decide(on_time, p, processing_ms=processing_ms, keep_features=keep_features, split=split)
+    return decide(on_time_rows(t), p, processing_ms=processing_ms, keep_features=keep_features, split=split)
