@@ -111,6 +111,31 @@ DEVICES_SUITE = (
     Expectation("in_set", "Dev_type", values=("MOBILE", "DESKTOP", "TABLET", "POS")),
 )
 
+JSON_KINDS = {
+    "expect_column_values_to_not_be_null": "not_null", "expect_column_values_to_be_of_type": "type",
+    "expect_column_values_to_be_between": "between", "expect_column_values_to_match_regex": "regex",
+    "expect_column_values_to_be_in_set": "in_set", "expect_column_values_to_be_unique": "unique",
+}
+
+
+def suite_from_json(text: str) -> tuple:
+    """Q7: a stored suite, ``{"expectations": [{"expectation_type", "kwargs"}]}``."""
+    import json
+    out = []
+    for e in json.loads(text)["expectations"]:
+        kind, kw = JSON_KINDS.get(e["expectation_type"]), e["kwargs"]
+        if kind is None:
+            raise ValueError(f"unknown expectation {e['expectation_type']}")
+        out.append(Expectation(kind, kw["column"], kw.get("min_value"), kw.get("max_value"), kw.get("regex"),
+                               tuple(kw.get("value_set", ())), kw.get("type_")))
+    return tuple(out)
+
+
+def load_suite(spark, path: str) -> tuple:
+    """A suite file, read by Spark from wherever it is stored."""
+    return suite_from_json(spark.read.text(path, wholetext=True).first()[0])
+
+
 _TYPE_NAMES = {
     "int": (T.IntegerType, T.LongType, T.ShortType, T.ByteType),
     "float": (T.DoubleType, T.FloatType), "str": (T.StringType,),

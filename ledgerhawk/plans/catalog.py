@@ -558,6 +558,42 @@ _suite_key("suite_report", ql.TRANSACTIONS_SUITE)
 _suite_key("suite_json", ql.TRANSACTIONS_JSON_SUITE)
 
 
+# clients, cards and devices with planted defects, as expressions that both engines read alike
+_CLIENTS = {
+    "Clt_id": "c_custkey", "Card_id": "CASE WHEN c_custkey % 41 <> 0 THEN c_custkey END",
+    "Clt_phoneNumber": "CASE WHEN c_custkey % 31 = 0 THEN 'none' ELSE '+20' || lpad(cast(c_custkey AS string), 9, '1') END",
+    "Clt_age": "cast(16 + c_custkey % 86 AS int)",
+    "National_ID": "CASE WHEN c_custkey % 53 = 0 THEN '12' ELSE lpad(cast(c_custkey AS string), 14, '2') END",
+}
+_CARDS = {
+    "Card_id": "c_custkey", "Card_number": "lpad(cast(c_custkey AS string), cast(10 + c_custkey % 8 AS int), '4')",
+    "Card_type": "CASE c_custkey % 4 WHEN 0 THEN 'GIFT' WHEN 1 THEN 'DEBIT' WHEN 2 THEN 'CREDIT' ELSE 'PREPAID' END",
+    "Current_amount": "c_acctbal", "account_age_days": "cast((c_custkey * 37) % 3900 AS int)",
+    "account_type": "CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment WHEN c_custkey % 5 < 3 THEN 'SAVINGS' ELSE 'BUSINESS' END",
+}
+_DEVICES = {
+    "Dev_id": "event_id",
+    "Dev_Ip_Location": "CASE WHEN event_id % 97 = 0 THEN 'unknown' ELSE "
+                       "'10.' || cast(user_id % 256 AS string) || '.0.' || cast(event_id % 256 AS string) END",
+    "Dev_name": "CASE WHEN event_id % 61 <> 0 THEN 'device ' || cast(user_id AS string) END",
+    "Dev_type": "CASE event_type WHEN 'signup' THEN 'MOBILE' WHEN 'view' THEN 'DESKTOP' WHEN 'click' THEN 'TABLET' "
+                "WHEN 'purchase' THEN 'POS' ELSE 'OTHER' END",
+}
+
+
+def _table_suite(key, suite, source, columns):
+    def fn(spark, sf_dir):
+        t = table(spark, sf_dir, source)
+        return ql.suite_report(t.select(*[F.expr(e).alias(n) for n, e in columns.items()]), suite)
+    view = ", ".join(f"{e} AS {n}" for n, e in columns.items())
+    register(key, f"WITH v AS (SELECT {view} FROM {source}) {O.suite_sql(suite, 'v')}")(fn)
+
+
+_table_suite("suite_clients", ql.CLIENTS_SUITE, "customer", _CLIENTS)
+_table_suite("suite_cards", ql.CARDS_SUITE, "customer", _CARDS)
+_table_suite("suite_devices", ql.DEVICES_SUITE, "events", _DEVICES)
+
+
 @register("quality_gate", _wv(f"""SELECT CASE WHEN (SELECT bool_and(success) FROM ({O.suite_sql(
     ql.TRANSACTIONS_JSON_SUITE, 'dcard')}) s) THEN 'silver' ELSE 'quarantine' END
     AS destination, count(*) AS rows FROM dcard""", _DCARD, views=("txn", "txn_dirty")))

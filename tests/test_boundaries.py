@@ -155,3 +155,60 @@ def test_suite_bounds_nulls_and_unique(spark):
     assert rep["between"]["unexpected_count"] == 1
     assert rep["not_null"]["unexpected_count"] == 3 and rep["not_null"]["unexpected_percent"] == 100.0
     assert rep["unique"]["unexpected_count"] == 2 and not rep["unique"]["success"]
+
+
+def test_suite_file_and_empty_input(spark, tmp_path):
+    import json
+
+    from ledgerhawk.operators import quality as ql
+    f = tmp_path / "suite.json"
+    f.write_text(json.dumps({"expectations": [
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "a"}},
+        {"expectation_type": "expect_column_values_to_be_of_type", "kwargs": {"column": "a", "type_": "int"}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "a", "min_value": 1, "max_value": 2}},
+        {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "b", "value_set": ["x"]}},
+        {"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "a"}}]}, indent=1))
+    suite = ql.load_suite(spark, str(f))
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (None, None)], "a int, b string")
+    assert [r["success"] for r in ql.suite_report(df, suite).orderBy("check_no").collect()] == [False, True, True, False, False]
+    assert all(r["success"] and r["element_count"] == 0 for r in ql.suite_report(df.limit(0), suite).collect())
+
+
+def test_rows_without_key_or_broker_time_stay(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ledgerhawk.streaming import sinks as sk
+    from ledgerhawk.streaming import sources as ss
+    rows = spark.createDataFrame([("a", 1, "p"), ("a", 1, "q"), (None, 1, "r"), (None, 2, "s")], "row_key string, version_ts long, data string")
+    for _ in range(2):                                        # a replay replaces its own output
+        sk.upsert_batch(rows, str(tmp_path / "serving"), 0)
+        sk.merge_insert_batch(spark, rows, str(tmp_path / "gold"), 0, "row_key", ())
+    got = sorted((r["row_key"] or "", r["data"]) for r in sk.read_serving(spark, str(tmp_path / "serving")).collect())
+    assert got == [("", "r"), ("", "s"), ("a", "q")]
+    gold = sk.read_gold(spark, str(tmp_path / "gold")).collect()
+    assert len(gold) == 3 and sum(r["row_key"] is None for r in gold) == 2
+    t = spark.range(100).select(F.col("id").alias("transaction_id"), F.lit("ATM").alias("channel_type"), F.col("id").alias("customer_id"),
+                                F.when(F.col("id") % 10 != 0, F.lit(1704067200000) + F.col("id") * 86_400_000).alias("kafka_timestamp"))
+    parts = list(ss.envelope_slices(spark, t, str(tmp_path / "env"), ("2024-01-08", "2024-02-01")))
+    assert sum(spark.read.parquet(p).count() for p in parts) == 100
+
+
+def test_scratch_folder_is_required_on_clusters():
+    import pytest
+
+    from ledgerhawk.session import scratch_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        scratch_root(Session())
