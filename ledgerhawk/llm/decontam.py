@@ -181,12 +181,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     first = F.coalesce(*[F.when(F.shiftrightunsigned(apart, s).bitwiseAND(F.lit(m)) == 0, F.lit(i))
                          for i, (s, m) in enumerate(cut)])
     pairs = pairs.where((F.bit_count(apart) <= radius) & (F.col("block") == first))
+    near = stored(pairs.select("doc_id", "digest", "item_id", "start", "n", "k", F.bit_count(apart).alias("distance"),
+                               "window", "item_words", "hashes", "item_hashes"), "decontam-pairs")
     # equal shingles have equal hashes, so a pair that fails on hashes fails on words
-    near = pairs.where(multiset_jaccard(F.col("hashes"), F.col("item_hashes")) >= similarity)
-    scored = near.select("doc_id", "digest", "item_id", "start", F.col("n").alias("n_words"),
-                          F.bit_count(apart).alias("distance"),
-                          multiset_jaccard(shingle_texts(F.col("window"), F.col("k")),
-                                           shingle_texts(F.col("item_words"), F.col("k"))).alias("similarity"))
+    exact = F.when(multiset_jaccard(F.col("hashes"), F.col("item_hashes")) >= similarity, multiset_jaccard(
+        shingle_texts(F.col("window"), F.col("k")), shingle_texts(F.col("item_words"), F.col("k"))))
+    scored = near.select("doc_id", "digest", "item_id", "start", F.col("n").alias("n_words"), "distance", exact.alias("similarity"))
     best = F.struct("similarity", (-F.col("start")).alias("at"), "n_words", "distance")
     return (scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "digest", "item_id")
             .agg(F.max(best).alias("b"))
