@@ -617,9 +617,16 @@ def customer_last_state(df: DataFrame) -> DataFrame:
         last_of(ch == "MOBILE_APP", F.col("event_timestamp")).alias("last_mobile_ts"),
         last_of(ch == "MOBILE_APP", F.col("device_id")).alias("last_mobile_device"),
         last_of(ch == "MOBILE_APP", F.col("ip_country")).alias("last_mobile_ip_country"),
+        last_of(ch == "MOBILE_APP", F.col("latitude")).alias("last_mobile_latitude"),
+        last_of(ch == "MOBILE_APP", F.col("longitude")).alias("last_mobile_longitude"),
         last_of(ch.isin(*ATM_GROUP), F.col("event_timestamp")).alias("last_atm_ts"),
+        last_of(ch.isin(*ATM_GROUP), F.col("latitude")).alias("last_atm_latitude"),
+        last_of(ch.isin(*ATM_GROUP), F.col("longitude")).alias("last_atm_longitude"),
         last_of(ch == "WEB_BANKING", F.col("event_timestamp")).alias("last_web_ts"),
+        last_of(ch == "WEB_BANKING", F.col("ip_country")).alias("last_web_ip_country"),
         last_of(ch == "SWIFT_WIRE", F.col("event_timestamp")).alias("last_wire_ts"),
+        last_of(ch == "SWIFT_WIRE", F.col("country_code")).alias("last_wire_country"),
+        last_of(ch == "SWIFT_WIRE", F.col("amount").cast("double")).alias("last_wire_amount"),
         last_of(F.col("country_code").isNotNull(), F.col("country_code")).alias("last_known_country"),
         F.max("event_timestamp").alias("last_activity_ts"),
         F.count(F.lit(1)).alias("txn_count"))

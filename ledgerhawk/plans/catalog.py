@@ -407,6 +407,12 @@ def _replay(spark, sf_dir):
     return gd.replay_resume(t, marks)
 
 
+@register("replay_rows", O.REPLAY_ROWS)
+def q_replay_rows(spark, sf_dir):
+    """The rows that a resumed replay emits."""
+    return _replay(spark, sf_dir)[0].select("transaction_id", "channel_type")
+
+
 @register("replay_resume", O.REPLAY_RESUME)
 def q_replay_resume(spark, sf_dir):
     return _replay(spark, sf_dir)[1]

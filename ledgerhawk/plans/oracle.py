@@ -261,6 +261,8 @@ REPLAY_REPORT = """SELECT t.channel_type, count(*) AS total,
 FROM txn t LEFT JOIN marks m ON t.channel_type = m.channel_type GROUP BY t.channel_type"""
 REPLAY_RESUME = with_views("SELECT channel_type, total, skipped, new FROM rep", ("marks", MARKS),
                            ("rep", REPLAY_REPORT))
+REPLAY_ROWS = with_views("""SELECT transaction_id, channel_type FROM txn LEFT JOIN
+  (SELECT channel_type AS ch, last_id FROM marks) m ON channel_type = ch WHERE transaction_id > coalesce(last_id, 0)""", ("marks", MARKS))
 REPLAY_MARKS = with_views("SELECT channel_type, coalesce(newmax, old) AS last_id FROM rep", ("marks", MARKS),
                           ("rep", REPLAY_REPORT))
 
@@ -274,9 +276,16 @@ CUSTOMER_LAST_STATE = with_views(f"""SELECT customer_id,
   {_last_of("channel_type = 'MOBILE_APP'", 'event_timestamp')} AS last_mobile_ts,
   {_last_of("channel_type = 'MOBILE_APP'", 'device_id')} AS last_mobile_device,
   {_last_of("channel_type = 'MOBILE_APP'", 'ip_country')} AS last_mobile_ip_country,
+  {_last_of("channel_type = 'MOBILE_APP'", 'latitude')} AS last_mobile_latitude,
+  {_last_of("channel_type = 'MOBILE_APP'", 'longitude')} AS last_mobile_longitude,
   {_last_of("channel_type IN ('ATM','POS','BRANCH')", 'event_timestamp')} AS last_atm_ts,
+  {_last_of("channel_type IN ('ATM','POS','BRANCH')", 'latitude')} AS last_atm_latitude,
+  {_last_of("channel_type IN ('ATM','POS','BRANCH')", 'longitude')} AS last_atm_longitude,
   {_last_of("channel_type = 'WEB_BANKING'", 'event_timestamp')} AS last_web_ts,
+  {_last_of("channel_type = 'WEB_BANKING'", 'ip_country')} AS last_web_ip_country,
   {_last_of("channel_type = 'SWIFT_WIRE'", 'event_timestamp')} AS last_wire_ts,
+  {_last_of("channel_type = 'SWIFT_WIRE'", 'country_code')} AS last_wire_country,
+  {_last_of("channel_type = 'SWIFT_WIRE'", 'CAST(amount AS DOUBLE)')} AS last_wire_amount,
   {_last_of("country_code IS NOT NULL", 'country_code')} AS last_known_country,
   max(event_timestamp) AS last_activity_ts, count(*) AS txn_count
 FROM txn GROUP BY customer_id""")
