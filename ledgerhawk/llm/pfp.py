@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +34,13 @@ from ledgerhawk.llm.common import stored, table
 
 LENGTH = 50
 WINDOW = 24
-UNIT_BYTES = 8_000_000          # text parsed together; positions must stay below 2^24
-BUCKET_BYTES = 48_000_000       # text whose keys share a bucket
+UNIT_BYTES = 4_000_000          # text parsed together
+PASS_BYTES = 1 << 20            # positions hashed together; below 2^24
+BUCKET_BYTES = 16_000_000       # text whose keys share a bucket
 UNIT = "unit long, to long, data binary"
 
 
+@lru_cache(1)
 def _tables():
     import numpy as np
     rng = np.random.default_rng(20240229)
@@ -46,40 +49,63 @@ def _tables():
     return byte, base
 
 
-class Hasher:
-    """Polynomial hashes of any stretch of a byte array, modulo 2^64, and their mixing."""
+_POWERS: dict = {}
 
-    _powers: list = []
 
-    def __init__(self, data, which: int = 0):
-        import numpy as np
-        byte, base = _tables()
-        n = len(data) + 1
-        b = base[which]
-        inverse = pow(b, -1, 1 << 64)
-        if not Hasher._powers:
-            Hasher._powers = [None, None]
-        if Hasher._powers[which] is None or len(Hasher._powers[which][0]) < n:
-            size = max(n, UNIT_BYTES // 4)
-            up, down = np.full(size, b, np.uint64), np.full(size, inverse, np.uint64)
-            up[0] = down[0] = 1
-            np.multiply.accumulate(up, out=up)
-            np.multiply.accumulate(down, out=down)
-            Hasher._powers[which] = (up, down)
-        up, self.down = Hasher._powers[which]
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(byte[which][data] * up[:n - 1], out=self.sums[1:])
-
-    def of(self, start, end):
-        import numpy as np
-        h = (self.sums[end] - self.sums[start]) * self.down[start]
-        h = (h ^ (h >> np.uint64(29)) ^ (end - start).astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(32))
+def _powers(which: int, n: int):
+    """Powers of the base and of its inverse; one table per worker."""
+    import numpy as np
+    if which not in _POWERS or len(_POWERS[which][0]) < n:
+        b = _tables()[1][which]
+        up, down = np.full(max(n, 2 * PASS_BYTES), b, np.uint64), np.full(max(n, 2 * PASS_BYTES), pow(b, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        np.multiply.accumulate(up, out=up)
+        np.multiply.accumulate(down, out=down)
+        _POWERS[which] = (up, down)
+    return _POWERS[which]
+
+
+def stretch_hashes(data, start, end, which: int = 0):
+    """Mixed polynomial hashes modulo 2^64 of the stretches ``start`` to ``end``, whose
+    starts ascend; prefix sums are made over PASS_BYTES at a time."""
+    import numpy as np
+    byte = _tables()[0][which]
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        low = int(start[i])
+        j = int(np.searchsorted(start, low + PASS_BYTES))
+        first, last = start[i:j] - low, end[i:j] - low
+        n = int(last.max())
+        up, down = _powers(which, n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(byte[data[low:low + n]] * up[:n], out=sums[1:])
+        h = (sums[last] - sums[first]) * down[first]
+        h = (h ^ (h >> np.uint64(29)) ^ (last - first).astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        out[i:j] = h ^ (h >> np.uint64(32))
+        i = j
+    return out
+
+
+def window_hashes(data, window: int):
+    """Hashes of all windows of one size: ``stretch_hashes`` for stretches side by side."""
+    import numpy as np
+    n = len(data)
+    up, down = _powers(0, n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.multiply(_tables()[0][0][data], up[:n], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    h = sums[window:] - sums[:-window]
+    h *= down[:len(h)]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h
 
 
 class Parse:
     """Phrases of documents laid end to end: for phrase i the starts ``first[i]`` to
-    ``last[i]``, its trigger and its document."""
+    ``last[i]``, its trigger and its document. Memory beyond the text is that of the
+    phrases, about one for every 14 bytes."""
 
     def __init__(self, texts: list, length: int = LENGTH, window: int = WINDOW):
         import numpy as np
@@ -87,39 +113,57 @@ class Parse:
         self.length, self.window = length, window
         self.sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         self.at = np.cumsum(self.sizes) - self.sizes
-        self.data = data = np.frombuffer(b"".join(raw), np.uint8)
-        self.hash = Hasher(data)
-        starts = np.maximum(self.sizes - length + 1, 0)            # strings per document
-        n = len(data) - length + 1
-        if n <= 0 or not starts.any():
-            self.first = self.last = self.trigger = self.doc = np.zeros(0, np.int64)
-            self.counts = np.zeros(len(raw), np.int64)
-            return
-        span = length - window + 1
-        i = np.arange(n + span - 1, dtype=np.int64)
-        h = self.hash.of(i, i + window)
-        h = (h >> np.uint64(24) << np.uint64(24)) | (np.uint64((1 << 24) - 1) - i.astype(np.uint64))
-        got, width = h, 1
-        while width * 2 <= span:                                   # least hash of 2, 4, 8 ... windows
-            got = np.minimum(got[:len(got) - width], got[width:])
+        self.data = np.frombuffer(b"".join(raw), np.uint8)
+        del raw
+        first, trigger, doc = [], [], []
+        for low in range(0, max(len(self.data) - length + 1, 0), PASS_BYTES):
+            high = min(low + PASS_BYTES, len(self.data) - length + 1)
+            t = self._triggers(low, high)
+            here = np.arange(np.searchsorted(self.at, low, side="right") - 1, np.searchsorted(self.at, high))
+            edge = np.clip(np.append(self.at[here], high), low, high)
+            d = np.repeat(here, np.diff(edge))
+            change = np.empty(high - low, bool)
+            change[0] = True
+            np.not_equal(t[1:], t[:-1], out=change[1:])
+            change[edge[:-1][edge[:-1] < high] - low] = True
+            for end in (self.at + self.sizes)[here].tolist():                # strings do not cross documents
+                change[max(end - length + 1 - low, 0):max(end - low, 0)] = False
+            new = np.flatnonzero(change)
+            if len(new) and trigger and new[0] == 0 and trigger[-1][-1] == t[0] and doc[-1][-1] == d[0]:
+                new = new[1:]                              # the last phrase goes on
+            if len(new):
+                first.append(new + low)
+                trigger.append(t[new])
+                doc.append(d[new])
+        none = np.zeros(0, np.int64)
+        self.first, self.trigger, self.doc = (np.concatenate(x) if x else none for x in (first, trigger, doc))
+        self.counts = np.bincount(self.doc, minlength=len(texts))
+        # a phrase ends before the next one of its document, or with the document's last string
+        self.last = (self.at + self.sizes - length)[self.doc]
+        same = self.doc[1:] == self.doc[:-1]
+        self.last[:-1][same] = self.first[1:][same] - 1
+
+    def _triggers(self, low: int, high: int):
+        """Place of the least window hash of every string that starts in the range."""
+        import numpy as np
+        span = self.length - self.window + 1
+        h = window_hashes(self.data[low:high + self.length - 1], self.window)
+        h &= ~np.uint64((1 << 24) - 1)
+        h |= np.arange((1 << 24) - 1, (1 << 24) - 1 - len(h), -1, dtype=np.uint64)     # rightmost of equals
+        width, n = 1, high - low
+        while width * 2 <= span:                           # least hash of 2, 4, 8 ... windows
+            h = np.minimum(h[:len(h) - width], h[width:])
             width *= 2
-        got = np.minimum(got[:n], got[span - width:span - width + n])
-        trigger = (1 << 24) - 1 - (got & np.uint64((1 << 24) - 1)).astype(np.int64)
-        doc = np.repeat(np.arange(len(raw)), starts)
-        pos = self.at[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(starts) - starts, starts)
-        trigger = trigger[pos]
-        new = np.flatnonzero(np.r_[True, (trigger[1:] != trigger[:-1]) | (doc[1:] != doc[:-1])])
-        self.first, self.last = pos[new], pos[np.r_[new[1:], len(pos)] - 1]
-        self.trigger, self.doc = trigger[new], doc[new]
-        self.counts = np.bincount(self.doc, minlength=len(raw))
+        h = np.minimum(h[:n], h[span - width:span - width + n])
+        return low + (1 << 24) - 1 - (h & np.uint64((1 << 24) - 1)).astype(np.int64)
 
     def phrase_keys(self):
         """128 bits for each phrase with the bytes its last start needs."""
         end = self.last + self.length
-        return self.hash.of(self.first, end), Hasher(self.data, 1).of(self.first, end)
+        return stretch_hashes(self.data, self.first, end), stretch_hashes(self.data, self.first, end, 1)
 
     def trigger_keys(self):
-        return self.hash.of(self.trigger, self.trigger + self.window)
+        return stretch_hashes(self.data, self.trigger, self.trigger + self.window)
 
     def suffixes(self, phrases):
         """Starts in the given phrases, with their phrase."""
@@ -359,8 +403,11 @@ def _suffix_records(src: DataFrame, length: int, buckets: int) -> DataFrame:
             run_of = np.empty(len(order), np.int64)
             run_of[order] = np.cumsum(new) - 1
             head = starts[order[new]]                      # one suffix of every run of equals
-            keys = p.hash.of(head, head + length)[run_of]
-            subs = pfp.Hasher(p.data, 1).of(head, head + length)[run_of]
+            ascending = np.argsort(head, kind="stable")
+            keys, subs = np.empty(len(head), np.uint64), np.empty(len(head), np.uint64)
+            for out, which in ((keys, 0), (subs, 1)):
+                out[ascending] = pfp.stretch_hashes(p.data, head[ascending], head[ascending] + length, which)
+            keys, subs = keys[run_of], subs[run_of]
             counts = np.bincount(p.doc[own], minlength=len(ids))
             for u, to, data in pfp.send(ids, prints, counts, keys, subs, starts - p.at[p.doc[own]], buckets, False):
                 yield pa.RecordBatch.from_arrays([pa.array([u]), pa.array([to]), pa.array([data])], ["unit", "to", "data"])
@@ -371,7 +418,7 @@ def _suffix_records(src: DataFrame, length: int, buckets: int) -> DataFrame:
 def covered(sizes: int, parse, whole, starts):
     """Boolean per byte of one document: inside a whole phrase or a common string."""
     import numpy as np
-    edge = np.zeros(sizes + 1, np.int64)
+    edge = np.zeros(sizes + 1, np.int32)
     if whole is not None:
         np.add.at(edge, parse.first[whole], 1)
         np.add.at(edge, parse.last[whole] + parse.length, -1)
