@@ -147,14 +147,16 @@ class Lexicon:
 
     def __init__(self, toxic, other):
         import numpy as np
-        both = toxic + other
-        prior = PRIOR * both
-        a, b, n = toxic.sum(), other.sum(), prior.sum()
-        y, z = toxic + prior, other + prior
-        odds = np.log(np.maximum(y, 1e-9) / np.maximum(a + n - y, 1e-9)) - np.log(np.maximum(z, 1e-9) / np.maximum(b + n - z, 1e-9))
-        spread = np.sqrt(1 / np.maximum(y, 1e-9) + 1 / np.maximum(z, 1e-9))
-        sure = np.sign(odds) * np.maximum(np.abs(odds) - DEVIATIONS * spread, 0.0)
-        self.weights = np.where(both > 0, np.clip(sure, -CAP, CAP), 0.0).astype(np.float32) - np.float32(DRIFT)
+        mass = PRIOR * (toxic.sum() + other.sum())
+        a, b = toxic.sum() + mass, other.sum() + mass
+        y = toxic.astype(np.float32)                       # single precision: the driver holds few of these
+        z = other.astype(np.float32)
+        seen = (y + z) > 0
+        prior = np.float32(PRIOR) * (y + z)
+        y, z = np.maximum(y + prior, 1e-9), np.maximum(z + prior, 1e-9)
+        odds = np.log(y / np.maximum(np.float32(a) - y, 1e-9)) - np.log(z / np.maximum(np.float32(b) - z, 1e-9))
+        sure = np.sign(odds) * np.maximum(np.abs(odds) - DEVIATIONS * np.sqrt(1 / y + 1 / z), 0.0)
+        self.weights = np.where(seen, np.clip(sure, -CAP, CAP), 0.0).astype(np.float32) - np.float32(DRIFT)
 
 
 def _scan(docs: DataFrame, halves: list, full: Lexicon) -> DataFrame:
