@@ -34,8 +34,8 @@ from ledgerhawk.llm.common import stored, table
 
 LENGTH = 50
 WINDOW = 24
-UNIT_BYTES = 4_000_000          # text parsed together
-PASS_BYTES = 1 << 20            # positions hashed together; below 2^24
+UNIT_BYTES = 2_500_000          # text parsed together
+PASS_BYTES = 1 << 19            # positions hashed together; below 2^24
 BUCKET_BYTES = 16_000_000       # text whose keys share a bucket
 UNIT = "unit long, to long, data binary"
 
