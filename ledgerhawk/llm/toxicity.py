@@ -142,28 +142,42 @@ def token_counts(labelled: DataFrame) -> DataFrame:
         *[F.sum(F.when(part == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)])
 
 
-class Lexicon:
-    """Shrunken log-odds less the drift, per bucket."""
-
-    def __init__(self, toxic, other):
-        import numpy as np
-        mass = PRIOR * (toxic.sum() + other.sum())
-        a, b = toxic.sum() + mass, other.sum() + mass
-        y = toxic.astype(np.float32)                       # single precision: the driver holds few of these
-        z = other.astype(np.float32)
-        seen = (y + z) > 0
-        prior = np.float32(PRIOR) * (y + z)
-        y, z = np.maximum(y + prior, 1e-9), np.maximum(z + prior, 1e-9)
-        odds = np.log(y / np.maximum(np.float32(a) - y, 1e-9)) - np.log(z / np.maximum(np.float32(b) - z, 1e-9))
-        sure = np.sign(odds) * np.maximum(np.abs(odds) - DEVIATIONS * np.sqrt(1 / y + 1 / z), 0.0)
-        self.weights = np.where(seen, np.clip(sure, -CAP, CAP), 0.0).astype(np.float32) - np.float32(DRIFT)
-
-
-def _scan(docs: DataFrame, halves: list, full: Lexicon) -> DataFrame:
+def log_odds(toxic: Column, other: Column, all_toxic: float, all_other: float) -> Column:
+    """Log-odds of a bucket under the prior, moved DEVIATIONS towards none and capped."""
+    prior = PRIOR * (toxic + other)
+    y, z = toxic + prior, other + prior
+    mass = PRIOR * (all_toxic + all_other)
+    least = F.lit(1e-9)
+    odds = F.log(y / F.greatest(all_toxic + mass - y, least)) - F.log(z / F.greatest(all_other + mass - z, least))
+    sure = F.greatest(F.abs(odds) - DEVIATIONS * F.sqrt(1 / y + 1 / z), F.lit(0.0))
+    return F.when(toxic + other > 0, F.signum(odds) * F.least(sure, F.lit(CAP))).otherwise(0.0)
+
+
+def lexicons(counts: DataFrame) -> list:
+    """Scores per bucket from all labelled text, from its first and from its second half.
+
+    Only buckets whose log-odds is surely not none come to the driver, at most BUCKETS;
+    the others score the drift alone."""
+    import numpy as np
+    n = [F.col(f"n{k}").cast("double") for k in range(4)]
+    sums = [float(x or 0) for x in counts.agg(*[F.sum(x) for x in n]).first()]
+    parts = [log_odds(n[1] + n[3], n[0] + n[2], sums[1] + sums[3], sums[0] + sums[2]),
+             log_odds(n[1], n[0], sums[1], sums[0]), log_odds(n[3], n[2], sums[3], sums[2])]
+    rows = counts.select("bucket", *[c.cast("float").alias(f"w{i}") for i, c in enumerate(parts)]) \
+        .where("w0 != 0 or w1 != 0 or w2 != 0").toPandas()
+    out = []
+    for i in range(3):
+        w = np.full(BUCKETS, -DRIFT, np.float32)
+        w[rows["bucket"].to_numpy(np.int64)] += rows[f"w{i}"].to_numpy(np.float32)
+        out.append(w)
+    return out
+
+
+def _scan(docs: DataFrame, weights: list) -> DataFrame:
     """``doc_id, half, n_tokens, passages, cross``: passages under the full table, and the
     scores of those under the table of the other half for rows that calibrate."""
     sc = docs.sparkSession.sparkContext
-    sent = sc.broadcast([full.weights, *(h.weights for h in halves)])
+    sent = sc.broadcast(weights)
     src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "half")
     kind = src.schema["doc_id"].dataType.simpleString()
 
@@ -230,7 +244,6 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     twice is toxic if one label says so. Null and empty texts have no passage and get the
     least score. Without both labels to learn from every score is 0. Repeated rows are each
     answered; other columns are not read; an empty table gives an empty result."""
-    import numpy as np
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)) \
         .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     half = (fold(F.col("doc_id")) > 2).cast("int")
@@ -238,15 +251,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prints = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print")).join(marks, "doc_id")
     once = prints.groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).drop("print")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(once, "doc_id").withColumn("half", half)
-    counts = stored(token_counts(texts), "tox-counts").toPandas()            # at most BUCKETS rows
-    n = np.zeros((4, BUCKETS))
-    for k in range(4):
-        n[k][counts["bucket"].to_numpy(np.int64)] = counts[f"n{k}"].to_numpy(np.float64)
-    halves = [Lexicon(n[1], n[0]), Lexicon(n[3], n[2])]
-    full = Lexicon(n[1] + n[3], n[0] + n[2])
+    weights = lexicons(stored(token_counts(texts), "tox-counts"))
     learn = fold(F.col("doc_id")) != 0
-    scanned = stored(_scan(docs.select("doc_id", "text", F.when(learn & F.col("doc_id").isNotNull(), half).alias("half")),
-                           halves, full), "tox-scan")
+    scanned = stored(_scan(docs.select("doc_id", "text", F.when(learn & F.col("doc_id").isNotNull(), half).alias("half")), weights),
+                     "tox-scan")
     held = scanned.where("half is not null").select("doc_id", "half", "n_tokens", "cross").join(marks, "doc_id")
 
     # scores of the best passage in ordinary documents follow a Gumbel law: its scale comes
