@@ -50,3 +50,35 @@ def test_clean_documents_stay(spark):
     sf = "/root/testdata/sf0.01"
     out = quality.op6(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("quality = 1 and not base_failed")
     assert out.where("kept").count() == out.count()
+
+
+def test_bands_hold_at_every_length():
+    from math import log2
+    for band, known in [(b, True) for b in quality.BANDS.values()] + [(b, False) for b in quality.SCRIPT_BANDS.values()]:
+        for n in (20, 40, 70, 100, 200, 460, 1000, 10_000, 1_000_000):
+            usual = (band[0] + band[1]) / 2 * n
+            assert not quality.judge(usual, n, 0, 0.95 * log2(n), band, known)
+            assert quality.judge(usual, n, 0, 0.15 * log2(n), band, known)
+            assert quality.judge((band[1] + 3) * n, n, 0, 0.95 * log2(n), band, known)
+            if band[2] < 1:
+                assert quality.judge(usual, n, n, 0.95 * log2(n), band, known)
+            if known:
+                assert quality.judge(1.0 * n, n, 0, 0.95 * log2(n), band) and quality.judge(usual, n, 0, 0.29 * log2(n), band)
+
+
+def test_codes_are_forgiven_once():
+    words = "the clean text holds one token and then some more words".split()
+    secret = "dfd1944d2e84f15e89902e34b677eb5a8a7d42ab"
+    one, many = " ".join([*words, secret]), " ".join([*words, *(secret[i:] + secret[:i] for i in range(30))])
+    got = quality.measure([one, many, "10 20 30 40 50 60 70 80 90 11 21 31"], ["en"] * 3, MODEL)
+    assert [r[-2] for r in got] == [False, True, True]
+
+
+def test_labelled_junk_is_rejected(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = quality.op6(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed") \
+        .select("quality", "kept", "n_tokens").collect()
+    assert all(r["kept"] for r in rows if r["quality"] == 1)
+    for low, high in ((0, 200), (200, 460), (460, 1 << 40)):
+        junk = [r["kept"] for r in rows if r["quality"] == 0 and low <= r["n_tokens"] < high]
+        assert junk.count(False) > len(junk) / 2
