@@ -3,7 +3,9 @@
 A gear rolling hash over the last 16 bytes cuts a text wherever its low bits agree with
 a fixed value, so an insertion moves only the cuts near it. Chunks are between ``least``
 and ``most`` bytes; every chunk whose digest occurs in a document with a smaller doc_id,
-or earlier in its own, is removed. A repeated passage is found without its ends: up to
+or earlier in its own, is removed. A text's last chunk may be shorter than ``least``: such
+an ending is removed only together with the chunk just before it, and a whole text of
+that length only if another whole text equals it. A repeated passage is found without its ends: up to
 one chunk before its first cut and after its last.
 """
 
@@ -83,7 +85,8 @@ def chunks(docs: DataFrame) -> DataFrame:
                 ends = ends_of(np.frombuffer(data, np.uint8))
                 at, seen = 0, set()
                 for e in ends or [None]:
-                    d = hashlib.blake2b(data[at:e], digest_size=16).digest() if e else bytes(16)
+                    kind_of = b"whole" if len(data) < LEAST else b""     # a short text is no other text's ending
+                    d = hashlib.blake2b(data[at:e], digest_size=16, person=kind_of).digest() if e else bytes(16)
                     raw.append(d)
                     row.append(i)
                     start.append(at if e else None)
@@ -102,9 +105,11 @@ def chunks(docs: DataFrame) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {kind}, n_bytes long, print long, start int, end int, high long, low long, first boolean")
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
+def repeated_chunks(docs: DataFrame, endings: bool = True) -> DataFrame:
     """``doc_id, print, n_bytes, n_chunks, n_removed, removed_chunks, n_spans, spans``: per
     document the removed bytes as maximal runs ``start, end``; ``print`` is XXH64 of the text.
+    Every known chunk counts, with ``endings`` also a short last chunk on its own; what is
+    cut from texts is ``repeated_passages``.
 
     Rows equal in doc_id and text are one document. Documents that share a doc_id (or have
     none: the largest of all) do not remove each other's chunks. Null and empty texts have
@@ -120,6 +125,12 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         .unionByName(cut.where("start is not null and first").join(least, ["high", "low"])
                      .where(owner > F.col("least")).select("doc_id", "print", "start", "end"))
     runs = gone.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("parts"))
+    # only a text's last chunk can be short; alone it is an ending, not a passage
+    tail = F.element_at("parts", -1)
+    lone = (tail["start"] > 0) & (tail["end"] - tail["start"] < LEAST) \
+        & ~F.exists("parts", lambda x: x["end"] == tail["start"])
+    if not endings:
+        runs = runs.withColumn("parts", F.when(lone, F.slice("parts", 1, F.size("parts") - 1)).otherwise(F.col("parts")))
     empty = F.array().cast("array<struct<start:int,end:int>>")
     whole = cut.groupBy("doc_id", "print").agg(F.max("n_bytes").alias("n_bytes"),
                                                F.countDistinct("start").alias("n_chunks"))
@@ -136,10 +147,16 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                 F.coalesce(F.size(joined), F.lit(0)).cast("long").alias("n_spans"), F.coalesce(joined, empty).alias("spans"))
 
 
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """``repeated_chunks`` without endings: a last chunk under ``LEAST`` bytes goes only
+    together with the chunk just before it."""
+    return repeated_chunks(docs, endings=False)
+
+
 def strip(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` with the removed chunks cut out of every text (bytes that no longer
     form a character are dropped with them)."""
-    found = repeated_chunks(docs).select(F.col("doc_id").alias("_id"), "print", "spans")
+    found = repeated_passages(docs).select(F.col("doc_id").alias("_id"), "print", "spans")
     src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     both = src.join(found, src["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64("text") == found["print"]), "left") \
         .select("doc_id", "text", "spans")
@@ -161,6 +178,6 @@ def strip(docs: DataFrame) -> DataFrame:
 
 def op8(spark, sf_dir: str) -> DataFrame:
     """Removed runs of every whole text of ``documents``."""
-    out = repeated_chunks(table(spark, sf_dir, "documents"))
+    out = repeated_passages(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return out.drop("print").withColumn("spans", spans)

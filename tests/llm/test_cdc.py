@@ -66,3 +66,38 @@ def test_edges(spark, odd_docs):
     texts = {(r["doc_id"], len(r["text"])) for r in cdc.strip(odd_docs).collect()}
     assert (6, 0) in texts and (1, 0) in texts
     assert cdc.repeated_chunks(odd_docs.limit(0)).count() == cdc.strip(odd_docs.limit(0)).count() == 0
+
+
+def test_endings_alike_are_no_repeats(spark):
+    def body(seed, n):
+        return "".join(map(chr, np.random.default_rng(seed).integers(97, 123, n)))
+
+    def ending(text):
+        ends = [0, *plain_ends(text.encode())]
+        return text[ends[-2]:]
+
+    found = {}
+    for seed in range(2000):                           # texts of their own that end in the same short chunk
+        text = body(seed, 700) + "."
+        if len(ending(text)) < 4:
+            found.setdefault(ending(text), []).append(text)
+    tail, (a, b, *_) = next((k, v) for k, v in found.items() if len(v) > 1)
+    long_tail = next(t for t in (body(s, 700) for s in range(9000, 9100)) if 4 < len(ending(t)) < cdc.LEAST)
+    rows = [(1, a), (2, b), (3, tail), (4, tail), (5, long_tail), (6, long_tail)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in cdc.repeated_passages(docs).collect()}
+    assert got[2]["n_removed"] == got[2]["removed_chunks"] == got[2]["n_spans"] == 0 and got[2]["spans"] == []
+    assert got[3]["n_removed"] == 0 and got[4]["n_removed"] == len(tail)
+    assert got[6]["n_removed"] == 700 and got[6]["n_spans"] == 1
+    assert {r["doc_id"]: r["text"] for r in cdc.strip(docs).collect()} == {1: a, 2: b, 3: tail, 4: "", 5: long_tail, 6: ""}
+
+
+def test_op8_keeps_lone_endings(spark):
+    raw = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in cdc.repeated_chunks(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()}
+    size = lost = 0
+    for r in cdc.op8(spark, "/root/testdata/sf0.001").collect():
+        spans = [tuple(map(int, x.split(":"))) for x in r["spans"].split(",") if x]
+        want = [s for s in raw[r["doc_id"]] if not (s[1] == r["n_bytes"] and 0 < s[1] - s[0] < cdc.LEAST and s[0] > 0)]
+        assert spans == want and r["n_removed"] == sum(b - a for a, b in spans)
+        lost, size = lost + len(raw[r["doc_id"]]) - len(spans), size + len(spans)
+    assert lost > 0 and size > 0
