@@ -4,11 +4,11 @@ Four base patterns with validity checks are always reported. Beside them high-re
 generators propose further, overlapping spans (spelled-out addresses, numbers without a
 plus sign, defanged addresses, long codes after a key word). Boosted trees score every
 proposal from its format and its context; a threshold per kind, calibrated for precision
-on rows the trees have not seen, selects. Proposals that touch a base span give way to
+on the proposals of all documents that the trees have not seen, selects. Proposals that touch a base span give way to
 it; among the rest the better score wins, then the earlier and the longer.
 
-The trees are trained on a bounded sample (``TRAIN_DOCS`` documents) with labels the
-checks themselves give: valid matches and their rewritten variants against proposals
+The trees are trained on a bounded sample (``TRAIN_DOCS`` documents, chosen by a hash of
+the text over the whole table) with labels the checks themselves give: valid matches and their rewritten variants against proposals
 that fail the checks and plain words. Scanning and scoring cover every whole text and
 need no shuffle: the trees become one CASE expression inside the scan.
 """
@@ -148,9 +148,38 @@ def proposals(text: Column, base: Column) -> Column:
         F.substring(text, x["end"] + 1, F.lit(CONTEXT)).alias("right")))
 
 
-def _training(docs: DataFrame) -> DataFrame:
+def _hinted(text: Column) -> Column:
+    return F.regexp_like(text, F.lit("[0-9@]"))
+
+
+def _sampled(docs: DataFrame) -> Column:
+    """Whether a text is in the sample: its hash lies under the share that gives at most
+    ``TRAIN_DOCS`` distinct texts (five deviations off), wherever the rows stand."""
+    n = docs.where(_hinted(F.col("text"))).count()
+    if n <= TRAIN_DOCS:
+        return _hinted(F.col("text"))
+    share = max(1.0, TRAIN_DOCS - 5 * TRAIN_DOCS ** 0.5) / n
+    return _hinted(F.col("text")) & (F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
+def _fine() -> Column:
+    """Label of a proposal ``kind, match, left`` by the checks."""
+    m = F.col("match")
+    code = (F.col("kind") == 4) & F.regexp_like("match", F.lit("[0-9]")) & F.regexp_like("match", F.lit("[A-Za-z]")) \
+        & F.regexp_like("left", F.lit(CUES["secret"]))
+    return code | ((F.col("kind") == 0) & F.regexp_like("match", F.lit(r"[\[({]at"))) | \
+        ((F.col("kind") == 1) & F.regexp_like("match", F.lit(r"\[\.\]")) & _octets(F.regexp_replace(m, r"[\[\]]", ""))) | \
+        ((F.col("kind") == 2) & luhn(digits(m))) | \
+        ((F.col("kind") == 3) & F.regexp_like("left", F.lit(CUES["phone"])))
+
+
+def _held() -> Column:
+    return F.pmod(F.xxhash64("match", "left", "right"), F.lit(3)) == 0
+
+
+def _training(docs: DataFrame, sampled: Column) -> DataFrame:
     """Labelled spans ``kind, match, left, right, label, held`` of the sample."""
-    sample = docs.where(F.regexp_like("text", F.lit("[0-9@]"))).select("text").limit(TRAIN_DOCS)
+    sample = docs.where(sampled).select("text").distinct()
     base = base_spans(F.col("text"))
     rows = sample.withColumn("base", base).withColumn("more", proposals(F.col("text"), F.col("base")))
     low = lambda x: F.greatest(x["start"] - CONTEXT, F.lit(0))
@@ -165,18 +194,22 @@ def _training(docs: DataFrame) -> DataFrame:
         .otherwise(F.regexp_replace(m, r"^\+[0-9]{1,3} ?", ""))
     good = good.unionByName(good.withColumn("match", spelled))
     rest = rows.select(F.explode("more").alias("x")).select("x.kind", "x.match", "x.left", "x.right")
-    code = (F.col("kind") == 4) & F.regexp_like("match", F.lit("[0-9]")) & F.regexp_like("match", F.lit("[A-Za-z]")) \
-        & F.regexp_like("left", F.lit(CUES["secret"]))
-    fine = code | ((F.col("kind") == 0) & F.regexp_like("match", F.lit(r"[\[({]at"))) | \
-        ((F.col("kind") == 1) & F.regexp_like("match", F.lit(r"\[\.\]")) & _octets(F.regexp_replace(m, r"[\[\]]", ""))) | \
-        ((F.col("kind") == 2) & luhn(digits(m))) | \
-        ((F.col("kind") == 3) & F.regexp_like("left", F.lit(CUES["phone"])))
     words = rows.select(F.explode(F.slice(F.split("text", " ", -1), 1, 20)).alias("match")).where("match != ''") \
         .select((F.abs(F.hash("match")) % len(KINDS)).alias("kind"), "match", F.lit(" ").alias("left"), F.lit(" ").alias("right"))
     every = good.withColumn("label", F.lit(1.0)) \
-        .unionByName(rest.withColumn("label", F.when(fine, 1.0).otherwise(0.0))) \
+        .unionByName(rest.withColumn("label", F.when(_fine(), 1.0).otherwise(0.0))) \
         .unionByName(words.withColumn("label", F.lit(0.0)))
-    return every.withColumn("held", F.pmod(F.xxhash64("match", "left", "right"), F.lit(3)) == 0)
+    return every.withColumn("held", _held())
+
+
+def _unseen(docs: DataFrame, sampled: Column) -> DataFrame:
+    """Labelled proposals ``kind, match, left, right, label`` of all documents but those
+    the trees are fitted on."""
+    text = F.col("text")
+    rows = docs.select("text", sampled.alias("sampled")).withColumn("base", base_spans(text)) \
+        .withColumn("more", proposals(text, F.col("base")))
+    return rows.select("sampled", F.explode("more").alias("x")).select("sampled", "x.kind", "x.match", "x.left", "x.right") \
+        .where(~F.col("sampled") | _held()).withColumn("label", F.when(_fine(), 1.0).otherwise(0.0))
 
 
 class Trees:
@@ -232,20 +265,22 @@ def _parse(text: str) -> list:
 
 
 def train(docs: DataFrame) -> Trees:
-    """Fit on the sample; without both labels in it nothing beyond base spans is selected."""
+    """Fit on the sample and calibrate on all documents; without both labels in the sample
+    nothing beyond base spans is selected."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
-    labelled = _training(docs)
+    sampled = _sampled(docs)
+    labelled = _training(docs, sampled)
     x = features(F.col("kind"), F.col("match"), F.col("left"), F.col("right"))
-    rows = stored(labelled.select("kind", "label", "held", F.array(*[c.cast("double") for c in x]).alias("x")), "pii-train").coalesce(2)
-    have = {r[0]: r[1] for r in rows.where("not held").groupBy("label").count().collect()}
+    numbers = F.array(*[c.cast("double") for c in x]).alias("x")
+    rows = stored(labelled.where("not held").select("kind", "label", numbers), "pii-train").coalesce(2)
+    have = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     if len(have) < 2:
         return Trees([], [], {})
-    fit = rows.where("not held").select("label", array_to_vector("x").alias("features"))
+    fit = rows.select("label", array_to_vector("x").alias("features"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False, maxBins=32).fit(fit)
     made = Trees(_parse(model.toDebugString), list(model.treeWeights), {})
-    scored = rows.where("held").select("kind", "label", F.round(
-        made.score([F.element_at("x", i + 1) for i in range(len(FEATURES))]), 2).alias("s"))
+    scored = _unseen(docs, sampled).select("kind", "label", (F.floor(made.score(x) * 100) / 100).alias("s"))
     table_of: dict = {}
     for k, s, good, n in scored.groupBy("kind", "s").agg(F.sum("label"), F.count("*")).collect():   # at most 101 a kind
         table_of.setdefault(int(k), []).append((s, good, n))
@@ -254,7 +289,7 @@ def train(docs: DataFrame) -> Trees:
         for s, g, c in sorted(parts, reverse=True):
             good, n = good + g, n + c
             if s >= 0.5 and good >= PRECISION * n:
-                made.least[k] = s
+                made.least[k] = s - 1e-9               # scores are cut down to their step, so all of it is selected
     return made
 
 

@@ -92,3 +92,18 @@ def test_native_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = pii.digest(pii.detect(docs, pii.Trees([1.0], [1.0], {4: 0.5})))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def test_sample_and_thresholds_cover_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(pii, "TRAIN_DOCS", 200)
+    secret = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(300)]
+    texts = [f"an ordinary text, version {i}.0 of 2024-01-05" for i in range(300)] + [f'some words, token = "{s}" and more' for s in secret]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pii.train(docs.coalesce(1))                 # the sources one after the other
+    assert 4 in model.least
+    assert pii.train(docs.repartition(7)).least == model.least
+    got = pii.digest(pii.detect(docs, model)).where("spans like 'secret%'").count()
+    assert got == len(secret)
+    sample = docs.where(pii._sampled(docs)).select("doc_id").collect()
+    assert 0 < len(sample) <= 200 and any(r[0] >= 300 for r in sample)
+    assert pii._unseen(docs, pii._sampled(docs)).count() > len(secret) - len(sample)
