@@ -7,9 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -28,5 +25,5 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck():
-    from ledgerhawk.plans.harness import duck as make
+    from ledgerhawk.plans.harness import SF_ORACLE, duck as make
     return make(SF_ORACLE)

@@ -12,13 +12,13 @@ def test_entry_runs(spark):
 
 
 def test_rows_only_keys_run(spark):
-    from conftest import SF_SMALL
+    from ledgerhawk.plans.harness import SF_SMALL
     for key in ("kmeans_profile", "lr_accuracy", "stream_late_rows"):
         assert entry.queries()[key](spark, SF_SMALL).count() > 0
 
 
 def test_late_rows_are_dropped(spark):
-    from conftest import SF_SMALL
+    from ledgerhawk.plans.harness import SF_SMALL
     rows = {r["arrival"]: r for r in entry.queries()["stream_late_rows"](spark, SF_SMALL).collect()}
     assert rows["in order"]["output_rows"] == rows["in order"]["input_rows"] > 0
     assert rows["late"]["input_rows"] > 0 and rows["late"]["output_rows"] == 0

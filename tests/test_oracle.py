@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_ORACLE
+from ledgerhawk.plans.harness import SF_ORACLE
 from ledgerhawk.plans.harness import compare
 
 STREAM_OR_SLOW = {k for k in entry.queries() if k.startswith("stream_")} | {

@@ -1,7 +1,7 @@
 """Hot-key splitting: a key cut into many time segments gives exactly the
 rows of the unsplit per-key scan (forced with tiny split thresholds)."""
 
-from conftest import SF_ORACLE
+from ledgerhawk.plans.harness import SF_ORACLE
 from pyspark.sql import functions as F
 
 from ledgerhawk.operators import derive as dv
