@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerhawk.llm import cdc, chat, decontam, licenses, merkle, pfp, pii, quality, simhash, toxicity, viterbi, warc
+from ledgerhawk.llm import cdc, chat, decontam, glr, licenses, merkle, pfp, pii, quality, simhash, toxicity, viterbi, warc
 
 QUERIES = {
     "op1_role_repair": chat.op1,
@@ -15,12 +15,14 @@ QUERIES = {
     "op8_content_defined_chunks": cdc.op8,
     "op9_simhash_near_dedup": simhash.op9,
     "op10_legacy_archives": warc.op10,
+    "op11_glr_repair": glr.op11,
     "op12_merkle_manifest": merkle.op12,
     "op13_license_join": licenses.op13,
 }
 ORACLE = {
     "op5_benchmark_decontamination": decontam.ORACLE,
     "op10_legacy_archives": warc.ORACLE,
+    "op11_glr_repair": glr.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
     "op13_license_join": licenses.ORACLE,
 }
