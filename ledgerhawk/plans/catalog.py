@@ -614,7 +614,7 @@ from ledgerhawk.session import scratch_path  # noqa: E402
 from ledgerhawk.streaming import sinks as sk  # noqa: E402
 
 _DEC = _dsql()
-_EARLY_TS = "2024-01-15"
+_FIRST_TS, _EARLY_TS = "2024-01-08 13:30:00", "2024-01-15"
 
 
 def _decisions(spark, sf_dir, before: str | None = None):
@@ -666,12 +666,41 @@ def q_decision_mix(spark, sf_dir):
 @register("serving_upsert", f"""SELECT idempotency_key AS row_key, decision_action AS decision,
   composite_risk_score AS risk_score, data_fingerprint AS fingerprint FROM ({_DEC}) d""")
 def q_serving_upsert(spark, sf_dir):
+    """Three rounds, the last with all rows; two runs are merged as soon as they are there."""
     path = scratch_path(spark, "serving")
-    sk.upsert_batch(sk.serving_rows(_decisions(spark, sf_dir, _EARLY_TS)), path, 0)
-    sk.upsert_batch(sk.serving_rows(_decisions(spark, sf_dir)), path, 1)
+    for n, before in enumerate((_FIRST_TS, _EARLY_TS, None)):
+        sk.upsert_batch(sk.serving_rows(_decisions(spark, sf_dir, before)), path, n, fan=2)
     return sk.read_serving(spark, path).select("row_key", "decision", "risk_score", "fingerprint")
 
 
+@register("serving_by_customer_time", f"""SELECT row_key, decision, risk_score, fingerprint FROM (
+  SELECT CAST(customer_id AS VARCHAR) || '_' || CAST(event_timestamp AS VARCHAR) AS row_key, decision_action AS decision,
+    composite_risk_score AS risk_score, data_fingerprint AS fingerprint, row_number() OVER (PARTITION BY customer_id, event_timestamp
+      ORDER BY processing_timestamp DESC, CAST(transaction_id AS VARCHAR) || ',' DESC) AS r FROM ({_DEC}) d) x WHERE r = 1""")
+def q_serving_by_customer_time(spark, sf_dir):
+    """The serving table under its other key, a customer's decisions side by side."""
+    path = scratch_path(spark, "serving-history")
+    for n, before in enumerate((_EARLY_TS, None)):
+        sk.upsert_batch(sk.serving_rows(_decisions(spark, sf_dir, before), by_customer_time=True), path, n)
+    return sk.read_serving(spark, path).select("row_key", "decision", "risk_score", "fingerprint")
+
+
+@register("serving_rule_alerts", f"""SELECT CAST(customer_id AS VARCHAR) || '_' ||
+    CAST(coalesce(transaction_id, CAST(epoch(window_start) AS BIGINT)) AS VARCHAR) || '_' || suspect_reason AS row_key,
+  any_value(customer_id) AS customer_id, max(txn_count) AS txn_count, any_value(suspect_reason) AS suspect_reason
+FROM ({O.RULES_UNION}) u GROUP BY row_key""")
+def q_serving_rule_alerts(spark, sf_dir):
+    """Alerts of the batch rules in a keyed table of their own, over three rounds: windows
+    that were cut short in one round have their whole count in a later one."""
+    path = scratch_path(spark, "serving-alerts")
+    for n, before in enumerate((_FIRST_TS, _EARLY_TS, None)):
+        t = txn(spark, sf_dir)
+        if before:
+            t = t.filter(F.col("event_ts") < F.lit(before).cast("timestamp"))
+        sk.upsert_batch(sk.rule_alert_rows(rl.rules_union(t, blacklist_df(spark), TEST_RULES), n), path, n, fan=2)
+    return sk.read_serving(spark, path).select("row_key", "customer_id", "txn_count", "suspect_reason")
+
+
 @register("gold_merge", f"""SELECT idempotency_key, decision_action, composite_risk_score FROM ({_DEC}) d""")
 def q_gold_merge(spark, sf_dir):
     path = scratch_path(spark, "gold")
