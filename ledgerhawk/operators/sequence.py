@@ -25,6 +25,7 @@ from ledgerhawk.functions.joins import broadcast_if_small
 from ledgerhawk.functions.text import (cents_to_dollars_text, fingerprint, half_up_int,
                                        one_decimal, ratio_text)
 from ledgerhawk.operators import segments as sg
+from ledgerhawk.operators import summaries as sm
 from ledgerhawk.operators.segments import SplitParams
 
 ORDER = ("_ts", "transaction_id")
@@ -170,7 +171,6 @@ ENTRY_FIELDS = (
 ENTRY_COLS = tuple(f"_e_{n}" for n, _ in ENTRY_FIELDS)
 FOLD_INPUT = ("customer_id", sg.SEG, "_ts", "transaction_id", "_usd_cents", "transaction_type",
               "device_id", "_channel", "_new_country", "_pre_violation")
-NO_EVICT = "_no_evict"
 # read by the decision assembly after the fold (besides the fold's own outputs)
 AFTER_FOLD = ("transaction_id", "idempotency_key", "customer_id", "amount", "_channel", "_cents",
               "_usd_cents", "_ts", "source_to_kafka_lag_ms", "kafka_to_spark_lag_ms", "total_pipeline_lag_ms",
@@ -189,28 +189,17 @@ def _entry_state(pdf, i):
     return None, 0, 0, None, 0, 0, []
 
 
-def _fold(batches, p: DecisionParams, exits: bool = False):
+def _fold(batches, p: DecisionParams):
     """Anchored windows + trust set over rows sorted by (customer, segment, ts, id).
 
     State is carried across Arrow batches and re-initialised when the segment
     changes: from the segment's entry state if one is attached (a hot
-    customer's later segment), else fresh. With ``exits`` the fold emits one row
-    per segment with its final state instead of the per-row results.
-    """
-    import pandas as pd
+    customer's later segment), else fresh."""
     inbound, outbound = set(C.INBOUND_TYPES), set(C.OUTBOUND_TYPES)
     cur = object()
     a1 = a30 = None
     mc = msum = ins = outs = 0
     trusted: list = []
-    done = []
-
-    no_evict = False
-
-    def snapshot():
-        # a customer with at most trust_size devices never evicts, so the list
-        # order cannot matter: keep it canonical and equal states converge
-        return (cur[0], cur[1], a1, mc, msum, a30, ins, outs, sorted(trusted) if no_evict else list(trusted))
 
     for pdf in batches:
         cust = pdf["customer_id"].tolist()
@@ -225,11 +214,8 @@ def _fold(batches, p: DecisionParams, exits: bool = False):
         out = {name: [] for name, _ in FOLD_FIELDS}
         for i in range(len(cust)):
             if (cust[i], seg[i]) != cur:
-                if exits and isinstance(cur, tuple):
-                    done.append(snapshot())
                 cur = (cust[i], seg[i])
                 a1, mc, msum, a30, ins, outs, trusted = _entry_state(pdf, i)
-                no_evict = exits and bool(pdf[NO_EVICT].iat[i])
             t, u = ts[i], usd[i]
             if a1 is None or t - a1 > p.micro_window_ms:
                 a1, mc, msum = t, 0, 0
@@ -255,31 +241,14 @@ def _fold(batches, p: DecisionParams, exits: bool = False):
                 trusted.append(d)
                 trusted = trusted[-p.trust_size:]
                 joined = True
-            if exits:
-                continue
             for k, v in (("micro_n", mc), ("micro_sum_cents", msum), ("micro_hit", micro),
                          ("mule_in_cents", ins), ("mule_out_cents", outs), ("mule_hit", mule),
                          ("new_device", new_dev), ("wire_hit", wire), ("novelty_hit", novelty),
                          ("trust_joined", joined), ("trust_size", len(trusted))):
                 out[k].append(v)
-        if exits:
-            if done:
-                yield pd.DataFrame(done, columns=EXIT_NAMES)
-                done = []
-            continue
         for k, _ in FOLD_FIELDS:
             pdf[k] = out[k]
         yield pdf
-    if exits and isinstance(cur, tuple):
-        yield pd.DataFrame([snapshot()], columns=EXIT_NAMES)
-
-
-EXIT_NAMES = ["customer_id", sg.SEG] + [n for n, _ in ENTRY_FIELDS]
-
-
-def _exit_schema(df: DataFrame) -> T.StructType:
-    return T.StructType([df.schema["customer_id"], T.StructField(sg.SEG, T.LongType())]
-                        + [T.StructField(n, t, True) for n, t in ENTRY_FIELDS])
 
 
 def _with_entries(df: DataFrame, entries: DataFrame | None) -> DataFrame:
@@ -295,66 +264,27 @@ def _with_entries(df: DataFrame, entries: DataFrame | None) -> DataFrame:
     return j.drop("_ek", "_es").withColumn("_e_set", F.coalesce(F.col("_e_set"), F.lit(False)))
 
 
-def _fold_exits(rows: DataFrame, entries: DataFrame | None, p: DecisionParams) -> DataFrame:
-    x = _with_entries(rows, entries).sortWithinPartitions("customer_id", sg.SEG, *ORDER)
-    return x.mapInPandas(lambda it: _fold(it, p, exits=True), _exit_schema(rows))
-
-
-def _shift(exits: DataFrame) -> DataFrame:
-    """Entry of each segment = exit of the customer's previous segment."""
-    w = W.partitionBy("customer_id").orderBy(sg.SEG)
-    state = F.struct(*[F.col(n) for n, _ in ENTRY_FIELDS])
-    return (exits.withColumn("_prev", F.lag(state).over(w)).filter(F.col("_prev").isNotNull())
-                 .select("customer_id", sg.SEG, *[F.col(f"_prev.{n}").alias(n) for n, _ in ENTRY_FIELDS]))
-
-
 def resolve_entry_states(windowed: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
-    """Entry state of every segment of every hot customer, exactly.
-
-    The fold is sequential inside a customer, so segment k starts from the
-    final state of segment k-1. Round 0 folds all hot segments in parallel from
-    a fresh state; then the guess of segment k becomes the exit of segment k-1,
-    and only segments whose guess changed are folded again, until none changes.
-    The fixpoint is the sequential result (after round r the first r segments
-    of every customer are exact). A segment's exit stops depending on its entry
-    once it holds a quiet hour or a saturated trust list, so in practice the
-    changed set collapses after a round or two and later rounds touch a few
-    segments. A customer with at most ``trust_size`` devices never evicts, so
-    its trust list is kept in canonical order between segments (otherwise a
-    fresh and a true start differ only in list order and every segment would
-    look changed). Rows come from a checkpointed, (customer, segment)-clustered
-    narrow copy of the hot rows; the state tables hold one row per segment
-    (bounded by total_rows / seg_rows) and are checkpointed each round. The
-    device table has one row per hot customer (bounded by total_rows /
-    hot_rows, so broadcast).
-    """
+    """Entry state of every segment of every hot customer, exactly (``summaries``): the
+    anchored windows by step functions; then, with the windows known, one fold tells which
+    rows may add their device, and the trust lists follow from those. Rows come from a
+    checkpointed, (customer, segment)-clustered narrow copy of the hot rows; state tables
+    hold one row per segment (bounded by total_rows / seg_rows)."""
     from ledgerhawk.session import scratch_root
-    spark = windowed.sparkSession
-    scratch_root(spark)  # cluster checkpoint dir, or a test folder when unset
-    rows = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT)
-    devices = (rows.filter(F.col("device_id").isNotNull()).groupBy("customer_id", "device_id").count()
-                   .groupBy("customer_id").agg((F.count(F.lit(1)) <= F.lit(p.trust_size)).alias(NO_EVICT)))
+    scratch_root(windowed.sparkSession)  # cluster checkpoint dir, or a test folder when unset
     # the window stage left the rows hash-clustered by (customer, segment) and
-    # sorted; filter, projection, broadcast join and checkpoint keep that
-    hot = (rows.join(F.broadcast(devices), "customer_id", "left")
-               .withColumn(NO_EVICT, F.coalesce(F.col(NO_EVICT), F.lit(True))).checkpoint())
-    exits = _fold_exits(hot, None, p).checkpoint()
-    entries = _shift(exits).checkpoint()
-    changed = entries.select("customer_id", sg.SEG)
-    while not changed.isEmpty():
-        keys = broadcast_if_small(changed.select(F.col("customer_id").alias("_ek"), F.col(sg.SEG).alias("_es")))
-        redo = hot.join(keys, (F.col("customer_id") == F.col("_ek")) & (F.col(sg.SEG) == F.col("_es")),
-                        "left_semi")
-        fresh = _fold_exits(redo, entries, p)
-        kept = exits.join(changed, ["customer_id", sg.SEG], "left_anti")
-        exits = kept.unionByName(fresh).checkpoint()
-        nxt = _shift(exits).checkpoint()
-        state = F.struct(*[F.col(n) for n, _ in ENTRY_FIELDS]).alias("_s")
-        a = nxt.select("customer_id", sg.SEG, state)
-        b = entries.select("customer_id", sg.SEG, state)
-        changed = a.exceptAll(b).select("customer_id", sg.SEG).checkpoint()
-        entries = nxt
-    return entries
+    # sorted; filter, projection and checkpoint keep that
+    hot = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT).checkpoint()
+    anchors = sm.anchor_entries(hot, p).checkpoint()
+    none = [F.lit(None).cast(t).alias(n) for n, t in ENTRY_FIELDS if n == "trusted"]
+    flagged = sequential_fold(hot, p, anchors.select("*", *none))
+    stopped = F.col("_pre_violation") | F.col("micro_hit") | F.col("mule_hit") \
+        | ((F.col("_channel") == "SWIFT_WIRE") & (F.col("_usd_cents") > p.wire_min_cents)) \
+        | (F.col("_new_country") & (F.col("_usd_cents") > p.novelty_min_cents))
+    accesses = flagged.where((F.col("device_id") != "") & ~F.coalesce(stopped, F.lit(False))) \
+        .select("customer_id", sg.SEG, *ORDER, "device_id").checkpoint()
+    trust = sm.trust_entries(anchors.select("customer_id", sg.SEG), accesses, p)
+    return anchors.join(trust, ["customer_id", sg.SEG], "left").select("customer_id", sg.SEG, *[n for n, _ in ENTRY_FIELDS]).checkpoint()
 
 
 def sequential_fold(df: DataFrame, p: DecisionParams = DecisionParams(),

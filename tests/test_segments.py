@@ -105,3 +105,61 @@ def test_text_ids_and_a_burst_split_equal_unsplit(spark):
     whole = t.groupBy("customer_id").count().agg(F.max("count")).first()[0]
     assert most < whole / 2
     _same(seq.time_since_last(t).select(*cols), seq.time_since_last(t, split=p).select(*cols))
+
+
+def _steady(spark, n=1500, devices=7):
+    """One customer without any pause: a row each 20 seconds, amounts that fire both windows."""
+    i = F.col("id")
+    return spark.range(n).select(
+        i.alias("transaction_id"), F.concat(F.lit("k"), i.cast("string")).alias("idempotency_key"), F.lit(1).cast("long").alias("customer_id"),
+        F.when(i % 11 == 0, "SWIFT_WIRE").otherwise("WEB_BANKING").alias("channel_type"),
+        F.element_at(F.array(*[F.lit(x) for x in ("DEPOSIT", "WITHDRAWAL", "PAYMENT")]), (F.pmod(F.xxhash64(i), F.lit(3)) + 1).cast("int")).alias("transaction_type"),
+        (F.pmod(F.xxhash64(i, F.lit(1)), F.lit(9_000)) + 1).cast("decimal(12,2)").alias("amount"), F.lit(None).cast("decimal(12,2)").alias("amount_usd"),
+        (F.lit(1_704_067_200_000) + i * 20_000 + F.pmod(F.xxhash64(i, F.lit(2)), F.lit(15_000))).alias("event_timestamp"),
+        F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"), F.lit(1).cast("long").alias("country_code"),
+        F.lit(1).cast("long").alias("ip_country"), F.concat(F.lit("D"), F.pmod(F.xxhash64(F.floor(i / 40), i % 3), F.lit(devices)).cast("string")).alias("device_id"),
+        F.lit(False).alias("is_rooted_device"))
+
+
+def test_customer_without_a_pause_takes_no_rounds(spark, monkeypatch):
+    """Anchors that never realign: over a hundred segments equal the sequential fold, and
+    with no more devices than the trust list holds nothing is folded twice."""
+    from ledgerhawk.config import DecisionParams
+    from ledgerhawk.operators import summaries as sm
+    p = DecisionParams(micro_window_ms=7_000_003, mule_window_ms=3_100_007, micro_sum_cents=100_000_000, mule_min_cents=15_000_000)
+    cols = ("transaction_id", "micro_n", "micro_sum_cents", "micro_hit", "mule_in_cents", "mule_out_cents", "mule_hit",
+            "new_device", "wire_hit", "trust_joined", "trust_size", "decision_reasons")
+    rounds = []
+    plain = sm._trust_exits
+    monkeypatch.setattr(sm, "_trust_exits", lambda *a: rounds.append(1) or plain(*a))
+    for devices in (7, 14):
+        t = _steady(spark, devices=devices)
+        whole = seq.decide(t, p, F.col("event_timestamp"), keep_features=True).select(*cols)
+        split = seq.decide(t, p, F.col("event_timestamp"), keep_features=True, split=SplitParams(hot_rows=100, seg_rows=12)).select(*cols)
+        _same(whole, split)
+        assert whole.filter("micro_hit").count() > 0 and whole.filter("trust_joined").count() >= devices
+        assert bool(rounds) == (devices > 10)
+
+
+def test_step_functions_compose(spark):
+    """Entry states by look-up are those of a row-by-row fold, for any cut and any window."""
+    import random
+
+    import numpy as np
+
+    from ledgerhawk.operators import summaries as sm
+
+    rng = random.Random(1)
+    for _ in range(200):
+        n, window = rng.randrange(1, 60), rng.choice((0, 1, 5, 30, 200))
+        t = sorted(rng.randrange(0, 150) for _ in range(n))
+        a, b = [rng.randrange(5) for _ in t], [rng.randrange(9) for _ in t]
+        cuts = sorted({0, n, *[rng.randrange(n + 1) for _ in range(4)]})
+        state, fold = (None, 0, 0), (None, 0, 0)
+        for lo, hi in zip(cuts, cuts[1:]):
+            state = sm.leave(state, sm.steps(np.array(t[lo:hi]), np.array(a[lo:hi]), np.array(b[lo:hi]), window), window)
+            for x, u, v in zip(t[lo:hi], a[lo:hi], b[lo:hi]):
+                if fold[0] is None or x - fold[0] > window:
+                    fold = (x, 0, 0)
+                fold = (fold[0], fold[1] + u, fold[2] + v)
+            assert state == fold
