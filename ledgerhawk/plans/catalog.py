@@ -713,6 +713,7 @@ def q_gold_merge(spark, sf_dir):
 
 # ------------------------------------------------------------------ streams (availableNow, read back)
 from ledgerhawk.streaming import jobs as sj  # noqa: E402
+from ledgerhawk.streaming import rolling  # noqa: E402
 from ledgerhawk.streaming import sources as ss  # noqa: E402
 from ledgerhawk.streaming.stateful import stream_time_since_last  # noqa: E402
 
@@ -765,6 +766,23 @@ def q_stream_time_since_last(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@register("stream_rolling_features", O.ROLLING_BY_MINUTE)
+def q_stream_rolling_features(spark, sf_dir):
+    """T17 as a stream, at the precision of a minute."""
+    root, _ = _sliced(spark, sf_dir, "rolling", _to_files(lambda e: rolling.stream_rolling_features(sj.parsed_stream(spark, e))))
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_state_expiry", O.with_views("""SELECT customer_id, count(DISTINCT event_timestamp // 60000) AS minutes FROM txn
+WHERE (event_timestamp // 60000 + 1440) * 60000 > (SELECT max(event_timestamp) - 600000 FROM txn) GROUP BY customer_id"""))
+def q_stream_state_expiry(spark, sf_dir):
+    """The customers and minutes left in the state once the last slice has moved the
+    watermark; whoever was quiet for a day of event time is gone."""
+    root, _ = _sliced(spark, sf_dir, "expiry", _to_files(lambda e: rolling.stream_rolling_features(sj.parsed_stream(spark, e), keep_amounts=False)))
+    state = rolling.live_state(spark, f"{root}/ckpt")
+    return state.groupBy(F.col("key.customer_id").alias("customer_id")).agg(F.count(F.lit(1)).alias("minutes"))
+
+
 _TOPIC_SQL = """CASE channel_type WHEN 'MOBILE_APP' THEN 'txn.channel.mobile' WHEN 'ATM' THEN 'txn.channel.atm'
   WHEN 'WEB_BANKING' THEN 'txn.channel.web' WHEN 'SWIFT_WIRE' THEN 'txn.channel.wire'
   WHEN 'POS' THEN 'txn.channel.pos' ELSE 'txn.channel.internal' END"""

@@ -300,6 +300,18 @@ ROLLING_FEATURES = with_views(f"""SELECT transaction_id,
     AS last_txn_amounts
 FROM txn""")
 
+#: the same at the precision of the stream's buckets: whole minutes, and the row's own up to it
+ROLLING_BY_MINUTE = with_views(f"""SELECT s.transaction_id, total_in_24h, total_out_24h, txn_count_1h, last_txn_amounts FROM (
+  SELECT a.transaction_id,
+    CAST(sum(CASE WHEN b.transaction_type IN ('TRANSFER_IN','DEPOSIT','WIRE_IN') THEN coalesce(b.amount_usd, 0) ELSE 0 END) AS DOUBLE) AS total_in_24h,
+    CAST(sum(CASE WHEN b.transaction_type IN ('TRANSFER_OUT','WITHDRAWAL','WIRE_OUT') THEN coalesce(b.amount_usd, 0) ELSE 0 END) AS DOUBLE) AS total_out_24h,
+    count(*) FILTER (b.event_timestamp // 60000 > a.event_timestamp // 60000 - 60) AS txn_count_1h
+  FROM txn a JOIN txn b ON a.customer_id = b.customer_id AND b.event_timestamp <= a.event_timestamp
+    AND b.event_timestamp // 60000 > a.event_timestamp // 60000 - 1440 GROUP BY a.transaction_id) s
+JOIN (SELECT transaction_id,
+  array_to_string(list(CAST(amount AS VARCHAR)) OVER ({_RW}, transaction_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), ',')
+    AS last_txn_amounts FROM txn) l ON s.transaction_id = l.transaction_id""")
+
 # --------------------------------------------------------------------- Q suites
 def suite_sql(suite, source: str) -> str:
     """One aggregate over ``source`` and one report row per expectation."""

@@ -67,16 +67,17 @@ def restore_settings(spark) -> None:
         spark.conf.set(NO_DATA, _BEFORE.pop(NO_DATA))
 
 
-def use_rocksdb(spark) -> None:
+def use_rocksdb(spark, timers: bool = False) -> None:
     """transformWithState needs the RocksDB provider; set before the query starts.
 
     No-data micro-batches are off: with processing-time TTL they would otherwise
     be scheduled back to back while state exists (an ``availableNow`` run would
-    never finish); expired state is evicted on the next data batch instead."""
+    never finish); expired state is evicted on the next data batch instead. With
+    event-time ``timers`` they are on: one follows when the watermark has moved."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if NO_DATA not in _BEFORE:
         _BEFORE[NO_DATA] = spark.conf.get(NO_DATA, "true")
-    spark.conf.set(NO_DATA, "false")
+    spark.conf.set(NO_DATA, str(timers).lower())
     # commit = upload this batch's changes only; snapshots are made in the
     # background maintenance task (a full snapshot per batch dominated commits)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -144,10 +145,12 @@ class TimeSinceLastProcessor(StatefulProcessor):
         pass
 
 
-def stream_time_since_last(decoded: DataFrame, key: str = "customer_id") -> DataFrame:
+def stream_time_since_last(decoded: DataFrame, key: str = "customer_id", ttl_ms: int | None = None) -> DataFrame:
+    """T16 of a decoded stream; ``ttl_ms`` of processing time bounds the state, after
+    which a key's next row counts as its first."""
     use_rocksdb(decoded.sparkSession)
     x = decoded.select(key, "transaction_id", F.unix_micros("event_ts").alias("event_us"))
     return x.groupBy(key).transformWithState(
-        statefulProcessor=TimeSinceLastProcessor(),
+        statefulProcessor=TimeSinceLastProcessor(ttl_ms),
         outputStructType="transaction_id long, time_since_last_trans double",
         outputMode="Append", timeMode="ProcessingTime")
