@@ -117,9 +117,20 @@ class QualityParams:
 
 @dataclass(frozen=True)
 class StreamParams:
+    """Admission and cadence of the streams. A file source takes at most
+    ``max_files_per_trigger`` files or ``max_bytes_per_trigger`` (one of them, or neither), a broker
+    source ``max_offsets_per_trigger`` messages from ``starting_offsets``."""
+
     watermark: str = "10 minutes"
-    max_files_per_trigger: int = 1
+    max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = 256 * 1024 * 1024
+    max_offsets_per_trigger: int = 50_000
+    starting_offsets: str = "latest"
     trigger_seconds: dict = field(default_factory=lambda: {
         "serving": 5, "decisions": 2, "alerts": 2, "gold": 30,
         "bronze": 60, "dlq": 30, "archive": 30,
     })
+
+    def trigger_of(self, *sinks: str) -> int:
+        """Interval of one query that feeds several sinks: that of the most frequent."""
+        return min(self.trigger_seconds[s] for s in sinks)

@@ -713,7 +713,9 @@ def q_gold_merge(spark, sf_dir):
 
 # ------------------------------------------------------------------ streams (availableNow, read back)
 from ledgerhawk.streaming import jobs as sj  # noqa: E402
+from ledgerhawk.config import StreamParams  # noqa: E402
 from ledgerhawk.streaming import rolling  # noqa: E402
+from ledgerhawk.streaming.progress import ProgressLog, read_progress  # noqa: E402
 from ledgerhawk.streaming import sources as ss  # noqa: E402
 from ledgerhawk.streaming.stateful import stream_time_since_last  # noqa: E402
 
@@ -839,9 +841,10 @@ _CSV_SCHEMA = "transaction_id long, channel_type string, amount decimal(12,2)"
 
 @register("csv_export", O.with_views("SELECT transaction_id, channel_type, amount FROM txn"))
 def q_csv_export(spark, sf_dir):
-    """One-file-per-batch CSV export with header (coalesce(1) on a small
-    projection), read back by glob with a declared schema (S6)."""
-    root, _ = _sliced(spark, sf_dir, "csv", _to_files(lambda e: sj.parsed_stream(spark, e).select(
+    """One-file-per-batch CSV export with header, read back by glob with a declared
+    schema (S6). A batch is bounded by the bytes it admits, so its one task is as well."""
+    rate = StreamParams(max_bytes_per_trigger=32 * 1024 * 1024)
+    root, _ = _sliced(spark, sf_dir, "csv", _to_files(lambda e: sj.parsed_stream(spark, e, rate).select(
         "transaction_id", "channel_type", "amount").coalesce(1), fmt="csv", options={"header": "true"}))
     from ledgerhawk.sources.tables import csv_scan
     return csv_scan(spark, f"{root}/out/*.csv", _CSV_SCHEMA)
@@ -879,6 +882,17 @@ def q_stream_velocity(spark, sf_dir):
 LATE_ID = 10 ** 12
 
 
+def _late_run(spark, sf_dir, root):
+    """The month in slices, then its first week again under new ids; in-order and late rows."""
+    t = txn(spark, sf_dir)
+    late = t.filter(F.col("event_ts") < F.lit(SLICES[0]).cast("timestamp")) \
+        .withColumn("transaction_id", F.col("transaction_id") + F.lit(LATE_ID))
+    run = _to_files(lambda e: sj.stream_dedup(sj.parsed_stream(spark, e)).select("transaction_id"))
+    _sliced(spark, sf_dir, "late", run, t, SLICES, root=root, sub="a")
+    _sliced(spark, sf_dir, "late", run, late, (), root=root, sub="b")
+    return t, late
+
+
 @register("stream_late_rows", O.with_views("""
 SELECT 'in order' AS arrival, count(*) AS input_rows, count(*) AS output_rows FROM txn
 UNION ALL SELECT 'late', count(*), 0 FROM txn WHERE event_ts < TIMESTAMP '""" + SLICES[0] + """'
@@ -886,18 +900,41 @@ UNION ALL SELECT 'late', count(*), 0 FROM txn WHERE event_ts < TIMESTAMP '""" +
 def q_stream_late_rows(spark, sf_dir):
     """After the whole month, rows of its first week arrive under new ids; the
     watermark drops them in the stateful dedup. Rows in and out, by when they arrive."""
-    t = txn(spark, sf_dir)
-    late = t.filter(F.col("event_ts") < F.lit(SLICES[0]).cast("timestamp")) \
-        .withColumn("transaction_id", F.col("transaction_id") + F.lit(LATE_ID))
-    run = _to_files(lambda e: sj.stream_dedup(sj.parsed_stream(spark, e)).select("transaction_id"))
-    root, _ = _sliced(spark, sf_dir, "late", run, t, SLICES, sub="a")
-    _sliced(spark, sf_dir, "late", run, late, (), root=root, sub="b")
+    root = scratch_path(spark, "late")
+    t, late = _late_run(spark, sf_dir, root)
     arrival = F.when(F.col("transaction_id") < F.lit(LATE_ID), "in order").otherwise("late").alias("arrival")
     sent = t.select(arrival).unionByName(late.select(arrival)).groupBy("arrival").agg(F.count(F.lit(1)).alias("input_rows"))
     got = spark.read.parquet(f"{root}/out").groupBy(arrival).agg(F.count(F.lit(1)).alias("output_rows"))
     return sent.join(got, "arrival", "left").select("arrival", "input_rows", F.coalesce("output_rows", F.lit(0)).alias("output_rows"))
 
 
+FILES = 6
+
+
+@register("stream_admission", O.with_views(f"SELECT count(*) AS rows FROM txn GROUP BY transaction_id % {FILES}"))
+def q_stream_admission(spark, sf_dir):
+    """What has arrived is admitted one file a micro-batch; rows of each batch."""
+    root = scratch_path(spark, "admission")
+    env = ss.to_envelope(txn(spark, sf_dir)).withColumn("file", F.col("offset") % FILES)
+    env.repartition("file").write.partitionBy("file").parquet(f"{root}/envelope")
+    rate = StreamParams(max_files_per_trigger=1, max_bytes_per_trigger=None)
+    sj.run_foreach_batch(sj.parsed_stream(spark, f"{root}/envelope", rate), sj.upsert_batch_sizes(f"{root}/sizes"), f"{root}/ckpt")
+    return sk.read_log(spark, f"{root}/sizes").select("rows")
+
+
+@register("stream_progress", O.with_views(f"""SELECT 5 AS batches, 2 AS runs_or_more, count(*) + count(*) FILTER (event_ts < TIMESTAMP '{SLICES[0]}') AS input_rows,
+  count(*) FILTER (event_ts < TIMESTAMP '{SLICES[0]}') AS dropped_rows, 0 AS gaps FROM txn"""))
+def q_stream_progress(spark, sf_dir):
+    """Batches, input rows, rows dropped by the watermark and offset gaps over the
+    restarts of one query, from its progress table; the run is that of ``stream_late_rows``."""
+    root = scratch_path(spark, "progress")
+    with ProgressLog(spark, f"{root}/progress"):
+        _late_run(spark, sf_dir, root)
+    log = read_progress(spark, f"{root}/progress")
+    return log.agg(F.count(F.lit(1)).alias("batches"), F.least(F.countDistinct("run_id"), F.lit(2)).cast("int").alias("runs_or_more"), F.sum("input_rows").alias("input_rows"),
+                   F.sum("dropped_rows").alias("dropped_rows"), F.sum(F.when(F.col("joins_up"), 0).otherwise(1)).alias("gaps"))
+
+
 @register("stream_fanout", O.with_views(f"""
 SELECT 'bronze' AS sink, count(*) AS rows FROM txn_dirty
 UNION ALL SELECT 'dlq', count(*) FROM dq WHERE NOT dq_passed

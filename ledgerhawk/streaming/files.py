@@ -35,6 +35,14 @@ def mark(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, replacing it."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def committed(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders below ``path`` whose write was finished."""
     return [n for n in folders(spark, path) if path_exists(spark, f"{path}/{n}/{DONE}")]

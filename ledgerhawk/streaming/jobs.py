@@ -56,23 +56,24 @@ def run_foreach_batch(stream: DataFrame, fn, ckpt: str, mode: str = "append",
 
 
 # ---------------------------------------------------------------- pipelines
-def parsed_stream(spark: SparkSession, env_path: str, max_files: int | None = None) -> DataFrame:
-    return decode(envelope_stream(spark, env_path, max_files))
+def parsed_stream(spark: SparkSession, env_path: str, rate: StreamParams = StreamParams()) -> DataFrame:
+    return decode(envelope_stream(spark, env_path, rate))
 
 
 def decision_stream(spark: SparkSession, env_path: str, params: DecisionParams = DecisionParams(),
-                    ingest_col: str | None = "ingest_ms", max_files: int | None = None) -> DataFrame:
+                    ingest_col: str | None = "ingest_ms", rate: StreamParams = StreamParams()) -> DataFrame:
     """Source -> decode -> DQ -> clean -> SLA -> on time -> stateful engine."""
-    parsed = parsed_stream(spark, env_path, max_files)
+    parsed = parsed_stream(spark, env_path, rate)
     clean = dq_validate(parsed).filter("dq_passed")
     on_time = sla_metrics(clean, ingest_col).filter(~F.col("sla_breached"))
     return stream_decisions(on_time, params, processing_ms=ingest_col)
 
 
 def landing_fanout(spark: SparkSession, env_path: str, root: str, ingest_col: str | None = "ingest_ms",
-                   trigger_seconds: int | None = None):
+                   rate: StreamParams = StreamParams(), drain: bool = True):
     """W6 part 1 (stateless sinks, one read of the source): bronze by channel,
-    dead letters (S13) and SLA archive (S14) from one persisted micro-batch."""
+    dead letters (S13) and SLA archive (S14) from one persisted micro-batch. With
+    ``drain`` it ends with what is there, else it runs at its sinks' interval (W4)."""
     def fan(batch: DataFrame, batch_id: int) -> None:
         b = dq_validate(batch).persist()
         sk.write_batch(batch, f"{root}/bronze", batch_id, ("channel_type",))
@@ -80,12 +81,12 @@ def landing_fanout(spark: SparkSession, env_path: str, root: str, ingest_col: st
         timed = sla_metrics(b.filter("dq_passed"), ingest_col)
         sk.write_batch(timed.filter("sla_breached"), f"{root}/archive", batch_id)
         b.unpersist()
-    return run_foreach_batch(parsed_stream(spark, env_path), fan, f"{root}/_ckpt/landing",
-                             trigger_seconds=trigger_seconds)
+    return run_foreach_batch(parsed_stream(spark, env_path, rate), fan, f"{root}/_ckpt/landing",
+                             trigger_seconds=None if drain else rate.trigger_of("bronze", "dlq", "archive"))
 
 
 def decision_fanout(spark: SparkSession, env_path: str, root: str, params: DecisionParams = DecisionParams(),
-                    ingest_col: str | None = "ingest_ms", trigger_seconds: int | None = None):
+                    ingest_col: str | None = "ingest_ms", rate: StreamParams = StreamParams(), drain: bool = True):
     """W5/W6 part 2: the stateful decision stream (append) feeds decisions topic
     rows (S9), alerts (N1/S10), keyed serving rows (S11) and the gold merge (S12)
     from one persisted micro-batch, instead of four queries recomputing state."""
@@ -97,8 +98,8 @@ def decision_fanout(spark: SparkSession, env_path: str, root: str, params: Decis
         sk.upsert_batch(sk.serving_rows(d), f"{root}/serving", batch_id)
         sk.merge_insert_batch(d.sparkSession, d, f"{root}/gold", batch_id, "idempotency_key")
         d.unpersist()
-    return run_foreach_batch(decision_stream(spark, env_path, params, ingest_col), fan,
-                             f"{root}/_ckpt/decisions", trigger_seconds=trigger_seconds)
+    return run_foreach_batch(decision_stream(spark, env_path, params, ingest_col, rate), fan, f"{root}/_ckpt/decisions",
+                             trigger_seconds=None if drain else rate.trigger_of("decisions", "alerts", "serving", "gold"))
 
 
 def stream_dedup(parsed: DataFrame, watermark: str = StreamParams().watermark) -> DataFrame:
@@ -128,6 +129,13 @@ def read_window_counts(spark: SparkSession, path: str) -> DataFrame:
                .select("customer_id", "window_start", "r.window_end", "r.txn_count"))
 
 
-def landing_stream(spark: SparkSession, env_path: str) -> DataFrame:
+def landing_stream(spark: SparkSession, env_path: str, rate: StreamParams = StreamParams()) -> DataFrame:
     """S3 raw landing stream."""
-    return raw_landing(envelope_stream(spark, env_path))
+    return raw_landing(envelope_stream(spark, env_path, rate))
+
+
+def upsert_batch_sizes(path: str):
+    """Rows of every micro-batch, one row a batch."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        sk.write_batch(batch.agg(F.count(F.lit(1)).alias("rows")), path, batch_id)
+    return fn

@@ -3,8 +3,8 @@
 The envelope has the Kafka source schema (key, value, topic, partition, offset,
 timestamp). Where the Kafka connector is deployed, ``kafka_stream`` reads the
 same shape from brokers; here the envelope is a directory of parquet files read
-as a file stream, with ``maxFilesPerTrigger`` as back-pressure when a rate is
-wanted (``None`` drains whatever has arrived, as ``availableNow`` replays do).
+as a file stream, with ``StreamParams`` as back-pressure: a micro-batch never holds more files or bytes
+than admitted, in ``availableNow`` replays too.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerhawk.config import StreamParams
+
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT, "ignoreNullFields": "false"}
 N_PARTITIONS = 6
@@ -104,20 +106,23 @@ def write_envelope_slices(spark: SparkSession, t: DataFrame, path: str, boundari
     return list(envelope_slices(spark, t, path, boundaries))
 
 
-def envelope_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Streaming scan of the envelope directory with a declared schema."""
+def envelope_stream(spark: SparkSession, path: str, params: StreamParams = StreamParams()) -> DataFrame:
+    """Streaming scan of the envelope directory with a declared schema, admitted in
+    batches of bounded files or bytes."""
+    if params.max_files_per_trigger and params.max_bytes_per_trigger:
+        raise ValueError("limit files or bytes, not both")
     r = spark.readStream.schema(ENVELOPE_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
+    for name, limit in (("maxFilesPerTrigger", params.max_files_per_trigger), ("maxBytesPerTrigger", params.max_bytes_per_trigger)):
+        if limit:
+            r = r.option(name, limit)
     return r.option("recursiveFileLookup", "true").parquet(path)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topics, max_offsets: int = 50_000,
-                 starting: str = "latest") -> DataFrame:
+def kafka_stream(spark: SparkSession, servers: str, topics, params: StreamParams = StreamParams()) -> DataFrame:
     """S1 where the Kafka connector is deployed (not available in this image)."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-                 .option("subscribe", ",".join(topics)).option("startingOffsets", starting)
-                 .option("maxOffsetsPerTrigger", max_offsets).option("failOnDataLoss", "false").load())
+                 .option("subscribe", ",".join(topics)).option("startingOffsets", params.starting_offsets)
+                 .option("maxOffsetsPerTrigger", params.max_offsets_per_trigger).option("failOnDataLoss", "false").load())
 
 
 def decode(envelope: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA) -> DataFrame:
