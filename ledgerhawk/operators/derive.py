@@ -160,10 +160,18 @@ def fact_surrogate_keys(enriched: DataFrame, clients: DataFrame, nations: DataFr
         F.col("Trans_type").alias("trans_type"), F.col("Trans_status").alias("trans_status"))
 
 
-def silver(cards: DataFrame, p: SilverParams = SilverParams(), step: StepRiskParams = StepRiskParams()) -> DataFrame:
-    """Bronze -> silver: dedup (C1), business rules (P16), standardise (P17) and the
-    suspect flag gold needs (P9/P10), keeping the event time (X6)."""
-    d = dedup_batch(cards, ("Trans_id", "Trans_Ref_No"))
-    s = silver_standardize(silver_filter(d, p), cols=("Currency",))
+SILVER_KEYS = ("Trans_id", "Trans_Ref_No")
+
+
+def silver(cards: DataFrame, p: SilverParams = SilverParams(), step: StepRiskParams = StepRiskParams(),
+           columns: tuple | None = None) -> DataFrame:
+    """Bronze -> silver: business rules (P16), dedup (C1), standardise (P17) and the
+    suspect flag gold needs (P9/P10), keeping the event time (X6). The rules stand below the
+    dedup, at the scan: a key stays if one of its copies keeps them. ``columns``: those that
+    are read afterwards, beside the flag; by default all."""
+    wanted = list(dict.fromkeys([*SILVER_KEYS, "Trans_ts", "Trans_amount", *(cards.columns if columns is None else columns)]))
+    s = dedup_batch(silver_filter(cards, p).select(*wanted), SILVER_KEYS)
+    if "Currency" in wanted:
+        s = silver_standardize(s, cols=("Currency",))
     wk = is_weekend(F.col("Trans_ts"))
     return s.withColumn("suspect_flag", is_suspect(risk_step(F.col("Trans_amount"), wk, step), step))

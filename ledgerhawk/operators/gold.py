@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ledgerhawk.functions.joins import broadcast_if_small
@@ -116,11 +117,20 @@ def decision_mix(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("channel_type", "decision_action").agg(F.count(F.lit(1)).alias("decisions"))
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)) \
+        and not (isinstance(kind, T.DecimalType) and kind.precision > 18)
+
+
 def dedup_batch(df: DataFrame, keys=("transaction_id", "trans_ref_no")) -> DataFrame:
     """Exact dedup with map-side combine. Of rows with the same keys the one with
-    the least XXH64 of all its columns stays, so a rerun keeps the same row."""
+    the least XXH64 of its columns stays, so a rerun keeps the same row. Hand it the columns
+    that are read after it: no others are scanned, and if those beside the keys are of fixed
+    width, it is a hash aggregate."""
     rest = [c for c in df.columns if c not in keys]
     order = F.xxhash64(*[F.col(c) for c in df.columns])
+    if all(_fixed_width(df.schema[c].dataType) for c in rest):
+        return df.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in rest]).select(*df.columns) if rest else df.distinct()
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_kept")) \
         .select(*[F.col(f"_kept.{c}") if c in rest else F.col(c) for c in df.columns])
 

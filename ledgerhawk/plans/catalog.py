@@ -54,8 +54,9 @@ def r4(c):
     return F.floor(c * 10000 + F.lit(0.5)) / F.lit(10000.0)
 
 
-def silver_of(spark, sf_dir):
-    return dv.silver(cards(spark, sf_dir))
+def silver_of(spark, sf_dir, *columns):
+    """Silver rows; ``columns`` beside the keys, time, amount and flag, all if none is named."""
+    return dv.silver(cards(spark, sf_dir), columns=columns or None)
 
 
 def enriched_cards(spark, sf_dir):
@@ -330,7 +331,7 @@ def q_sql_count(spark, sf_dir):
 # ------------------------------------------------------------------ A, J, C, N, S16
 @register("suspect_kpis", O.SUSPECT_KPIS)
 def q_suspect_kpis(spark, sf_dir):
-    return gd.suspect_kpis(silver_of(spark, sf_dir))
+    return gd.suspect_kpis(silver_of(spark, sf_dir, "Trans_amount"))
 
 
 @register("gold_rewrite", O.SUSPECT_KPIS)
@@ -347,7 +348,7 @@ def q_gold_rewrite(spark, sf_dir):
 
 @register("customer_risk", O.CUSTOMER_RISK)
 def q_customer_risk(spark, sf_dir):
-    return gd.customer_risk(silver_of(spark, sf_dir))
+    return gd.customer_risk(silver_of(spark, sf_dir, "Clt_id"))
 
 
 @register("suspect_by_category", O.SUSPECT_BY_CATEGORY)
@@ -357,27 +358,27 @@ def q_suspect_by_category(spark, sf_dir):
 
 @register("repeat_suspects", O.REPEAT_SUSPECTS)
 def q_repeat_suspects(spark, sf_dir):
-    return gd.repeat_suspects(silver_of(spark, sf_dir), F.col("suspect_flag") == 1, 1, key="Clt_id")
+    return gd.repeat_suspects(silver_of(spark, sf_dir, "Clt_id"), F.col("suspect_flag") == 1, 1, key="Clt_id")
 
 
 @register("customer_risk_trend", O.CUSTOMER_RISK_TREND)
 def q_customer_risk_trend(spark, sf_dir):
-    return gd.customer_risk_trend(silver_of(spark, sf_dir), period="week")
+    return gd.customer_risk_trend(silver_of(spark, sf_dir, "Clt_id"), period="week")
 
 
 @register("suspect_trend", O.SUSPECT_TREND)
 def q_suspect_trend(spark, sf_dir):
-    return gd.suspect_trend(silver_of(spark, sf_dir), period="day")
+    return gd.suspect_trend(silver_of(spark, sf_dir, "Trans_amount"), period="day")
 
 
 @register("client_features", O.CLIENT_FEATURES)
 def q_client_features(spark, sf_dir):
-    return gd.client_features(silver_of(spark, sf_dir))
+    return gd.client_features(silver_of(spark, sf_dir, "Clt_id"))
 
 
 @register("feature_join", O.FEATURE_JOIN)
 def q_feature_join(spark, sf_dir):
-    return gd.feature_join(silver_of(spark, sf_dir)).select(
+    return gd.feature_join(silver_of(spark, sf_dir, "Clt_id")).select(
         "Trans_id", "Clt_id", "Trans_amount", "transactions_last_day", "average_transaction_amount")
 
 
@@ -393,12 +394,12 @@ def q_dim_lookup(spark, sf_dir):
 
 @register("gold_suspect_alerts", O.GOLD_SUSPECT_ALERTS)
 def q_gold_suspect_alerts(spark, sf_dir):
-    return al.gold_suspect_alerts(silver_of(spark, sf_dir)).select("Trans_id", "Clt_id", "Trans_amount")
+    return al.gold_suspect_alerts(silver_of(spark, sf_dir, "Clt_id")).select("Trans_id", "Clt_id", "Trans_amount")
 
 
 @register("dedup_silver", O.DEDUP_SILVER)
 def q_dedup_silver(spark, sf_dir):
-    return gd.dedup_batch(redelivered(spark, sf_dir)).select("transaction_id", "trans_ref_no", "amount")
+    return gd.dedup_batch(redelivered(spark, sf_dir).select("transaction_id", "trans_ref_no", "amount"))
 
 
 def _replay(spark, sf_dir):
@@ -998,7 +999,7 @@ def q_decisions_ml(spark, sf_dir):
 
 
 def _lr_data(spark, sf_dir):
-    return ml.lr_dataset(gd.feature_join(silver_of(spark, sf_dir)))
+    return ml.lr_dataset(gd.feature_join(silver_of(spark, sf_dir, "Clt_id")))
 
 
 @register("lr_train")
@@ -1081,7 +1082,7 @@ def q_stream_score(spark, sf_dir):
     path = scratch_path(spark, "lr_model")
     ml.lr_train(_lr_data(spark, sf_dir), path)
     model = ml.load_model(path)
-    feats = broadcast_if_small(gd.client_features(silver_of(spark, sf_dir)).withColumnRenamed("Clt_id", "customer_id"))
+    feats = broadcast_if_small(gd.client_features(silver_of(spark, sf_dir, "Clt_id")).withColumnRenamed("Clt_id", "customer_id"))
     def scored(env):
         s = (sj.parsed_stream(spark, env).join(feats, "customer_id")
                .withColumn("Trans_amount_d", F.col("amount").cast("double")))
