@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerhawk.streaming.files import path_exists
+
 ML_FEATURE_COLS = ("amount_usd_scaled", "local_hour_scaled", "amount_zscore_scaled", "failed_auth_count_scaled")
 RAW_COLS = ("amount_usd_safe", "local_hour", "amount_zscore", "failed_auth_safe")
 
@@ -70,21 +72,19 @@ def kmeans_score(df: DataFrame, model: PipelineModel | None, scale: float = 10.0
                   .withColumn("ml_cluster_id", F.col("ml_cluster_id").cast("int")))
 
 
-def load_model(path: str) -> PipelineModel | None:
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - reference behaviour: rules only when no model
-        return None
+def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
+    """A stored model, None where there is none (rules only); any other fault is raised."""
+    return PipelineModel.load(path) if path_exists(spark, f"{path}/metadata") else None
 
 
 def blend(decisions: DataFrame, weight: float = 0.0, block_pct: int = 75, flag_pct: int = 40) -> DataFrame:
     """ML9: optional weighted blend of the ML score into the composite (0 = as coded)."""
     score = F.least(F.col("composite_risk_score") + F.lit(weight) * F.col("ml_risk_score"), F.lit(1.0))
     hard = F.col("decision_action") == "BLOCK"
-    return (decisions.withColumn("composite_risk_score", score)
-                     .withColumn("decision_action",
-                                 F.when(hard | (score >= block_pct / 100.0), "BLOCK")
-                                  .when(score >= flag_pct / 100.0, "FLAG_WAIT").otherwise("PASS")))
+    return decisions.withColumns({                               # both from the score as it was
+        "composite_risk_score": score,
+        "decision_action": F.when(hard | (score >= block_pct / 100.0), "BLOCK")
+                            .when(score >= flag_pct / 100.0, "FLAG_WAIT").otherwise("PASS")})
 
 
 LR_INPUTS = ("Trans_amount_d", "transactions_last_day", "average_transaction_amount")

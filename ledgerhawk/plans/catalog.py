@@ -959,7 +959,9 @@ def q_stream_fanout(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ ML
+from ledgerhawk.operators import centres as cm  # noqa: E402
 from ledgerhawk.operators import learn as ml  # noqa: E402
+from ledgerhawk.operators.centres import CentreModel  # noqa: E402
 
 KMEANS_K = 4
 
@@ -970,7 +972,20 @@ def _ml_input(spark, sf_dir):
         "amount_zscore", "composite_risk_score", "decision_action"))
 
 
-@register("ml_features")
+_DEC_HOURS = f"""SELECT d.*, t.local_hour, t.failed_auth_count FROM ({_DEC}) d JOIN txn t ON d.transaction_id = t.transaction_id"""
+
+
+def _scaled_sql() -> str:
+    """Inputs over their sample deviation; an input without spread becomes 0."""
+    raw = {"amount_usd_scaled": "CAST(coalesce(amount_usd, amount) AS DOUBLE)", "local_hour_scaled": "CAST(local_hour AS DOUBLE)",
+           "amount_zscore_scaled": "coalesce(amount_zscore, 0.0)", "failed_auth_count_scaled": "CAST(coalesce(failed_auth_count, 0) AS DOUBLE)"}
+    inputs = ", ".join(f"{v} AS {k}" for k, v in raw.items())
+    outs = ", ".join(f"floor(CASE WHEN s_{k} > 0 THEN {k} * (1.0 / s_{k}) ELSE 0.0 END * 10000 + 0.5) / 10000.0 AS {k}" for k in raw)
+    return O.with_views(f"""SELECT transaction_id, {outs} FROM (SELECT transaction_id, {inputs} FROM ({_DEC_HOURS}) h) r,
+  (SELECT {", ".join(f"stddev_samp({v}) AS s_{k}" for k, v in raw.items())} FROM ({_DEC_HOURS}) h) s""")
+
+
+@register("ml_features", _scaled_sql())
 def q_ml_features(spark, sf_dir):
     _model, out = ml.ml_features(_ml_input(spark, sf_dir))
     return out.select("transaction_id", *[r4(F.col(c)).alias(c) for c in ml.ML_FEATURE_COLS])
@@ -1074,6 +1089,66 @@ def q_feature_drift(spark, sf_dir):
     return ml.feature_drift(t, period, _DRIFT_EDGES)
 
 
+# two versions of a centre model over (amount, hour, z-score), for queries that SQL can follow
+_MODELS = (CentreModel((1500.0, 7.0, 1.0), ((0.5, 1.0, 0.5), (2.0, 2.0, 1.0), (6.0, 1.5, 4.0)), 6.0),
+           CentreModel((2000.0, 6.0, 2.0), ((0.2, 3.0, 0.1), (1.0, 0.5, 0.6)), 3.0))
+_WEIGHT = 0.5
+
+
+def _scored_sql(source: str, version: int) -> str:
+    """Score and blend of the decision rows in ``source`` by a fixed model; 0 is none."""
+    if version == 0:
+        cluster, risk, far = "-1", "0.0", ["0.0"]
+    else:
+        m = _MODELS[version - 1]
+        x = [f"({v} / CAST({s} AS DOUBLE))" for v, s in zip(("amount_usd", "CAST(event_timestamp // 3600000 % 24 AS DOUBLE)", "amount_zscore"), m.scales)]
+        far = ["sqrt(" + " + ".join(f"({v} - CAST({c} AS DOUBLE)) * ({v} - CAST({c} AS DOUBLE))" for v, c in zip(x, centre)) + ")" for centre in m.centres]
+        cluster = "list_grade_up(far)[1] - 1"
+        risk = f"least(list_min(far) / CAST({m.distance} AS DOUBLE), 1.0)"
+    blended = f"least(composite_risk_score + {_WEIGHT}::DOUBLE * ml_risk, 1.0)"
+    return f"""SELECT transaction_id, {version} AS model_version, nearest AS ml_cluster_id, floor(ml_risk * 10000 + 0.5) / 10000.0 AS ml_risk_score,
+  floor({blended} * 10000 + 0.5) / 10000.0 AS composite_risk_score,
+  CASE WHEN decision_action = 'BLOCK' OR {blended} >= 0.75 THEN 'BLOCK' WHEN {blended} >= 0.4 THEN 'FLAG_WAIT' ELSE 'PASS' END AS decision_action
+FROM (SELECT *, CAST({cluster} AS INTEGER) AS nearest, CAST({risk} AS DOUBLE) AS ml_risk
+  FROM (SELECT *, [{', '.join(far)}] AS far FROM ({source}) d) f) s"""
+
+
+def _scored_columns(df):
+    return df.select("transaction_id", "model_version", "ml_cluster_id", r4(F.col("ml_risk_score")).alias("ml_risk_score"),
+                     r4(F.col("composite_risk_score")).alias("composite_risk_score"), "decision_action")
+
+
+@register("decisions_scored", _scored_sql(_DEC, 1))
+def q_decisions_scored(spark, sf_dir):
+    """ML3/ML9: decisions scored by a stored centre model and blended."""
+    path = scratch_path(spark, "models")
+    cm.publish(spark, path, _MODELS[0])
+    rows = _decisions(spark, sf_dir).drop("ml_risk_score", "ml_cluster_id")
+    return _scored_columns(ml.blend(cm.score(rows, cm.newest(spark, path), cm.decision_inputs()), _WEIGHT))
+
+
+_SWAPS = {1: _MODELS[0], 3: _MODELS[1]}                      # published before these slices
+_SLICE_SQL = f"SELECT d.*, t.kafka_timestamp AS k FROM ({_DEC}) d JOIN txn t ON d.transaction_id = t.transaction_id"
+_EDGES = [f"epoch_ms(TIMESTAMP '{s}')" for s in SLICES]
+
+
+@register("stream_model_swap", O.with_views(" UNION ALL ".join(
+    _scored_sql(f"SELECT * FROM ({_SLICE_SQL}) x WHERE {cond}", version) for cond, version in (
+        (f"k < {_EDGES[0]}", 0), (f"k >= {_EDGES[0]} AND k < {_EDGES[2]}", 1), (f"k >= {_EDGES[2]}", 2)))))
+def q_stream_model_swap(spark, sf_dir):
+    """ML6: the decision stream without a model, with one, and with the next one, each from
+    the micro-batch after it was published."""
+    slices = iter(range(len(SLICES) + 1))
+
+    def run(root, env):
+        n = next(slices)
+        if n in _SWAPS:
+            cm.publish(spark, f"{root}/models", _SWAPS[n])
+        return sj.scored_decisions(spark, env, f"{root}/models", f"{root}/out", f"{root}/ckpt", _WEIGHT)
+    root, _ = _sliced(spark, sf_dir, "swap", run)
+    return _scored_columns(sk.read_log(spark, f"{root}/out"))
+
+
 @register("stream_score")
 def q_stream_score(spark, sf_dir):
     """ML6: a saved pipeline applied to a stream; per-client features come from
@@ -1081,7 +1156,7 @@ def q_stream_score(spark, sf_dir):
     from ledgerhawk.functions.joins import broadcast_if_small
     path = scratch_path(spark, "lr_model")
     ml.lr_train(_lr_data(spark, sf_dir), path)
-    model = ml.load_model(path)
+    model = ml.load_model(spark, path)
     feats = broadcast_if_small(gd.client_features(silver_of(spark, sf_dir, "Clt_id")).withColumnRenamed("Clt_id", "customer_id"))
     def scored(env):
         s = (sj.parsed_stream(spark, env).join(feats, "customer_id")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerhawk.config import DecisionParams, StreamParams
 from ledgerhawk.operators import alerts as al
+from ledgerhawk.operators import centres as cm
+from ledgerhawk.operators import learn as ml
 from ledgerhawk.operators.latency import sla_metrics
 from ledgerhawk.operators.quality import dq_validate
 from ledgerhawk.streaming import sinks as sk
@@ -102,6 +104,19 @@ def decision_fanout(spark: SparkSession, env_path: str, root: str, params: Decis
                              trigger_seconds=None if drain else rate.trigger_of("decisions", "alerts", "serving", "gold"))
 
 
+def scored_decisions(spark: SparkSession, env_path: str, models: str, out: str, ckpt: str, weight: float = 0.0,
+                     params: DecisionParams = DecisionParams(), ingest_col: str | None = "ingest_ms",
+                     rate: StreamParams = StreamParams(), drain: bool = True):
+    """ML6/ML9 in the decision stream: every micro-batch is scored and blended with the
+    newest model version below ``models`` at that time."""
+    def score(batch: DataFrame, batch_id: int) -> None:
+        model = cm.newest(batch.sparkSession, models)
+        scored = cm.score(batch.drop("ml_risk_score", "ml_cluster_id"), model, cm.decision_inputs())
+        sk.write_batch(ml.blend(scored, weight, params.block_pct, params.flag_pct), out, batch_id)
+    return run_foreach_batch(decision_stream(spark, env_path, params, ingest_col, rate), score, ckpt,
+                             trigger_seconds=None if drain else rate.trigger_of("decisions"))
+
+
 def stream_dedup(parsed: DataFrame, watermark: str = StreamParams().watermark) -> DataFrame:
     """Watermark first, then dedup within it (bounded state)."""
     return parsed.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(["transaction_id"])
