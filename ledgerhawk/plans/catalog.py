@@ -716,6 +716,7 @@ def q_gold_merge(spark, sf_dir):
 from ledgerhawk.streaming import jobs as sj  # noqa: E402
 from ledgerhawk.config import StreamParams  # noqa: E402
 from ledgerhawk.streaming import rolling  # noqa: E402
+from ledgerhawk.streaming.messages import readable, to_messages  # noqa: E402
 from ledgerhawk.streaming.progress import ProgressLog, read_progress  # noqa: E402
 from ledgerhawk.streaming import sources as ss  # noqa: E402
 from ledgerhawk.streaming.stateful import stream_time_since_last  # noqa: E402
@@ -909,6 +910,55 @@ def q_stream_late_rows(spark, sf_dir):
     return sent.join(got, "arrival", "left").select("arrival", "input_rows", F.coalesce("output_rows", F.lit(0)).alias("output_rows"))
 
 
+def _as_messages(spark, sf_dir):
+    """The table as whole messages with text ids, and a broken copy of every 50th."""
+    def text(c, mark, width=12):
+        return F.when(F.col(c).isNotNull(), F.concat(F.lit(mark), F.lpad(F.col(c).cast("string"), width, "0")))
+    t = txn(spark, sf_dir).withColumn("offset", F.col("transaction_id"))
+    t = t.withColumns({"transaction_id": text("transaction_id", "T"), "customer_id": text("customer_id", "C"), "account_id_source": text("account_id_source", "A"),
+                       "account_id_dest": text("account_id_dest", "A"), "country_code": text("country_code", "K", 3), "ip_country": text("ip_country", "K", 3),
+                       "merchant_id": text("merchant_id", "M", 3), "session_id": F.concat(F.lit("s-"), "trans_ref_no"), "auth_success": F.col("transaction_id") % 2 == 0})
+    good = to_messages(t)
+    broken = good.where(F.col("offset") % 50 == 0).withColumn("value", F.expr("substring(value, 1, length(value) div 2)"))
+    return good.unionByName(broken)
+
+
+_MESSAGE_SQL = """SELECT 'T' || lpad(CAST(transaction_id AS VARCHAR), 12, '0') AS transaction_id, 'C' || lpad(CAST(customer_id AS VARCHAR), 12, '0') AS customer_id"""
+
+
+@register("message_decode", O.with_views(f"""{_MESSAGE_SQL}, 'K' || lpad(CAST(country_code AS VARCHAR), 3, '0') AS country_code,
+  'M' || lpad(CAST(merchant_id AS VARCHAR), 3, '0') AS merchant_id, 's-' || trans_ref_no AS session_id, CAST(amount AS DOUBLE) AS amount, local_hour, failed_auth_count,
+  transaction_id % 2 = 0 AS auth_success, CAST(NULL AS VARCHAR) AS city, kafka_timestamp, transaction_id AS kafka_offset, 'read' AS state FROM txn
+UNION ALL SELECT 'T' || lpad(CAST(transaction_id AS VARCHAR), 12, '0'), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'MALFORMED_JSON' FROM txn WHERE transaction_id % 50 = 0"""))
+def q_message_decode(spark, sf_dir):
+    """Whole messages with text ids, and the dead letters of those cut in half."""
+    root = scratch_path(spark, "messages")
+    _as_messages(spark, sf_dir).write.parquet(f"{root}/envelope")
+    sj.message_fanout(spark, f"{root}/envelope", root, ingest_s=0)
+    cols = ("transaction_id", "customer_id", "country_code", "merchant_id", "session_id", "amount", "local_hour", "failed_auth_count", "auth_success",
+            "city", "kafka_timestamp", "kafka_offset")
+    read = sk.read_log(spark, f"{root}/messages").select(*cols, F.lit("read").alias("state"))
+    letters = sk.read_log(spark, f"{root}/dlq").where("length(original_event) > 0 AND failed_at = 0")
+    none = [F.lit(None).cast(read.schema[c].dataType).alias(c) for c in cols[1:]]
+    return read.unionByName(letters.select(F.col("key").alias("transaction_id"), *none, F.col("error").alias("state")))
+
+
+@register("stream_text_ids", f"""{_MESSAGE_SQL}, decision_action, decision_reasons, composite_risk_score, amount_zscore FROM ({_DEC}) d""")
+def q_stream_text_ids(spark, sf_dir):
+    """The decision stream over whole messages: ids and countries are text from decode to
+    state and result; broken messages take no part."""
+    root = scratch_path(spark, "text-ids")
+    env = _as_messages(spark, sf_dir)
+    for n, (low, high) in enumerate(((None, _EARLY_TS), (_EARLY_TS, None))):
+        part = env.where(F.col("timestamp") < F.lit(high).cast("timestamp")) if high else env.where(F.col("timestamp") >= F.lit(low).cast("timestamp"))
+        part.write.parquet(f"{root}/envelope/slice={n}")
+        parsed = readable(sj.message_stream(spark, f"{root}/envelope"))
+        # the time of arrival, as the view has it
+        timed = parsed.withColumn("ingest_ms", F.col("kafka_timestamp") + (F.col("kafka_offset") * 911) % 40000)
+        sj.run_to_files(sj.decide_parsed(timed), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out").select("transaction_id", "customer_id", "decision_action", "decision_reasons", "composite_risk_score", "amount_zscore")
+
+
 FILES = 6
 
 

@@ -18,6 +18,7 @@ from ledgerhawk.operators import learn as ml
 from ledgerhawk.operators.latency import sla_metrics
 from ledgerhawk.operators.quality import dq_validate
 from ledgerhawk.streaming import sinks as sk
+from ledgerhawk.streaming.messages import decode_messages, malformed_letters, readable
 from ledgerhawk.streaming.sources import decode, envelope_stream, raw_landing
 from ledgerhawk.streaming.stateful import restore_settings, stream_decisions
 
@@ -62,10 +63,30 @@ def parsed_stream(spark: SparkSession, env_path: str, rate: StreamParams = Strea
     return decode(envelope_stream(spark, env_path, rate))
 
 
+def message_stream(spark: SparkSession, env_path: str, rate: StreamParams = StreamParams()) -> DataFrame:
+    """S2 with the whole schema; what cannot be read stays in it, marked."""
+    return decode_messages(envelope_stream(spark, env_path, rate))
+
+
+def message_fanout(spark: SparkSession, env_path: str, root: str, ingest_s=None, rate: StreamParams = StreamParams(), drain: bool = True):
+    """Readable messages and, as dead letters (S17), the others, from one read."""
+    def fan(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        sk.write_batch(readable(b), f"{root}/messages", batch_id)
+        sk.write_batch(malformed_letters(b, F.unix_timestamp() if ingest_s is None else F.lit(ingest_s)), f"{root}/dlq", batch_id)
+        b.unpersist()
+    return run_foreach_batch(message_stream(spark, env_path, rate), fan, f"{root}/_ckpt/messages",
+                             trigger_seconds=None if drain else rate.trigger_of("bronze", "dlq"))
+
+
 def decision_stream(spark: SparkSession, env_path: str, params: DecisionParams = DecisionParams(),
                     ingest_col: str | None = "ingest_ms", rate: StreamParams = StreamParams()) -> DataFrame:
     """Source -> decode -> DQ -> clean -> SLA -> on time -> stateful engine."""
-    parsed = parsed_stream(spark, env_path, rate)
+    return decide_parsed(parsed_stream(spark, env_path, rate), params, ingest_col)
+
+
+def decide_parsed(parsed: DataFrame, params: DecisionParams = DecisionParams(), ingest_col: str | None = "ingest_ms") -> DataFrame:
+    """The rest of the decision stream, from decoded rows with ids of any type."""
     clean = dq_validate(parsed).filter("dq_passed")
     on_time = sla_metrics(clean, ingest_col).filter(~F.col("sla_breached"))
     return stream_decisions(on_time, params, processing_ms=ingest_col)

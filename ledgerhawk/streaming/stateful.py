@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerhawk.config import DecisionParams
-from ledgerhawk.streaming.step import STATE_SCHEMA, CustomerState
+from ledgerhawk.streaming.step import STATE_SCHEMA, CustomerState, state_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 24 * 3600 * 1000
@@ -86,11 +86,11 @@ def use_rocksdb(spark, timers: bool = False) -> None:
 class DecisionProcessor(StatefulProcessor):
     """The per-customer decision engine as a stateful processor."""
 
-    def __init__(self, params: DecisionParams = DecisionParams(), ttl_ms: int | None = DAY_MS):
-        self.params, self.ttl_ms = params, ttl_ms
+    def __init__(self, params: DecisionParams = DecisionParams(), ttl_ms: int | None = DAY_MS, state_schema: str = STATE_SCHEMA):
+        self.params, self.ttl_ms, self.state_schema = params, ttl_ms, state_schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("customer", STATE_SCHEMA, self.ttl_ms)
+        self.state = handle.getValueState("customer", self.state_schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         recs = sorted((r.asDict() for r in rows), key=_time_order)
@@ -113,8 +113,12 @@ def stream_decisions(clean: DataFrame, params: DecisionParams = DecisionParams()
     proc = F.col(processing_ms) if processing_ms else F.lit(None).cast("long")
     cols = [F.col(c) if c in clean.columns else F.lit(None).alias(c) for c in INPUT_COLS if c != "processing_ms"]
     x = clean.select(*cols, proc.alias("processing_ms"))
+    # ids and countries may be numbers or text: results and state take their types over
+    kinds = {c: clean.schema[c].dataType for c in ("transaction_id", "customer_id")}
+    out = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in DECISION_SCHEMA.fields])
+    state = state_schema(clean.schema["country_code"].dataType.simpleString(), clean.schema["ip_country"].dataType.simpleString())
     return x.groupBy("customer_id").transformWithState(
-        statefulProcessor=DecisionProcessor(params), outputStructType=DECISION_SCHEMA,
+        statefulProcessor=DecisionProcessor(params, state_schema=state), outputStructType=out,
         outputMode="Append", timeMode="ProcessingTime")
 
 

@@ -26,7 +26,15 @@ STATE_FIELDS = (
     ("a30", "long"), ("ins", "long"), ("outs", "long"), ("trusted", "array<string>"),
     ("last_activity_ts", "long"),
 )
-STATE_SCHEMA = ", ".join(f"{n} {t}" for n, t in STATE_FIELDS)
+
+
+def state_schema(country: str, ip_country: str) -> str:
+    """The state's fields, the last country and the last mobile country of the input's types."""
+    kinds = {"last_country": country, "mob_ip": ip_country}
+    return ", ".join(f"{n} {kinds.get(n, t)}" for n, t in STATE_FIELDS)
+
+
+STATE_SCHEMA = state_schema("bigint", "bigint")
 
 
 def _hav(lat1, lon1, lat2, lon2) -> float:

@@ -78,3 +78,16 @@ def test_centres_of_a_fitted_model_score_alike(spark):
     assert own.count() > 0 and own.exceptAll(theirs).isEmpty()
 
 
+
+
+def test_messages_of_any_text_are_kept(spark):
+    from ledgerhawk.streaming import messages as ms
+    texts = [b'{"transaction_id":"T1","amount":1.5}', b"not json", b"", None, b"null", b"[1]", b'{"transaction_id":"T2","amount":"many"}', b"{"]
+    env = spark.createDataFrame([(None if i == 5 else f"k{i}".encode(), v, "t", 0, i, None) for i, v in enumerate(texts)],
+                                "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    decoded = ms.decode_messages(env)
+    assert len(ms.MESSAGE_SCHEMA) == 33
+    good, bad = ms.readable(decoded).collect(), ms.malformed_letters(decoded, F.lit(7)).collect()
+    assert len(good) + len(bad) == len(texts)
+    assert {r["transaction_id"] for r in good} == {"T1"}
+    assert {r["key"] for r in bad} == {"k1", "k2", "k3", "k4", "unknown", "k6", "k7"} and {r["failed_at"] for r in bad} == {7}
