@@ -12,38 +12,40 @@ from ledgerhawk.config import MANDATORY_FIELDS, QualityParams
 
 
 # --------------------------------------------------------------------------- D1-D9
+def present(fields=MANDATORY_FIELDS) -> dict[str, Column]:
+    """A violation's name to the condition that a sound row meets."""
+    return {f"NULL_{f.upper()}": F.col(f).isNotNull() for f in fields}
+
+
+def plausible(p: QualityParams = QualityParams()) -> dict[str, Column]:
+    """D2-D6, likewise."""
+    amount = F.col("amount")
+    checks = {"AMOUNT_NOT_POSITIVE": amount > 0, "AMOUNT_EXCEEDS_CAP": amount < F.lit(p.amount_cap),
+              "INVALID_TIMESTAMP": F.col("event_timestamp") > F.lit(p.min_epoch_ms), "INVALID_CHANNEL": F.col("channel_type").isin(list(p.channels))}
+    return {**checks, "SELF_TRANSFER": self_transfer_ok()} if p.check_self_transfer else checks
+
+
+def marks(checks: dict[str, Column], before: str = "") -> Column:
+    """Names of the checks that a row fails; one that cannot be told is no failure."""
+    return F.array_compact(F.array(*[F.when(~ok, F.lit(before + name)) for name, ok in checks.items()]))
+
+
 def null_violations(fields=MANDATORY_FIELDS) -> Column:
-    """Array of ``NULL_<FIELD>`` markers, nulls removed."""
-    return F.array_compact(F.array(*[
-        F.when(F.col(f).isNull(), F.lit(f"NULL_{f.upper()}")) for f in fields]))
+    """Array of ``NULL_<FIELD>`` markers."""
+    return marks(present(fields))
 
 
 def dq_validate(df: DataFrame, p: QualityParams = QualityParams(),
                 fields=MANDATORY_FIELDS) -> DataFrame:
     """Violations text, pass flag and completeness score (one projection)."""
-    nulls = null_violations(fields)
-    amount_pos = F.col("amount") > 0
-    amount_cap = F.col("amount") < F.lit(p.amount_cap)
-    ts_valid = F.col("event_timestamp") > F.lit(p.min_epoch_ms)
-    channel_ok = F.col("channel_type").isin(list(p.channels))
-    rules = [(amount_pos, "AMOUNT_NOT_POSITIVE"), (amount_cap, "AMOUNT_EXCEEDS_CAP"),
-             (ts_valid, "INVALID_TIMESTAMP"), (channel_ok, "INVALID_CHANNEL")]
-    if p.check_self_transfer:
-        rules.append((self_transfer_ok(), "SELF_TRANSFER"))
-    return (df.withColumn("_nulls", nulls)
-              .withColumns({
-                  "dq_violations": F.concat(F.array_join(F.col("_nulls"), "|"),
-                                            *[F.when(~c, F.lit("|" + n)).otherwise(F.lit("")) for c, n in rules]),
-                  "dq_passed": (F.size(F.col("_nulls")) == 0) & _and_all([c for c, _ in rules]),
-                  "completeness_score": (F.lit(len(fields)) - F.size(F.col("_nulls"))) / F.lit(len(fields))})
-              .drop("_nulls"))
-
-
-def _and_all(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    checks, missing = plausible(p), F.size("_nulls")
+    sound = missing == 0
+    for ok in checks.values():
+        sound = sound & ok
+    return df.withColumn("_nulls", null_violations(fields)).withColumns({
+        "dq_violations": F.concat(F.array_join("_nulls", "|"), F.array_join(marks(checks, "|"), "")),
+        "dq_passed": sound,
+        "completeness_score": (F.lit(len(fields)) - missing) / F.lit(len(fields))}).drop("_nulls")
 
 
 def self_transfer_ok() -> Column:
@@ -72,7 +74,7 @@ class Expectation:
     type_name: str | None = None
 
 
-# fixed suites of the reference (domains are parameters of each suite)
+# --- fixed values: the suites (domains are parameters of each suite)
 TRANSACTIONS_SUITE = (
     Expectation("not_null", "Trans_id"),
     Expectation("not_null", "Clt_id"),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from ledgerhawk.plans.oracle_decisions import hav
+from ledgerhawk.plans import oracle_views
 from ledgerhawk.plans.oracle_views import with_views
 
 D = ("txn", "txn_dirty")
 CARD = ("txn", "card")
-DIRTY_CARD_BODY = __import__("ledgerhawk.plans.oracle_views", fromlist=["CARD"]).CARD.replace("FROM txn", "FROM txn_dirty")
+DIRTY_CARD_BODY = oracle_views.CARD.replace("FROM txn", "FROM txn_dirty")
 
 NULLS = ("list_filter([" + ", ".join(
     f"CASE WHEN {f} IS NULL THEN 'NULL_{f.upper()}' END"
