@@ -115,3 +115,31 @@ def test_serving_takes_new_columns_and_no_rows(spark, tmp_path):
     t.upsert(_rows(spark, 2, ["b"]).withColumn("more", F.lit(1)), 2)
     t.upsert(_rows(spark, 3, ["a"]), 3)
     assert sorted(tuple(r) for r in t.read().select("row_key", "data", "more").collect()) == [("a", "a:3", None), ("b", "b:2", 1)]
+
+
+def test_only_the_changed_day_is_written_again(spark, tmp_path):
+    from ledgerhawk.operators import gold as gd
+    days = [f"2024-01-0{d}" for d in range(1, 6)]
+    rows = spark.createDataFrame([(i, i % 4, float(i), i % 3 == 0, days[i % 5]) for i in range(40)], "Trans_id long, Clt_id long, a double, s boolean, d string") \
+        .select("Trans_id", "Clt_id", F.col("a").cast("decimal(12,2)").alias("Trans_amount"), F.col("s").cast("int").alias("suspect_flag"),
+                F.concat("d", F.lit(" 10:00:00")).cast("timestamp").alias("Trans_ts"))
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+
+    def files(table):
+        return {p.parent.name: p.name for p in (tmp_path / "gold" / table).rglob("*.parquet")}
+
+    def refresh(part):
+        gd.write_by_day(part, silver, ts="Trans_ts")
+        gd.refresh_gold(spark, silver, gold, gd.changed_days(part))
+
+    late = F.to_date("Trans_ts") == F.lit(days[2]).cast("date")
+    refresh(rows.where(~late | (F.col("Trans_id") < 20)))
+    before = {t: files(t) for t in ("kpis", "clients", "trend")}
+    refresh(rows.where(late))
+    for t, old in before.items():
+        new = files(t)
+        changed = {d for d in new if new[d] != old[d]}
+        assert changed == {f"day_of={d}" for d in (days[2:] if t == "trend" else days[2:3])}, t
+    whole = gd.suspect_trend(rows).orderBy("period_start").collect()
+    kept = spark.read.parquet(f"{gold}/trend").drop("day_of").orderBy("period_start").select(*whole[0].asDict()).collect()
+    assert kept == whole
