@@ -165,45 +165,54 @@ def suite_report(df: DataFrame, suite) -> DataFrame:
     pre-aggregated before the shuffle) and yields its report row from that
     grouped table alone; ``type`` reads only the schema. Rows are unioned, never
     joined."""
+    one = df.agg(*scalar_counts(suite))
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    rows = [scalar_row(i, e, fields) for i, e in enumerate(suite) if e.kind != "unique"]
+    out = one.select(F.inline(F.array(*rows))) if rows else None
+    for i, e in enumerate(suite):
+        if e.kind != "unique":
+            continue
+        g = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("k"))
+        u = (g.agg(F.sum("k").alias("n"),
+                   F.sum(F.when(F.col(e.column).isNull(), F.col("k")).otherwise(0)).alias("m"),
+                   F.sum(F.when(F.col(e.column).isNotNull() & (F.col("k") > 1), F.col("k"))
+                         .otherwise(0)).alias("u"))
+              .select(_report_row(i, e, F.coalesce(F.col("n"), F.lit(0)).cast("long"),
+                                  F.coalesce(F.col("m"), F.lit(0)).cast("long"),
+                                  F.coalesce(F.col("u"), F.lit(0)).cast("long")).alias("r"))
+              .select("r.*"))
+        out = u if out is None else out.unionByName(u)
+    return out
+
+
+def scalar_counts(suite) -> list[Column]:
+    """Aggregates that a suite's checks are told from, but for repeated values: rows ``n``,
+    missing ``m<check>`` and unexpected ``u<check>``."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, e in enumerate(suite):
-        if e.kind in ("not_null", "between", "regex", "in_set"):
+        if e.kind != "type":
             aggs.append(F.sum(F.when(F.col(e.column).isNull(), 1).otherwise(0)).alias(f"m{i}"))
         if e.kind in ("between", "regex", "in_set"):
             aggs.append(_unexpected(e).alias(f"u{i}"))
-    one = df.agg(*aggs)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    rows, parts = [], []
-    for i, e in enumerate(suite):
-        n = F.col("n").cast("long")
-        if e.kind == "unique":
-            g = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("k"))
-            u = (g.agg(F.sum("k").alias("n"),
-                       F.sum(F.when(F.col(e.column).isNull(), F.col("k")).otherwise(0)).alias("m"),
-                       F.sum(F.when(F.col(e.column).isNotNull() & (F.col("k") > 1), F.col("k"))
-                             .otherwise(0)).alias("u"))
-                  .select(_report_row(i, e, F.coalesce(F.col("n"), F.lit(0)).cast("long"),
-                                      F.coalesce(F.col("m"), F.lit(0)).cast("long"),
-                                      F.coalesce(F.col("u"), F.lit(0)).cast("long")).alias("r")))
-            parts.append(u.select("r.*"))
-            continue
-        if e.kind == "type":
-            ok = isinstance(fields.get(e.column), _TYPE_NAMES.get(e.type_name, ()))
-            rows.append(F.struct(
-                F.lit(i).alias("check_no"), F.lit(e.kind).alias("expectation"),
-                F.lit(e.column).alias("column_name"), n.alias("element_count"),
-                F.lit(0).cast("long").alias("missing_count"),
-                F.lit(0 if ok else None).cast("long").alias("unexpected_count"),
-                F.lit(0.0 if ok else None).cast("double").alias("unexpected_percent"),
-                F.lit(ok).alias("success")))
-            continue
-        miss = F.coalesce(F.col(f"m{i}"), F.lit(0)).cast("long")       # sums over no rows are null
-        unexp = miss if e.kind == "not_null" else F.coalesce(F.col(f"u{i}"), F.lit(0)).cast("long")
-        rows.append(_report_row(i, e, n, miss, unexp))
-    out = one.select(F.inline(F.array(*rows))) if rows else None
-    for p in parts:
-        out = p if out is None else out.unionByName(p)
-    return out
+    return aggs
+
+
+def scalar_row(i: int, e: Expectation, fields: dict) -> Column:
+    """Report row of a check over the columns of ``scalar_counts``; a ``unique`` check takes
+    its repeated values from ``u<check>`` as well."""
+    n = F.col("n").cast("long")
+    if e.kind == "type":
+        ok = isinstance(fields.get(e.column), _TYPE_NAMES.get(e.type_name, ()))
+        return F.struct(
+            F.lit(i).alias("check_no"), F.lit(e.kind).alias("expectation"),
+            F.lit(e.column).alias("column_name"), n.alias("element_count"),
+            F.lit(0).cast("long").alias("missing_count"),
+            F.lit(0 if ok else None).cast("long").alias("unexpected_count"),
+            F.lit(0.0 if ok else None).cast("double").alias("unexpected_percent"),
+            F.lit(ok).alias("success"))
+    miss = F.coalesce(F.col(f"m{i}"), F.lit(0)).cast("long")       # sums over no rows are null
+    unexp = miss if e.kind == "not_null" else F.coalesce(F.col(f"u{i}"), F.lit(0)).cast("long")
+    return _report_row(i, e, n, miss, unexp)
 
 
 def _report_row(i: int, e: Expectation, n, miss, unexp):

@@ -40,6 +40,7 @@ from ledgerhawk.functions.geo import haversine  # noqa: E402
 from ledgerhawk.functions.text import fingerprint, parse_time  # noqa: E402
 from ledgerhawk.operators import alerts as al  # noqa: E402
 from ledgerhawk.operators import derive as dv  # noqa: E402
+from ledgerhawk.operators import gate  # noqa: E402
 from ledgerhawk.operators import gold as gd  # noqa: E402
 from ledgerhawk.operators import quality as ql  # noqa: E402
 from ledgerhawk.operators import rules as rl  # noqa: E402
@@ -566,12 +567,12 @@ def q_rolling_features(spark, sf_dir):
 
 # ------------------------------------------------------------------ Q (quality suites on bronze cards)
 from ledgerhawk.operators.quality import Expectation as E  # noqa: E402
+from ledgerhawk.plans.oracle_views import CARD as _CARD_VIEW  # noqa: E402
 from ledgerhawk.plans.oracle_views import with_views as _wv  # noqa: E402
 from ledgerhawk.sources.canonical import redelivered_from  # noqa: E402
 
 _DCARD = ("dcard", O.DIRTY_CARD_BODY)
-_RCARD = ("rcard", __import__("ledgerhawk.plans.oracle_views", fromlist=["CARD"]).CARD.replace(
-    "FROM txn", "FROM redelivered"))
+_RCARD = ("rcard", _CARD_VIEW.replace("FROM txn", "FROM redelivered"))
 
 
 def dirty_cards(spark, sf_dir):
@@ -645,6 +646,34 @@ def q_quality_gate(spark, sf_dir):
     return routed.groupBy("destination").agg(F.count(F.lit(1)).alias("rows"))
 
 
+# three runs through the gate that writes: clean, with defects, with repeated deliveries
+_GATE_SUITE = (E("not_null", "Clt_id"), E("between", "Trans_amount", 0, 100000), E("regex", "Currency", regex="^[A-Z]{3}$"),
+               E("unique", "Trans_Ref_No"), E("unique", "Trans_id"))
+
+
+def _gate_sql():
+    def run(i, source):
+        return (f"SELECT {i} AS gate_run, r.*, CASE WHEN bool_and(success) OVER () THEN 'silver' ELSE 'quarantine' END AS destination, "
+                f"(SELECT count(*) FROM {source}) AS stored_rows FROM ({O.suite_sql(_GATE_SUITE, source)}) r")
+    return _wv(" UNION ALL ".join(f"SELECT * FROM ({run(i, s)}) q{i}" for i, s in enumerate(("card", "dcard", "rcard"))),
+               ("card", _CARD_VIEW), _DCARD, _RCARD, views=("txn", "txn_dirty", "redelivered"))
+
+
+@register("quality_gate_runs", _gate_sql())
+def q_quality_gate_runs(spark, sf_dir):
+    """Each check of each run, and the rows that the run's destination gives back."""
+    root, suite = scratch_path(spark, "gate"), _GATE_SUITE
+    runs = (cards(spark, sf_dir), dirty_cards(spark, sf_dir), card_from_txn(redelivered_from(txn(spark, sf_dir))))
+    for i, df in enumerate(runs):
+        df = df.select("Trans_id", "Clt_id", "Trans_ts", F.col("Trans_amount").cast("double").alias("Trans_amount"), "Currency", "Trans_Ref_No")
+        gate.write_gated(df, suite, root, i)
+    stored = None
+    for where in (gate.SILVER, gate.QUARANTINE):
+        n = gate.gated(spark, root, where, df.schema).groupBy(gate.RUN).agg(F.count(F.lit(1)).alias("stored_rows")).withColumn("destination", F.lit(where))
+        stored = n if stored is None else stored.unionByName(n)
+    return gate.reports(spark, root).join(stored, [gate.RUN, "destination"], "left")
+
+
 # ------------------------------------------------------------------ N, S9-S12, A8
 from ledgerhawk.streaming import sinks as sk  # noqa: E402
 
