@@ -13,6 +13,8 @@ customer history is ever collected into memory.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from ledgerhawk.functions.geo import haversine
 from ledgerhawk.functions.joins import broadcast_if_small
 from ledgerhawk.functions.text import (cents_to_dollars_text, fingerprint, half_up_int,
                                        one_decimal, ratio_text)
+from ledgerhawk.operators import continued
 from ledgerhawk.operators import segments as sg
 from ledgerhawk.operators import summaries as sm
 from ledgerhawk.operators.segments import SplitParams
@@ -43,10 +46,11 @@ def _carry(name: str, default=None) -> Column:
     return c if default is None else F.coalesce(c, default)
 
 
-def with_segment_carries(df: DataFrame, split: SplitParams = SplitParams()) -> DataFrame:
+def with_segment_carries(df: DataFrame, split: SplitParams = SplitParams(), base: DataFrame | None = None) -> DataFrame:
     """Cut hot customers into time segments and attach, per segment, what the
     windows need from the segments before it: exact moment sums, the last mobile
-    fix, the last ATM/POS/BRANCH fix and the last known country."""
+    fix, the last ATM/POS/BRANCH fix and the last known country. With ``base``
+    (``continued``) that includes the customer's rows before ``df``."""
     s = segmented(df, "customer_id", "_ts", split)
     order = sg.row_order(F.col("_ts"), F.col("transaction_id"), True, sg.id_type(s, F.col("transaction_id")))
     x = F.col("_cents").cast("decimal(38,0)")
@@ -57,7 +61,7 @@ def with_segment_carries(df: DataFrame, split: SplitParams = SplitParams()) -> D
     last["_country"] = (F.col("country_code").isNotNull(), F.col("country_code"))
     c = sg.carries(s, "customer_id", order, True,
                    sums={"_n": F.lit(1).cast("long"), "_s1": x, "_s2": x * x}, last_nonnull=last)
-    return sg.attach(s, "customer_id", c)
+    return sg.attach(s, "customer_id", c) if base is None else continued.attach_base(s, c, base)
 
 
 def _carried_fix(prefix: str) -> Column:
@@ -211,6 +215,8 @@ def _fold(batches, p: DecisionParams):
         chan = pdf["_channel"].tolist()
         newc = pdf["_new_country"].tolist()
         pre = pdf["_pre_violation"].tolist()
+        ends = pdf[continued.END].tolist() if continued.END in pdf.columns else None
+        exits = []
         out = {name: [] for name, _ in FOLD_FIELDS}
         for i in range(len(cust)):
             if (cust[i], seg[i]) != cur:
@@ -246,6 +252,10 @@ def _fold(batches, p: DecisionParams):
                          ("new_device", new_dev), ("wire_hit", wire), ("novelty_hit", novelty),
                          ("trust_joined", joined), ("trust_size", len(trusted))):
                 out[k].append(v)
+            if ends is not None:
+                exits.append(json.dumps([a1, mc, msum, a30, ins, outs, trusted]) if ends[i] else None)
+        if ends is not None:
+            pdf[continued.EXIT] = exits
         for k, _ in FOLD_FIELDS:
             pdf[k] = out[k]
         yield pdf
@@ -264,25 +274,29 @@ def _with_entries(df: DataFrame, entries: DataFrame | None) -> DataFrame:
     return j.drop("_ek", "_es").withColumn("_e_set", F.coalesce(F.col("_e_set"), F.lit(False)))
 
 
-def resolve_entry_states(windowed: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
+def resolve_entry_states(windowed: DataFrame, p: DecisionParams = DecisionParams(), base: DataFrame | None = None) -> DataFrame:
     """Entry state of every segment of every hot customer, exactly (``summaries``): the
     anchored windows by step functions; then, with the windows known, one fold tells which
     rows may add their device, and the trust lists follow from those. Rows come from a
     checkpointed, (customer, segment)-clustered narrow copy of the hot rows; state tables
-    hold one row per segment (bounded by total_rows / seg_rows)."""
+    hold one row per segment (bounded by total_rows / seg_rows). ``base`` are the
+    customers' states before their first rows here, none if not given."""
     from ledgerhawk.session import scratch_root
     scratch_root(windowed.sparkSession)  # cluster checkpoint dir, or a test folder when unset
     # the window stage left the rows hash-clustered by (customer, segment) and
     # sorted; filter, projection and checkpoint keep that
     hot = windowed.filter(F.col(sg.HOT)).select(*FOLD_INPUT).checkpoint()
-    anchors = sm.anchor_entries(hot, p).checkpoint()
+    anchors = sm.anchor_entries(hot, p, base).checkpoint()
     none = [F.lit(None).cast(t).alias(n) for n, t in ENTRY_FIELDS if n == "trusted"]
     flagged = sequential_fold(hot, p, anchors.select("*", *none))
     stopped = F.col("_pre_violation") | F.col("micro_hit") | F.col("mule_hit") \
         | ((F.col("_channel") == "SWIFT_WIRE") & (F.col("_usd_cents") > p.wire_min_cents)) \
         | (F.col("_new_country") & (F.col("_usd_cents") > p.novelty_min_cents))
     accesses = flagged.where((F.col("device_id") != "") & ~F.coalesce(stopped, F.lit(False))) \
-        .select("customer_id", sg.SEG, *ORDER, "device_id").checkpoint()
+        .select("customer_id", sg.SEG, *ORDER, "device_id")
+    if base is not None:
+        accesses = accesses.unionByName(continued.trusted_before(base, accesses, anchors))
+    accesses = accesses.checkpoint()
     trust = sm.trust_entries(anchors.select("customer_id", sg.SEG), accesses, p)
     return anchors.join(trust, ["customer_id", sg.SEG], "left").select("customer_id", sg.SEG, *[n for n, _ in ENTRY_FIELDS]).checkpoint()
 
@@ -296,25 +310,29 @@ def sequential_fold(df: DataFrame, p: DecisionParams = DecisionParams(),
     if sg.SEG not in df.columns:
         df = df.withColumn(sg.SEG, F.lit(0).cast("long"))
     x = _with_entries(df, entries)
-    schema = T.StructType(x.schema.fields + [T.StructField(n, t, True) for n, t in FOLD_FIELDS])
+    more = [T.StructField(continued.EXIT, T.StringType())] if continued.END in x.columns else []
+    schema = T.StructType(x.schema.fields + more + [T.StructField(n, t, True) for n, t in FOLD_FIELDS])
     sorted_df = x.sortWithinPartitions("customer_id", sg.SEG, *ORDER)
     return sorted_df.mapInPandas(lambda it: _fold(it, p), schema).drop("_e_set", *ENTRY_COLS)
 
 
 # --------------------------------------------------------------------- assembly
 def window_stage(df: DataFrame, p: DecisionParams = DecisionParams(),
-                 split: SplitParams = SplitParams()) -> DataFrame:
+                 split: SplitParams = SplitParams(), base: DataFrame | None = None) -> DataFrame:
     """The rules that need no feedback, as window expressions. Columns a
     caller does not read are pruned with their windows; no Python runs."""
-    x = with_segment_carries(prepare_rows(df), split)
+    x = with_segment_carries(prepare_rows(df), split, base)
     x = with_travel_rules(with_last_fixes(with_running_stats(x, p)), p)
     return x.withColumn("amount_zscore", F.floor(F.col("_z") * 10000 + F.lit(0.5)) / F.lit(10000.0))
 
 
 def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
            processing_ms: Column | None = None, keep_features: bool = False,
-           split: SplitParams = SplitParams()) -> DataFrame:
-    """T1-T12 + decision (T11) + fingerprint (F2): the enriched decision rows."""
+           split: SplitParams = SplitParams(), base: DataFrame | None = None, keep_state: bool = False) -> DataFrame:
+    """T1-T12 + decision (T11) + fingerprint (F2): the enriched decision rows.
+
+    ``base`` are customers' states before these rows; ``keep_state`` adds the columns that
+    ``continued.states`` reads the states after them from."""
     need = {"ml_risk_score": F.lit(0.0), "ml_cluster_id": F.lit(-1).cast("int"),
             "source_to_kafka_lag_ms": F.lit(0).cast("long"), "kafka_to_spark_lag_ms": F.lit(0).cast("long"),
             "total_pipeline_lag_ms": F.lit(0).cast("long"), "sla_breached": F.lit(False),
@@ -322,7 +340,9 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     for c, v in need.items():
         if c not in df.columns:
             df = df.withColumn(c, v)
-    x = window_stage(df, p, split).drop("amount_zscore")
+    x = window_stage(df, p, split, base).drop("amount_zscore")
+    if keep_state:
+        x = x.withColumn(continued.END, continued.end_of_segment(_w(), ATM_GROUP))
     x = x.withColumn("_pre_violation", F.col("_outlier") | F.col("_t3") | F.col("_t4")
                      | F.col("_t7") | F.col("_t10")).drop("_mob", "_atm")
     split_any = not x.schema[sg.HOT].metadata.get(sg.UNSPLIT)
@@ -330,8 +350,11 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
     x = x.withColumn("_proc", proc.cast("long"))
     if not keep_features:
         # the fold is opaque to column pruning: hand it only what is read after it
-        x = x.select(*[c for c in x.columns if c in AFTER_FOLD or c in FOLD_INPUT or c in (sg.SEG, sg.HOT)])
-    x = sequential_fold(x, p, resolve_entry_states(x, p) if split_any else None)
+        x = x.select(*[c for c in x.columns if c in AFTER_FOLD or c in FOLD_INPUT or c in (sg.SEG, sg.HOT, continued.END)])
+    entries = resolve_entry_states(x, p, base) if split_any else None
+    if base is not None:
+        entries = continued.entries(base, entries, [n for n, _ in ENTRY_FIELDS])
+    x = sequential_fold(x, p, entries)
 
     micro_txt = F.concat(F.lit("MICRO_STRUCTURING_"), F.col("micro_n").cast("string"), F.lit("TXN_$"),
                          cents_to_dollars_text(F.col("micro_sum_cents")), F.lit("_IN_1H"))
@@ -388,7 +411,7 @@ def decide(df: DataFrame, p: DecisionParams = DecisionParams(),
         "amount_zscore", "geo_violation", F.col("micro_hit").alias("micro_structuring"),
         F.col("mule_hit").alias("mule_account_flag"), "cross_channel_violation",
         "composite_risk_score", "decision_action", "decision_reasons", "data_fingerprint",
-        "processing_timestamp", "pipeline_version")
+        "processing_timestamp", "pipeline_version", *((sg.SEG, continued.END, continued.EXIT) if keep_state else ()))
 
 
 # --------------------------------------------------------------------- other T keys

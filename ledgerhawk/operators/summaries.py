@@ -86,9 +86,10 @@ def _by_segment(batches: Iterator) -> Iterator:
         yield now, [np.concatenate(c) for c in zip(*held)]
 
 
-def anchor_entries(hot: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
+def anchor_entries(hot: DataFrame, p: DecisionParams = DecisionParams(), base: DataFrame | None = None) -> DataFrame:
     """``customer_id, SEG`` and both windows' states at the start of every segment of
-    ``hot``, whose rows are clustered by segment. A task holds one segment's times and sums,
+    ``hot``, whose rows are clustered by segment; ``base`` has those of customers before
+    their first segment. A task holds one segment's times and sums,
     and one step function of a customer at a time."""
     sizes = (p.micro_window_ms, p.mule_window_ms)
     usd = F.col("_usd_cents")
@@ -120,9 +121,9 @@ def anchor_entries(hot: DataFrame, p: DecisionParams = DecisionParams()) -> Data
         now, entry = None, None
         for pdf in batches:
             out = []
-            for customer, seg, *both in zip(*(pdf[c].tolist() for c in ("customer_id", SEG, *WINDOWS))):
+            for customer, seg, before, *both in zip(*(pdf[c].tolist() for c in ("customer_id", SEG, "before", *WINDOWS))):
                 if entry is None or customer != now:
-                    now, entry = customer, [(None, 0, 0)] * len(WINDOWS)
+                    now, entry = customer, [(None, 0, 0)] * len(WINDOWS) if before is None else [tuple(before[:3]), tuple(before[3:])]
                 out.append((customer, seg, *entry[0], *entry[1]))
                 entry = [leave(e, tuple(list(s[n]) if i < 4 else s[n] for i, n in enumerate(names)), size) for e, s, size in zip(entry, both, sizes)]
             if out:
@@ -130,6 +131,11 @@ def anchor_entries(hot: DataFrame, p: DecisionParams = DecisionParams()) -> Data
                 yield frame
 
     summaries = rows.mapInPandas(summarise, made).checkpoint()
+    known = F.lit(None).cast("array<bigint>").alias("before")
+    if base is not None:
+        given = broadcast_if_small(base.select(F.col("customer_id").alias("_bk"), F.array(*[n for group in ANCHOR_STATES for n in group]).alias("before")))
+        summaries, known = summaries.join(given, F.col("customer_id") == F.col("_bk"), "left"), F.col("before")
+    summaries = summaries.select(*KEYS, known, *WINDOWS)
     return summaries.repartition("customer_id").sortWithinPartitions(*KEYS).mapInPandas(walk, states)
 
 
@@ -187,15 +193,16 @@ def evicting_exits(accesses: DataFrame, size: int) -> DataFrame:
 def trust_entries(segments: DataFrame, accesses: DataFrame, p: DecisionParams = DecisionParams()) -> DataFrame:
     """``customer_id, SEG, trusted`` for every row of ``segments``, from the devices that may
     join the list: ``customer_id, SEG, _ts, transaction_id, device_id``."""
-    firsts = accesses.groupBy("customer_id", "device_id").agg(F.min(SEG).alias("first"))
+    firsts = accesses.groupBy("customer_id", "device_id").agg(F.min(F.struct(SEG, "_ts", "transaction_id")).alias("first"))
     many = firsts.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > p.trust_size).select("customer_id").checkpoint()
     few = firsts.join(many, "customer_id", "left_anti").groupBy("customer_id").agg(F.collect_list(F.struct("first", "device_id")).alias("seen"))
     quiet = segments.join(few, "customer_id", "left").select(*KEYS, F.array_sort(F.transform(
-        F.filter(F.coalesce("seen", F.array().cast("array<struct<first:bigint,device_id:string>>")), lambda s: s["first"] < F.col(SEG)), lambda s: s["device_id"])).alias("trusted"))
+        F.filter(F.coalesce("seen", F.array().cast(few.schema["seen"].dataType)), lambda s: s["first"][SEG] < F.col(SEG)), lambda s: s["device_id"])).alias("trusted"))
     if many.isEmpty():
         return quiet
     exits = evicting_exits(accesses.join(broadcast_if_small(many), "customer_id", "left_semi").checkpoint(), p.trust_size)
     before = W.partitionBy("customer_id").orderBy(SEG).rowsBetween(W.unboundedPreceding, -1)
-    busy = segments.join(many, "customer_id", "left_semi").join(exits.withColumnRenamed("trusted", "_exit"), list(KEYS), "left") \
-        .select(*KEYS, F.coalesce(F.last("_exit", True).over(before), F.array().cast("array<string>")).alias("trusted"))
+    # accesses may precede all of a customer's segments, so their exits are kept beside them
+    busy = segments.join(many, "customer_id", "left_semi").withColumn("_own", F.lit(True)).join(exits.withColumnRenamed("trusted", "_exit"), list(KEYS), "full") \
+        .select(*KEYS, "_own", F.coalesce(F.last("_exit", True).over(before), F.array().cast("array<string>")).alias("trusted")).where("_own").drop("_own")
     return quiet.join(many, "customer_id", "left_anti").unionByName(busy)

@@ -782,6 +782,8 @@ from ledgerhawk.streaming import rolling  # noqa: E402
 from ledgerhawk.streaming.messages import readable, to_messages  # noqa: E402
 from ledgerhawk.streaming.progress import ProgressLog, read_progress  # noqa: E402
 from ledgerhawk.streaming import sources as ss  # noqa: E402
+from ledgerhawk.streaming import split as split_stream  # noqa: E402
+from ledgerhawk.operators.segments import SplitParams  # noqa: E402
 from ledgerhawk.streaming.stateful import stream_time_since_last  # noqa: E402
 
 SLICES = ("2024-01-08", "2024-01-15", "2024-01-22")
@@ -810,6 +812,14 @@ def q_stream_decisions(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@register("stream_decisions_split", _DEC)
+def q_stream_decisions_split(spark, sf_dir):
+    """Customers above 25 rows of a micro-batch run in several tasks, from stored states."""
+    root, _ = _sliced(spark, sf_dir, "stream_split", lambda root, env: split_stream.split_decisions(
+        spark, env, f"{root}/split", split=SplitParams(hot_rows=25, seg_rows=10)), slices=SLICES[1:2])
+    return split_stream.read_decisions(spark, f"{root}/split")
+
+
 @register("stream_restart", f"""SELECT transaction_id, decision_action, decision_reasons FROM ({_DEC}) d""")
 def q_stream_restart(spark, sf_dir):
     """availableNow runs on one checkpoint — one per slice of the first

@@ -74,10 +74,14 @@ class Serving:
     def _of(self, runs: list[str], schema) -> DataFrame:
         return read_runs(self.spark, self._base, [f"{self._base}/run={r}" for r in runs], schema)
 
+    def holds(self, batch_id: int) -> bool:
+        """Whether the last version has a batch's rows."""
+        return any(r["low"] <= batch_id <= r["high"] for r in self.runs())
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        runs = self.runs()
-        if any(r["low"] <= batch_id <= r["high"] for r in runs):
+        if self.holds(batch_id):
             return
+        runs = self.runs()
         rows = newest(batch, self.key, [self.version]).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
         self._commit([*runs, self._write(rows, 0, batch_id, batch_id)])
         self.compact()
