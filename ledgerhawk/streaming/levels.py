@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from ledgerhawk.streaming.files import committed, folders, read_runs, remove
 
-FAN, SHARE, BUCKETS = 8, 0.5, 16
+FAN, SHARE, BUCKETS, PARTS = 8, 0.5, 16, 4
+PLACE = ("_bucket", "_part")
 BATCH = "_batch"
 VERSION_SCHEMA = "run string, level int, low long, high long, rows long, columns string"
 
@@ -29,13 +30,20 @@ def _bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def newest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+def placed(rows: DataFrame, key: str) -> DataFrame:
+    """Rows in the tasks that write them: a bucket is dealt to ``PARTS`` tasks by key."""
+    return rows.withColumns({"_bucket": _bucket(F.col(key)), "_part": F.pmod(F.xxhash64(F.lit(1), F.col(key)), F.lit(PARTS)).cast("int")}).repartition("_bucket", "_part")
+
+
+def newest(rows: DataFrame, key: str, order: list[str], by: tuple = ()) -> DataFrame:
     """Of the rows of a key the greatest by ``order``; rows without a key are no versions
-    of each other and all stay."""
-    rest = [c for c in rows.columns if c != key]
-    by = [*order, *[c for c in rest if c not in order]]
-    latest = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*by)).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
-    return latest.unionByName(rows.where(F.col(key).isNull()).select(*latest.columns))
+    of each other and all stay. One pass over ``rows``; ``by`` are columns that follow from
+    the key, by which rows may lie together already."""
+    rest = [c for c in rows.columns if c != key and c not in by]
+    values = [*order, *[c for c in rest if c not in order]]
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    latest = rows.withColumn("_alone", alone).groupBy(*by, key, "_alone").agg(F.max(F.struct(*values)).alias("_r"))
+    return latest.select(*by, key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
 class Serving:
@@ -61,11 +69,12 @@ class Serving:
 
     # ------------------------------------------------------------ writing
     def _write(self, rows: DataFrame, level: int, low: int, high: int):
-        """A run, not yet in any version."""
+        """A run of rows that are ``placed``, not yet in any version."""
         run = f"{low}-{high}-{uuid.uuid4().hex[:12]}"
-        rows.withColumn("_bucket", _bucket(F.col(self.key))).repartition("_bucket").sortWithinPartitions("_bucket", self.key) \
-            .write.partitionBy("_bucket").parquet(f"{self._base}/run={run}")
-        return run, level, low, high, self._of([run], rows.schema).count(), rows.schema.json()
+        rows = rows.select(*[c for c in rows.columns if c not in PLACE], *PLACE)
+        rows.sortWithinPartitions(*PLACE, self.key).drop("_part").write.partitionBy("_bucket").parquet(f"{self._base}/run={run}")
+        fields = T.StructType([f for f in rows.schema.fields if f.name not in PLACE])
+        return run, level, low, high, self._of([run], fields).count(), fields.json()
 
     @property
     def _base(self) -> str:
@@ -82,7 +91,7 @@ class Serving:
         if self.holds(batch_id):
             return
         runs = self.runs()
-        rows = newest(batch, self.key, [self.version]).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+        rows = newest(placed(batch, self.key), self.key, [self.version], PLACE).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
         self._commit([*runs, self._write(rows, 0, batch_id, batch_id)])
         self.compact()
 
@@ -94,7 +103,7 @@ class Serving:
             return
         whole = sum(r["rows"] for r in upper) >= self.share * sum(r["rows"] for r in base)
         own, kept = (runs, []) if whole else (upper, base)
-        merged = self._write(self._merged(own), int(whole), min(r["low"] for r in own), max(r["high"] for r in own))
+        merged = self._write(placed(self._merged(own), self.key) if kept or len(upper) < len(own) else newest(placed(self._rows(own), self.key), self.key, [BATCH, self.version], PLACE), int(whole), min(r["low"] for r in own), max(r["high"] for r in own))
         self._commit([*kept, merged])
 
     def vacuum(self, keep: int = 2) -> None:
