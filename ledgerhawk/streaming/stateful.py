@@ -4,23 +4,24 @@ State lives in the RocksDB state store, checkpointed with the query; a 24 h
 TTL on the value state expires idle customers (T14). Rows of a key inside one
 micro-batch are processed in (event time, id) order (X13).
 
-The Row form of the API is used: a key's rows arrive as ``Row`` objects and
-outputs go back as rows that Spark batches into Arrow across keys, so no
-pandas frame is built per key (that cost dominated a micro-batch with many
-small keys). One state read and one write per key and micro-batch.
+The Row form of the API hands over a group's rows cell by cell and takes its outputs as
+one Arrow batch a group, so the decision engine groups customers into ``GROUPS`` buckets,
+with a map state by customer, and a row crosses as one JSON text: batches are large however
+few rows a customer has. One state read and one write per customer and micro-batch.
 """
 
 from __future__ import annotations
 
+import json
 import time
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerhawk.config import DecisionParams
-from ledgerhawk.streaming.step import STATE_SCHEMA, CustomerState, state_schema
+from ledgerhawk.streaming.step import CustomerState
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 24 * 3600 * 1000
@@ -49,6 +50,9 @@ INPUT_COLS = ("transaction_id", "idempotency_key", "customer_id", "channel_type"
 
 
 OUTPUT_NAMES = tuple(f.name for f in DECISION_SCHEMA.fields)
+GROUPS = 2048                # buckets of customers; a checkpoint's state is laid out by them
+DECISION = Row(*OUTPUT_NAMES)
+NO_FIELDS = dict.fromkeys(INPUT_COLS)
 
 
 def _time_order(r: dict):
@@ -84,41 +88,58 @@ def use_rocksdb(spark, timers: bool = False) -> None:
 
 
 class DecisionProcessor(StatefulProcessor):
-    """The per-customer decision engine as a stateful processor."""
+    """The per-customer decision engine as a stateful processor over buckets of
+    customers. A bucket's rows of one micro-batch are held at a time."""
 
-    def __init__(self, params: DecisionParams = DecisionParams(), ttl_ms: int | None = DAY_MS, state_schema: str = STATE_SCHEMA):
-        self.params, self.ttl_ms, self.state_schema = params, ttl_ms, state_schema
+    def __init__(self, params: DecisionParams = DecisionParams(), ttl_ms: int | None = DAY_MS, key_schema: str = "customer_id bigint"):
+        self.params, self.ttl_ms, self.key_schema = params, ttl_ms, key_schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("customer", self.state_schema, self.ttl_ms)
+        self.states = handle.getMapState("customers", self.key_schema, "state string", self.ttl_ms)   # as JSON
 
     def handleInputRows(self, key, rows, timerValues):
-        recs = sorted((r.asDict() for r in rows), key=_time_order)
-        st = CustomerState(self.state.get())
+        own: dict = {}
+        for r in rows:
+            rec = {**NO_FIELDS, **json.loads(r["row"])}
+            own.setdefault(rec["customer_id"], []).append(rec)
         now_ms = int(time.time() * 1000)
-        out = [st.step(r, self.params, now_ms) for r in recs]
-        self.state.update(st.to_tuple())
-        for d in out:
-            yield Row(**{n: d[n] for n in OUTPUT_NAMES})
+        for customer, recs in own.items():
+            recs.sort(key=_time_order)
+            stored = self.states.getValue((customer,))
+            st = CustomerState(json.loads(stored[0]) if stored else None)
+            out = [st.step(r, self.params, now_ms) for r in recs]
+            self.states.updateValue((customer,), (json.dumps(st.to_list()),))
+            for d in out:
+                yield DECISION(*[d[n] for n in OUTPUT_NAMES])
 
     def close(self) -> None:
         pass
 
 
+def _as_text(df: DataFrame) -> Column:
+    """A row as JSON, as exactly as in columns: decimals as text (any precision), NaN as null."""
+    def plain(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("string")
+        return F.nanvl(f.name, F.lit(None)) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+    return F.to_json(F.struct(*[plain(f).alias(f.name) for f in df.schema.fields]))
+
+
 def stream_decisions(clean: DataFrame, params: DecisionParams = DecisionParams(),
                      processing_ms: str | None = None) -> DataFrame:
-    """Group the clean, on-time stream by customer and run the engine (append mode:
+    """Run the engine on the clean, on-time stream by bucket of customers (append mode:
     each input row yields its final decision once)."""
     use_rocksdb(clean.sparkSession)
     proc = F.col(processing_ms) if processing_ms else F.lit(None).cast("long")
     cols = [F.col(c) if c in clean.columns else F.lit(None).alias(c) for c in INPUT_COLS if c != "processing_ms"]
     x = clean.select(*cols, proc.alias("processing_ms"))
-    # ids and countries may be numbers or text: results and state take their types over
+    # ids and countries may be numbers or text: results and the state's keys take their types over
     kinds = {c: clean.schema[c].dataType for c in ("transaction_id", "customer_id")}
     out = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in DECISION_SCHEMA.fields])
-    state = state_schema(clean.schema["country_code"].dataType.simpleString(), clean.schema["ip_country"].dataType.simpleString())
-    return x.groupBy("customer_id").transformWithState(
-        statefulProcessor=DecisionProcessor(params, state_schema=state), outputStructType=out,
+    keys = f"customer_id {kinds['customer_id'].simpleString()}"
+    packed = x.select(F.pmod(F.xxhash64("customer_id"), F.lit(GROUPS)).cast("int").alias("bucket"), _as_text(x).alias("row"))
+    return packed.groupBy("bucket").transformWithState(
+        statefulProcessor=DecisionProcessor(params, key_schema=keys), outputStructType=out,
         outputMode="Append", timeMode="ProcessingTime")
 
 

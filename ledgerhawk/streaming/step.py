@@ -69,8 +69,9 @@ _CENT = Decimal("0.01")
 
 def _money(v) -> Decimal:
     """Money as Spark casts a double to decimal(18,2): shortest decimal text of
-    the double, rounded half-up to cents (0.6 is 60 cents, not 59)."""
-    d = v if isinstance(v, Decimal) else Decimal(repr(float(v)))
+    the double, rounded half-up to cents (0.6 is 60 cents, not 59). Decimals come as
+    themselves or as their text."""
+    d = v if isinstance(v, Decimal) else Decimal(v if isinstance(v, str) else repr(float(v)))
     return d.quantize(_CENT, rounding=ROUND_HALF_UP)
 
 
@@ -104,6 +105,10 @@ class CustomerState:
             out.append(v)
         return tuple(out)
 
+    def to_list(self) -> list:
+        """The fields in order, for JSON, whose whole numbers have any size."""
+        return [self.s[n] for n, _ in STATE_FIELDS]
+
     def step(self, r: dict, p: DecisionParams, now_ms: int) -> dict:
         s = self.s
         ts = _nn(r["event_timestamp"])
@@ -111,7 +116,7 @@ class CustomerState:
         amount = r["amount"]
         amount = Decimal(0) if _nn(amount) is None else _money(amount)
         usd = _nn(r.get("amount_usd"))
-        usd = amount if usd is None or usd == 0 else _money(usd)
+        usd = amount if usd is None or _money(usd) == 0 and float(usd) == 0 else _money(usd)
         cents, ucents = int(amount * 100), int(usd * 100)
         ch = r["channel_type"] or "UNKNOWN"
         lat, lon = _nn(r["latitude"]), _nn(r["longitude"])
