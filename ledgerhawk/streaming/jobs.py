@@ -19,7 +19,7 @@ from ledgerhawk.operators.latency import sla_metrics
 from ledgerhawk.operators.quality import dq_validate
 from ledgerhawk.streaming import sinks as sk
 from ledgerhawk.streaming.messages import decode_messages, malformed_letters, readable
-from ledgerhawk.streaming.sources import decode, envelope_stream, raw_landing
+from ledgerhawk.streaming.sources import decode, envelope_stream, fields_of, raw_landing
 from ledgerhawk.streaming.stateful import restore_settings, stream_decisions
 
 
@@ -59,8 +59,10 @@ def run_foreach_batch(stream: DataFrame, fn, ckpt: str, mode: str = "append",
 
 
 # ---------------------------------------------------------------- pipelines
-def parsed_stream(spark: SparkSession, env_path: str, rate: StreamParams = StreamParams()) -> DataFrame:
-    return decode(envelope_stream(spark, env_path, rate))
+def parsed_stream(spark: SparkSession, env_path: str, rate: StreamParams = StreamParams(), fields=None) -> DataFrame:
+    """Decoded rows; with ``fields`` only those of the message."""
+    env = envelope_stream(spark, env_path, rate)
+    return decode(env) if fields is None else decode(env, fields_of(*fields))
 
 
 def message_stream(spark: SparkSession, env_path: str, rate: StreamParams = StreamParams()) -> DataFrame:
@@ -99,7 +101,7 @@ def landing_fanout(spark: SparkSession, env_path: str, root: str, ingest_col: st
     ``drain`` it ends with what is there, else it runs at its sinks' interval (W4)."""
     def fan(batch: DataFrame, batch_id: int) -> None:
         b = dq_validate(batch).persist()
-        sk.write_batch(batch, f"{root}/bronze", batch_id, ("channel_type",))
+        sk.write_batch(b.select(*batch.columns), f"{root}/bronze", batch_id, ("channel_type",))      # decoded once
         sk.write_batch(b.filter(~F.col("dq_passed")), f"{root}/dlq", batch_id)
         timed = sla_metrics(b.filter("dq_passed"), ingest_col)
         sk.write_batch(timed.filter("sla_breached"), f"{root}/archive", batch_id)
