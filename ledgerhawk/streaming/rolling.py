@@ -1,7 +1,9 @@
 """Rolling features as a stream, with state that event time expires.
 
-A customer's last day is a map of minute buckets, at most 1,440 beyond the watermark's delay
-however many transactions there are; the last amounts are a list of ten. An event-time
+A customer's last day is minute buckets, at most 1,440 beyond the watermark's delay however
+many transactions there are; the last amounts are a list of ten. Both are one value, read
+and written once a customer and micro-batch: each call to the state store costs more than a
+row. An event-time
 timer stands at the moment the oldest bucket leaves the day and drops all that have left by
 the watermark, so a customer who stops trading is cleared from the state without a row of
 theirs arriving. A total covers the whole minutes of the window and, of the row's own
@@ -10,6 +12,7 @@ minute, the rows up to it.
 
 from __future__ import annotations
 
+import json
 from itertools import groupby
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -21,6 +24,9 @@ from ledgerhawk.config import StreamParams
 from ledgerhawk.streaming.stateful import use_rocksdb
 
 MINUTE_MS = 60_000
+STATE = "minutes array<long>, ins array<long>, outs array<long>, n array<long>, amounts array<long>, due long"
+FIELDS = ("transaction_id", "ts", "cents", "in_cents", "out_cents")
+READS = ("transaction_id", "customer_id", "transaction_type", "amount", "amount_usd", "event_ts")
 OUTPUT = "transaction_id long, total_in_24h double, total_out_24h double, txn_count_1h long, last_txn_amounts string"
 
 
@@ -37,33 +43,35 @@ class RollingProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buckets = handle.getMapState("buckets", "minute long", "ins long, outs long, n long")
-        self.amounts = handle.getListState("amounts", "cents long")
-
-    def _evicted(self, watermark_ms: int) -> dict:
-        """Buckets still in the day; the others are removed from the state."""
-        held = {}
-        for (minute,), value in list(self.buckets.iterator()):
-            if (minute + self.day) * MINUTE_MS <= watermark_ms:
-                self.buckets.removeKey((minute,))
-            else:
-                held[minute] = tuple(value)
-        return held
-
-    def _watch(self, held: dict) -> None:
-        """One timer a customer, for the oldest bucket."""
-        due = (min(held) + self.day) * MINUTE_MS
-        timers = list(self.handle.listTimers())
-        if due not in timers:
-            for t in timers:
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(due)
+        self.state = handle.getValueState("buckets", STATE)
+
+    def _read(self, watermark_ms: int):
+        """Buckets still in the day, the last amounts, and the moment of the timer."""
+        stored = self.state.get()
+        if stored is None:
+            return {}, [], None
+        minutes, ins, outs, n, last, due = stored
+        held = {m: v for m, *v in zip(minutes, ins, outs, n) if (m + self.day) * MINUTE_MS > watermark_ms}
+        return held, list(last), due
+
+    def _write(self, held: dict, last: list, due: int | None, fired: int | None = None) -> None:
+        """One write, and one timer a customer, for the oldest bucket."""
+        if not held and not (last and self.keep_amounts):
+            self.state.clear()
+            return
+        new = (min(held) + self.day) * MINUTE_MS if held else None
+        if new != due or due == fired:
+            if due is not None and due != fired:
+                self.handle.deleteTimer(due)
+            if new is not None:
+                self.handle.registerTimer(new)
+        columns = zip(*((m, *held[m]) for m in held)) if held else ((), (), (), ())
+        self.state.update((*map(list, columns), last, new))
 
     def handleInputRows(self, key, rows, timerValues):
-        recs = sorted((r.asDict() for r in rows), key=lambda r: (r["ts"] is not None, r["ts"] or 0, r["transaction_id"]))
-        held = self._evicted(timerValues.getCurrentWatermarkInMs())
-        last = [c for (c,) in self.amounts.get()] if self.amounts.exists() else []
-        touched = set()
+        recs = sorted((dict(zip(FIELDS, json.loads(r["row"]))) for r in rows), key=lambda r: (r["ts"] is not None, r["ts"] or 0, r["transaction_id"]))
+        held, last, due = self._read(timerValues.getCurrentWatermarkInMs())
+        touched = False
         for minute, own in groupby(recs, key=lambda r: None if r["ts"] is None else r["ts"] // MINUTE_MS):
             if minute is None:
                 for r in own:
@@ -81,22 +89,14 @@ class RollingProcessor(StatefulProcessor):
                     last = [*last, r["cents"]][-self.last_n:]
                     yield Row(transaction_id=r["transaction_id"], total_in_24h=(ins + here[0]) / 100.0, total_out_24h=(outs + here[1]) / 100.0,
                               txn_count_1h=hour + here[2], last_txn_amounts=",".join(map(_money, last)))
-            held[minute] = tuple(here)
-            touched.add(minute)
-        for minute in touched:
-            self.buckets.updateValue((minute,), held[minute])
+            held[minute] = here
+            touched = True
         if touched:
-            self.amounts.put([(c,) for c in last])
-            self._watch(held)
+            self._write(held, last, due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self._evicted(timerValues.getCurrentWatermarkInMs())
-        if held:
-            self._watch(held)
-        else:
-            self.buckets.clear()
-            if not self.keep_amounts:
-                self.amounts.clear()
+        held, last, due = self._read(timerValues.getCurrentWatermarkInMs())
+        self._write(held, last, due, expiredTimerInfo.getExpiryTimeInMs())
         return iter(())
 
     def close(self) -> None:
@@ -108,13 +108,16 @@ def stream_rolling_features(decoded: DataFrame, watermark: str = StreamParams().
     use_rocksdb(decoded.sparkSession, timers=True)
     usd = (F.coalesce("amount_usd", F.lit(0)).cast("decimal(18,2)") * 100).cast("long")
     kind = F.col("transaction_type")
-    x = decoded.withWatermark("event_ts", watermark).select(
-        "customer_id", "transaction_id", F.unix_millis("event_ts").alias("ts"), (F.coalesce("amount", F.lit(0)).cast("decimal(18,2)") * 100).cast("long").alias("cents"),
-        F.when(kind.isin(*C.INBOUND_TYPES), usd).otherwise(0).alias("in_cents"), F.when(kind.isin(*C.OUTBOUND_TYPES), usd).otherwise(0).alias("out_cents"), "event_ts")
+    x = decoded.withWatermark("event_ts", watermark).withColumns({
+        "ts": F.unix_millis("event_ts"), "cents": (F.coalesce("amount", F.lit(0)).cast("decimal(18,2)") * 100).cast("long"),
+        "in_cents": F.when(kind.isin(*C.INBOUND_TYPES), usd).otherwise(0), "out_cents": F.when(kind.isin(*C.OUTBOUND_TYPES), usd).otherwise(0)})
+    x = x.select("customer_id", F.to_json(F.array(*[F.col(c).cast("long") for c in FIELDS])).alias("row"), "event_ts")   # one cell a row to Python
     return x.groupBy("customer_id").transformWithState(
         statefulProcessor=RollingProcessor(keep_amounts=keep_amounts), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
 
 
 def live_state(spark: SparkSession, checkpoint: str, variable: str = "buckets") -> DataFrame:
-    """The entries of a state variable after the last micro-batch of a stopped query."""
-    return spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    """The buckets in the state after the last micro-batch of a stopped query, a row each."""
+    stored = spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    each = F.explode(F.arrays_zip("value.minutes", "value.ins", "value.outs", "value.n"))
+    return stored.select("key", each.alias("value"), "partition_id")
