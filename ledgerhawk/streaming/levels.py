@@ -103,7 +103,11 @@ class Serving:
             return
         whole = sum(r["rows"] for r in upper) >= self.share * sum(r["rows"] for r in base)
         own, kept = (runs, []) if whole else (upper, base)
-        merged = self._write(placed(self._merged(own), self.key) if kept or len(upper) < len(own) else newest(placed(self._rows(own), self.key), self.key, [BATCH, self.version], PLACE), int(whole), min(r["low"] for r in own), max(r["high"] for r in own))
+        if len(own) > len(upper):
+            rows = placed(self._merged(own), self.key)
+        else:
+            rows = newest(placed(self._rows(own), self.key), self.key, [BATCH, self.version], PLACE)
+        merged = self._write(rows, int(whole), min(r["low"] for r in own), max(r["high"] for r in own))
         self._commit([*kept, merged])
 
     def vacuum(self, keep: int = 2) -> None:
